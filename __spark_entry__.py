@@ -25,6 +25,7 @@ from skytiles.plans import neighbour_assignment
 from skytiles.session import scratch_path
 from skytiles.sinks import read_cells, read_rows, write_cells, write_rows
 from skytiles.sources import document_lines, sky_points
+from skytiles.sources.balance import spread_small_scan
 from skytiles.sources.testdata import SKY_ORDER, sky_sql_view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -45,6 +46,11 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sky_points(spark, sf_dir)
 
 
+def _spread(points: DataFrame) -> DataFrame:
+    # Before per-point expansion only (see skytiles.sources.balance).
+    return spread_small_scan(points, "source_id")
+
+
 def q_bounds(spark, sf_dir):
     return bounds(_points(spark, sf_dir))
 
@@ -75,7 +81,7 @@ def q_grid_cells(spark, sf_dir):
 
 def _cell_assign(spark, sf_dir):
     pts = _points(spark, sf_dir)
-    return assign_cell(pts, bounds(pts), N)
+    return assign_cell(_spread(pts), bounds(pts), N)
 
 
 def q_cell_assign(spark, sf_dir):
@@ -88,18 +94,18 @@ def q_cell_histogram(spark, sf_dir):
 
 
 def q_ra_strips(spark, sf_dir):
-    return assign_strips(_points(spark, sf_dir), N_STRIPS, STRIP_MARGIN).select(
+    return assign_strips(_spread(_points(spark, sf_dir)), N_STRIPS, STRIP_MARGIN).select(
         "source_id", "ra", "decl", "strip", "cell")
 
 
 def q_strip_histogram(spark, sf_dir):
-    return cell_histogram(assign_strips(_points(spark, sf_dir), N_STRIPS,
+    return cell_histogram(assign_strips(_spread(_points(spark, sf_dir)), N_STRIPS,
                                         STRIP_MARGIN))
 
 
 def _padded(spark, sf_dir, decl_band="j"):
     pts = _points(spark, sf_dir)
-    return assign_padded(pts, bounds(pts, recentre=True), N, PAD, PAD,
+    return assign_padded(_spread(pts), bounds(pts, recentre=True), N, PAD, PAD,
                          decl_band=decl_band)
 
 
@@ -113,7 +119,9 @@ def q_padded_cells_column_band(spark, sf_dir):
 
 
 def q_capacity_split(spark, sf_dir):
-    return capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER) \
+    bound = _points(spark, sf_dir).count()  # no cell holds more rows than points
+    return capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
+                          cell_rows_bound=bound) \
         .select("source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
 
 
@@ -126,7 +134,7 @@ def q_capacity_split_two_phase(spark, sf_dir):
 
 def q_partition_job(spark, sf_dir):
     pairs = neighbour_assignment(_points(spark, sf_dir), MIN_CELLS, PAD, PAD, CAP,
-                                 order_by=tuple(SKY_ORDER))
+                                 order_by=tuple(SKY_ORDER), spread=_spread)
     return cell_histogram(pairs, "out_cell")
 
 

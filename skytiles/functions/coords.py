@@ -32,8 +32,9 @@ def restore_ra(ra_centred: str | Column) -> Column:
 
 
 def cell_name(i: str | Column, j: str | Column) -> Column:
-    """Grid cell name ``"i.j"``."""
-    return F.format_string("%d.%d", _c(i), _c(j))
+    """Grid cell name ``"i.j"`` (concatenation of casts: no per-row
+    formatter, stays in generated code)."""
+    return F.concat(_c(i).cast("string"), F.lit("."), _c(j).cast("string"))
 
 
 def overflow_name(cell: str | Column, k: str | Column,

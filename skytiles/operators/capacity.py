@@ -37,20 +37,27 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
                    order_by: list[str] | tuple[str, ...] = ("source_id",),
                    cell_col: str = "cell", out_col: str = "out_cell",
                    suffix: str = OVERFLOW_SUFFIX, method: str = "auto",
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                   rows_per_task: int = ROWS_PER_TASK,
+                   cell_rows_bound: int | None = None) -> DataFrame:
     """Adds ``cell_rank`` (1-based, per cell) and ``out_col``.
 
     ``order_by`` must be a total order over each cell's rows for the
     result to be deterministic; its first column must be numeric for the
     two-phase method. ``method`` is ``window``, ``two_phase`` or ``auto``
     (two-phase only when some cell exceeds ``rows_per_task``; this runs
-    one small aggregate to find out).
+    one small aggregate to find out, unless ``cell_rows_bound`` - a proven
+    upper bound on any cell's row count, such as the number of input
+    points, since a point is in a given cell at most once - already shows
+    that no cell can).
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")
     order_by = list(order_by)
     if method not in ("auto", "window", "two_phase"):
         raise ValueError("method must be auto, window or two_phase")
+    if method == "auto" and cell_rows_bound is not None \
+            and cell_rows_bound <= rows_per_task:
+        method = "window"
     if method == "window":
         ranked = _rank_window(assigned, order_by, cell_col)
     else:

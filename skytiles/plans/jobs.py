@@ -39,15 +39,23 @@ def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
                          decl_pad: float = DECL_PADDING,
                          cap: int = MAX_PER_CELL,
                          order_by: tuple[str, ...] = ("source_id",),
-                         decl_band: str = "j", method: str = "auto") -> DataFrame:
+                         decl_band: str = "j", method: str = "auto",
+                         spread=None) -> DataFrame:
     """J3 body: re-centred bounds (A5), padded cells (G4), capacity split (G5).
 
     Output: the input columns plus ``i, j, cell, cell_rank, out_cell``.
+    ``spread`` (default: none) is applied to the points before the
+    per-point cell expansion, e.g. :func:`spread_small_scan`. With
+    ``method="auto"`` the number of points (a footer-only count for
+    parquet) bounds every cell's size and can spare the statistics pass.
     """
     n = grid_side(min_cells)
-    pairs = assign_padded(points, bounds(points, recentre=True), n,
+    bound = points.count() if method == "auto" else None
+    work = spread(points) if spread else points
+    pairs = assign_padded(work, bounds(points, recentre=True), n,
                           ra_pad, decl_pad, decl_band=decl_band)
-    return capacity_split(pairs, cap, order_by=order_by, method=method)
+    return capacity_split(pairs, cap, order_by=order_by, method=method,
+                          cell_rows_bound=bound)
 
 
 def object_summary_job(points: DataFrame, **kwargs) -> DataFrame:

@@ -1,0 +1,21 @@
+"""Spreading a scan over the available cores.
+
+A scan has as many tasks as input splits, and a parquet split cannot cut
+a row group. A small table stored as one row group therefore runs every
+narrow operator after the scan in a single task. When a scan has fewer
+splits than the session's default parallelism, its rows are hash-spread
+on a key first; a large input has far more splits than cores and is left
+exactly as scanned (no extra shuffle).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)

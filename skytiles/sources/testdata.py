@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .balance import spread_small_scan
+
 SKY_SQL = {
     "source_id": "l_orderkey * 8 + l_linenumber",
     "object_id": "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_partkey END",
@@ -33,11 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sky_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points view over ``lineitem`` (see module docstring)."""
+def sky_points(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Points view over ``lineitem`` (see module docstring).
+
+    ``spread=True`` hash-spreads a scan with fewer splits than cores (see
+    :mod:`skytiles.sources.balance`); worth it before per-row expansion
+    (cell candidates, strips), not before a plain aggregate.
+    """
     li = table(spark, sf_dir, "lineitem")
-    return li.select(*[F.expr(e).alias(n) for n, e in SKY_SQL.items()],
-                     *SKY_ATTRIBUTES)
+    pts = li.select(*[F.expr(e).alias(n) for n, e in SKY_SQL.items()],
+                    *SKY_ATTRIBUTES)
+    return spread_small_scan(pts, "source_id") if spread else pts
 
 
 def sky_sql_view() -> str:
@@ -52,5 +60,5 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Same ``value`` column as :func:`skytiles.sources.catalog.read_lines`.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_small_scan(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
