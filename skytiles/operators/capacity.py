@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coords import OVERFLOW_SUFFIX, overflow_name
+from ..session import write_scratch_table
 
 # --- Fixed value of the neighbour-aware job: points per output file. ---
 MAX_PER_CELL = 10000
@@ -38,7 +39,9 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
                    cell_col: str = "cell", out_col: str = "out_cell",
                    suffix: str = OVERFLOW_SUFFIX, method: str = "auto",
                    rows_per_task: int = ROWS_PER_TASK,
-                   cell_rows_bound: int | None = None) -> DataFrame:
+                   cell_rows_bound: int | None = None,
+                   start_offsets: DataFrame | None = None,
+                   materialize: bool = True) -> DataFrame:
     """Adds ``cell_rank`` (1-based, per cell) and ``out_col``.
 
     ``order_by`` must be a total order over each cell's rows for the
@@ -49,6 +52,13 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     upper bound on any cell's row count, such as the number of input
     points, since a point is in a given cell at most once - already shows
     that no cell can).
+
+    ``start_offsets`` (columns ``cell_col, offset``; one row per cell)
+    shifts each cell's ranks, for appending to cells that already hold
+    ``offset`` points (the streaming job). ``materialize`` stores the
+    input once in the shared checkpoint folder before the statistics
+    pass, so the two-phase passes read stored rows instead of recomputing
+    the input three times.
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")
@@ -61,6 +71,8 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     if method == "window":
         ranked = _rank_window(assigned, order_by, cell_col)
     else:
+        if materialize:
+            assigned = write_scratch_table(assigned, "capacity-input")
         stats = _cell_stats(assigned, cell_col, order_by[0])
         rows = stats.collect()  # one row per cell: bounded by the grid size
         largest = max((r["n"] for r in rows), default=0)
@@ -69,6 +81,12 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
         else:
             ranked = _rank_two_phase(assigned, rows, order_by, cell_col,
                                      rows_per_task)
+    if start_offsets is not None:
+        # One row per cell: bounded by the grid size.
+        ranked = (ranked.join(F.broadcast(start_offsets), cell_col, "left")
+                  .withColumn("cell_rank", F.col("cell_rank")
+                              + F.coalesce(F.col("offset"), F.lit(0)).cast("long"))
+                  .drop("offset"))
     k = F.floor((F.col("cell_rank") - 1) / F.lit(cap))
     return ranked.withColumn(out_col, overflow_name(cell_col, k, suffix))
 

@@ -16,7 +16,7 @@ from ..operators.grid import (DECL_PADDING, RA_PADDING, assign_cell,
 from ..operators.histogram import cell_histogram
 from ..operators.strips import N_STRIPS, STRIP_MARGIN, assign_strips
 from ..operators.summary import bounds, object_counts, object_summary
-from ..session import scratch_path
+from ..session import write_scratch_table
 from ..sinks.cells import write_cells, write_rows
 
 MIN_CELLS = 40  # default grid size: 5 GB inputs / 128 MB outputs
@@ -74,13 +74,11 @@ def bounds_job(points: DataFrame, recentre: bool = False) -> DataFrame:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read
-    it back: cuts the lineage so later passes (statistics, ranking,
-    writing) neither rescan the input nor recompute the assignment, and a
-    lost executor only costs its own tasks."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Store ``df`` under the shared checkpoint folder (see
+    :func:`skytiles.session.write_scratch_table`) so later passes
+    (statistics, ranking, writing) neither rescan the input nor recompute
+    the assignment."""
+    return write_scratch_table(df, name)
 
 
 def run_partition_job(points: DataFrame, output_dir: str,

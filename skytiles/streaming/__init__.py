@@ -1,0 +1,5 @@
+from .partition import (cell_counts, latest_counts, process_batch,
+                        read_stream_output, start_partition_stream)
+
+__all__ = ["cell_counts", "latest_counts", "process_batch",
+           "read_stream_output", "start_partition_stream"]
