@@ -8,13 +8,16 @@ order.
 
 Ranking needs every row of a cell in order, which with a plain window
 puts a whole cell in one task. When a cell is larger than
-``rows_per_task`` the ``two_phase`` method splits it: the leading order
-key is cut into equal-width bins per cell (a monotone function, so bin
-order is rank order), rows are numbered inside each (cell, bin) and
-shifted by the number of rows in earlier bins of the same cell. The
-only full shuffle is the window's own, and its groups are bounded by the
-bin size instead of the cell size. The per-cell statistics come from one
-partial aggregate; there is one row per cell, bounded by the grid size.
+``rows_per_task`` the ``two_phase`` method splits it with Spark's range
+partitioning on ``(cell, order key)``: split points come from a sample
+of the full composite key, so a hot cell is cut into ranges of about
+``rows_per_task`` rows whatever the key distribution (clumped or
+repeated leading ids included). The range number is stored with the rows
+(in the shared checkpoint folder), which fixes it across retries. Rows
+are numbered inside each (cell, range) and shifted by the number of rows
+in the cell's earlier ranges, taken from a small count table. The
+per-cell statistics that decide between the methods come from one
+partial aggregate with one row per cell, bounded by the grid size.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from ..session import write_scratch_table
 MAX_PER_CELL = 10000
 
 ROWS_PER_TASK = 2_000_000
-MAX_BROADCAST_BINS = 200_000
+MAX_BROADCAST_BINS = 200_000  # offset rows broadcast at most
 
 
 def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
@@ -45,8 +48,7 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     """Adds ``cell_rank`` (1-based, per cell) and ``out_col``.
 
     ``order_by`` must be a total order over each cell's rows for the
-    result to be deterministic; its first column must be numeric for the
-    two-phase method. ``method`` is ``window``, ``two_phase`` or ``auto``
+    result to be deterministic. ``method`` is ``window``, ``two_phase`` or ``auto``
     (two-phase only when some cell exceeds ``rows_per_task``; this runs
     one small aggregate to find out, unless ``cell_rows_bound`` - a proven
     upper bound on any cell's row count, such as the number of input
@@ -73,14 +75,13 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     else:
         if materialize:
             assigned = write_scratch_table(assigned, "capacity-input")
-        stats = _cell_stats(assigned, cell_col, order_by[0])
-        rows = stats.collect()  # one row per cell: bounded by the grid size
+        rows = _cell_stats(assigned, cell_col).collect()  # one row per cell
         largest = max((r["n"] for r in rows), default=0)
         if method == "auto" and largest <= rows_per_task:
             ranked = _rank_window(assigned, order_by, cell_col)
         else:
-            ranked = _rank_two_phase(assigned, rows, order_by, cell_col,
-                                     rows_per_task)
+            ranked = _rank_two_phase(assigned, sum(r["n"] for r in rows),
+                                     order_by, cell_col, rows_per_task)
     if start_offsets is not None:
         # One row per cell: bounded by the grid size.
         ranked = (ranked.join(F.broadcast(start_offsets), cell_col, "left")
@@ -96,45 +97,27 @@ def _rank_window(df: DataFrame, order_by: list[str], cell_col: str) -> DataFrame
     return df.withColumn("cell_rank", F.row_number().over(w).cast("long"))
 
 
-def _cell_stats(df: DataFrame, cell_col: str, lead: str) -> DataFrame:
-    return df.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"),
-                                    F.min(lead).alias("kmin"),
-                                    F.max(lead).alias("kmax"))
+def _cell_stats(df: DataFrame, cell_col: str) -> DataFrame:
+    return df.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _rank_two_phase(df: DataFrame, stats_rows: list, order_by: list[str],
+def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],
                     cell_col: str, rows_per_task: int) -> DataFrame:
-    spark = df.sparkSession
-    lead = order_by[0]
-    bins = [(r[cell_col], max(1, math.ceil(r["n"] / rows_per_task)),
-             r["kmin"], r["kmax"]) for r in stats_rows]
-    stats = spark.createDataFrame(
-        bins, f"{cell_col} string, nb int, kmin {_sql_type(df, lead)}, "
-              f"kmax {_sql_type(df, lead)}")
-    # One row per cell: bounded by the grid size.
-    binned = df.join(F.broadcast(stats), cell_col).withColumn(
-        "_bin",
-        F.when(F.col("kmax") > F.col("kmin"),
-               F.least(F.col("nb") - 1,
-                       F.floor((F.col(lead) - F.col("kmin")).cast("double")
-                               / (F.col("kmax") - F.col("kmin")).cast("double")
-                               * F.col("nb")).cast("int")))
-        .otherwise(F.lit(0))).drop("nb", "kmin", "kmax")
-    counts = binned.groupBy(cell_col, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(cell_col).orderBy("_bin").rowsBetween(
+    parts = max(1, math.ceil(total_rows / rows_per_task))
+    ranged = (df.repartitionByRange(parts, cell_col, *order_by)
+              .withColumn("_range", F.spark_partition_id()))
+    ranged = write_scratch_table(ranged, "capacity-ranges")
+    counts = ranged.groupBy(cell_col, "_range").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(cell_col).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.select(cell_col, "_bin",
+    offsets = counts.select(cell_col, "_range",
                             F.coalesce(F.sum("_c").over(before), F.lit(0))
                             .alias("_off"))
-    total_bins = sum(b[1] for b in bins)
-    if total_bins <= MAX_BROADCAST_BINS:
+    # At most parts + cells rows (a range spans one or more cells in order).
+    if parts <= MAX_BROADCAST_BINS:
         offsets = F.broadcast(offsets)
-    w = Window.partitionBy(cell_col, "_bin").orderBy(*order_by)
-    return (binned.join(offsets, [cell_col, "_bin"])
+    w = Window.partitionBy(cell_col, "_range").orderBy(*order_by)
+    return (ranged.join(offsets, [cell_col, "_range"])
             .withColumn("cell_rank",
                         (F.col("_off") + F.row_number().over(w)).cast("long"))
-            .drop("_bin", "_off"))
-
-
-def _sql_type(df: DataFrame, col: str) -> str:
-    return df.schema[col].dataType.simpleString()
+            .drop("_range", "_off"))

@@ -58,3 +58,15 @@ def test_bad_arguments(pairs):
         capacity_split(pairs, 0)
     with pytest.raises(ValueError):
         capacity_split(pairs, 10, method="nope")
+
+
+def test_two_phase_with_clumped_and_repeated_ids(spark):
+    rnd = random.Random(2)
+    # Two far-apart clumps of ids, many ids repeated; ties broken by ra.
+    rows = [(rnd.choice([1, 2, 3, 10**15]), None, float(t), 0.0) for t in range(1500)]
+    df = points_df(spark, rows).withColumn("cell", F.lit("3.3"))
+    order = ["source_id", "ra"]
+    a = capacity_split(df, 40, order_by=order, method="window")
+    b = capacity_split(df, 40, order_by=order, method="two_phase", rows_per_task=100)
+    key = lambda d: sorted((r.ra, r.cell_rank, r.out_cell) for r in d.collect())
+    assert key(a) == key(b)
