@@ -21,9 +21,9 @@ from skytiles.operators import (assign_cell, assign_padded, assign_strips,
                                 bounds, capacity_split, cell_histogram,
                                 grid_cells, grid_side, line_counts,
                                 object_counts, object_summary)
-from skytiles.plans import neighbour_assignment
+from skytiles.plans import neighbour_assignment, run_grid_job
 from skytiles.session import scratch_path
-from skytiles.sinks import read_cells, read_rows, write_cells, write_rows
+from skytiles.sinks import read_cells, read_rows, write_rows
 from skytiles.sources import document_lines, sky_points
 from skytiles.sources.balance import spread_small_scan
 from skytiles.sources.testdata import SKY_ORDER, sky_sql_view
@@ -135,16 +135,19 @@ def q_capacity_split_two_phase(spark, sf_dir):
 
 
 def q_partition_job(spark, sf_dir):
-    pairs = neighbour_assignment(_points(spark, sf_dir), MIN_CELLS, PAD, PAD, CAP,
-                                 order_by=tuple(SKY_ORDER), spread=_spread)
+    pts = _points(spark, sf_dir)
+    pairs = neighbour_assignment(pts, MIN_CELLS, PAD, PAD, CAP,
+                                 order_by=tuple(SKY_ORDER), spread=_spread,
+                                 cell_rows_bound=pts.count())  # parquet footers
     return cell_histogram(pairs, "out_cell")
 
 
 def q_cell_sink_roundtrip(spark, sf_dir):
-    """K1: write the grid job's cells, read them back, summarise per cell."""
-    cells = _cell_assign(spark, sf_dir).select("cell", "source_id", "ra", "decl")
+    """K1 through the grid job (J1): write one directory per cell, read the
+    cells back, summarise per cell."""
     path = scratch_path(spark, "cell-sink")
-    write_cells(cells, path)
+    run_grid_job(_points(spark, sf_dir), path, MIN_CELLS,
+                 columns=["source_id", "ra", "decl"])
     payload = T.StructType([T.StructField("source_id", T.LongType()),
                             T.StructField("ra", T.DoubleType()),
                             T.StructField("decl", T.DoubleType())])

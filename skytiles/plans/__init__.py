@@ -1,9 +1,10 @@
 from .jobs import (bounds_job, grid_assignment, materialize,
-                   neighbour_assignment, object_count_job, object_summary_job,
+                   neighbour_assignment, neighbour_pairs,
+                   object_count_job, object_summary_job,
                    run_grid_job, run_object_count_job, run_object_summary_job,
                    run_partition_job, run_strip_job, strip_assignment)
 
 __all__ = ["bounds_job", "grid_assignment", "materialize",
-           "neighbour_assignment", "object_count_job", "object_summary_job",
+           "neighbour_assignment", "neighbour_pairs", "object_count_job", "object_summary_job",
            "run_grid_job", "run_object_count_job", "run_object_summary_job",
            "run_partition_job", "run_strip_job", "strip_assignment"]

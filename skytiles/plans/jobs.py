@@ -17,7 +17,7 @@ from ..operators.histogram import cell_histogram
 from ..operators.strips import N_STRIPS, STRIP_MARGIN, assign_strips
 from ..operators.summary import bounds, object_counts, object_summary
 from ..session import write_scratch_table
-from ..sinks.cells import write_cells, write_rows
+from ..sinks.cells import ROWS_PER_FILE, write_cells, write_rows
 
 MIN_CELLS = 40  # default grid size: 5 GB inputs / 128 MB outputs
 
@@ -34,28 +34,38 @@ def strip_assignment(points: DataFrame, n_strips: int = N_STRIPS,
     return assign_strips(points, n_strips, margin)
 
 
+def neighbour_pairs(points: DataFrame, min_cells: int = MIN_CELLS,
+                    ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
+                    decl_band: str = "j", spread=None) -> DataFrame:
+    """J3 first half: re-centred bounds (A5), padded cells (G4).
+
+    ``spread`` (default: none) is applied to the points before the
+    per-point cell expansion, e.g. ``spread_small_scan``.
+    """
+    n = grid_side(min_cells)
+    work = spread(points) if spread else points
+    return assign_padded(work, bounds(points, recentre=True), n,
+                         ra_pad, decl_pad, decl_band=decl_band)
+
+
 def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
                          ra_pad: float = RA_PADDING,
                          decl_pad: float = DECL_PADDING,
                          cap: int = MAX_PER_CELL,
                          order_by: tuple[str, ...] = ("source_id",),
                          decl_band: str = "j", method: str = "auto",
-                         spread=None) -> DataFrame:
-    """J3 body: re-centred bounds (A5), padded cells (G4), capacity split (G5).
+                         spread=None, cell_rows_bound: int | None = None) -> DataFrame:
+    """J3 body: padded cells (A5, G4) then the capacity split (G5), lazily.
 
     Output: the input columns plus ``i, j, cell, cell_rank, out_cell``.
-    ``spread`` (default: none) is applied to the points before the
-    per-point cell expansion, e.g. :func:`spread_small_scan`. With
-    ``method="auto"`` the number of points (a footer-only count for
-    parquet) bounds every cell's size and can spare the statistics pass.
+    ``cell_rows_bound``: a known bound on any cell's size, such as the
+    number of points (a point is in a given cell at most once); it lets
+    ``method="auto"`` skip the statistics pass. For parquet inputs
+    ``points.count()`` reads only file footers.
     """
-    n = grid_side(min_cells)
-    bound = points.count() if method == "auto" else None
-    work = spread(points) if spread else points
-    pairs = assign_padded(work, bounds(points, recentre=True), n,
-                          ra_pad, decl_pad, decl_band=decl_band)
+    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band, spread)
     return capacity_split(pairs, cap, order_by=order_by, method=method,
-                          cell_rows_bound=bound)
+                          cell_rows_bound=cell_rows_bound)
 
 
 def object_summary_job(points: DataFrame, **kwargs) -> DataFrame:
@@ -83,31 +93,71 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def run_partition_job(points: DataFrame, output_dir: str,
                       columns: list[str] | None = None, fmt: str = "parquet",
-                      **kwargs) -> DataFrame:
-    """J3 end to end: assign, cap, write one directory per output cell,
-    and return the per-cell histogram (A6) computed from the written rows.
+                      min_cells: int = MIN_CELLS, ra_pad: float = RA_PADDING,
+                      decl_pad: float = DECL_PADDING, cap: int = MAX_PER_CELL,
+                      order_by: tuple[str, ...] = ("source_id",),
+                      decl_band: str = "j", method: str = "auto") -> DataFrame:
+    """J3 end to end; returns the per-output-cell histogram (A6).
+
+    Passes over the data: the input is scanned once for the bounds (two
+    columns) and once for the assignment, whose pairs are stored; the
+    capacity split takes its per-cell statistics from the stored pairs
+    (one column) and ranks them; the capped cells are written hash-spread
+    on the output cell (every output cell holds at most ``cap`` rows);
+    the histogram counts the written files' rows.
     """
-    pairs = neighbour_assignment(points, **kwargs)
-    pairs = materialize(pairs, "partition-job")
-    write_cells(pairs.drop("cell").withColumnRenamed("out_cell", "cell"),
-                output_dir, columns=columns, fmt=fmt)
-    return cell_histogram(pairs, "out_cell")
+    pairs = materialize(neighbour_pairs(points, min_cells, ra_pad, decl_pad,
+                                        decl_band), "partition-pairs")
+    capped = capacity_split(pairs, cap, order_by=order_by, method=method,
+                            materialize=False)
+    write_cells(capped.drop("cell", "i", "j", "cell_rank")
+                .withColumnRenamed("out_cell", "cell"),
+                output_dir, columns=columns, fmt=fmt, partitioning="hash")
+    return _written_histogram(points.sparkSession, output_dir, fmt)
 
 
 def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
-                 columns: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
-    """J1 end to end: write one directory per cell, return the histogram."""
-    cells = materialize(grid_assignment(points, min_cells), "grid-job")
-    write_cells(cells.drop("i", "j"), output_dir, columns=columns, fmt=fmt)
-    return cell_histogram(cells)
+                 columns: list[str] | None = None, fmt: str = "parquet",
+                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """J1 end to end: write one directory per cell, return the histogram.
+
+    The assignment is stored once; the histogram (one row per cell) is
+    computed from it and then salts large cells over several writers.
+    """
+    cells = materialize(grid_assignment(points, min_cells).drop("i", "j"),
+                        "grid-cells")
+    hist = _small(cell_histogram(cells))
+    write_cells(cells, output_dir, columns=columns, fmt=fmt,
+                cell_counts=hist, rows_per_file=rows_per_file)
+    return hist
 
 
 def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
                   margin: float = STRIP_MARGIN, columns: list[str] | None = None,
-                  fmt: str = "parquet") -> None:
-    """J2 end to end: write one directory per strip."""
+                  fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """J2 end to end: write one directory per strip, return the histogram.
+
+    Strip membership is a pure column expression, so the strip counts are
+    one cheap aggregate over the input; they salt large strips over
+    several writers.
+    """
     strips = strip_assignment(points, n_strips, margin).drop("strip")
-    write_cells(strips, output_dir, columns=columns, fmt=fmt)
+    hist = _small(cell_histogram(strips))
+    write_cells(strips, output_dir, columns=columns, fmt=fmt,
+                cell_counts=hist, rows_per_file=rows_per_file)
+    return hist
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Collect a result of at most one row per cell and re-create it, so it
+    is computed once (bounded by the number of cells)."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _written_histogram(spark, output_dir: str, fmt: str) -> DataFrame:
+    # Only the partition column is read: no data column is decoded.
+    written = spark.read.format(fmt).schema("cell string").load(output_dir)
+    return cell_histogram(written)
 
 
 def run_object_summary_job(points: DataFrame, output_dir: str, **kwargs) -> None:

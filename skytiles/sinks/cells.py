@@ -1,12 +1,22 @@
 """Sinks: one directory per cell (K1, with G6) and plain summary rows (K2).
 
-K1 writes ``dir/cell=<name>/part-*``. Rows are range-partitioned on
-``(cell, tie-break columns)`` before the write, so a cell's rows are
-contiguous (few files per cell) while a very large cell is still split
-across several tasks instead of landing in one. AQE sizes the write
-tasks from ``spark.sql.adaptive.advisoryPartitionSizeInBytes``;
-``max_records_per_file`` bounds file size. The cell column is not
-written into the rows, as in the original job: the directory carries it.
+K1 writes ``dir/cell=<name>/part-*``; the cell column is not written into
+the rows, as in the original job: the directory carries it. How rows are
+spread over writer tasks before the write (G6) is a choice:
+
+* ``hash``: hash on the cell. Right when every cell is bounded, e.g.
+  after the capacity split (at most ``cap`` rows per output cell).
+* ``salted`` (needs per-cell counts, one row per cell): a cell with ``n``
+  rows is hashed over ``ceil(n / rows_per_file)`` writer tasks by a salt
+  derived from the row's tie-break columns, so a cell holding a third of
+  all rows is written by many tasks. The counts come from the job's own
+  histogram, so this costs no extra pass over the data.
+* ``range`` (default when no counts are given): range partitioning on
+  ``(cell, tie-break columns)``; balanced for any distribution, but its
+  split-point sampling runs the input plan once more, so store the input
+  first when it is expensive to recompute.
+
+AQE sizes the write tasks; ``max_records_per_file`` bounds file size.
 
 Cell names such as ``2.10`` look numeric, so readers must not infer the
 partition column's type (``2.1`` and ``2.10`` would merge). ``read_cells``
@@ -19,10 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ROWS_PER_FILE = 1_000_000
+
 
 def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
                 columns: list[str] | None = None,
                 split_by: list[str] | None = None, fmt: str = "parquet",
+                partitioning: str | None = None,
+                cell_counts: DataFrame | None = None,
+                rows_per_file: int = ROWS_PER_FILE,
                 num_partitions: int | None = None,
                 max_records_per_file: int | None = None,
                 mode: str = "overwrite") -> None:
@@ -31,13 +46,36 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
     ``columns`` selects the payload (default: every column); the original
     job wrote only ``ra,decl``. ``split_by`` are tie-break columns used to
     spread a large cell over several tasks (default: the payload's first
-    column).
+    column). ``partitioning`` is ``hash``, ``salted`` or ``range``
+    (default: ``salted`` when ``cell_counts`` - columns ``cell, n_stars``,
+    one row per cell - is given, else ``range``).
     """
     payload = columns or [c for c in df.columns if c != cell_col]
-    keys = [cell_col] + (split_by if split_by is not None else payload[:1])
-    out = df.select(cell_col, *payload)
-    out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
-           else out.repartitionByRange(*keys))
+    split = split_by if split_by is not None else payload[:1]
+    mode_ = partitioning or ("salted" if cell_counts is not None else "range")
+    out = df.select(cell_col, *payload, *[c for c in split if c not in payload])
+    if mode_ == "hash":
+        out = (out.repartition(num_partitions, cell_col) if num_partitions
+               else out.repartition(cell_col))
+    elif mode_ == "salted":
+        if cell_counts is None:
+            raise ValueError("salted partitioning needs cell_counts")
+        ways = cell_counts.select(
+            F.col("cell").alias(cell_col),
+            F.greatest(F.lit(1), F.ceil(F.col("n_stars") / F.lit(rows_per_file))
+                       .cast("int")).alias("_ways"))
+        # One row per cell: bounded by the number of cells.
+        out = out.join(F.broadcast(ways), cell_col, "left").withColumn(
+            "_salt", F.pmod(F.xxhash64(*split), F.coalesce("_ways", F.lit(1))))
+        out = (out.repartition(num_partitions, cell_col, "_salt") if num_partitions
+               else out.repartition(cell_col, "_salt"))
+    elif mode_ == "range":
+        keys = [cell_col] + split
+        out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+               else out.repartitionByRange(*keys))
+    else:
+        raise ValueError("partitioning must be hash, salted or range")
+    out = out.select(cell_col, *payload)
     writer = out.write.mode(mode).partitionBy(cell_col).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "false")
@@ -62,12 +100,5 @@ def write_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "false").csv(path)
 
 
-def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("header", "false").csv(path)
-
-
-def cell_files(spark: SparkSession, path: str, cell_col: str = "cell") -> DataFrame:
-    """One row per written file with its cell, from the file listing."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", "part-*") \
-        .option("recursiveFileLookup", "true").load(path).select("path", "length")
-    return df.withColumn(cell_col, F.regexp_extract("path", f"{cell_col}=([^/]+)/", 1))

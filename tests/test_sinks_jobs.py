@@ -89,3 +89,39 @@ def test_histogram_bars(sample_points):
     cells = assign_cell(sample_points, bounds(sample_points), 7)
     bars = {r.cell: r.bar for r in cell_histogram(cells).collect()}
     assert bars["0.0"] == "" and bars["4.7"] == "**" and bars["1.1"] == "*"
+
+
+def test_salted_write_splits_a_hot_cell(spark, tmp_dir):
+    # One cell holds most rows; with counts it is written by several tasks.
+    rows = [(t, None, 0.0, 0.0) for t in range(3000)] + \
+           [(3000 + t, None, 5.0, 5.0) for t in range(100)]
+    pts = points_df(spark, rows).withColumn(
+        "cell", F.when(F.col("ra") == 0.0, "0.0").otherwise("1.1"))
+    hist = cell_histogram(pts)
+    # An explicit partition count: AQE would merge tiny partitions back.
+    write_cells(pts, f"{tmp_dir}/w", cell_counts=hist, rows_per_file=500,
+                columns=["source_id", "ra", "decl"], num_partitions=16)
+    hot = [f for f in os.listdir(f"{tmp_dir}/w/cell=0.0") if f.startswith("part-")]
+    assert len(hot) >= 4
+    back = read_cells(spark, f"{tmp_dir}/w", PAYLOAD)
+    assert {r.cell: r["count"] for r in back.groupBy("cell").count().collect()} == \
+        {"0.0": 3000, "1.1": 100}
+
+
+def test_hash_and_range_writes_hold_the_same_rows(spark, tmp_dir):
+    pts = _random_points(spark, 400)
+    cells = assign_cell(pts, bounds(pts), 3).select("cell", "source_id", "ra", "decl")
+    for mode in ("hash", "range"):
+        write_cells(cells, f"{tmp_dir}/{mode}", partitioning=mode)
+    a = read_cells(spark, f"{tmp_dir}/hash", PAYLOAD)
+    b = read_cells(spark, f"{tmp_dir}/range", PAYLOAD)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_partition_job_csv_histogram(spark, tmp_dir):
+    pts = _random_points(spark, 600)
+    hist = run_partition_job(pts, f"{tmp_dir}/csv", fmt="csv", columns=["ra", "decl"],
+                             min_cells=4, cap=100)
+    assert hist.agg(F.sum("n_stars")).first()[0] == \
+        neighbour_assignment(pts, min_cells=4, cap=100).count()
+    assert hist.agg(F.max("n_stars")).first()[0] <= 100
