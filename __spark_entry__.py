@@ -21,7 +21,8 @@ from skytiles.operators import (assign_cell, assign_padded, assign_strips,
                                 bounds, capacity_split, cell_histogram,
                                 grid_cells, grid_side, line_counts,
                                 object_counts, object_summary)
-from skytiles.plans import neighbour_assignment, run_grid_job
+from skytiles.plans import (neighbour_assignment, run_grid_job,
+                            run_partition_job, run_strip_job)
 from skytiles.session import scratch_path
 from skytiles.sinks import read_cells, read_rows, write_rows
 from skytiles.sources import document_lines, sky_points
@@ -147,7 +148,7 @@ def q_cell_sink_roundtrip(spark, sf_dir):
     cells back, summarise per cell."""
     path = scratch_path(spark, "cell-sink")
     run_grid_job(_points(spark, sf_dir), path, MIN_CELLS,
-                 columns=["source_id", "ra", "decl"])
+                 columns=["source_id", "ra", "decl"], spread=_spread)
     payload = T.StructType([T.StructField("source_id", T.LongType()),
                             T.StructField("ra", T.DoubleType()),
                             T.StructField("decl", T.DoubleType())])
@@ -159,6 +160,30 @@ def q_cell_sink_roundtrip(spark, sf_dir):
                                     F.max("decl").alias("max_decl"))
 
 
+def q_strip_sink_roundtrip(spark, sf_dir):
+    """K1 through the strip job (J2): one directory per strip, read back."""
+    path = scratch_path(spark, "strip-sink")
+    run_strip_job(_spread(_points(spark, sf_dir)), path, N_STRIPS, STRIP_MARGIN,
+                  columns=["source_id", "ra", "decl"])
+    payload = T.StructType([T.StructField("source_id", T.LongType()),
+                            T.StructField("ra", T.DoubleType())])
+    back = read_cells(spark, path, payload)
+    return back.groupBy("cell").agg(F.count(F.lit(1)).alias("n_stars"),
+                                    F.min("source_id").alias("min_source_id"),
+                                    F.max("ra").alias("max_ra"))
+
+
+def q_partition_sink_roundtrip(spark, sf_dir):
+    """K1 through the neighbour-aware job (J3) end to end: pairs stored,
+    capped (overflow cells appear with the smaller cap), written one
+    directory per output cell; histogram of the written files."""
+    path = scratch_path(spark, "partition-sink")
+    pts = _points(spark, sf_dir)
+    return run_partition_job(_spread(pts), path, columns=["source_id", "ra", "decl"],
+                             min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD,
+                             cap=SPLIT_CAP, order_by=tuple(SKY_ORDER))
+
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("object_id", T.LongType()),
     T.StructField("n_sources", T.LongType()),
@@ -224,6 +249,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "capacity_split_two_phase": q_capacity_split_two_phase,
         "partition_job": q_partition_job,
         "cell_sink_roundtrip": q_cell_sink_roundtrip,
+        "strip_sink_roundtrip": q_strip_sink_roundtrip,
+        "partition_sink_roundtrip": q_partition_sink_roundtrip,
         "summary_sink_roundtrip": q_summary_sink_roundtrip,
         "stream_partition_job": q_stream_partition_job,
     }
@@ -397,6 +424,14 @@ SELECT {_NAME.format(i="i", j="j")} AS cell, count(*) AS n_stars,
        min(ra) AS min_ra, max(decl) AS max_decl
 FROM assigned GROUP BY 1""",
         "summary_sink_roundtrip": summary,
+        "strip_sink_roundtrip": _STRIPS + """
+SELECT CAST(strip AS VARCHAR) AS cell, count(*) AS n_stars,
+       min(source_id) AS min_source_id, max(ra) AS max_ra
+FROM strips GROUP BY 1""",
+        "partition_sink_roundtrip": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP)
+        + f"""
+SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
+FROM split GROUP BY out_cell""",
         # Counts per output cell do not depend on the arrival order.
         "stream_partition_job": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP) + f"""
 SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar

@@ -22,10 +22,14 @@ from ..sinks.cells import ROWS_PER_FILE, write_cells, write_rows
 MIN_CELLS = 40  # default grid size: 5 GB inputs / 128 MB outputs
 
 
-def grid_assignment(points: DataFrame, min_cells: int = MIN_CELLS) -> DataFrame:
-    """J1 body: raw bounds (A4), ``n x n`` grid (G1), one cell per point (G2)."""
+def grid_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
+                    spread=None) -> DataFrame:
+    """J1 body: raw bounds (A4), ``n x n`` grid (G1), one cell per point (G2).
+
+    ``spread`` as in :func:`neighbour_pairs`."""
     n = grid_side(min_cells)
-    return assign_cell(points, bounds(points), n)
+    work = spread(points) if spread else points
+    return assign_cell(work, bounds(points), n)
 
 
 def strip_assignment(points: DataFrame, n_strips: int = N_STRIPS,
@@ -118,13 +122,13 @@ def run_partition_job(points: DataFrame, output_dir: str,
 
 def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
                  columns: list[str] | None = None, fmt: str = "parquet",
-                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+                 rows_per_file: int = ROWS_PER_FILE, spread=None) -> DataFrame:
     """J1 end to end: write one directory per cell, return the histogram.
 
     The assignment is stored once; the histogram (one row per cell) is
     computed from it and then salts large cells over several writers.
     """
-    cells = materialize(grid_assignment(points, min_cells).drop("i", "j"),
+    cells = materialize(grid_assignment(points, min_cells, spread).drop("i", "j"),
                         "grid-cells")
     hist = _small(cell_histogram(cells))
     write_cells(cells, output_dir, columns=columns, fmt=fmt,
