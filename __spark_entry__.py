@@ -266,13 +266,17 @@ _BOUNDS_RAW = (f"b AS (SELECT min(ra) AS x0, min(decl) AS y0,"
                f" (max(decl) - min(decl)) / {N} AS h FROM sky)")
 _BOUNDS_WRAPPED = (f"b AS (SELECT min(ra_c) AS x0, min(decl) AS y0,"
                    f" (max(ra_c) - min(ra_c)) / {N} AS w,"
-                   f" (max(decl) - min(decl)) / {N} AS h FROM wsky)")
+                   f" (max(decl) - min(decl)) / {N} AS h,"
+                   f" max(ra_c) AS x1, max(decl) AS y1 FROM wsky)")
 _IDX = f"k AS (SELECT CAST(range AS INTEGER) AS k FROM range({N}))"
+# The last column / row ends at the box's maximum.
 _CELLS = ("cells AS (SELECT ci.k AS i, cj.k AS j,"
           " b.x0 + CAST(ci.k AS DOUBLE) * b.w AS left_ra,"
-          " b.x0 + CAST(ci.k + 1 AS DOUBLE) * b.w AS right_ra,"
+          f" CASE WHEN ci.k = {N} - 1 THEN b.x1"
+          " ELSE b.x0 + CAST(ci.k + 1 AS DOUBLE) * b.w END AS right_ra,"
           " b.y0 + CAST({row} AS DOUBLE) * b.h AS low_decl,"
-          " b.y0 + CAST({row} + 1 AS DOUBLE) * b.h AS high_decl"
+          f" CASE WHEN {{row}} = {N} - 1 THEN b.y1"
+          " ELSE b.y0 + CAST({row} + 1 AS DOUBLE) * b.h END AS high_decl"
           " FROM k ci, k cj, b)")
 _NAME = "CAST({i} AS VARCHAR) || '.' || CAST({j} AS VARCHAR)"
 _BAR = "repeat('*', CAST(ceil(log10(count(*))) AS INTEGER))"

@@ -1,8 +1,11 @@
 """Rectangular grids over the catalogue's bounding box (G1, G2, G4).
 
 A grid is ``n x n`` equal rectangles over a bounding box. It is carried
-as a single row ``(g_x0, g_y0, g_w, g_h, g_n)``: cell ``(i, j)`` spans
-RA ``[x0 + i*w, x0 + (i+1)*w]`` and Decl ``[y0 + j*h, y0 + (j+1)*h]``.
+as a single row ``(g_x0, g_y0, g_w, g_h, g_n, g_x1, g_y1)``: cell
+``(i, j)`` spans RA ``[x0 + i*w, x0 + (i+1)*w]`` and Decl
+``[y0 + j*h, y0 + (j+1)*h]``, except that the last column and row end
+exactly at the box's maximum (``x0 + n*w`` can round one ulp below it,
+which without padding would drop the extreme star).
 Joining that one row to the points (a broadcast of one row, whatever the
 data size) lets every cell computation stay a column expression, so the
 assignment is a narrow, shuffle-free stage inside whole-stage codegen.
@@ -31,7 +34,7 @@ DECL_PADDING = 0.1
 # Target output file size used to size the grid from the input size.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
-GRID_COLUMNS = ["g_x0", "g_y0", "g_w", "g_h", "g_n"]
+GRID_COLUMNS = ["g_x0", "g_y0", "g_w", "g_h", "g_n", "g_x1", "g_y1"]
 BOUNDS_SCHEMA = T.StructType([T.StructField(c, T.DoubleType())
                               for c in ("min_ra", "max_ra", "min_decl", "max_decl")])
 
@@ -64,14 +67,15 @@ def bounds_row(spark: SparkSession, min_ra: float, max_ra: float,
 
 
 def grid_params(bounds: DataFrame, n: int) -> DataFrame:
-    """One row ``g_x0, g_y0, g_w, g_h, g_n`` for an ``n x n`` grid."""
+    """One row ``g_x0, g_y0, g_w, g_h, g_n, g_x1, g_y1`` for an ``n x n`` grid."""
     if n < 1:
         raise ValueError("grid side must be >= 1")
     return bounds.select(
         F.col("min_ra").alias("g_x0"), F.col("min_decl").alias("g_y0"),
         ((F.col("max_ra") - F.col("min_ra")) / F.lit(n)).alias("g_w"),
         ((F.col("max_decl") - F.col("min_decl")) / F.lit(n)).alias("g_h"),
-        F.lit(n).alias("g_n"))
+        F.lit(n).alias("g_n"),
+        F.col("max_ra").alias("g_x1"), F.col("max_decl").alias("g_y1"))
 
 
 def with_grid(points: DataFrame, bounds: DataFrame, n: int) -> DataFrame:
@@ -96,9 +100,9 @@ def grid_cells(bounds: DataFrame, n: int, decl_band: str = "j") -> DataFrame:
     return idx.crossJoin(g).select(
         cell_name("i", "j").alias("cell"), "i", "j",
         _edge("g_x0", "g_w", F.col("i")).alias("left_ra"),
-        _edge("g_x0", "g_w", F.col("i") + 1).alias("right_ra"),
+        _upper_edge("g_x0", "g_w", "g_x1", F.col("i")).alias("right_ra"),
         _edge("g_y0", "g_h", row).alias("low_decl"),
-        _edge("g_y0", "g_h", row + 1).alias("high_decl"))
+        _upper_edge("g_y0", "g_h", "g_y1", row).alias("high_decl"))
 
 
 def assign_cell(points: DataFrame, bounds: DataFrame, n: int,
@@ -145,9 +149,9 @@ def assign_padded(points: DataFrame, bounds: DataFrame, n: int,
         cj = F.sequence(F.lit(0), F.col("g_n") - 1)
     row = F.col("i") if decl_band == "i" else F.col("j")
     inside = ((F.col("_x") >= _edge("g_x0", "g_w", F.col("i")) - ra_pad)
-              & (F.col("_x") <= _edge("g_x0", "g_w", F.col("i") + 1) + ra_pad)
+              & (F.col("_x") <= _upper_edge("g_x0", "g_w", "g_x1", F.col("i")) + ra_pad)
               & (y >= _edge("g_y0", "g_h", row) - decl_pad)
-              & (y <= _edge("g_y0", "g_h", row + 1) + decl_pad))
+              & (y <= _upper_edge("g_y0", "g_h", "g_y1", row) + decl_pad))
     return (g.withColumn("i", F.explode(ci)).withColumn("j", F.explode(cj))
             .where(inside)
             .withColumn("cell", cell_name("i", "j"))
@@ -166,6 +170,13 @@ def _edge(origin: str, width: str, k: Column) -> Column:
     return F.col(origin) + k.cast("double") * F.col(width)
 
 
+def _upper_edge(origin: str, width: str, top: str, k: Column) -> Column:
+    """Upper edge of cell ``k``: ``origin + (k+1)*width``, or the box's
+    maximum for the last cell."""
+    return F.when(k + 1 >= F.col("g_n"), F.col(top)).otherwise(
+        _edge(origin, width, k + 1))
+
+
 def _edges_below(v: Column, origin: str, width: str) -> Column:
     """Exact number of edges ``origin + k*width``, k = 0..n-1, below ``v``.
 

@@ -88,6 +88,16 @@ def test_assign_cell_sample_histogram(sample_points):
                     "7.5": 1, "7.6": 5, "7.7": 1}
 
 
+def test_unpadded_grid_keeps_the_extreme_star(spark):
+    # x0 + 26 * ((x1 - x0) / 26) rounds below x1: the last edge is the maximum.
+    x0, x1 = -3.656, 0.596
+    assert x0 + 26 * ((x1 - x0) / 26) < x1
+    pts = points_df(spark, [(1, None, x1, x1), (2, None, x0, x0)])
+    got = assign_padded(pts, bounds_row(spark, x0, x1, x0, x1), 26, 0.0, 0.0,
+                        recentre=False).collect()
+    assert sorted((r.source_id, r.cell) for r in got) == [(1, "25.25"), (2, "0.0")]
+
+
 def test_zero_extent_gives_one_cell(spark):
     pts = points_df(spark, [(1, None, 5.0, 5.0), (2, None, 5.0, 5.0)])
     got = assign_cell(pts, bounds(pts), 3).select("cell").distinct().collect()
@@ -134,8 +144,10 @@ def _brute_padded(pts, x0, x1, y0, y1, n, pad, band="j"):
         for i in range(n):
             for j in range(n):
                 r = i if band == "i" else j
-                if (ra >= x0 + i * w - pad and ra <= x0 + (i + 1) * w + pad
-                        and decl >= y0 + r * h - pad and decl <= y0 + (r + 1) * h + pad):
+                right = x1 if i == n - 1 else x0 + (i + 1) * w
+                top = y1 if r == n - 1 else y0 + (r + 1) * h
+                if (ra >= x0 + i * w - pad and ra <= right + pad
+                        and decl >= y0 + r * h - pad and decl <= top + pad):
                     out.add((sid, f"{i}.{j}"))
     return out
 
