@@ -38,11 +38,26 @@ STATE_SCHEMA = "cell string, n long, batch long"
 
 
 def latest_counts(spark, state_dir: str, before_batch: int) -> DataFrame:
-    """Cumulative points per cell as of the last batch before ``before_batch``."""
+    """Cumulative points per cell as of the last batch before ``before_batch``.
+
+    Executed micro-batches have consecutive ids, so the previous version is
+    read directly (one small file, whatever the stream's age); scanning
+    all versions is only the fallback.
+    """
+    empty = spark.createDataFrame([], STATE_SCHEMA).select("cell", "n")
+    if before_batch <= 0:
+        return empty
+    try:
+        prev = spark.read.schema("cell string, n long").parquet(
+            f"{state_dir.rstrip('/')}/batch={before_batch - 1}")
+        prev.schema  # resolves the path now
+        return prev
+    except Exception:  # previous version missing: fall back to a scan
+        pass
     try:
         st = spark.read.schema(STATE_SCHEMA).parquet(state_dir)
     except Exception:  # no state written yet
-        return spark.createDataFrame([], STATE_SCHEMA).select("cell", "n")
+        return empty
     st = st.where(F.col("batch") < before_batch)
     last = st.agg(F.max("batch").alias("b"))
     return st.join(F.broadcast(last), st["batch"] == last["b"]).select("cell", "n")
