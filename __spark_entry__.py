@@ -174,14 +174,14 @@ def q_strip_sink_roundtrip(spark, sf_dir):
 
 
 def q_partition_sink_roundtrip(spark, sf_dir):
-    """K1 through the neighbour-aware job (J3) end to end: pairs stored,
-    capped (overflow cells appear with the smaller cap), written one
-    directory per output cell; histogram of the written files."""
+    """K1 through the neighbour-aware job (J3) end to end, with the job's
+    own cap: pairs stored, capped, written one directory per output cell;
+    histogram of the written files."""
     path = scratch_path(spark, "partition-sink")
     pts = _points(spark, sf_dir)
     return run_partition_job(_spread(pts), path, columns=["source_id", "ra", "decl"],
                              min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD,
-                             cap=SPLIT_CAP, order_by=tuple(SKY_ORDER))
+                             cap=CAP, order_by=tuple(SKY_ORDER))
 
 
 SUMMARY_SCHEMA = T.StructType([
@@ -432,7 +432,7 @@ FROM assigned GROUP BY 1""",
 SELECT CAST(strip AS VARCHAR) AS cell, count(*) AS n_stars,
        min(source_id) AS min_source_id, max(ra) AS max_ra
 FROM strips GROUP BY 1""",
-        "partition_sink_roundtrip": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP)
+        "partition_sink_roundtrip": _padded_sql("cj.k") + _RANKED.format(cap=CAP)
         + f"""
 SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
 FROM split GROUP BY out_cell""",

@@ -16,8 +16,8 @@ repeated leading ids included). The range number is stored with the rows
 (in the shared checkpoint folder), which fixes it across retries. Rows
 are numbered inside each (cell, range) and shifted by the number of rows
 in the cell's earlier ranges, taken from a small count table. The
-per-cell statistics that decide between the methods come from one
-partial aggregate with one row per cell, bounded by the grid size.
+statistics that decide between the methods (largest cell, total rows)
+are one aggregate reduced to a single row.
 """
 
 from __future__ import annotations
@@ -75,13 +75,12 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     else:
         if materialize:
             assigned = write_scratch_table(assigned, "capacity-input")
-        rows = _cell_stats(assigned, cell_col).collect()  # one row per cell
-        largest = max((r["n"] for r in rows), default=0)
+        largest, total = _cell_stats(assigned, cell_col)
         if method == "auto" and largest <= rows_per_task:
             ranked = _rank_window(assigned, order_by, cell_col)
         else:
-            ranked = _rank_two_phase(assigned, sum(r["n"] for r in rows),
-                                     order_by, cell_col, rows_per_task)
+            ranked = _rank_two_phase(assigned, total, order_by, cell_col,
+                                     rows_per_task)
     if start_offsets is not None:
         # One row per cell: bounded by the grid size.
         ranked = (ranked.join(F.broadcast(start_offsets), cell_col, "left")
@@ -97,8 +96,12 @@ def _rank_window(df: DataFrame, order_by: list[str], cell_col: str) -> DataFrame
     return df.withColumn("cell_rank", F.row_number().over(w).cast("long"))
 
 
-def _cell_stats(df: DataFrame, cell_col: str) -> DataFrame:
-    return df.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"))
+def _cell_stats(df: DataFrame, cell_col: str) -> tuple[int, int]:
+    """Largest cell and total rows: per-cell counts (partial aggregate),
+    reduced to one row before reaching the driver."""
+    per_cell = df.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"))
+    row = per_cell.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    return (row["largest"] or 0, row["total"] or 0)
 
 
 def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],

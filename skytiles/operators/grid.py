@@ -6,9 +6,12 @@ as a single row ``(g_x0, g_y0, g_w, g_h, g_n, g_x1, g_y1)``: cell
 ``[y0 + j*h, y0 + (j+1)*h]``, except that the last column and row end
 exactly at the box's maximum (``x0 + n*w`` can round one ulp below it,
 which without padding would drop the extreme star).
-Joining that one row to the points (a broadcast of one row, whatever the
-data size) lets every cell computation stay a column expression, so the
-assignment is a narrow, shuffle-free stage inside whole-stage codegen.
+The bounding box is four numbers: given directly, or computed by a
+one-row global aggregate (partial min/max per task, one row to the
+driver). The grid then enters the plan as literals, so there is no join
+or subquery, Catalyst folds the constant parts (``w > 0`` branches,
+``x0``, ``w``), and the assignment is a narrow, shuffle-free stage inside
+whole-stage codegen.
 
 Edges are always computed as ``x0 + k*w`` (never by accumulation), the
 same formula the DuckDB oracle uses, so border decisions agree exactly.
@@ -66,25 +69,36 @@ def bounds_row(spark: SparkSession, min_ra: float, max_ra: float,
                                    float(min_decl), float(max_decl))], BOUNDS_SCHEMA)
 
 
-def grid_params(bounds: DataFrame, n: int) -> DataFrame:
-    """One row ``g_x0, g_y0, g_w, g_h, g_n, g_x1, g_y1`` for an ``n x n`` grid."""
+def bounds_values(bounds) -> tuple[float, float, float, float]:
+    """``(min_ra, max_ra, min_decl, max_decl)`` from a one-row bounds
+    DataFrame (evaluated here: one row of four numbers) or a tuple."""
+    if isinstance(bounds, DataFrame):
+        row = bounds.first()
+        values = None if row is None else (row["min_ra"], row["max_ra"],
+                                           row["min_decl"], row["max_decl"])
+    else:
+        values = tuple(bounds)
+    if values is None or any(v is None for v in values):
+        raise ValueError("no points: the bounding box is empty")
+    return tuple(float(v) for v in values)
+
+
+def grid_params(bounds, n: int) -> dict:
+    """``g_x0, g_y0, g_w, g_h, g_n, g_x1, g_y1`` of an ``n x n`` grid."""
     if n < 1:
         raise ValueError("grid side must be >= 1")
-    return bounds.select(
-        F.col("min_ra").alias("g_x0"), F.col("min_decl").alias("g_y0"),
-        ((F.col("max_ra") - F.col("min_ra")) / F.lit(n)).alias("g_w"),
-        ((F.col("max_decl") - F.col("min_decl")) / F.lit(n)).alias("g_h"),
-        F.lit(n).alias("g_n"),
-        F.col("max_ra").alias("g_x1"), F.col("max_decl").alias("g_y1"))
+    x0, x1, y0, y1 = bounds_values(bounds)
+    return {"g_x0": x0, "g_y0": y0, "g_w": (x1 - x0) / n, "g_h": (y1 - y0) / n,
+            "g_n": n, "g_x1": x1, "g_y1": y1}
 
 
-def with_grid(points: DataFrame, bounds: DataFrame, n: int) -> DataFrame:
-    """Attach the grid row to every point. The grid side is exactly one row
-    (a global aggregate or a literal row), so broadcasting it is safe."""
-    return points.crossJoin(F.broadcast(grid_params(bounds, n)))
+def with_grid(points: DataFrame, bounds, n: int) -> DataFrame:
+    """Attach the grid parameters to every point as literals."""
+    return points.withColumns({c: F.lit(v) for c, v in grid_params(bounds, n).items()})
 
 
-def grid_cells(bounds: DataFrame, n: int, decl_band: str = "j") -> DataFrame:
+def grid_cells(bounds, n: int, decl_band: str = "j",
+               spark: SparkSession | None = None) -> DataFrame:
     """G1: the ``n*n`` cells as rows ``cell, i, j, left_ra, right_ra,
     low_decl, high_decl``.
 
@@ -92,12 +106,12 @@ def grid_cells(bounds: DataFrame, n: int, decl_band: str = "j") -> DataFrame:
     cell ``i.j`` takes its Decl band from the column index ``i``.
     """
     _check_band(decl_band)
-    spark = bounds.sparkSession
-    idx = spark.range(n).select(F.col("id").cast("int").alias("i")).crossJoin(
-        spark.range(n).select(F.col("id").cast("int").alias("j")))
-    g = F.broadcast(grid_params(bounds, n))
+    spark = spark or (bounds.sparkSession if isinstance(bounds, DataFrame)
+                      else SparkSession.getActiveSession())
+    idx = spark.range(n * n).select((F.col("id") / n).cast("int").alias("i"),
+                                    (F.col("id") % n).cast("int").alias("j"))
     row = F.col(decl_band)
-    return idx.crossJoin(g).select(
+    return with_grid(idx, bounds, n).select(
         cell_name("i", "j").alias("cell"), "i", "j",
         _edge("g_x0", "g_w", F.col("i")).alias("left_ra"),
         _upper_edge("g_x0", "g_w", "g_x1", F.col("i")).alias("right_ra"),
@@ -105,7 +119,7 @@ def grid_cells(bounds: DataFrame, n: int, decl_band: str = "j") -> DataFrame:
         _upper_edge("g_y0", "g_h", "g_y1", row).alias("high_decl"))
 
 
-def assign_cell(points: DataFrame, bounds: DataFrame, n: int,
+def assign_cell(points: DataFrame, bounds, n: int,
                 ra_col: str = "ra", decl_col: str = "decl") -> DataFrame:
     """G2: one cell per point, by counting the grid edges below it.
 
@@ -123,7 +137,7 @@ def assign_cell(points: DataFrame, bounds: DataFrame, n: int,
             .drop(*GRID_COLUMNS))
 
 
-def assign_padded(points: DataFrame, bounds: DataFrame, n: int,
+def assign_padded(points: DataFrame, bounds, n: int,
                   ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
                   ra_col: str = "ra", decl_col: str = "decl",
                   recentre: bool = True, decl_band: str = "j") -> DataFrame:
