@@ -184,3 +184,16 @@ def test_padded_keeps_original_ra(spark):
     df = points_df(spark, [(1, None, 359.5, 0.0), (2, None, 0.5, 1.0)])
     got = {r.source_id: r.ra for r in assign_padded(df, bounds(df, recentre=True), 2).collect()}
     assert got == {1: 359.5, 2: 0.5}
+
+
+def test_empty_input_has_no_grid(spark):
+    empty = points_df(spark, [])
+    with pytest.raises(ValueError):
+        assign_cell(empty, bounds(empty), 3)
+
+
+def test_cells_for_size():
+    from skytiles.operators import cells_for_size
+    assert cells_for_size(5 * 1024 ** 3) == 40
+    assert cells_for_size(1) == 1
+    assert grid_side(cells_for_size(5 * 1024 ** 3)) == 7

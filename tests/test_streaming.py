@@ -51,3 +51,12 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     counts = {r.cell: r.n for r in latest_counts(spark, f"{tmp_dir}/s", 1).collect()}
     assert counts == {r.cell: r["count"] for r in pairs.groupBy("cell").count().collect()}
     assert latest_counts(spark, f"{tmp_dir}/s", 0).count() == 0
+
+
+def test_state_falls_back_to_latest_older_version(spark, tmp_dir):
+    st = f"{tmp_dir}/state"
+    spark.createDataFrame([("0.0", 5)], "cell string, n long").write.parquet(f"{st}/batch=0")
+    spark.createDataFrame([("0.0", 9)], "cell string, n long").write.parquet(f"{st}/batch=2")
+    # Version 3 is missing: batch 4 takes the latest older one (2).
+    assert [tuple(r) for r in latest_counts(spark, st, 4).collect()] == [("0.0", 9)]
+    assert [tuple(r) for r in latest_counts(spark, st, 1).collect()] == [("0.0", 5)]
