@@ -125,11 +125,11 @@ def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
                  rows_per_file: int = ROWS_PER_FILE, spread=None) -> DataFrame:
     """J1 end to end: write one directory per cell, return the histogram.
 
-    The assignment is stored once; the histogram (one row per cell) is
-    computed from it and then salts large cells over several writers.
+    The assignment is a column expression, so it is not stored: the
+    histogram (one row per cell) is an aggregate that reads only RA and
+    Decl from the input, and it salts large cells over several writers.
     """
-    cells = materialize(grid_assignment(points, min_cells, spread).drop("i", "j"),
-                        "grid-cells")
+    cells = grid_assignment(points, min_cells, spread).drop("i", "j")
     hist = _small(cell_histogram(cells))
     write_cells(cells, output_dir, columns=columns, fmt=fmt,
                 cell_counts=hist, rows_per_file=rows_per_file)
