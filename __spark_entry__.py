@@ -184,6 +184,24 @@ def q_partition_sink_roundtrip(spark, sf_dir):
                              cap=CAP, order_by=tuple(SKY_ORDER))
 
 
+def q_source_csv_scan(spark, sf_dir):
+    """S1 on whole tables: the points view laid out as the 107-column
+    Source catalogue (header-less CSV, ``NULL`` for missing values; the
+    three point columns and the id filled, the rest null), scanned back
+    positionally with the declared schema, then summarised per object."""
+    from skytiles.sources import read_source, source_points, source_schema
+    from skytiles.sources.catalog import CSV_OPTIONS
+
+    pts = _points(spark, sf_dir)
+    filled = {"sourceId": "source_id", "objectId": "object_id",
+              "ra": "ra", "decl": "decl"}
+    layout = [(F.col(filled[f.name]) if f.name in filled else F.lit(None))
+              .cast(f.dataType).alias(f.name) for f in source_schema().fields]
+    path = scratch_path(spark, "source-csv")
+    pts.select(*layout).write.options(**CSV_OPTIONS).csv(path)
+    return object_summary(source_points(read_source(spark, path)))
+
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("object_id", T.LongType()),
     T.StructField("n_sources", T.LongType()),
@@ -235,6 +253,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bounds": q_bounds,
         "bounds_wrapped": q_bounds_wrapped,
         "catalog_scan": q_catalog_scan,
+        "source_csv_scan": q_source_csv_scan,
         "line_counts": q_line_counts,
         "object_counts": q_object_counts,
         "object_summary": q_object_summary,
@@ -394,6 +413,7 @@ WITH {_SKY}
 SELECT object_id, count(*) AS n_sources
 FROM sky WHERE object_id IS NOT NULL GROUP BY object_id""",
         "object_summary": summary,
+        "source_csv_scan": summary,
         "grid_cells": f"""
 WITH {_SKY}, {_WRAPPED}, {_BOUNDS_WRAPPED}, {_IDX}, {_CELLS.format(row="cj.k")}
 SELECT {_NAME.format(i="i", j="j")} AS cell, i, j,
