@@ -76,10 +76,18 @@ def q_object_summary(spark, sf_dir):
     return object_summary(_points(spark, sf_dir))
 
 
+def q_object_summary_numeric(spark, sf_dir):
+    return object_summary(_points(spark, sf_dir), numeric_last=True)
+
+
 def q_grid_cells(spark, sf_dir):
     return grid_cells(bounds(_points(spark, sf_dir), recentre=True), N)
 
 
+def q_grid_cells_column_band(spark, sf_dir):
+    return grid_cells(bounds(_points(spark, sf_dir), recentre=True), N, decl_band="i")
+
+
 def _cell_assign(spark, sf_dir):
     pts = _points(spark, sf_dir)
     return assign_cell(_spread(pts), bounds(pts), N)
@@ -257,7 +265,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_counts": q_line_counts,
         "object_counts": q_object_counts,
         "object_summary": q_object_summary,
+        "object_summary_numeric": q_object_summary_numeric,
         "grid_cells": q_grid_cells,
+        "grid_cells_column_band": q_grid_cells_column_band,
         "cell_assign": q_cell_assign,
         "cell_histogram": q_cell_histogram,
         "ra_strips": q_ra_strips,
@@ -419,6 +429,17 @@ WITH {_SKY}, {_WRAPPED}, {_BOUNDS_WRAPPED}, {_IDX}, {_CELLS.format(row="cj.k")}
 SELECT {_NAME.format(i="i", j="j")} AS cell, i, j,
        left_ra, right_ra, low_decl, high_decl
 FROM cells""",
+        "grid_cells_column_band": f"""
+WITH {_SKY}, {_WRAPPED}, {_BOUNDS_WRAPPED}, {_IDX}, {_CELLS.format(row="ci.k")}
+SELECT {_NAME.format(i="i", j="j")} AS cell, i, j,
+       left_ra, right_ra, low_decl, high_decl
+FROM cells""",
+        "object_summary_numeric": f"""
+WITH {_SKY}
+SELECT object_id, count(*) AS n_sources, max(source_id) AS last_source,
+       min(ra) AS min_ra, max(ra) AS max_ra,
+       min(decl) AS min_decl, max(decl) AS max_decl
+FROM sky WHERE object_id IS NOT NULL GROUP BY object_id""",
         "cell_assign": _ASSIGN + f"""
 SELECT source_id, ra, decl, i, j, {_NAME.format(i="i", j="j")} AS cell
 FROM assigned""",
