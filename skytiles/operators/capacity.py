@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coords import OVERFLOW_SUFFIX, overflow_name
+from ..functions.sizing import broadcast_if_small
 from ..session import write_scratch_table
 
 # --- Fixed value of the neighbour-aware job: points per output file. ---
@@ -82,8 +83,7 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
             ranked = _rank_two_phase(assigned, total, order_by, cell_col,
                                      rows_per_task)
     if start_offsets is not None:
-        # One row per cell: bounded by the grid size.
-        ranked = (ranked.join(F.broadcast(start_offsets), cell_col, "left")
+        ranked = (ranked.join(broadcast_if_small(start_offsets), cell_col, "left")
                   .withColumn("cell_rank", F.col("cell_rank")
                               + F.coalesce(F.col("offset"), F.lit(0)).cast("long"))
                   .drop("offset"))
@@ -116,9 +116,8 @@ def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],
     offsets = counts.select(cell_col, "_range",
                             F.coalesce(F.sum("_c").over(before), F.lit(0))
                             .alias("_off"))
-    # At most parts + cells rows (a range spans one or more cells in order).
-    if parts <= MAX_BROADCAST_BINS:
-        offsets = F.broadcast(offsets)
+    # At most ranges + cells - 1 rows (ranges cover cells in order).
+    offsets = broadcast_if_small(offsets, MAX_BROADCAST_BINS)
     w = Window.partitionBy(cell_col, "_range").orderBy(*order_by)
     return (ranged.join(offsets, [cell_col, "_range"])
             .withColumn("cell_rank",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..functions.sizing import collect_small
 from ..operators.capacity import MAX_PER_CELL, capacity_split
 from ..operators.grid import (DECL_PADDING, RA_PADDING, assign_cell,
                               assign_padded, grid_side)
@@ -153,9 +154,8 @@ def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """Collect a result of at most one row per cell and re-create it, so it
-    is computed once (bounded by the number of cells)."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    """A per-cell result, computed once when it is small (checked)."""
+    return collect_small(df)
 
 
 def _written_histogram(spark, output_dir: str, fmt: str) -> DataFrame:

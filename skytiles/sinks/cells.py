@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.sizing import broadcast_if_small
+
 ROWS_PER_FILE = 1_000_000
 
 
@@ -64,8 +66,7 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
             F.col("cell").alias(cell_col),
             F.greatest(F.lit(1), F.ceil(F.col("n_stars") / F.lit(rows_per_file))
                        .cast("int")).alias("_ways"))
-        # One row per cell: bounded by the number of cells.
-        out = out.join(F.broadcast(ways), cell_col, "left").withColumn(
+        out = out.join(broadcast_if_small(ways), cell_col, "left").withColumn(
             "_salt", F.pmod(F.xxhash64(*split), F.coalesce("_ways", F.lit(1))))
         out = (out.repartition(num_partitions, cell_col, "_salt") if num_partitions
                else out.repartition(cell_col, "_salt"))

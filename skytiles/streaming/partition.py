@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.sizing import collect_small
 from ..operators.capacity import MAX_PER_CELL, capacity_split
 from ..operators.grid import DECL_PADDING, RA_PADDING, assign_padded
 
@@ -60,6 +61,7 @@ def latest_counts(spark, state_dir: str, before_batch: int) -> DataFrame:
         return empty
     st = st.where(F.col("batch") < before_batch)
     last = st.agg(F.max("batch").alias("b"))
+    # ``last`` is a global aggregate: exactly one row.
     return st.join(F.broadcast(last), st["batch"] == last["b"]).select("cell", "n")
 
 
@@ -71,9 +73,8 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str,
     spark = batch.sparkSession
     batch = batch.persist()
     size = batch.count()  # bounds every cell of the batch
-    # One row per cell (bounded by the grid size): read the state once.
-    prev = spark.createDataFrame(latest_counts(spark, state_dir, batch_id).collect(),
-                                 "cell string, n long")
+    # One row per cell: read the state once (size-checked).
+    prev = collect_small(latest_counts(spark, state_dir, batch_id))
     ranked = capacity_split(batch, cap, order_by=order_by, method="auto",
                             cell_rows_bound=size,
                             start_offsets=prev.withColumnRenamed("n", "offset"),
