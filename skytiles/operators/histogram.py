@@ -12,9 +12,18 @@ from pyspark.sql import functions as F
 
 from ..functions.coords import log_bar
 
+# --- Fixed value: separator of the printed histogram lines ("2.3-->***"). ---
+HISTOGRAM_ARROW = "-->"
+
 
 def cell_histogram(df: DataFrame, cell_col: str = "cell") -> DataFrame:
     """Rows ``cell, n_stars, bar``."""
     return (df.groupBy(F.col(cell_col).alias("cell"))
             .agg(F.count(F.lit(1)).alias("n_stars"))
             .withColumn("bar", log_bar("n_stars")))
+
+
+def histogram_lines(hist: DataFrame) -> DataFrame:
+    """The histogram as text lines ``cell-->bar`` (column ``value``), the
+    form the original jobs printed; write with ``write.text`` or show."""
+    return hist.select(F.concat("cell", F.lit(HISTOGRAM_ARROW), "bar").alias("value"))

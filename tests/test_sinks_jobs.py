@@ -125,3 +125,10 @@ def test_partition_job_csv_histogram(spark, tmp_dir):
     assert hist.agg(F.sum("n_stars")).first()[0] == \
         neighbour_assignment(pts, min_cells=4, cap=100).count()
     assert hist.agg(F.max("n_stars")).first()[0] <= 100
+
+
+def test_histogram_lines_format(spark):
+    from skytiles.operators import histogram_lines
+    df = spark.createDataFrame([("0.0",)] + [("2.3",)] * 11 + [("7.2",)] * 100, "cell string")
+    got = sorted(r.value for r in histogram_lines(cell_histogram(df)).collect())
+    assert got == ["0.0-->", "2.3-->**", "7.2-->**"]
