@@ -102,3 +102,15 @@ def test_line_counts_on_a_text_file(spark):
     r = line_counts(read_lines(spark, README_TEXT)).first()
     assert (r.lines_with_a, r.lines_with_b, r.n_lines) == want
     assert want[:2] == (248, 110)
+
+
+def test_empty_and_trailing_fields_are_null(spark, tmp_dir):
+    line = _fixture_line({"sourceId": "4", "ra": "1", "decl": "2"})
+    cells = line.split(",")
+    cells[column_index(source_schema(), "objectId")] = ""   # empty field
+    cells[-1] = ""                                          # trailing empty field
+    path = f"{tmp_dir}/empty.csv"
+    with open(path, "w") as f:
+        f.write(",".join(cells) + "\n")
+    r = read_source(spark, path).select("sourceId", "objectId", "flagForWcs").first()
+    assert tuple(r) == (4, None, None)
