@@ -80,8 +80,14 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str,
                             start_offsets=prev.withColumnRenamed("n", "offset"),
                             materialize=False)
     payload = columns or [c for c in batch.columns if c not in ("cell", "i", "j")]
+    # Writers: one per output cell of this batch at most (base cells plus
+    # their overflow cells), at most one per core. A fixed count keeps AQE
+    # from folding a small batch's many cell files into one task.
+    n_cells = batch.select("cell").distinct().count()
+    writers = max(1, min(spark.sparkContext.defaultParallelism,
+                         n_cells + -(-size // cap)))
     (ranked.select(F.col("out_cell").alias("cell"), *payload)
-     .repartition("cell")
+     .repartition(writers, "cell")
      .write.mode("overwrite").partitionBy("cell")
      .parquet(f"{output_dir.rstrip('/')}/batch={batch_id}"))
     added = batch.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
