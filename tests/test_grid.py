@@ -197,3 +197,10 @@ def test_cells_for_size():
     assert cells_for_size(5 * 1024 ** 3) == 40
     assert cells_for_size(1) == 1
     assert grid_side(cells_for_size(5 * 1024 ** 3)) == 7
+
+
+def test_one_star_catalogue(spark):
+    one = points_df(spark, [(7, 1, 12.5, -3.0)])
+    assert [r.cell for r in assign_cell(one, bounds(one), 7).collect()] == ["0.0"]
+    cells = assign_padded(one, bounds(one, recentre=True), 2).collect()
+    assert sorted(r.cell for r in cells) == ["0.0", "0.1", "1.0", "1.1"]

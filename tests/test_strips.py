@@ -59,3 +59,9 @@ def test_strip_validation():
     with pytest.raises(ValueError):
         strip_width(180, 1)
     assert strip_width(40, 1) == 9
+
+
+def test_negative_ra_goes_to_strip_zero(spark):
+    # No strip edge lies below a negative RA, so the strip is 0; -0.5 is
+    # within the margin of the edge at 0 and is copied to strip 1.
+    assert _strips(spark, [-5.0, -0.5]) == [[0], [0, 1]]
