@@ -206,7 +206,7 @@ def q_source_csv_scan(spark, sf_dir):
     layout = [(F.col(filled[f.name]) if f.name in filled else F.lit(None))
               .cast(f.dataType).alias(f.name) for f in source_schema().fields]
     path = scratch_path(spark, "source-csv")
-    pts.select(*layout).write.options(**CSV_OPTIONS).csv(path)
+    _spread(pts).select(*layout).write.options(**CSV_OPTIONS).csv(path)
     return object_summary(source_points(read_source(spark, path)))
 
 
