@@ -45,8 +45,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up if missing.
 
     Order: a directory already registered on the context, then the
-    ``spark.checkpoint.dir`` setting, then (local runs only) a new
-    temporary folder.
+    ``spark.checkpoint.dir`` setting, then - in local mode only, where
+    driver and executors share one machine - a new temporary folder. On a
+    cluster a machine-local folder would split the data across machines,
+    so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by "
+                               "the cluster (intermediate tables are written there)")
         configured = tempfile.mkdtemp(prefix="skytiles-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -132,3 +132,10 @@ def test_histogram_lines_format(spark):
     df = spark.createDataFrame([("0.0",)] + [("2.3",)] * 11 + [("7.2",)] * 100, "cell string")
     got = sorted(r.value for r in histogram_lines(cell_histogram(df)).collect())
     assert got == ["0.0-->", "2.3-->**", "7.2-->**"]
+
+
+def test_scratch_space_is_under_the_checkpoint_folder(spark):
+    from skytiles.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(root + "/x-")
