@@ -231,18 +231,17 @@ def q_summary_sink_roundtrip(spark, sf_dir):
 def q_stream_partition_job(spark, sf_dir):
     """Streaming J3: the points arrive as several files, processed one file
     per micro-batch; the cap per output cell holds across batches."""
-    from skytiles.operators import bounds_row
     from skytiles.streaming import read_stream_output, start_partition_stream
 
     pts = _points(spark, sf_dir).select("source_id", "ra", "decl", *SKY_ORDER[3:])
     landing = scratch_path(spark, "stream-landing")
     pts.repartition(4, "source_id").write.parquet(landing)
-    box = bounds(pts, recentre=True).first()  # one row of four numbers
+    box = tuple(bounds(pts, recentre=True).first())  # four numbers
     stream = (spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", 1)
               .parquet(landing))
     out, state, ckpt = (scratch_path(spark, p) for p in
                         ("stream-out", "stream-state", "stream-ckpt"))
-    q = start_partition_stream(stream, bounds_row(spark, *box), N, out, state, ckpt,
+    q = start_partition_stream(stream, box, N, out, state, ckpt,
                                cap=SPLIT_CAP, order_by=SKY_ORDER, ra_pad=PAD,
                                decl_pad=PAD, columns=["source_id", "ra", "decl"])
     q.awaitTermination()

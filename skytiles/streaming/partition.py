@@ -100,24 +100,28 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str,
     batch.unpersist()
 
 
-def start_partition_stream(points: DataFrame, bounds: DataFrame, n: int,
+def start_partition_stream(points: DataFrame, bounds, n: int,
                            output_dir: str, state_dir: str,
                            checkpoint_dir: str, cap: int = MAX_PER_CELL,
                            order_by: list[str] | tuple[str, ...] = ("source_id",),
                            ra_pad: float = RA_PADDING,
                            decl_pad: float = DECL_PADDING,
                            columns: list[str] | None = None,
+                           decl_band: str = "j", recentre: bool = True,
                            available_now: bool = True,
                            processing_time: str | None = None) -> StreamingQuery:
     """Start the incremental partition job on a streaming points DataFrame.
 
     ``points`` comes from ``spark.readStream`` (e.g. the catalogue CSV
-    reader's options with ``readStream``); ``bounds`` is a static one-row
-    DataFrame. Returns the running query.
+    reader's options with ``readStream``); ``bounds`` is a known box: a
+    tuple ``(min_ra, max_ra, min_decl, max_decl)`` or a static one-row
+    DataFrame. ``decl_band`` and ``recentre`` as in ``assign_padded``.
+    Returns the running query.
     """
     if not points.isStreaming:
         raise ValueError("points must be a streaming DataFrame")
-    pairs = assign_padded(points, bounds, n, ra_pad, decl_pad)
+    pairs = assign_padded(points, bounds, n, ra_pad, decl_pad,
+                          recentre=recentre, decl_band=decl_band)
     order_by = list(order_by)
     writer = (pairs.writeStream
               .foreachBatch(lambda df, bid: process_batch(
