@@ -27,7 +27,7 @@ from skytiles.session import scratch_path
 from skytiles.sinks import read_cells, read_rows, write_rows
 from skytiles.sources import document_lines, sky_points
 from skytiles.sources.balance import spread_small_scan
-from skytiles.sources.testdata import SKY_ORDER, sky_sql_view
+from skytiles.sources.testdata import SKY_ORDER, hot_sky_sql_view, sky_sql_view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -192,6 +192,20 @@ def q_partition_sink_roundtrip(spark, sf_dir):
                              cap=CAP, order_by=tuple(SKY_ORDER))
 
 
+def q_hot_region_partition_sink(spark, sf_dir):
+    """J3 end to end where one cell holds about a third of all stars (a
+    hot region derived from every row of lineitem). With a task budget of
+    1/16 of the points, the cap's auto method detects the hot cell and
+    splits it by range; the capped cells are written and counted back."""
+    from skytiles.sources.testdata import hot_sky_points
+    pts = hot_sky_points(spark, sf_dir)
+    budget = -(-pts.count() // 16)
+    path = scratch_path(spark, "hot-sink")
+    return run_partition_job(_spread(pts), path, columns=["source_id", "ra", "decl"],
+                             min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=CAP,
+                             order_by=tuple(SKY_ORDER), rows_per_task=budget)
+
+
 def q_source_csv_scan(spark, sf_dir):
     """S1 on whole tables: the points view laid out as the 107-column
     Source catalogue (header-less CSV, ``NULL`` for missing values; the
@@ -279,6 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cell_sink_roundtrip": q_cell_sink_roundtrip,
         "strip_sink_roundtrip": q_strip_sink_roundtrip,
         "partition_sink_roundtrip": q_partition_sink_roundtrip,
+        "hot_region_partition_sink": q_hot_region_partition_sink,
         "summary_sink_roundtrip": q_summary_sink_roundtrip,
         "stream_partition_job": q_stream_partition_job,
     }
@@ -287,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ----------------------------------------------------------------- oracle
 
 _SKY = f"sky AS (\n  {sky_sql_view()}\n)"
+_HOT_SKY = f"sky AS (\n  {hot_sky_sql_view()}\n)"
 _WRAPPED = ("wsky AS (SELECT *, CASE WHEN ra > 180 THEN ra - 360 ELSE ra END"
             " AS ra_c FROM sky)")
 _BOUNDS_RAW = (f"b AS (SELECT min(ra) AS x0, min(decl) AS y0,"
@@ -343,8 +359,9 @@ pairs AS (
 )"""
 
 
-def _padded_sql(row: str) -> str:
-    return _PADDED.format(cells=_CELLS.format(row=row))
+def _padded_sql(row: str, hot: bool = False) -> str:
+    sql = _PADDED.format(cells=_CELLS.format(row=row))
+    return sql.replace(_SKY, _HOT_SKY) if hot else sql
 
 
 _RANKED = """,
@@ -472,6 +489,10 @@ FROM assigned GROUP BY 1""",
 SELECT CAST(strip AS VARCHAR) AS cell, count(*) AS n_stars,
        min(source_id) AS min_source_id, max(ra) AS max_ra
 FROM strips GROUP BY 1""",
+        "hot_region_partition_sink": _padded_sql("cj.k", hot=True)
+        + _RANKED.format(cap=CAP) + f"""
+SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
+FROM split GROUP BY out_cell""",
         "partition_sink_roundtrip": _padded_sql("cj.k") + _RANKED.format(cap=CAP)
         + f"""
 SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.sizing import collect_small
-from ..operators.capacity import MAX_PER_CELL, capacity_split
+from ..operators.capacity import MAX_PER_CELL, ROWS_PER_TASK, capacity_split
 from ..operators.grid import (DECL_PADDING, RA_PADDING, assign_cell,
                               assign_padded, grid_side)
 from ..operators.histogram import cell_histogram
@@ -101,7 +101,8 @@ def run_partition_job(points: DataFrame, output_dir: str,
                       min_cells: int = MIN_CELLS, ra_pad: float = RA_PADDING,
                       decl_pad: float = DECL_PADDING, cap: int = MAX_PER_CELL,
                       order_by: tuple[str, ...] = ("source_id",),
-                      decl_band: str = "j", method: str = "auto") -> DataFrame:
+                      decl_band: str = "j", method: str = "auto",
+                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """J3 end to end; returns the per-output-cell histogram (A6).
 
     Passes over the data: the input is scanned once for the bounds (two
@@ -114,7 +115,7 @@ def run_partition_job(points: DataFrame, output_dir: str,
     pairs = materialize(neighbour_pairs(points, min_cells, ra_pad, decl_pad,
                                         decl_band), "partition-pairs")
     capped = capacity_split(pairs, cap, order_by=order_by, method=method,
-                            materialize=False)
+                            rows_per_task=rows_per_task, materialize=False)
     write_cells(capped.drop("cell", "i", "j", "cell_rank")
                 .withColumnRenamed("out_cell", "cell"),
                 output_dir, columns=columns, fmt=fmt, partitioning="hash")

@@ -62,3 +62,25 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = spread_small_scan(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
+
+
+# A hot region: every third order's stars moved into a 0.01-degree box
+# near RA 10, Decl 0, so one cell holds about a third of all stars.
+HOT_SQL = dict(SKY_SQL)
+HOT_SQL["ra"] = ("CASE WHEN l_orderkey % 3 = 0 THEN 10.0 + (l_extendedprice % 1.0) * 0.01 "
+                 "ELSE l_extendedprice % 360.0 END")
+HOT_SQL["decl"] = ("CASE WHEN l_orderkey % 3 = 0 THEN l_tax * 0.1 "
+                   "ELSE l_quantity * 2.0 - 50.0 + l_tax END")
+
+
+def hot_sky_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points view with a hot region (``HOT_SQL``); every row kept."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*[F.expr(e).alias(n) for n, e in HOT_SQL.items()],
+                     *SKY_ATTRIBUTES)
+
+
+def hot_sky_sql_view() -> str:
+    cols = ",\n    ".join(f"{e} AS {n}" for n, e in HOT_SQL.items())
+    return (f"SELECT\n    {cols},\n    {', '.join(SKY_ATTRIBUTES)}\n"
+            f"  FROM lineitem")
