@@ -45,7 +45,7 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
                    rows_per_task: int = ROWS_PER_TASK,
                    cell_rows_bound: int | None = None,
                    start_offsets: DataFrame | None = None,
-                   materialize: bool = True) -> DataFrame:
+                   materialize: bool = False) -> DataFrame:
     """Adds ``cell_rank`` (1-based, per cell) and ``out_col``.
 
     ``order_by`` must be a total order over each cell's rows for the
@@ -58,10 +58,11 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
 
     ``start_offsets`` (columns ``cell_col, offset``; one row per cell)
     shifts each cell's ranks, for appending to cells that already hold
-    ``offset`` points (the streaming job). ``materialize`` stores the
-    input once in the shared checkpoint folder before the statistics
-    pass, so the two-phase passes read stored rows instead of recomputing
-    the input three times.
+    ``offset`` points (the streaming job). The statistics pass reads the
+    input as given (for a columnar source, only the columns the cells
+    need); the two-phase path stores its range-partitioned rows itself.
+    ``materialize=True`` also stores the input before the statistics
+    pass, for inputs that are expensive to recompute.
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")

@@ -102,20 +102,26 @@ def run_partition_job(points: DataFrame, output_dir: str,
                       decl_pad: float = DECL_PADDING, cap: int = MAX_PER_CELL,
                       order_by: tuple[str, ...] = ("source_id",),
                       decl_band: str = "j", method: str = "auto",
-                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                      rows_per_task: int = ROWS_PER_TASK,
+                      store_pairs: bool = False) -> DataFrame:
     """J3 end to end; returns the per-output-cell histogram (A6).
 
-    Passes over the data: the input is scanned once for the bounds (two
-    columns) and once for the assignment, whose pairs are stored; the
-    capacity split takes its per-cell statistics from the stored pairs
-    (one column) and ranks them; the capped cells are written hash-spread
-    on the output cell (every output cell holds at most ``cap`` rows);
-    the histogram counts the written files' rows.
+    Passes over the data: the bounds (two columns); the cap's statistics
+    (cells from two columns, reduced to one row); then assignment, ranking
+    and the write, hash-spread on the output cell (every output cell
+    holds at most ``cap`` rows). The histogram counts the written rows
+    (partition column only). With a columnar input the first two passes
+    read only RA and Decl, so recomputing the cells is cheaper than
+    storing every column of the pairs. For row-oriented inputs (CSV),
+    where each pass reads every byte, ``store_pairs=True`` stores the
+    pairs once in the shared checkpoint folder and later passes read them.
+    When a hot cell needs the two-phase rank, that path stores its input.
     """
-    pairs = materialize(neighbour_pairs(points, min_cells, ra_pad, decl_pad,
-                                        decl_band), "partition-pairs")
+    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
+    if store_pairs:
+        pairs = materialize(pairs, "partition-pairs")
     capped = capacity_split(pairs, cap, order_by=order_by, method=method,
-                            rows_per_task=rows_per_task, materialize=False)
+                            rows_per_task=rows_per_task)
     write_cells(capped.drop("cell", "i", "j", "cell_rank")
                 .withColumnRenamed("out_cell", "cell"),
                 output_dir, columns=columns, fmt=fmt, partitioning="hash")

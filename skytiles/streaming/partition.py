@@ -77,8 +77,7 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str,
     prev = collect_small(latest_counts(spark, state_dir, batch_id))
     ranked = capacity_split(batch, cap, order_by=order_by, method="auto",
                             cell_rows_bound=size,
-                            start_offsets=prev.withColumnRenamed("n", "offset"),
-                            materialize=False)
+                            start_offsets=prev.withColumnRenamed("n", "offset"))
     payload = columns or [c for c in batch.columns if c not in ("cell", "i", "j")]
     # Writers: one per output cell of this batch at most (base cells plus
     # their overflow cells), at most one per core. A fixed count keeps AQE
