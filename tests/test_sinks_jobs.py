@@ -139,3 +139,13 @@ def test_scratch_space_is_under_the_checkpoint_folder(spark):
     root = checkpoint_root(spark)
     assert root == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(root + "/x-")
+
+
+def test_partition_job_with_stored_pairs_matches(spark, tmp_dir):
+    pts = _random_points(spark, 800)
+    a = run_partition_job(pts, f"{tmp_dir}/a", min_cells=9, cap=60)
+    b = run_partition_job(pts, f"{tmp_dir}/b", min_cells=9, cap=60, store_pairs=True)
+    c = run_partition_job(pts, f"{tmp_dir}/c", min_cells=9, cap=60,
+                          method="two_phase", rows_per_task=100)
+    key = lambda h: sorted(map(tuple, h.collect()))
+    assert key(a) == key(b) == key(c)
