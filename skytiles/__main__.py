@@ -24,7 +24,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators import histogram_lines
-from .operators.capacity import MAX_PER_CELL
+from .operators.capacity import MAX_PER_CELL, ROWS_PER_TASK
 from .operators.grid import DECL_PADDING, RA_PADDING
 from .operators.strips import N_STRIPS, STRIP_MARGIN
 from .plans import (bounds_job, object_count_job, run_grid_job,
@@ -72,6 +72,10 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--ra-pad", type=float, default=RA_PADDING)
     j.add_argument("--decl-pad", type=float, default=DECL_PADDING)
     j.add_argument("--decl-band", default="j", choices=["i", "j"])
+    j.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK,
+                   help="largest cell ranked in one task before splitting")
+    j.add_argument("--store-pairs", action="store_true",
+                   help="store the (star, cell) pairs once; for CSV inputs")
     return p
 
 
@@ -103,7 +107,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         hist = run_partition_job(points, args.output, columns=columns,
                                  fmt=args.out_format, min_cells=args.min_cells,
                                  ra_pad=args.ra_pad, decl_pad=args.decl_pad,
-                                 cap=args.cap, decl_band=args.decl_band)
+                                 cap=args.cap, decl_band=args.decl_band,
+                                 rows_per_task=args.rows_per_task,
+                                 store_pairs=args.store_pairs)
     for row in histogram_lines(hist).toLocalIterator():
         print(row.value)
     return 0

@@ -32,7 +32,8 @@ def test_cli_jobs_on_a_catalogue(spark, tmp_dir):
     _catalogue(cat, [(k, k % 3 or None, 350.0 + k * 0.01, -1.0 + k * 0.003)
                      for k in range(900)])
     lines = run(spark, ["partition", "9", cat, f"{tmp_dir}/p", "--cap", "100",
-                        "--columns", "ra,decl", "--out-format", "csv"])
+                        "--columns", "ra,decl", "--out-format", "csv",
+                        "--store-pairs", "--rows-per-task", "200"])
     assert lines and all("-->" in ln for ln in lines)
     assert any(ln.split("-->")[0].endswith("bis") for ln in lines)
     part = next(f for d in os.listdir(f"{tmp_dir}/p") if d.startswith("cell=")
