@@ -69,3 +69,14 @@ def test_object_filter_pushed_into_catalogue_scan(spark, tmp_dir):
     p = plan(object_summary(source_points(read_source(spark, path))))
     assert "PushedFilters: [IsNotNull(objectId)]" in p
     assert "ReadSchema: struct<sourceId:bigint,objectId:bigint,ra:double,decl:double>" in p
+
+
+def test_spread_only_for_small_scans(spark):
+    from skytiles.sources.balance import spread_small_scan
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_small_scan(many, "id") is many          # left as scanned
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = spread_small_scan(one, "id")
+    assert spread.rdd.getNumPartitions() == cores
+    assert "hashpartitioning(id" in plan(spread)
