@@ -29,6 +29,12 @@ from skytiles.sources import document_lines, sky_points
 from skytiles.sources.balance import spread_small_scan
 from skytiles.sources.testdata import SKY_ORDER, hot_sky_sql_view, sky_sql_view
 
+try:  # the text-pipeline operators are optional
+    from skytiles.llm.queries import ORACLES as LLM_ORACLES
+    from skytiles.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the registered queries.
@@ -296,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hot_region_partition_sink": q_hot_region_partition_sink,
         "summary_sink_roundtrip": q_summary_sink_roundtrip,
         "stream_partition_job": q_stream_partition_job,
+        **LLM_QUERIES,
     }
 
 
@@ -501,4 +508,5 @@ FROM split GROUP BY out_cell""",
         "stream_partition_job": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP) + f"""
 SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
 FROM split GROUP BY out_cell""",
+        **LLM_ORACLES,
     }
