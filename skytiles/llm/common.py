@@ -129,8 +129,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
 
 def word_table(is_word) -> np.ndarray:
     """Byte table for :func:`word_hashes`: 0 outside words, otherwise the
-    byte with A-Z lower-cased."""
-    return np.array([(b + 32 if 65 <= b <= 90 else b) if is_word(b) else 0
+    byte with A-Z lower-cased (byte 0 as 255, which UTF-8 never holds)."""
+    return np.array([(b + 32 if 65 <= b <= 90 else b or 255) if is_word(b) else 0
                      for b in range(256)], np.uint8)
 
 
@@ -158,20 +158,17 @@ def member_bitmap(keys: DataFrame, key: str, bits: int = MEMBER_BITS) -> DataFra
     words = (keys.select(slot.alias("s"))
              .groupBy(F.shiftright("s", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("v")))
-    sparse = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
-    dense = sparse.select(F.sort_array(F.map_entries("m")).alias("e"))
-    # Sorted entries spread over all words: runs of zeros between them.
-    gaps = F.transform(
-        F.sequence(F.lit(0), F.size("e")),
-        lambda i: F.array_repeat(
-            F.lit(0).cast("long"),
-            (F.when(i < F.size("e"), F.get("e", i)["key"]).otherwise(F.lit(bits >> 6))
-             - F.when(i > 0, F.get("e", i - 1)["key"]).otherwise(F.lit(-1))
-             - F.lit(1)).cast("int")))
+    set_words = words.agg(F.sort_array(F.collect_list(F.struct("w", "v"))).alias("e"))
+    # Zeros between one set word and the next, and after the last.
+    n = F.size("e")
+    zeros = F.transform(F.sequence(F.lit(0), n), lambda i: F.array_repeat(
+        F.lit(0).cast("long"),
+        (F.when(i < n, F.get("e", i)["w"]).otherwise(F.lit(bits >> 6))
+         - F.when(i > 0, F.get("e", i - 1)["w"]).otherwise(F.lit(-1)) - 1).cast("int")))
     filled = F.flatten(F.zip_with(
-        gaps, F.transform(F.col("e"), lambda x: F.array(x["value"])),
-        lambda g, v: F.concat(g, F.coalesce(v, F.expr("cast(array() as array<bigint>)")))))
-    return dense.select(filled.alias("bitmap"))
+        zeros, F.transform("e", lambda x: F.array(x["v"])),
+        lambda z, v: F.concat(z, F.coalesce(v, F.expr("cast(array() as array<bigint>)")))))
+    return set_words.select(filled.alias("bitmap"))
 
 
 def maybe_member(df: DataFrame, key: str, keys: DataFrame, keys_col: str,
@@ -182,5 +179,5 @@ def maybe_member(df: DataFrame, key: str, keys: DataFrame, keys_col: str,
     bitmap = member_bitmap(keys, keys_col, bits).scalar()
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
     word = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
-    hit = F.call_function("getbit", word, F.pmod(slot, F.lit(64)).cast("int"))
+    hit = F.getbit(word, F.pmod(slot, F.lit(64)).cast("int"))
     return df.where(hit == 1)
