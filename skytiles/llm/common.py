@@ -12,6 +12,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES
     """Row slices of ``batch`` holding about ``max_bytes`` of the column
     each (one row at least)."""
     arr = batch.column(column)
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(arr), 0)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(arr), 0)
                          .to_numpy(zero_copy_only=False), dtype=np.int64)
     ends = np.cumsum(lengths)
     at = 0
