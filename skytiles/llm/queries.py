@@ -7,8 +7,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, neardup, secrets, sentencepieces, topk, urlfilter,
-               warc)
+from . import (decontaminate, htmltext, language, neardup, quality, secrets, sentencepieces,
+               topk, urlfilter, warc)
 from .common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -53,6 +53,11 @@ def op3_language(spark, sf_dir):
         "rejected")
 
 
+def op4_html_text(spark, sf_dir):
+    return htmltext.extract(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_warc(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     records = warc.read_archives(warc.archive_pages(pages), with_payload=False)
@@ -69,6 +74,14 @@ def op6_decontamination(spark, sf_dir):
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_quality(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"), ~_held_out())
+    return quality.score_quality(docs, model).select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).alias("good"))
+
+
 def op8_url_filter(spark, sf_dir):
     return urlfilter.judge_urls(read_table(spark, sf_dir, "pages")).select(
         "page_id", "host", "path", "rule", "verdict", "ratio")
@@ -91,8 +104,10 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
     "op3_language": op3_language,
+    "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op8_url_filter": op8_url_filter,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_top_k": op10_top_k,
