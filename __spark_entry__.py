@@ -30,8 +30,10 @@ from skytiles.sources.balance import spread_small_scan
 from skytiles.sources.testdata import SKY_ORDER, hot_sky_sql_view, sky_sql_view
 
 try:  # the text-pipeline operators are optional
+    import corpus_pipeline
     from skytiles.llm.queries import ORACLES as LLM_ORACLES
     from skytiles.llm.queries import QUERIES as LLM_QUERIES
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
 except ImportError:
     LLM_ORACLES, LLM_QUERIES = {}, {}
 
