@@ -163,7 +163,7 @@ def _described(block: tuple, i: int, n: int) -> Block:
     text, links, above, tag = block
     words = text.count(" ") + 1
     features = list(dict.fromkeys(above))
-    features += [f"own{tag}", f"words{min(8, words.bit_length())}",
+    features += ["|".join(above[-2:]), f"own{tag}", f"words{min(8, words.bit_length())}",
                  f"links{int(links * 4)}", "bias"]
     if _SENTENCE_END.search(text):
         features.append("ends")
@@ -213,23 +213,20 @@ class ChainModel:
         return out[::-1]
 
 
-def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 12, rate: float = 0.3,
+def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 10, rate: float = 0.3,
           decay: float = 1e-4, seed: int = 5) -> ChainModel:
-    """Conditional likelihood by stochastic gradient steps; expectations
-    come from forward-backward."""
+    """Conditional likelihood by stochastic gradient steps of adaptive size
+    with a little decay; expectations come from forward-backward."""
     names = {f: k for k, f in enumerate(sorted({f for bs, _ in pages for b in bs
                                                 for f in b.features}))}
-    weights = np.zeros((len(names), 2))
-    pairs = np.zeros((2, 2))
+    weights, pairs = np.zeros((len(names), 2)), np.zeros((2, 2))
+    seen, seen_pairs = np.full((len(names), 2), 1e-2), np.full((2, 2), 1e-2)
     coded = [([np.array([names[f] for f in b.features]) for b in bs], np.array(ys))
              for bs, ys in pages if bs]
     rng = np.random.default_rng(seed)
-    step = 0
     for _ in range(epochs):
         for k in rng.permutation(len(coded)).tolist():
             feats, ys = coded[k]
-            step += 1
-            lr = rate / (1 + step * decay * 10)
             n = len(feats)
             emit = np.array([weights[f].sum(axis=0) for f in feats])
             fwd, bwd = np.zeros((n, 2)), np.zeros((n, 2))
@@ -242,20 +239,24 @@ def train(pages: list[tuple[list[Block], list[int]]], epochs: int = 12, rate: fl
             total = np.logaddexp(*fwd[-1])
             single = np.exp(fwd + bwd - total)
             single[np.arange(n), ys] -= 1
-            for i, f in enumerate(feats):
-                weights[f] -= lr * single[i]
+            grad = np.zeros_like(pairs)
             for i in range(1, n):
-                both = np.exp(fwd[i - 1][:, None] + pairs + (emit[i] + bwd[i])[None, :] - total)
-                both[ys[i - 1], ys[i]] -= 1
-                pairs -= lr * both
-            weights *= 1 - lr * decay
+                grad += np.exp(fwd[i - 1][:, None] + pairs + (emit[i] + bwd[i])[None, :] - total)
+                grad[ys[i - 1], ys[i]] -= 1
+            for i, f in enumerate(feats):
+                step = single[i] + decay * weights[f]
+                seen[f] += step ** 2
+                weights[f] -= rate * step / np.sqrt(seen[f])
+            grad += decay * pairs
+            seen_pairs += grad ** 2
+            pairs -= rate * grad / np.sqrt(seen_pairs)
     return ChainModel({f: (float(weights[k, 0]), float(weights[k, 1]))
                        for f, k in names.items()}, pairs)
 
 
 # ---------------------------------------------------------- labelled pages
 
-_MAIN = ("article", "main", "section itemprop=articleBody", "div class=article-body",
+_MAIN = ("article", "article", "article class=post", "main", "section itemprop=articleBody", "div class=article-body",
          "div class=post-content", "div class=entry", "div id=content", "div class=story",
          "div class=x1", "div role=main")
 _ASIDE = (("nav", "links"), ("div class=menu", "links"), ("ul class=navbar", "links"),
@@ -273,7 +274,7 @@ _AFTER = (("footer", "legal"), ("div class=footer", "legal"), ("div id=comments"
           ("div class=copyright", "legal"), ("div class=pagination", "links"))
 
 
-def labelled_pages(n: int = 400, seed: int = 17) -> list[tuple[str, list[str]]]:
+def labelled_pages(n: int = 600, seed: int = 17) -> list[tuple[str, list[str]]]:
     """Made-up pages ``(html, main blocks)``."""
     rnd = random.Random(seed)
     syllables = [a + b for a in "b c d f g l m n p r s t v th st ch".split()
@@ -326,9 +327,9 @@ def labelled_pages(n: int = 400, seed: int = 17) -> list[tuple[str, list[str]]]:
             end = b if rnd.random() < 0.9 or tag != "p" else ""
             out.append(a + text + end)
 
-        if rnd.random() < 0.8:
+        if rnd.random() < 0.7:
             put("h1", line(2, 9, rnd.choice(["", "."])))
-        for _ in range(rnd.randint(1, 9)):
+        for _ in range(rnd.choice([1, 1, 2, 3, 4, 6, 9])):
             kind = rnd.random()
             if kind < 0.7:
                 put("p", " ".join(line(2, 25) for _ in range(rnd.randint(1, 5))))
@@ -367,7 +368,7 @@ def labelled_pages(n: int = 400, seed: int = 17) -> list[tuple[str, list[str]]]:
     return pages
 
 
-def default_model(n: int = 400, seed: int = 17) -> ChainModel:
+def default_model(n: int = 600, seed: int = 17) -> ChainModel:
     """The CRF trained on the made-up pages."""
     data = []
     for page, kept in labelled_pages(n, seed):
