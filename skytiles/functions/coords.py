@@ -19,6 +19,22 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def good_coordinate(value: str | Column) -> Column:
+    """True for a number a star can be placed by: not null, NaN or infinite."""
+    value = _c(value)
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+
+
+def checked(value: str | Column, what: str, allowed: Column | None = None) -> Column:
+    """The value, or an error when it is no good coordinate (or not
+    ``allowed``). One rule for all assignments: a star is placed or the job
+    stops; see :func:`skytiles.operators.quarantine` for the third way."""
+    value = _c(value)
+    good = good_coordinate(value) if allowed is None else good_coordinate(value) & allowed
+    text = F.concat(F.lit(f"bad {what}: "), F.coalesce(value.cast("string"), F.lit("null")))
+    return F.when(good, value).otherwise(F.raise_error(text).cast("double"))
+
+
 def recentre_ra(ra: str | Column) -> Column:
     """Map RA from [0, 360) to (-180, 180]: ``ra > 180 -> ra - 360``."""
     ra = _c(ra)
@@ -46,7 +62,3 @@ def overflow_name(cell: str | Column, k: str | Column,
 def log_bar(n: str | Column, char: str = BAR_CHAR) -> Column:
     """Size bar of ``ceil(log10(n))`` characters; one star gives an empty bar."""
     return F.repeat(F.lit(char), F.ceil(F.log10(_c(n))).cast("int"))
-
-
-def bar_length(n: str | Column) -> Column:
-    return F.ceil(F.log10(_c(n))).cast("int")

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest per-cell table broadcast to executors or collected on the driver.
-# Grids have at most 27 * 27 cells (plus overflow cells after a cap); this
-# leaves ample room while keeping a broadcast to a few MB.
+# A grid for 128 MB outputs has this many cells at 12 TB; the rows keep a
+# broadcast to a few MB. Larger tables are joined by shuffle.
 MAX_SMALL_ROWS = 100_000
 
 

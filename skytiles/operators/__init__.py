@@ -1,11 +1,12 @@
-from .capacity import capacity_split
+from .capacity import capacity_split, cell_counts, with_out_cell
+from .checks import quarantine
 from .grid import (assign_cell, assign_padded, bounds_row, grid_cells,
                    grid_side, cells_for_size)
-from .histogram import cell_histogram, histogram_lines
+from .histogram import capped_histogram, cell_histogram, histogram_lines
 from .strips import assign_strips
 from .summary import bounds, line_counts, object_counts, object_summary
 
-__all__ = ["capacity_split", "assign_cell", "assign_padded", "bounds_row",
+__all__ = ["capacity_split", "cell_counts", "with_out_cell", "quarantine", "capped_histogram", "assign_cell", "assign_padded", "bounds_row",
            "grid_cells", "grid_side", "cells_for_size", "cell_histogram", "histogram_lines",
            "assign_strips", "bounds", "line_counts", "object_counts",
            "object_summary"]

@@ -1,10 +1,11 @@
 """Capacity split (G5): at most ``cap`` points per output cell.
 
 Within each cell, points are ranked by a total order; the k-th block of
-``cap`` points goes to the cell's k-th overflow copy, named with the
-suffix repeated k times (``2.3``, ``2.3bis``, ``2.3bisbis``). The cap is
-global and deterministic: it does not depend on task layout or arrival
-order.
+``cap`` points goes to the cell's k-th overflow copy. The number ``k`` is
+the result (``overflow``); its name, the suffix repeated k times (``2.3``,
+``2.3bis``, ``2.3bisbis``), is made only where it is shown
+(:func:`with_out_cell`), since it grows with k. The cap is global and
+deterministic: it does not depend on task layout or arrival order.
 
 Ranking needs every row of a cell in order, which with a plain window
 puts a whole cell in one task. When a cell is larger than
@@ -12,12 +13,11 @@ puts a whole cell in one task. When a cell is larger than
 partitioning on ``(cell, order key)``: split points come from a sample
 of the full composite key, so a hot cell is cut into ranges of about
 ``rows_per_task`` rows whatever the key distribution (clumped or
-repeated leading ids included). The range number is stored with the rows
-(in the shared checkpoint folder), which fixes it across retries. Rows
-are numbered inside each (cell, range) and shifted by the number of rows
-in the cell's earlier ranges, taken from a small count table. The
-statistics that decide between the methods (largest cell, total rows)
-are one aggregate reduced to a single row.
+repeated leading ids included). The rows are sorted inside their range
+and stored with a running number in the shared checkpoint folder, which
+fixes both across retries. A row's rank is then its number, less the first
+number of its (cell, range), plus the rows of the cell in earlier ranges:
+one small table joined back, no second shuffle and no window.
 """
 
 from __future__ import annotations
@@ -36,33 +36,26 @@ MAX_PER_CELL = 10000
 
 ROWS_PER_TASK = 2_000_000
 MAX_BROADCAST_BINS = 200_000  # offset rows broadcast at most
+ORDER = ("source_id", "ra", "decl")
 
 
 def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
-                   order_by: list[str] | tuple[str, ...] = ("source_id",),
-                   cell_col: str = "cell", out_col: str = "out_cell",
-                   suffix: str = OVERFLOW_SUFFIX, method: str = "auto",
+                   order_by: list[str] | tuple[str, ...] = ORDER,
+                   cell_col: str = "cell", method: str = "auto",
                    rows_per_task: int = ROWS_PER_TASK,
                    cell_rows_bound: int | None = None,
-                   start_offsets: DataFrame | None = None,
-                   materialize: bool = False) -> DataFrame:
-    """Adds ``cell_rank`` (1-based, per cell) and ``out_col``.
-
-    ``order_by`` must be a total order over each cell's rows for the
-    result to be deterministic. ``method`` is ``window``, ``two_phase`` or ``auto``
-    (two-phase only when some cell exceeds ``rows_per_task``; this runs
-    one small aggregate to find out, unless ``cell_rows_bound`` - a proven
-    upper bound on any cell's row count, such as the number of input
-    points, since a point is in a given cell at most once - already shows
-    that no cell can).
-
-    ``start_offsets`` (columns ``cell_col, offset``; one row per cell)
-    shifts each cell's ranks, for appending to cells that already hold
-    ``offset`` points (the streaming job). The statistics pass reads the
-    input as given (for a columnar source, only the columns the cells
-    need); the two-phase path stores its range-partitioned rows itself.
-    ``materialize=True`` also stores the input before the statistics
-    pass, for inputs that are expensive to recompute.
+                   counts: DataFrame | None = None) -> DataFrame:
+    """Adds ``cell_rank`` (1-based, per cell) and ``overflow`` (0-based).
+
+    ``order_by`` must be a total order over each cell's rows (up to rows
+    that are equal in every column written) for the result to be
+    deterministic. ``method`` is ``window``, ``two_phase`` or ``auto``:
+    two-phase only when some cell exceeds ``rows_per_task``, which the
+    rows per cell tell. They are taken from ``counts`` (columns
+    ``cell, n_stars``) where given, and counted otherwise, unless
+    ``cell_rows_bound`` - a proven upper bound on any cell's row count, such
+    as the number of input points, since a point is in a given cell at
+    most once - already shows that no cell can.
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")
@@ -75,21 +68,28 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     if method == "window":
         ranked = _rank_window(assigned, order_by, cell_col)
     else:
-        if materialize:
-            assigned = write_scratch_table(assigned, "capacity-input")
-        largest, total = _cell_stats(assigned, cell_col)
+        if counts is None:
+            counts = cell_counts(assigned, cell_col)
+        row = counts.agg(F.max("n_stars"), F.sum("n_stars")).first()
+        largest, total = row[0] or 0, row[1] or 0
         if method == "auto" and largest <= rows_per_task:
             ranked = _rank_window(assigned, order_by, cell_col)
         else:
-            ranked = _rank_two_phase(assigned, total, order_by, cell_col,
-                                     rows_per_task)
-    if start_offsets is not None:
-        ranked = (ranked.join(broadcast_if_small(start_offsets), cell_col, "left")
-                  .withColumn("cell_rank", F.col("cell_rank")
-                              + F.coalesce(F.col("offset"), F.lit(0)).cast("long"))
-                  .drop("offset"))
-    k = F.floor((F.col("cell_rank") - 1) / F.lit(cap))
-    return ranked.withColumn(out_col, overflow_name(cell_col, k, suffix))
+            ranked = _rank_two_phase(assigned, total, order_by, cell_col, rows_per_task)
+    return ranked.withColumn("overflow", F.floor((F.col("cell_rank") - 1) / F.lit(cap)))
+
+
+def cell_counts(assigned: DataFrame, cell_col: str = "cell") -> DataFrame:
+    """Rows ``cell, n_stars``: one partial aggregate that reads only what the
+    cells need."""
+    return assigned.groupBy(F.col(cell_col).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n_stars"))
+
+
+def with_out_cell(split: DataFrame, cell_col: str = "cell", out_col: str = "out_cell",
+                  suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
+    """The name of each row's output cell, for showing."""
+    return split.withColumn(out_col, overflow_name(cell_col, "overflow", suffix))
 
 
 def _rank_window(df: DataFrame, order_by: list[str], cell_col: str) -> DataFrame:
@@ -97,30 +97,24 @@ def _rank_window(df: DataFrame, order_by: list[str], cell_col: str) -> DataFrame
     return df.withColumn("cell_rank", F.row_number().over(w).cast("long"))
 
 
-def _cell_stats(df: DataFrame, cell_col: str) -> tuple[int, int]:
-    """Largest cell and total rows: per-cell counts (partial aggregate),
-    reduced to one row before reaching the driver."""
-    per_cell = df.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"))
-    row = per_cell.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    return (row["largest"] or 0, row["total"] or 0)
-
-
 def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],
                     cell_col: str, rows_per_task: int) -> DataFrame:
     parts = max(1, math.ceil(total_rows / rows_per_task))
-    ranged = (df.repartitionByRange(parts, cell_col, *order_by)
-              .withColumn("_range", F.spark_partition_id()))
-    ranged = write_scratch_table(ranged, "capacity-ranges")
-    counts = ranged.groupBy(cell_col, "_range").agg(F.count(F.lit(1)).alias("_c"))
+    keys = [cell_col, *order_by]
+    # Numbers count up by one inside a range; the range is their upper part.
+    numbered = write_scratch_table(
+        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+        .withColumn("_at", F.monotonically_increasing_id()), "capacity-ranges")
+    range_ = F.shiftright("_at", 33)
+    stretches = (numbered.groupBy(cell_col, range_.alias("_range"))
+                 .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(cell_col).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.select(cell_col, "_range",
-                            F.coalesce(F.sum("_c").over(before), F.lit(0))
-                            .alias("_off"))
-    # At most ranges + cells - 1 rows (ranges cover cells in order).
-    offsets = broadcast_if_small(offsets, MAX_BROADCAST_BINS)
-    w = Window.partitionBy(cell_col, "_range").orderBy(*order_by)
-    return (ranged.join(offsets, [cell_col, "_range"])
-            .withColumn("cell_rank",
-                        (F.col("_off") + F.row_number().over(w)).cast("long"))
-            .drop("_range", "_off"))
+    shifts = stretches.select(cell_col, "_range", (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    # At most ranges + cells - 1 rows (ranges cover cells in order), made once.
+    shifts = broadcast_if_small(write_scratch_table(shifts, "capacity-shifts"),
+                                MAX_BROADCAST_BINS)
+    return (numbered.withColumn("_range", range_).join(shifts, [cell_col, "_range"])
+            .withColumn("cell_rank", F.col("_at") + F.col("_shift"))
+            .drop("_range", "_at", "_shift"))

@@ -20,17 +20,14 @@ same formula the DuckDB oracle uses, so border decisions agree exactly.
 from __future__ import annotations
 
 import math
-import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coords import cell_name, recentre_ra
+from ..functions.coords import cell_name, checked, recentre_ra
 
 # --- Fixed values of the catalogue jobs. ---
-# Largest grid side accepted; outside [0, 26*26] cells the grid has one cell.
-MAX_SIDE = 26
 # Padding around each cell for the neighbour-aware assignment (degrees).
 RA_PADDING = 0.1
 DECL_PADDING = 0.1
@@ -43,18 +40,12 @@ BOUNDS_SCHEMA = T.StructType([T.StructField(c, T.DoubleType())
 
 
 def grid_side(min_cells: int) -> int:
-    """Side ``n`` of the smallest square grid with at least ``min_cells`` cells.
-
-    Negative or more than ``26*26`` cells falls back to a single cell with
-    a warning; zero cells is rejected (it would drop every star).
-    """
-    if min_cells < 0 or min_cells > MAX_SIDE * MAX_SIDE:
-        warnings.warn(f"min_cells={min_cells} outside [0, {MAX_SIDE ** 2}]; "
-                      "using a single cell", stacklevel=2)
-        return 1
-    if min_cells == 0:
+    """Side ``n`` of the smallest square grid with at least ``min_cells``
+    cells; any positive number of cells will do, as the assignment never
+    lists them."""
+    if min_cells < 1:
         raise ValueError("a grid needs at least one cell")
-    return math.ceil(math.sqrt(min_cells))
+    return math.isqrt(min_cells - 1) + 1
 
 
 def cells_for_size(total_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -80,6 +71,8 @@ def bounds_values(bounds) -> tuple[float, float, float, float]:
         values = tuple(bounds)
     if values is None or any(v is None for v in values):
         raise ValueError("no points: the bounding box is empty")
+    if not all(math.isfinite(v) for v in values):
+        raise ValueError(f"the bounding box is not finite: {values}")
     return tuple(float(v) for v in values)
 
 
@@ -126,12 +119,14 @@ def assign_cell(points: DataFrame, bounds, n: int,
     ``i`` = number of RA edges ``x0 + k*w`` (k = 0..n-1) strictly below
     RA; ``j`` likewise for Decl, except that ``j = 0`` when ``i = 0``.
     Indexes therefore run 1..n, with 0 only on the lower borders, and the
-    minimum-RA star is in ``0.0``. Adds ``i, j, cell``.
+    minimum-RA star is in ``0.0``. Adds ``i, j, cell``. A null, NaN or
+    infinite coordinate stops the job.
     """
     g = with_grid(points, bounds, n)
-    i = _edges_below(F.col(ra_col), "g_x0", "g_w")
-    j = F.when(F.col("i") == 0, F.lit(0)).otherwise(
-        _edges_below(F.col(decl_col), "g_y0", "g_h"))
+    i = _edges_below(checked(ra_col, "RA"), "g_x0", "g_w")
+    below = _edges_below(checked(decl_col, "Decl"), "g_y0", "g_h")
+    # Written so that a bad Decl is noticed in column 0 as well.
+    j = F.when(below >= 0, F.when(F.col("i") == 0, F.lit(0)).otherwise(below))
     return (g.withColumn("i", i).withColumn("j", j)
             .withColumn("cell", cell_name("i", "j"))
             .drop(*GRID_COLUMNS))
@@ -140,7 +135,8 @@ def assign_cell(points: DataFrame, bounds, n: int,
 def assign_padded(points: DataFrame, bounds, n: int,
                   ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
                   ra_col: str = "ra", decl_col: str = "decl",
-                  recentre: bool = True, decl_band: str = "j") -> DataFrame:
+                  recentre: bool = True, decl_band: str = "j",
+                  outside: str | None = None) -> DataFrame:
     """G4: every cell whose rectangle, grown by the padding on all four
     sides, contains the point (inclusive borders). Adds ``i, j, cell``;
     one output row per (point, cell).
@@ -151,25 +147,40 @@ def assign_padded(points: DataFrame, bounds, n: int,
     not ``n*n``. With ``recentre=True`` (default) RA is mapped to
     (-180, 180] first, matching bounds from ``bounds(..., recentre=True)``;
     the output keeps the original RA column.
+
+    A null, NaN or infinite coordinate stops the job. So does a star
+    outside the padded box (a box computed from the same points holds them
+    all), unless ``outside`` names a cell for such stars; they then get
+    that cell with ``i = j = -1``.
     """
     _check_band(decl_band)
     x = recentre_ra(ra_col) if recentre else F.col(ra_col)
-    y = F.col(decl_col)
-    g = with_grid(points, bounds, n).withColumn("_x", x)
-    ci = _candidates(F.col("_x"), "g_x0", "g_w", ra_pad)
+    g = with_grid(points, bounds, n).withColumns(
+        {"_x": checked(x, "RA"), "_y": checked(decl_col, "Decl")})
+    y = F.col("_y")
+    in_box = ((F.col("_x") >= F.col("g_x0") - ra_pad) & (F.col("_x") <= F.col("g_x1") + ra_pad)
+              & (y >= F.col("g_y0") - decl_pad) & (y <= F.col("g_y1") + decl_pad))
+    nowhere = F.array(F.lit(-1)) if outside is not None else F.raise_error(F.concat(
+        F.lit("star outside the box: "), F.col("_x").cast("string"), F.lit(" "),
+        y.cast("string"))).cast("array<int>")
+    ci = F.when(in_box, _candidates(F.col("_x"), "g_x0", "g_w", ra_pad)).otherwise(nowhere)
     if decl_band == "j":
         cj = _candidates(y, "g_y0", "g_h", decl_pad)
     else:
         cj = F.sequence(F.lit(0), F.col("g_n") - 1)
+    cj = F.when(in_box, cj).otherwise(F.array(F.lit(-1)))
     row = F.col("i") if decl_band == "i" else F.col("j")
-    inside = ((F.col("_x") >= _edge("g_x0", "g_w", F.col("i")) - ra_pad)
+    name = cell_name("i", "j")
+    if outside is not None:
+        name = F.when(F.col("i") < 0, F.lit(outside)).otherwise(name)
+    inside = (F.col("i") < 0) | ((F.col("_x") >= _edge("g_x0", "g_w", F.col("i")) - ra_pad)
               & (F.col("_x") <= _upper_edge("g_x0", "g_w", "g_x1", F.col("i")) + ra_pad)
               & (y >= _edge("g_y0", "g_h", row) - decl_pad)
               & (y <= _upper_edge("g_y0", "g_h", "g_y1", row) + decl_pad))
     return (g.withColumn("i", F.explode(ci)).withColumn("j", F.explode(cj))
             .where(inside)
-            .withColumn("cell", cell_name("i", "j"))
-            .drop("_x", *GRID_COLUMNS))
+            .withColumn("cell", name)
+            .drop("_x", "_y", *GRID_COLUMNS))
 
 
 # ---------------------------------------------------------------- helpers

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coords import log_bar
+from ..functions.coords import OVERFLOW_SUFFIX, log_bar, overflow_name
 
 # --- Fixed value: separator of the printed histogram lines ("2.3-->***"). ---
 HISTOGRAM_ARROW = "-->"
@@ -23,6 +23,18 @@ def cell_histogram(df: DataFrame, cell_col: str = "cell") -> DataFrame:
             .withColumn("bar", log_bar("n_stars")))
 
 
+def capped_histogram(counts: DataFrame, cap: int,
+                     suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
+    """The histogram of the outputs that a cap makes of cells with
+    ``n_stars`` stars (columns ``cell, n_stars``): all but the last output of
+    a cell are full. Needs no pass over the stars or the written files."""
+    outputs = counts.select("cell", "n_stars", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("n_stars") - 1) / cap))).alias("k"))
+    n = F.least(F.lit(cap).cast("long"), F.col("n_stars") - F.col("k") * cap)
+    return (outputs.select(overflow_name("cell", "k", suffix).alias("cell"), n.alias("n_stars"))
+            .withColumn("bar", log_bar("n_stars")))
+
+
 def histogram_lines(hist: DataFrame) -> DataFrame:
     """The histogram as text lines ``cell-->bar`` (column ``value``), the
     form the original jobs printed; write with ``write.text`` or show."""

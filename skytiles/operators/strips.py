@@ -6,7 +6,8 @@ below its RA (``ceil(ra/L)``, 1..n for RA in (0, 360], 0 for RA 0), and
 is copied to the neighbouring strip when it lies within ``margin`` of
 the shared edge. Strip 1 and strip n are neighbours (wraparound at RA
 0/360). Comparisons with the margin are inclusive. RA is used as given
-(no re-centring). Pure column expressions: no shuffle.
+(no re-centring); a null, NaN or infinite RA, or one above 360, stops the
+job. Pure column expressions: no shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coords import FULL_TURN
+from ..functions.coords import FULL_TURN, checked
 
 # --- Fixed values of the RA-strip job. ---
 N_STRIPS = 40
@@ -35,17 +36,13 @@ def assign_strips(points: DataFrame, n_strips: int = N_STRIPS,
     """G3: one row per (point, strip); adds ``strip`` (int) and ``cell``
     (the strip number as text)."""
     L = strip_width(n_strips, margin)
-    ra = F.col(ra_col)
+    ra = checked(ra_col, "RA", F.col(ra_col) <= FULL_TURN)
     i = F.col("strip")
-    near_low = ra <= (i - 1) * L + margin
-    near_high = ra >= i * L - margin
-    neighbour = (
-        F.when(i == 1, F.when(near_low, F.lit(n_strips))
-               .when(near_high, i + 1))
-        .when(i == n_strips, F.when(near_low, i - 1)
-              .when(ra >= FULL_TURN - margin, F.lit(1)))
-        .otherwise(F.when(near_low, i - 1).when(near_high, i + 1)))
-    first = F.greatest(F.ceil(ra / F.lit(float(L))), F.lit(0)).cast("int")
-    return (points.withColumn("strip", first)
+    below = F.when(i == 1, n_strips).otherwise(i - 1)
+    above = F.when(i == n_strips, 1).otherwise(i + 1)
+    neighbour = (F.when(F.col("_ra") <= (i - 1) * L + margin, below)
+                 .when(F.col("_ra") >= i * L - margin, above))
+    first = F.greatest(F.ceil(F.col("_ra") / F.lit(float(L))), F.lit(0)).cast("int")
+    return (points.withColumn("_ra", ra).withColumn("strip", first)
             .withColumn("strip", F.explode(F.array_compact(F.array(i, neighbour))))
-            .withColumn("cell", F.col("strip").cast("string")))
+            .withColumn("cell", F.col("strip").cast("string")).drop("_ra"))

@@ -9,8 +9,9 @@ distribution.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.coords import recentre_ra
 
@@ -35,6 +36,50 @@ def object_counts(points: DataFrame, object_col: str = "object_id") -> DataFrame
             .groupBy(object_col).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
+# Ids of up to this many digits share one number in the text maximum.
+_ALIGNED = 17
+
+
+def _last_as_text(source: Column) -> tuple[dict[str, Column], Column]:
+    """The text maximum of integer ids as numeric aggregates.
+
+    A maximum of strings cannot be kept in a hash aggregate; these can.
+    Among ids of one length text order is number order, so every length
+    could keep its maximum; ids of up to 17 digits share one number that
+    sorts as their texts do: the digits moved to the front of 17 places,
+    then the length. Negative ids sort before all others, and among one
+    length the smallest is last. Returns the aggregates and the expression
+    that makes the text of them.
+    """
+    def key(x: Column) -> Column:
+        out = F.lit(None).cast("long")
+        for d in range(_ALIGNED, 0, -1):
+            out = F.when(x < 10 ** d, x * (20 * 10 ** (_ALIGNED - d)) + d).otherwise(out)
+        return out
+
+    source = source.cast("long")
+    size = F.abs(source)
+    parts = {}
+    for sign, mine in (("p", source >= 0), ("m", (source < 0) & (size >= 0))):
+        short = mine & (size < 10 ** _ALIGNED)
+        parts[f"_{sign}17"] = F.max(F.when(short, key(size)))
+        parts[f"_{sign}18"] = F.max(F.when(mine & ~short & (size < 10 ** 18), size))
+        parts[f"_{sign}19"] = F.max(F.when(mine & (size >= 10 ** 18), size))
+    # The one id whose absolute value is no long.
+    parts["_least"] = F.count_if(source == -(1 << 63))
+
+    def text(sign: str) -> Column:
+        k = F.col(f"_{sign}17")
+        digits = F.lpad(F.expr(f"_{sign}17 div 20").cast("string"), _ALIGNED, "0")
+        return F.greatest(F.substr(digits, F.lit(1), F.pmod(k, F.lit(20)).cast("int")),
+                          F.col(f"_{sign}18").cast("string"), F.col(f"_{sign}19").cast("string"),
+                          F.lit(None).cast("string"))
+
+    negative = F.greatest(F.concat(F.lit("-"), text("m")),
+                          F.when(F.col("_least") > 0, F.lit(str(-(1 << 63)))))
+    return parts, F.coalesce(text("p"), negative)
+
+
 def object_summary(points: DataFrame, object_col: str = "object_id",
                    source_col: str = "source_id", ra_col: str = "ra",
                    decl_col: str = "decl", numeric_last: bool = False) -> DataFrame:
@@ -46,14 +91,22 @@ def object_summary(points: DataFrame, object_col: str = "object_id",
     compares numbers instead.
     """
     src = F.col(source_col)
-    last = F.max(src) if numeric_last else F.max(src.cast("string"))
+    whole = isinstance(points.schema[source_col].dataType, T.IntegralType)
+    if numeric_last:
+        parts, last = {"last_source": F.max(src)}, F.col("last_source")
+    elif whole:
+        parts, last = _last_as_text(src)
+    else:
+        parts, last = {"last_source": F.max(src.cast("string"))}, F.col("last_source")
     return (points.where(F.col(object_col).isNotNull())
             .groupBy(object_col)
             .agg(F.count(F.lit(1)).alias("n_sources"),
-                 last.alias("last_source"),
+                 *[c.alias(name) for name, c in parts.items()],
                  F.min(ra_col).alias("min_ra"), F.max(ra_col).alias("max_ra"),
                  F.min(decl_col).alias("min_decl"),
-                 F.max(decl_col).alias("max_decl")))
+                 F.max(decl_col).alias("max_decl"))
+            .select(object_col, "n_sources", last.alias("last_source"), "min_ra", "max_ra",
+                    "min_decl", "max_decl"))
 
 
 def bounds(points: DataFrame, ra_col: str = "ra", decl_col: str = "decl",

@@ -1,10 +1,7 @@
-from .jobs import (bounds_job, grid_assignment, materialize,
-                   neighbour_assignment, neighbour_pairs,
-                   object_count_job, object_summary_job,
-                   run_grid_job, run_object_count_job, run_object_summary_job,
+from .jobs import (grid_assignment, neighbour_assignment, neighbour_pairs, run_grid_job,
+                   run_object_count_job, run_object_summary_job,
                    run_partition_job, run_strip_job, strip_assignment)
 
-__all__ = ["bounds_job", "grid_assignment", "materialize",
-           "neighbour_assignment", "neighbour_pairs", "object_count_job", "object_summary_job",
+__all__ = ["grid_assignment", "neighbour_assignment", "neighbour_pairs",
            "run_grid_job", "run_object_count_job", "run_object_summary_job",
            "run_partition_job", "run_strip_job", "strip_assignment"]

@@ -1,36 +1,38 @@
 """Whole catalogue jobs (J1-J6), composed from the operators.
 
-Each job is a lazy DataFrame pipeline; the ``run_*`` variants also write
-their output. Bounds are computed by a global aggregate and joined back
-as one broadcast row, so a job is one query plan, not a driver round
-trip between passes.
+The ``*_assignment`` functions are lazy pipelines, but for the bounding
+box: its four numbers are computed first (one aggregate over two columns)
+and enter the plan as literals. The ``run_*`` functions also write their
+output and return what they report. Tables they store on the way lie under
+the shared checkpoint folder and are deleted at the end.
+
+``store_points`` is for row-oriented input (CSV), where every pass parses
+every byte: the points are parsed once, stored as narrow Parquet, and all
+passes read that. With Parquet input the passes read only what they need,
+and nothing is stored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions.sizing import collect_small
-from ..operators.capacity import MAX_PER_CELL, ROWS_PER_TASK, capacity_split
+from ..functions.sizing import MAX_SMALL_ROWS, collect_small, is_small
+from ..operators.capacity import (MAX_PER_CELL, ORDER, ROWS_PER_TASK, capacity_split,
+                                  cell_counts)
 from ..operators.grid import (DECL_PADDING, RA_PADDING, assign_cell,
                               assign_padded, grid_side)
-from ..operators.histogram import cell_histogram
+from ..operators.histogram import capped_histogram, cell_histogram
 from ..operators.strips import N_STRIPS, STRIP_MARGIN, assign_strips
 from ..operators.summary import bounds, object_counts, object_summary
-from ..session import write_scratch_table
+from ..session import scratch_scope, scratch_scope_off, write_scratch_table
 from ..sinks.cells import ROWS_PER_FILE, write_cells, write_rows
 
 MIN_CELLS = 40  # default grid size: 5 GB inputs / 128 MB outputs
 
 
-def grid_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
-                    spread=None) -> DataFrame:
-    """J1 body: raw bounds (A4), ``n x n`` grid (G1), one cell per point (G2).
-
-    ``spread`` as in :func:`neighbour_pairs`."""
-    n = grid_side(min_cells)
-    work = spread(points) if spread else points
-    return assign_cell(work, bounds(points), n)
+def grid_assignment(points: DataFrame, min_cells: int = MIN_CELLS) -> DataFrame:
+    """J1 body: raw bounds (A4), ``n x n`` grid (G1), one cell per point (G2)."""
+    return assign_cell(points, bounds(points), grid_side(min_cells))
 
 
 def strip_assignment(points: DataFrame, n_strips: int = N_STRIPS,
@@ -41,15 +43,9 @@ def strip_assignment(points: DataFrame, n_strips: int = N_STRIPS,
 
 def neighbour_pairs(points: DataFrame, min_cells: int = MIN_CELLS,
                     ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
-                    decl_band: str = "j", spread=None) -> DataFrame:
-    """J3 first half: re-centred bounds (A5), padded cells (G4).
-
-    ``spread`` (default: none) is applied to the points before the
-    per-point cell expansion, e.g. ``spread_small_scan``.
-    """
-    n = grid_side(min_cells)
-    work = spread(points) if spread else points
-    return assign_padded(work, bounds(points, recentre=True), n,
+                    decl_band: str = "j") -> DataFrame:
+    """J3 first half: re-centred bounds (A5), padded cells (G4)."""
+    return assign_padded(points, bounds(points, recentre=True), grid_side(min_cells),
                          ra_pad, decl_pad, decl_band=decl_band)
 
 
@@ -57,125 +53,111 @@ def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
                          ra_pad: float = RA_PADDING,
                          decl_pad: float = DECL_PADDING,
                          cap: int = MAX_PER_CELL,
-                         order_by: tuple[str, ...] = ("source_id",),
+                         order_by: tuple[str, ...] = ORDER,
                          decl_band: str = "j", method: str = "auto",
-                         spread=None, cell_rows_bound: int | None = None) -> DataFrame:
+                         cell_rows_bound: int | None = None) -> DataFrame:
     """J3 body: padded cells (A5, G4) then the capacity split (G5), lazily.
 
-    Output: the input columns plus ``i, j, cell, cell_rank, out_cell``.
+    Output: the input columns plus ``i, j, cell, cell_rank, overflow``.
     ``cell_rows_bound``: a known bound on any cell's size, such as the
     number of points (a point is in a given cell at most once); it lets
     ``method="auto"`` skip the statistics pass. For parquet inputs
     ``points.count()`` reads only file footers.
     """
-    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band, spread)
+    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
     return capacity_split(pairs, cap, order_by=order_by, method=method,
                           cell_rows_bound=cell_rows_bound)
 
 
-def object_summary_job(points: DataFrame, **kwargs) -> DataFrame:
-    """J4 body: null objects dropped (F1), per-object summary (A3)."""
-    return object_summary(points, **kwargs)
-
-
-def object_count_job(points: DataFrame) -> DataFrame:
-    """J5 body: per-object counts (A2)."""
-    return object_counts(points)
-
-
-def bounds_job(points: DataFrame, recentre: bool = False) -> DataFrame:
-    """J6 body: bounding box (A4, or A5 with ``recentre``)."""
-    return bounds(points, recentre=recentre)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Store ``df`` under the shared checkpoint folder (see
-    :func:`skytiles.session.write_scratch_table`) so later passes
-    (statistics, ranking, writing) neither rescan the input nor recompute
-    the assignment."""
-    return write_scratch_table(df, name)
-
-
 def run_partition_job(points: DataFrame, output_dir: str,
                       columns: list[str] | None = None, fmt: str = "parquet",
                       min_cells: int = MIN_CELLS, ra_pad: float = RA_PADDING,
                       decl_pad: float = DECL_PADDING, cap: int = MAX_PER_CELL,
-                      order_by: tuple[str, ...] = ("source_id",),
+                      order_by: tuple[str, ...] = ORDER,
                       decl_band: str = "j", method: str = "auto",
                       rows_per_task: int = ROWS_PER_TASK,
-                      store_pairs: bool = False) -> DataFrame:
-    """J3 end to end; returns the per-output-cell histogram (A6).
-
-    Passes over the data: the bounds (two columns); the cap's statistics
-    (cells from two columns, reduced to one row); then assignment, ranking
-    and the write, hash-spread on the output cell (every output cell
-    holds at most ``cap`` rows). The histogram counts the written rows
-    (partition column only). With a columnar input the first two passes
-    read only RA and Decl, so recomputing the cells is cheaper than
-    storing every column of the pairs. For row-oriented inputs (CSV),
-    where each pass reads every byte, ``store_pairs=True`` stores the
-    pairs once in the shared checkpoint folder and later passes read them.
-    When a hot cell needs the two-phase rank, that path stores its input.
+                      store_points: bool = False,
+                      mode: str = "errorifexists") -> DataFrame:
+    """J3 end to end; returns the histogram of the outputs (A6).
+
+    Passes over the points: the bounds (two columns), the stars per cell
+    (two columns, one small table), then assignment, ranking and the write,
+    hash-spread on the output (every output holds at most ``cap`` rows).
+    Outputs are ``cell=<name>/k=<overflow>``. The histogram follows from the
+    stars per cell and the cap; the outputs are not listed or read.
     """
-    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
-    if store_pairs:
-        pairs = materialize(pairs, "partition-pairs")
-    capped = capacity_split(pairs, cap, order_by=order_by, method=method,
-                            rows_per_task=rows_per_task)
-    write_cells(capped.drop("cell", "i", "j", "cell_rank")
-                .withColumnRenamed("out_cell", "cell"),
-                output_dir, columns=columns, fmt=fmt, partitioning="hash")
-    return _written_histogram(points.sparkSession, output_dir, fmt)
+    spark = points.sparkSession
+    with scratch_scope(spark):
+        if store_points:
+            points = write_scratch_table(points, "partition-points")
+        pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
+        counts = write_scratch_table(cell_counts(pairs), "partition-counts")
+        capped = capacity_split(pairs, cap, order_by=order_by, method=method,
+                                rows_per_task=rows_per_task, counts=counts)
+        write_cells(capped.drop("i", "j", "cell_rank"), output_dir, columns=columns, fmt=fmt,
+                    partitioning="hash", overflow_col="overflow", mode=mode)
+        kept = _kept(counts)
+    return capped_histogram(kept, cap)
 
 
 def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
                  columns: list[str] | None = None, fmt: str = "parquet",
-                 rows_per_file: int = ROWS_PER_FILE, spread=None) -> DataFrame:
+                 rows_per_file: int = ROWS_PER_FILE, store_points: bool = False,
+                 mode: str = "errorifexists") -> DataFrame:
     """J1 end to end: write one directory per cell, return the histogram.
 
     The assignment is a column expression, so it is not stored: the
     histogram (one row per cell) is an aggregate that reads only RA and
     Decl from the input, and it salts large cells over several writers.
     """
-    cells = grid_assignment(points, min_cells, spread).drop("i", "j")
-    hist = _small(cell_histogram(cells))
-    write_cells(cells, output_dir, columns=columns, fmt=fmt,
-                cell_counts=hist, rows_per_file=rows_per_file)
-    return hist
+    with scratch_scope(points.sparkSession):
+        if store_points:
+            points = write_scratch_table(points, "grid-points")
+        cells = grid_assignment(points, min_cells).drop("i", "j")
+        return _written(cells, output_dir, columns, fmt, rows_per_file, mode)
 
 
 def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
                   margin: float = STRIP_MARGIN, columns: list[str] | None = None,
-                  fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+                  fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE,
+                  store_points: bool = False, mode: str = "errorifexists") -> DataFrame:
     """J2 end to end: write one directory per strip, return the histogram.
 
     Strip membership is a pure column expression, so the strip counts are
     one cheap aggregate over the input; they salt large strips over
     several writers.
     """
-    strips = strip_assignment(points, n_strips, margin).drop("strip")
-    hist = _small(cell_histogram(strips))
-    write_cells(strips, output_dir, columns=columns, fmt=fmt,
-                cell_counts=hist, rows_per_file=rows_per_file)
-    return hist
+    with scratch_scope(points.sparkSession):
+        if store_points:
+            points = write_scratch_table(points, "strip-points")
+        strips = strip_assignment(points, n_strips, margin).drop("strip")
+        return _written(strips, output_dir, columns, fmt, rows_per_file, mode)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A per-cell result, computed once when it is small (checked)."""
-    return collect_small(df)
+def _written(cells: DataFrame, output_dir: str, columns: list[str] | None, fmt: str,
+             rows_per_file: int, mode: str) -> DataFrame:
+    counts = write_scratch_table(cell_histogram(cells), "cell-counts")
+    write_cells(cells, output_dir, columns=columns, fmt=fmt, cell_counts=counts,
+                rows_per_file=rows_per_file, mode=mode)
+    return _kept(counts)
 
 
-def _written_histogram(spark, output_dir: str, fmt: str) -> DataFrame:
-    # Only the partition column is read: no data column is decoded.
-    written = spark.read.format(fmt).schema("cell string").load(output_dir)
-    return cell_histogram(written)
+def _kept(counts: DataFrame) -> DataFrame:
+    """A per-cell table that outlives the scratch folder: held by the driver
+    up to a checked size, stored outside the scope beyond it."""
+    if is_small(counts, MAX_SMALL_ROWS):
+        return collect_small(counts, MAX_SMALL_ROWS)
+    with scratch_scope_off():
+        return write_scratch_table(counts, "kept-counts")
 
 
-def run_object_summary_job(points: DataFrame, output_dir: str, **kwargs) -> None:
+def run_object_summary_job(points: DataFrame, output_dir: str,
+                           mode: str = "errorifexists", **kwargs) -> None:
     """J4 end to end: summary rows as header-less CSV lines (K2)."""
-    write_rows(object_summary_job(points, **kwargs), output_dir)
+    write_rows(object_summary(points, **kwargs), output_dir, mode)
 
 
-def run_object_count_job(points: DataFrame, output_dir: str) -> None:
+def run_object_count_job(points: DataFrame, output_dir: str,
+                         mode: str = "errorifexists") -> None:
     """J5 end to end: ``object_id,count`` lines (K2)."""
-    write_rows(object_count_job(points), output_dir)
+    write_rows(object_counts(points), output_dir, mode)

@@ -8,6 +8,7 @@ session has none, which is the case for local tests.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -27,6 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # Local runs handle small data: keep several tasks per stage rather
         # than coalescing a few MB into one (per-file write costs add up).
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # As many scan tasks as cores where the files can be split.
+        .config("spark.sql.files.minPartitionNum", str(cores if cores != "*" else 8))
+        .config("spark.sql.files.openCostInBytes", "256k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
@@ -66,9 +70,51 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes at its end the scratch paths handed out inside it. For jobs
+    that finish their work; a frame that is read later must not depend on
+    such a path."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(where):
+                fs.delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch_scope_off():
+    """Scratch paths handed out inside outlive the scopes around."""
+    held = _open_scopes[:]
+    _open_scopes.clear()
+    try:
+        yield
+    finally:
+        _open_scopes[:] = held
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, on any file system Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(where).getLength()
 
 
 def write_scratch_table(df, name: str):

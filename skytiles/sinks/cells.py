@@ -8,7 +8,7 @@ spread over writer tasks before the write (G6) is a choice:
   after the capacity split (at most ``cap`` rows per output cell).
 * ``salted`` (needs per-cell counts, one row per cell): a cell with ``n``
   rows is hashed over ``ceil(n / rows_per_file)`` writer tasks by a salt
-  derived from the row's tie-break columns, so a cell holding a third of
+  derived from the row's columns, so a cell holding a third of
   all rows is written by many tasks. The counts come from the job's own
   histogram, so this costs no extra pass over the data.
 * ``range`` (default when no counts are given): range partitioning on
@@ -42,23 +42,28 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
                 rows_per_file: int = ROWS_PER_FILE,
                 num_partitions: int | None = None,
                 max_records_per_file: int | None = None,
-                mode: str = "overwrite") -> None:
+                overflow_col: str | None = None,
+                mode: str = "errorifexists") -> None:
     """K1 + G6: write one directory per cell.
 
     ``columns`` selects the payload (default: every column); the original
-    job wrote only ``ra,decl``. ``split_by`` are tie-break columns used to
-    spread a large cell over several tasks (default: the payload's first
-    column). ``partitioning`` is ``hash``, ``salted`` or ``range``
-    (default: ``salted`` when ``cell_counts`` - columns ``cell, n_stars``,
-    one row per cell - is given, else ``range``).
+    job wrote only ``ra,decl``. ``split_by`` are the columns that spread a
+    large cell over several tasks (default: the whole payload, so only
+    equal rows stay together). ``partitioning`` is ``hash``, ``salted`` or
+    ``range`` (default: ``salted`` when ``cell_counts`` - columns ``cell,
+    n_stars``, one row per cell - is given, else ``range``). With
+    ``overflow_col`` an output is ``cell=<name>/k=<overflow>``: the name of
+    a directory stays short however many outputs a cell has. An output
+    folder that exists is an error, unless ``mode="overwrite"``.
     """
-    payload = columns or [c for c in df.columns if c != cell_col]
-    split = split_by if split_by is not None else payload[:1]
+    outputs = [cell_col] + ([overflow_col] if overflow_col else [])
+    payload = columns or [c for c in df.columns if c not in outputs]
+    split = split_by if split_by is not None else payload
     mode_ = partitioning or ("salted" if cell_counts is not None else "range")
-    out = df.select(cell_col, *payload, *[c for c in split if c not in payload])
+    out = df.select(*outputs, *payload, *[c for c in split if c not in payload])
     if mode_ == "hash":
-        out = (out.repartition(num_partitions, cell_col) if num_partitions
-               else out.repartition(cell_col))
+        out = (out.repartition(num_partitions, *outputs) if num_partitions
+               else out.repartition(*outputs))
     elif mode_ == "salted":
         if cell_counts is None:
             raise ValueError("salted partitioning needs cell_counts")
@@ -68,16 +73,18 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
                        .cast("int")).alias("_ways"))
         out = out.join(broadcast_if_small(ways), cell_col, "left").withColumn(
             "_salt", F.pmod(F.xxhash64(*split), F.coalesce("_ways", F.lit(1))))
-        out = (out.repartition(num_partitions, cell_col, "_salt") if num_partitions
-               else out.repartition(cell_col, "_salt"))
+        out = (out.repartition(num_partitions, *outputs, "_salt") if num_partitions
+               else out.repartition(*outputs, "_salt"))
     elif mode_ == "range":
-        keys = [cell_col] + split
+        keys = outputs + [c for c in split if c not in outputs]
         out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
                else out.repartitionByRange(*keys))
     else:
         raise ValueError("partitioning must be hash, salted or range")
-    out = out.select(cell_col, *payload)
-    writer = out.write.mode(mode).partitionBy(cell_col).format(fmt)
+    out = out.select(*[F.col(c).alias("k") if c == overflow_col else c for c in outputs],
+                     *payload)
+    parts = [cell_col] + (["k"] if overflow_col else [])
+    writer = out.write.mode(mode).partitionBy(*parts).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "false")
     if max_records_per_file:
@@ -86,17 +93,20 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
 
 
 def read_cells(spark: SparkSession, path: str, payload_schema: T.StructType,
-               cell_col: str = "cell", fmt: str = "parquet") -> DataFrame:
-    """Read a K1 output back; ``cell`` is a string column."""
+               cell_col: str = "cell", fmt: str = "parquet",
+               overflow: bool = False) -> DataFrame:
+    """Read a K1 output back; ``cell`` is a string column. ``overflow`` for
+    outputs with a ``k`` level (long)."""
     schema = T.StructType(list(payload_schema.fields)
-                          + [T.StructField(cell_col, T.StringType())])
+                          + [T.StructField(cell_col, T.StringType())]
+                          + ([T.StructField("k", T.LongType())] if overflow else []))
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "false")
     return reader.load(path)
 
 
-def write_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """K2: aggregate rows as header-less comma-separated lines."""
     df.write.mode(mode).option("header", "false").csv(path)
 

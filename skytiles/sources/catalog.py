@@ -75,9 +75,12 @@ def source_points(source: DataFrame, keep: list[str] | None = None) -> DataFrame
     return source.select(*cols)
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """S3: plain text lines, one row per line in column ``value``."""
-    return spark.read.text(_paths(path))
+def read_lines(spark: SparkSession, path: str | list[str],
+               line_sep: str | None = None) -> DataFrame:
+    """S3: plain text lines, one row per line in column ``value``. Without
+    ``line_sep`` any of the usual line ends separates lines."""
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    return reader.text(_paths(path))
 
 
 def _paths(path: str | list[str]) -> list[str]:

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .balance import spread_small_scan
+from ..session import scratch_path
+from .catalog import read_lines
 
 SKY_SQL = {
     "source_id": "l_orderkey * 8 + l_linenumber",
@@ -35,17 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sky_points(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Points view over ``lineitem`` (see module docstring).
-
-    ``spread=True`` hash-spreads a scan with fewer splits than cores (see
-    :mod:`skytiles.sources.balance`); worth it before per-row expansion
-    (cell candidates, strips), not before a plain aggregate.
-    """
+def sky_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points view over ``lineitem`` (see module docstring)."""
     li = table(spark, sf_dir, "lineitem")
-    pts = li.select(*[F.expr(e).alias(n) for n, e in SKY_SQL.items()],
-                    *SKY_ATTRIBUTES)
-    return spread_small_scan(pts, "source_id") if spread else pts
+    return li.select(*[F.expr(e).alias(n) for n, e in SKY_SQL.items()],
+                     *SKY_ATTRIBUTES)
 
 
 def sky_sql_view() -> str:
@@ -56,12 +51,12 @@ def sky_sql_view() -> str:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines of ``documents``: every text split on newline, one row each.
-
-    Same ``value`` column as :func:`skytiles.sources.catalog.read_lines`.
-    """
-    docs = spread_small_scan(table(spark, sf_dir, "documents"), "doc_id")
-    return docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    """Text lines of ``documents``: every text written to text files and
+    scanned back by :func:`skytiles.sources.catalog.read_lines`."""
+    path = scratch_path(spark, "document-lines")
+    table(spark, sf_dir, "documents").where("text is not null").select("text") \
+        .write.option("lineSep", "\n").text(path)
+    return read_lines(spark, path, line_sep="\n")
 
 
 # A hot region: every third order's stars moved into a 0.01-degree box
@@ -84,3 +79,24 @@ def hot_sky_sql_view() -> str:
     cols = ",\n    ".join(f"{e} AS {n}" for n, e in HOT_SQL.items())
     return (f"SELECT\n    {cols},\n    {', '.join(SKY_ATTRIBUTES)}\n"
             f"  FROM lineitem")
+
+
+# Some stars without a usable coordinate.
+BAD_SQL = dict(SKY_SQL)
+BAD_SQL["ra"] = ("CASE WHEN l_returnflag = 'R' THEN NULL "
+                 "ELSE l_extendedprice % 360.0 END")
+BAD_SQL["decl"] = ("CASE WHEN l_linestatus = 'F' AND l_linenumber = 1 THEN NULL "
+                   "ELSE l_quantity * 2.0 - 50.0 + l_tax END")
+
+
+def bad_sky_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points view with missing coordinates (``BAD_SQL``)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*[F.expr(e).alias(n) for n, e in BAD_SQL.items()],
+                     *SKY_ATTRIBUTES)
+
+
+def bad_sky_sql_view() -> str:
+    cols = ",\n    ".join(f"{e} AS {n}" for n, e in BAD_SQL.items())
+    return (f"SELECT\n    {cols},\n    {', '.join(SKY_ATTRIBUTES)}\n"
+            f"  FROM lineitem")

@@ -1,5 +1,3 @@
-from .partition import (cell_counts, latest_counts, process_batch,
-                        read_stream_output, start_partition_stream)
+from .partition import read_stream_output, start_partition_stream
 
-__all__ = ["cell_counts", "latest_counts", "process_batch",
-           "read_stream_output", "start_partition_stream"]
+__all__ = ["read_stream_output", "start_partition_stream"]

@@ -1,108 +1,41 @@
 """Incremental neighbour-aware partitioning with Structured Streaming.
 
 New catalogue files arriving in a directory are assigned to padded grid
-cells (G4) batch by batch and appended to the per-cell outputs, with the
-cap per output cell (G5) kept across batches: the cell's running count
-is the stream's state. This is the arrival-order counter of the original
-job made exact: within a batch points are ranked by a total order and
-shifted by the number already written to the cell.
+cells (G4) and appended to the per-cell outputs, with the cap per output
+cell (G5) kept over the whole stream: a cell's running count is Spark's own
+keyed state, and its next star goes to output ``count // cap``. The order
+in a cell is the order of arrival, as in the original job.
 
-The grid must be known up front (a stream has no "all rows" to take
-bounds from): pass a one-row bounds DataFrame, e.g. from a batch bounds
-job over existing data, or the whole sky.
-
-Each micro-batch runs pure DataFrame operations in ``foreachBatch``:
+Outputs are ``cell=<name>/k=<overflow>`` Parquet files of the streaming
+file sink, so state, files and progress commit together (exactly once).
 
-* state: a small table ``cell, n, batch`` (one row per cell per
-  version) under the state folder; batch ``b`` reads the latest version
-  before ``b`` and writes version ``b``;
-* output: ``output/batch=<id>/cell=<name>/part-*``, each batch written
-  with a plain overwrite of its own directory, so a replayed batch
-  rewrites exactly its own files.
+The grid must be known up front (a stream has no "all rows" to take
+bounds from): pass a box, e.g. from a batch bounds job over existing data,
+or the whole sky. Stars outside the padded box go to the cell ``outside``;
+none is lost.
 
-Both writes are keyed by the batch id, so re-running a batch after a
-failure gives the same result (exactly-once together with the stream
-checkpoint).
+The rows of a cell in one micro-batch pass through one task, a chunk at a
+time; bound the micro-batch (``maxFilesPerTrigger``, ``maxBytesPerTrigger``)
+to bound that.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.sizing import collect_small
-from ..operators.capacity import MAX_PER_CELL, capacity_split
+from ..operators.capacity import MAX_PER_CELL
 from ..operators.grid import DECL_PADDING, RA_PADDING, assign_padded
 
-STATE_SCHEMA = "cell string, n long, batch long"
-
-
-def latest_counts(spark, state_dir: str, before_batch: int) -> DataFrame:
-    """Cumulative points per cell as of the last batch before ``before_batch``.
-
-    Executed micro-batches have consecutive ids, so the previous version is
-    read directly (one small file, whatever the stream's age); scanning
-    all versions is only the fallback.
-    """
-    empty = spark.createDataFrame([], STATE_SCHEMA).select("cell", "n")
-    if before_batch <= 0:
-        return empty
-    try:
-        prev = spark.read.schema("cell string, n long").parquet(
-            f"{state_dir.rstrip('/')}/batch={before_batch - 1}")
-        prev.schema  # resolves the path now
-        return prev
-    except Exception:  # previous version missing: fall back to a scan
-        pass
-    try:
-        st = spark.read.schema(STATE_SCHEMA).parquet(state_dir)
-    except Exception:  # no state written yet
-        return empty
-    st = st.where(F.col("batch") < before_batch)
-    last = st.agg(F.max("batch").alias("b"))
-    # ``last`` is a global aggregate: exactly one row.
-    return st.join(F.broadcast(last), st["batch"] == last["b"]).select("cell", "n")
-
-
-def process_batch(batch: DataFrame, batch_id: int, output_dir: str,
-                  state_dir: str, cap: int, order_by: list[str],
-                  columns: list[str] | None = None) -> None:
-    """Rank one micro-batch of (point, cell) pairs after the cells' running
-    counts, write it, then write the new counts."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    size = batch.count()  # bounds every cell of the batch
-    # One row per cell: read the state once (size-checked).
-    prev = collect_small(latest_counts(spark, state_dir, batch_id))
-    ranked = capacity_split(batch, cap, order_by=order_by, method="auto",
-                            cell_rows_bound=size,
-                            start_offsets=prev.withColumnRenamed("n", "offset"))
-    payload = columns or [c for c in batch.columns if c not in ("cell", "i", "j")]
-    # Writers: one per output cell of this batch at most (base cells plus
-    # their overflow cells), at most one per core. A fixed count keeps AQE
-    # from folding a small batch's many cell files into one task.
-    n_cells = batch.select("cell").distinct().count()
-    writers = max(1, min(spark.sparkContext.defaultParallelism,
-                         n_cells + -(-size // cap)))
-    (ranked.select(F.col("out_cell").alias("cell"), *payload)
-     .repartition(writers, "cell")
-     .write.mode("overwrite").partitionBy("cell")
-     .parquet(f"{output_dir.rstrip('/')}/batch={batch_id}"))
-    added = batch.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-    counts = (prev.join(added, "cell", "full")
-              .select("cell", (F.coalesce("n", F.lit(0))
-                               + F.coalesce("m", F.lit(0))).alias("n"))
-              .withColumn("batch", F.lit(batch_id).cast("long")))
-    (counts.drop("batch").coalesce(1).write.mode("overwrite")
-     .parquet(f"{state_dir.rstrip('/')}/batch={batch_id}"))
-    batch.unpersist()
+OUTSIDE = "outside"
 
 
-def start_partition_stream(points: DataFrame, bounds, n: int,
-                           output_dir: str, state_dir: str,
+def start_partition_stream(points: DataFrame, bounds, n: int, output_dir: str,
                            checkpoint_dir: str, cap: int = MAX_PER_CELL,
-                           order_by: list[str] | tuple[str, ...] = ("source_id",),
                            ra_pad: float = RA_PADDING,
                            decl_pad: float = DECL_PADDING,
                            columns: list[str] | None = None,
@@ -119,13 +52,26 @@ def start_partition_stream(points: DataFrame, bounds, n: int,
     """
     if not points.isStreaming:
         raise ValueError("points must be a streaming DataFrame")
-    pairs = assign_padded(points, bounds, n, ra_pad, decl_pad,
-                          recentre=recentre, decl_band=decl_band)
-    order_by = list(order_by)
-    writer = (pairs.writeStream
-              .foreachBatch(lambda df, bid: process_batch(
-                  df, bid, output_dir, state_dir, cap, order_by, columns))
-              .option("checkpointLocation", checkpoint_dir))
+    if cap < 1:
+        raise ValueError("cap must be >= 1")
+    payload = columns or points.columns
+    pairs = assign_padded(points, bounds, n, ra_pad, decl_pad, recentre=recentre,
+                          decl_band=decl_band, outside=OUTSIDE).select("cell", *payload)
+
+    def append(_, chunks, state):
+        seen = state.get[0] if state.exists else 0
+        for rows in chunks:
+            yield rows.assign(nth=seen + np.arange(len(rows)))
+            seen += len(rows)
+        state.update((seen,))
+
+    out = T.StructType([*pairs.schema.fields, T.StructField("nth", T.LongType())])
+    writer = (pairs.groupBy("cell")
+              .applyInPandasWithState(append, out, "seen long", "append",
+                                      GroupStateTimeout.NoTimeout)
+              .withColumn("k", F.floor(F.col("nth") / F.lit(cap))).drop("nth")
+              .writeStream.format("parquet").partitionBy("cell", "k").outputMode("append")
+              .option("path", output_dir).option("checkpointLocation", checkpoint_dir))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -134,14 +80,7 @@ def start_partition_stream(points: DataFrame, bounds, n: int,
 
 
 def read_stream_output(spark, output_dir: str, payload_schema: str) -> DataFrame:
-    """Read the stream's output; ``cell`` stays a string."""
-    return (spark.read.schema(f"{payload_schema}, cell string, batch long")
+    """Read the stream's output; ``cell`` stays a string, ``k`` is the
+    overflow number."""
+    return (spark.read.schema(f"{payload_schema}, cell string, k long")
             .parquet(output_dir))
-
-
-def cell_counts(output: DataFrame) -> DataFrame:
-    """Points per output cell over all batches."""
-    return output.groupBy("cell").agg(F.count(F.lit(1)).alias("n_stars"))
-
-
-

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import points_df
-from skytiles.operators import assign_padded, bounds, capacity_split
+from skytiles.operators import assign_padded, bounds, capacity_split, with_out_cell
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def pairs(spark):
 
 
 def _ranks(df):
-    return {(r.source_id, r.cell): (r.cell_rank, r.out_cell) for r in df.collect()}
+    return {(r.source_id, r.cell): (r.cell_rank, r.overflow) for r in df.collect()}
 
 
 def test_window_equals_two_phase(pairs):
@@ -29,7 +29,7 @@ def test_window_equals_two_phase(pairs):
 
 
 def test_cap_holds_and_counts_kept(pairs):
-    out = capacity_split(pairs, 100, method="two_phase", rows_per_task=64)
+    out = with_out_cell(capacity_split(pairs, 100, method="two_phase", rows_per_task=64))
     per_out = out.groupBy("out_cell").count()
     assert per_out.agg(F.max("count")).first()[0] <= 100
     base = {r.cell: r["count"] for r in pairs.groupBy("cell").count().collect()}
@@ -42,14 +42,15 @@ def test_cap_holds_and_counts_kept(pairs):
 def test_rank_follows_order(spark):
     df = points_df(spark, [(s, None, 0.0, 0.0) for s in (5, 3, 9, 1)]) \
         .withColumn("cell", F.lit("0.0"))
-    got = {r.source_id: r.out_cell for r in capacity_split(df, 2).collect()}
+    got = {r.source_id: r.out_cell for r in with_out_cell(capacity_split(df, 2)).collect()}
     assert got == {1: "0.0", 3: "0.0", 5: "0.0bis", 9: "0.0bis"}
 
 
 def test_suffix_configurable(spark):
     df = points_df(spark, [(s, None, 0.0, 0.0) for s in range(3)]) \
         .withColumn("cell", F.lit("1.2"))
-    got = sorted(r.out_cell for r in capacity_split(df, 1, suffix="second").collect())
+    got = sorted(r.out_cell for r in with_out_cell(capacity_split(df, 1),
+                                                   suffix="second").collect())
     assert got == ["1.2", "1.2second", "1.2secondsecond"]
 
 
@@ -68,5 +69,5 @@ def test_two_phase_with_clumped_and_repeated_ids(spark):
     order = ["source_id", "ra"]
     a = capacity_split(df, 40, order_by=order, method="window")
     b = capacity_split(df, 40, order_by=order, method="two_phase", rows_per_task=100)
-    key = lambda d: sorted((r.ra, r.cell_rank, r.out_cell) for r in d.collect())
+    key = lambda d: sorted((r.ra, r.cell_rank, r.overflow) for r in d.collect())
     assert key(a) == key(b)

@@ -2,7 +2,9 @@ import contextlib
 import io
 import os
 
-from conftest import SOURCE_SAMPLE, needs_sample
+import pytest
+
+from skytiles.session import checkpoint_root
 from skytiles.__main__ import main
 from skytiles.sources import source_schema
 from skytiles.sources.schemas import column_index
@@ -33,11 +35,11 @@ def test_cli_jobs_on_a_catalogue(spark, tmp_dir):
                      for k in range(900)])
     lines = run(spark, ["partition", "9", cat, f"{tmp_dir}/p", "--cap", "100",
                         "--columns", "ra,decl", "--out-format", "csv",
-                        "--store-pairs", "--rows-per-task", "200"])
+                        "--rows-per-task", "200"])
     assert lines and all("-->" in ln for ln in lines)
     assert any(ln.split("-->")[0].endswith("bis") for ln in lines)
-    part = next(f for d in os.listdir(f"{tmp_dir}/p") if d.startswith("cell=")
-                for f in [os.path.join(f"{tmp_dir}/p", d)])
+    part = next(os.path.join(f"{tmp_dir}/p", d, "k=0") for d in os.listdir(f"{tmp_dir}/p")
+                if d.startswith("cell="))
     first = open(os.path.join(part, next(x for x in os.listdir(part)
                                          if x.startswith("part-")))).readline()
     assert len(first.strip().split(",")) == 2
@@ -49,12 +51,44 @@ def test_cli_jobs_on_a_catalogue(spark, tmp_dir):
     assert len(os.listdir(f"{tmp_dir}/sum")) > 0
 
 
-@needs_sample
-def test_cli_bounds_and_partition_on_the_sample(spark, tmp_dir):
-    (line,) = run(spark, ["bounds", SOURCE_SAMPLE])
-    assert "357.9542095807038" in line and "3.1752713951351934" in line
-    lines = run(spark, ["partition", "5", SOURCE_SAMPLE, f"{tmp_dir}/out"])
-    bars = dict(ln.split("-->") for ln in lines)
-    # 3 x 3 grid: every column holds 19, 13 and 37 stars (bars 2, 2, 2).
-    assert sorted(bars) == [f"{i}.{j}" for i in range(3) for j in range(3)]
-    assert set(bars.values()) == {"**"}
+def test_cli_bounds_and_partition_on_the_sample(spark, tmp_dir, source_sample, sample_sql):
+    (line,) = run(spark, ["bounds", source_sample])
+    for value in sample_sql.execute("SELECT min(ra), max(decl) FROM star").fetchone():
+        assert repr(value) in line
+    lines = run(spark, ["partition", "5", source_sample, f"{tmp_dir}/out"])
+    assert sorted(ln.split("-->")[0] for ln in lines) == [
+        f"{i}.{j}" for i in range(3) for j in range(3)]
+
+
+def test_cli_sizes_the_grid_by_bytes_and_overwrites_when_told(spark, tmp_dir, source_sample):
+    size = os.path.getsize(source_sample)
+    argv = ["grid", "auto", source_sample, f"{tmp_dir}/g", "--target-bytes", str(size // 30)]
+    assert len(run(spark, argv)) > 9            # a 6 x 6 grid
+    with pytest.raises(Exception, match="already exists"):
+        main(argv, spark=spark)
+    assert run(spark, [*argv, "--overwrite"])
+
+
+def test_cli_parses_csv_once(spark, tmp_dir, source_sample):
+    """Every pass after the first reads the stored points."""
+    spark.sparkContext.setJobGroup("once", "once")
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    moved = f"{tmp_dir}/moved.csv"
+    with open(source_sample) as src, open(moved, "w") as dst:
+        dst.write(src.read())
+    scans = []
+    real = spark.read.__class__.csv
+
+    def counted(self, path, *a, **kw):
+        df = real(self, path, *a, **kw)
+        scans.append(path)
+        return df
+
+    spark.read.__class__.csv = counted
+    try:
+        run(spark, ["partition", "9", moved, f"{tmp_dir}/p", "--cap", "20"])
+    finally:
+        spark.read.__class__.csv = real
+    assert scans == [[moved]]
+    assert set(os.listdir(root)) == before

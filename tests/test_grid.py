@@ -4,19 +4,60 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import needs_sample, points_df
+from conftest import points_df
 from skytiles.operators import (assign_cell, assign_padded, bounds, bounds_row,
-                                grid_cells, grid_side)
+                                grid_cells, grid_side, quarantine)
 
 
 def test_grid_side():
     assert [grid_side(m) for m in (1, 3, 5, 40, 49, 50, 676)] == [1, 2, 3, 7, 7, 8, 26]
-    with pytest.warns(UserWarning):
-        assert grid_side(677) == 1
-    with pytest.warns(UserWarning):
-        assert grid_side(-1) == 1
-    with pytest.raises(ValueError):
-        grid_side(0)
+    # No upper limit: a grid for 100 TB in outputs of 128 MB.
+    assert [grid_side(m) for m in (677, 1000, 745_059)] == [27, 32, 864]
+    for bad in (-1, 0):
+        with pytest.raises(ValueError):
+            grid_side(bad)
+
+
+def test_more_than_676_cells(spark):
+    n = grid_side(1000)
+    pts = points_df(spark, [(i * n + j, None, i + 0.5, j + 0.5)
+                            for i in range(n) for j in range(n)])
+    box = bounds_row(spark, 0.0, n, 0.0, n)
+    assert assign_cell(pts, box, n).select("cell").distinct().count() == n * n >= 1000
+    got = assign_padded(pts, box, n, 0.1, 0.1, recentre=False)
+    assert {(r.source_id, r.cell) for r in got.collect()} == {
+        (i * n + j, f"{i}.{j}") for i in range(n) for j in range(n)}
+
+
+@pytest.mark.parametrize("ra,decl", [(None, 2.0), (12.0, None), (float("nan"), 2.0),
+                                     (12.0, float("nan")), (float("inf"), 2.0)])
+def test_bad_coordinates_stop_the_assignment(spark, ra, decl):
+    pts = points_df(spark, [(1, None, 12.0, 2.0), (2, None, ra, decl)])
+    box = bounds_row(spark, 10.0, 20.0, 1.0, 5.0)
+    for cells in (assign_cell(pts, box, 2), assign_padded(pts, box, 2)):
+        with pytest.raises(Exception, match="bad (RA|Decl)"):
+            cells.select("cell").collect()
+
+
+def test_quarantine_parts_every_row(spark):
+    values = [1.0, 359.0, 361.0, None, float("nan"), float("inf"), -float("inf")]
+    pts = points_df(spark, [(k, None, ra, decl) for k, (ra, decl) in enumerate(
+        (a, b) for a in values for b in values)])
+    for limit, good_ras in ((None, 3), (360.0, 2)):
+        good, bad = quarantine(pts, max_ra=limit)
+        assert good.count() == good_ras * 3 and good.count() + bad.count() == len(values) ** 2
+        assert good.union(bad).select("source_id").distinct().count() == len(values) ** 2
+
+
+def test_star_outside_the_box(spark):
+    pts = points_df(spark, [(1, None, 1.0, 1.0), (2, None, 9.0, 1.0), (3, None, 1.0, -4.0)])
+    box = bounds_row(spark, 0.0, 2.0, 0.0, 2.0)
+    with pytest.raises(Exception, match="outside the box"):
+        assign_padded(pts, box, 2, recentre=False).collect()
+    got = assign_padded(pts, box, 2, 0.0, 0.0, recentre=False, outside="elsewhere").collect()
+    assert {(r.source_id, r.cell) for r in got if r.source_id > 1} == {
+        (2, "elsewhere"), (3, "elsewhere")}
+    assert len([r for r in got if r.source_id > 1]) == 2
 
 
 def test_grid_cells_layout(spark):
@@ -50,19 +91,14 @@ def test_assign_cell_borders(spark):
     assert got == {1: "0.0", 2: "1.0", 3: "1.1", 4: "2.2", 5: "2.2"}
 
 
-def _loop_cell(ra, decl, x0, w, y0, h, n):
-    """The edge-walking loop, restated over edges k = 0..n-1 plus the last."""
-    edges_x = [x0 + k * w for k in range(n)]
-    edges_y = [y0 + k * h for k in range(n)]
-    i = j = 0
-    while i < n and ra > edges_x[i]:
-        while j < n and decl > edges_y[j]:
-            j += 1
-        i += 1
+def _counted_cell(ra, decl, x0, w, y0, h, n):
+    """The cell by counting the edges below the star."""
+    i = sum(x0 + k * w < ra for k in range(n))
+    j = sum(y0 + k * h < decl for k in range(n)) if i else 0
     return f"{i}.{j}"
 
 
-def test_assign_cell_matches_loop_on_edges(spark):
+def test_assign_cell_counts_edges(spark):
     x0, x1, y0, y1, n = -2.0457904192962246, -1.9095832700858182, 2.56, 3.18, 7
     w, h = (x1 - x0) / n, (y1 - y0) / n
     rnd = random.Random(7)
@@ -76,16 +112,21 @@ def test_assign_cell_matches_loop_on_edges(spark):
     got = {r.source_id: r.cell for r in
            assign_cell(points_df(spark, pts), bounds_row(spark, x0, x1, y0, y1), n).collect()}
     for sid, _, ra, decl in pts:
-        assert got[sid] == _loop_cell(ra, decl, x0, w, y0, h, n), (ra, decl)
+        assert got[sid] == _counted_cell(ra, decl, x0, w, y0, h, n), (ra, decl)
 
 
-@needs_sample
-def test_assign_cell_sample_histogram(sample_points):
+def test_assign_cell_sample_histogram(sample_points, sample_sql):
     cells = assign_cell(sample_points, bounds(sample_points), grid_side(40))
     hist = {r.cell: r["count"] for r in cells.groupBy("cell").count().collect()}
-    assert hist == {"0.0": 1, "1.1": 9, "1.4": 1, "2.0": 1, "2.1": 6, "4.1": 1,
-                    "4.7": 16, "5.6": 3, "5.7": 7, "6.6": 2, "6.7": 1, "7.2": 1,
-                    "7.5": 1, "7.6": 5, "7.7": 1}
+    want = sample_sql.execute("""
+        WITH b AS (SELECT min(ra) x, (max(ra) - min(ra)) / 7 w, min(decl) y,
+                          (max(decl) - min(decl)) / 7 h FROM star),
+        c AS (SELECT (SELECT count(*) FROM range(7) k WHERE x + k.range * w < ra) i,
+                     (SELECT count(*) FROM range(7) k WHERE y + k.range * h < decl) j
+              FROM star, b)
+        SELECT i || '.' || CASE WHEN i = 0 THEN 0 ELSE j END, count(*) FROM c GROUP BY 1
+        """).fetchall()
+    assert hist == dict(want) and len(want) > 15
 
 
 def test_unpadded_grid_keeps_the_extreme_star(spark):
@@ -108,25 +149,28 @@ def test_zero_extent_gives_one_cell(spark):
 
 # ------------------------------------------------------------- padded (G4)
 
-@needs_sample
-def test_padded_probe(spark, sample_points):
-    b = bounds(sample_points, recentre=True)
-    got = assign_padded(points_df(spark, [(1, None, -2.00, 2.67)]), b, grid_side(5))
-    assert sorted(r.cell for r in got.collect()) == ["0.0", "0.1", "1.0", "1.1", "2.0", "2.1"]
-
-
-@needs_sample
-def test_padded_sample_histograms(sample_points):
+_PADDED_SQL = """
+    WITH s AS (SELECT source_id, CASE WHEN ra > 180 THEN ra - 360 ELSE ra END ra, decl FROM star),
+    b AS (SELECT min(ra) x0, max(ra) x1, min(decl) y0, max(decl) y1 FROM s),
+    c AS (SELECT i.range i, j.range j, x0 + i.range * (x1 - x0) / {n} lo,
+                 x0 + (i.range + 1) * (x1 - x0) / {n} hi,
+                 y0 + {band}.range * (y1 - y0) / {n} down,
+                 y0 + ({band}.range + 1) * (y1 - y0) / {n} up
+          FROM range({n}) i, range({n}) j, b)
+    SELECT i || '.' || j, count(*) FROM s JOIN c
+      ON ra BETWEEN lo - 0.1 AND hi + 0.1 AND decl BETWEEN down - 0.1 AND up + 0.1
+    GROUP BY 1"""
+
+
+@pytest.mark.parametrize("cells,band", [(5, "j"), (40, "j"), (40, "i")])
+def test_padded_sample_histograms(sample_points, sample_sql, cells, band):
     b = bounds(sample_points, recentre=True)
-    hist = {r.cell: r["count"] for r in
-            assign_padded(sample_points, b, grid_side(5)).groupBy("cell").count().collect()}
-    assert hist == {f"{i}.{j}": c for i in range(3) for j, c in enumerate((19, 13, 37))}
-    pairs = assign_padded(sample_points, b, grid_side(40))
-    assert pairs.count() == 832
-    assert pairs.select("cell").distinct().count() == 49
+    n = grid_side(cells)
+    hist = {r.cell: r["count"] for r in assign_padded(
+        sample_points, b, n, decl_band=band).groupBy("cell").count().collect()}
+    assert hist == dict(sample_sql.execute(_PADDED_SQL.format(n=n, band=band)).fetchall())
 
 
-@needs_sample
 def test_padded_column_band_repeats_each_column(sample_points):
     # The published job: every j of a column holds the same stars.
     b = bounds(sample_points, recentre=True)

@@ -45,12 +45,23 @@ def test_scan_reads_only_needed_columns(spark):
 def test_cap_is_one_window_over_one_cell_shuffle(spark):
     p = plan(E.queries()["capacity_split"](spark, SF))
     exchanges = [ln for ln in p.splitlines() if "hashpartitioning" in ln]
-    # The small-input spread (by source_id) and the window's shuffle by cell.
-    assert len(exchanges) == 2
-    assert any("hashpartitioning(cell" in ln for ln in exchanges)
+    assert len(exchanges) == 1 and "hashpartitioning(cell" in exchanges[0]
     assert "Window" in p
 
 
+@needs_testdata
+def test_two_phase_cap_has_no_shuffle_of_rows_after_the_ranges(spark):
+    p = plan(E.queries()["capacity_split_two_phase"](spark, SF))
+    assert "Window" not in p and "SortMergeJoin" not in p and "BroadcastHashJoin" in p
+    assert "hashpartitioning" not in p and "rangepartitioning" not in p
+
+
+@needs_testdata
+def test_text_maximum_keeps_the_hash_aggregate(spark):
+    p = plan(E.queries()["object_summary"](spark, SF))
+    assert "HashAggregate" in p and "SortAggregate" not in p
+
+
 @needs_testdata
 def test_aggregates_are_partial(spark):
     for name in ("object_summary", "cell_histogram", "bounds"):
@@ -69,14 +80,3 @@ def test_object_filter_pushed_into_catalogue_scan(spark, tmp_dir):
     p = plan(object_summary(source_points(read_source(spark, path))))
     assert "PushedFilters: [IsNotNull(objectId)]" in p
     assert "ReadSchema: struct<sourceId:bigint,objectId:bigint,ra:double,decl:double>" in p
-
-
-def test_spread_only_for_small_scans(spark):
-    from skytiles.sources.balance import spread_small_scan
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_small_scan(many, "id") is many          # left as scanned
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_small_scan(one, "id")
-    assert spread.rdd.getNumPartitions() == cores
-    assert "hashpartitioning(id" in plan(spread)

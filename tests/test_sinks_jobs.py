@@ -1,10 +1,11 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import needs_sample, points_df
+from conftest import points_df
 from skytiles.operators import assign_cell, bounds, cell_histogram
 from skytiles.plans import (neighbour_assignment, run_grid_job,
                             run_object_summary_job, run_partition_job,
@@ -49,11 +50,46 @@ def test_csv_cells_hold_ra_decl_lines(spark, tmp_dir):
 def test_partition_job_end_to_end(spark, tmp_dir):
     pts = _random_points(spark)
     hist = run_partition_job(pts, f"{tmp_dir}/out", min_cells=9, cap=200)
-    written = spark.read.parquet(f"{tmp_dir}/out")
-    assert written.count() == hist.agg(F.sum("n_stars")).first()[0]
-    per_cell = written.groupBy("cell").count()
-    assert per_cell.agg(F.max("count")).first()[0] <= 200
-    assert hist.where(F.col("cell").endswith("bis")).count() > 0
+    written = read_cells(spark, f"{tmp_dir}/out", PAYLOAD, overflow=True)
+    files = {r.cell + "bis" * r.k: r["count"]
+             for r in written.groupBy("cell", "k").count().collect()}
+    assert files == {r.cell: r.n_stars for r in hist.collect()}
+    assert max(files.values()) <= 200 and any(c.endswith("bis") for c in files)
+
+
+def test_a_cell_with_very_many_outputs(spark, tmp_dir):
+    pts = points_df(spark, [(t, None, 5.0, 5.0) for t in range(1500)])
+    hist = run_partition_job(pts, f"{tmp_dir}/deep", min_cells=1, cap=10)
+    assert hist.count() == 150
+    written = read_cells(spark, f"{tmp_dir}/deep", PAYLOAD, overflow=True)
+    assert {r.k: r["count"] for r in written.groupBy("k").count().collect()} == {
+        k: 10 for k in range(150)}
+
+
+def test_jobs_leave_no_scratch_and_refuse_to_overwrite(spark, tmp_dir):
+    from skytiles.session import checkpoint_root
+    root = checkpoint_root(spark).removeprefix("file:")
+    pts = _random_points(spark, 300)
+    before = set(os.listdir(root))
+    hists = [run_partition_job(pts, f"{tmp_dir}/p", min_cells=4, cap=50, store_points=True,
+                               method="two_phase", rows_per_task=100),
+             run_grid_job(pts, f"{tmp_dir}/g", min_cells=4, store_points=True),
+             run_strip_job(pts, f"{tmp_dir}/s", store_points=True)]
+    assert set(os.listdir(root)) == before
+    assert all(h.agg(F.sum("n_stars")).first()[0] >= 300 for h in hists)
+    for job, name in ((run_partition_job, "p"), (run_grid_job, "g"), (run_strip_job, "s")):
+        with pytest.raises(Exception, match="already exists"):
+            job(pts, f"{tmp_dir}/{name}")
+    assert run_grid_job(pts, f"{tmp_dir}/g", mode="overwrite").count() > 0
+
+
+def test_capped_histogram(spark):
+    from skytiles.operators import capped_histogram
+    counts = spark.createDataFrame([("0.0", 25), ("0.1", 10), ("1.0", 1)],
+                                   "cell string, n_stars bigint")
+    got = {r.cell: (r.n_stars, r.bar) for r in capped_histogram(counts, 10).collect()}
+    assert got == {"0.0": (10, "*"), "0.0bis": (10, "*"), "0.0bisbis": (5, "*"),
+                   "0.1": (10, "*"), "1.0": (1, "")}
 
 
 def test_grid_and_strip_jobs(spark, tmp_dir):
@@ -79,16 +115,17 @@ def test_results_do_not_depend_on_partitioning(spark):
     pts = _random_points(spark, 1500)
     a = neighbour_assignment(pts.coalesce(1), min_cells=16, cap=50)
     b = neighbour_assignment(pts.repartition(7), min_cells=16, cap=50)
-    key = ["source_id", "cell", "out_cell", "cell_rank"]
+    key = ["source_id", "cell", "overflow", "cell_rank"]
     assert sorted(map(tuple, a.select(key).collect())) == \
         sorted(map(tuple, b.select(key).collect()))
 
 
-@needs_sample
 def test_histogram_bars(sample_points):
     cells = assign_cell(sample_points, bounds(sample_points), 7)
-    bars = {r.cell: r.bar for r in cell_histogram(cells).collect()}
-    assert bars["0.0"] == "" and bars["4.7"] == "**" and bars["1.1"] == "*"
+    rows = cell_histogram(cells).collect()
+    assert sum(r.n_stars for r in rows) == 56
+    for r in rows:      # 10^(b-1) < n <= 10^b
+        assert set(r.bar) <= {"*"} and 10 ** (len(r.bar) - 1) < r.n_stars <= 10 ** len(r.bar)
 
 
 def test_salted_write_splits_a_hot_cell(spark, tmp_dir):
@@ -141,10 +178,10 @@ def test_scratch_space_is_under_the_checkpoint_folder(spark):
     assert scratch_path(spark, "x").startswith(root + "/x-")
 
 
-def test_partition_job_with_stored_pairs_matches(spark, tmp_dir):
+def test_partition_job_with_stored_points_matches(spark, tmp_dir):
     pts = _random_points(spark, 800)
     a = run_partition_job(pts, f"{tmp_dir}/a", min_cells=9, cap=60)
-    b = run_partition_job(pts, f"{tmp_dir}/b", min_cells=9, cap=60, store_pairs=True)
+    b = run_partition_job(pts, f"{tmp_dir}/b", min_cells=9, cap=60, store_points=True)
     c = run_partition_job(pts, f"{tmp_dir}/c", min_cells=9, cap=60,
                           method="two_phase", rows_per_task=100)
     key = lambda h: sorted(map(tuple, h.collect()))

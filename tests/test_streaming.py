@@ -1,11 +1,10 @@
 import random
 
-from pyspark.sql import functions as F
+import pytest
 
 from conftest import points_df
-from skytiles.operators import assign_padded, bounds, bounds_row
-from skytiles.streaming import (latest_counts, process_batch,
-                                read_stream_output, start_partition_stream)
+from skytiles.operators import assign_padded, bounds_row
+from skytiles.streaming import read_stream_output, start_partition_stream
 
 PAYLOAD = "source_id bigint, ra double, decl double"
 
@@ -16,47 +15,39 @@ def _points(spark, n, seed):
                               rnd.uniform(0, 4)) for t in range(n)])
 
 
-def test_stream_keeps_cap_across_batches(spark, tmp_dir):
-    files = [_points(spark, 400, s) for s in range(3)]
-    for k, df in enumerate(files):
-        df.select("source_id", "ra", "decl").coalesce(1).write.parquet(f"{tmp_dir}/in/f{k}")
+def _stream(spark, tmp_dir, box, **kwargs):
     stream = (spark.readStream.schema(PAYLOAD).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/in"))
-    box = bounds_row(spark, 0.0, 4.0, 0.0, 4.0)
-    q = start_partition_stream(stream, box, 2, f"{tmp_dir}/out", f"{tmp_dir}/state",
-                               f"{tmp_dir}/ckpt", cap=150)
+    q = start_partition_stream(stream, box, 2, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", **kwargs)
     q.awaitTermination()
-    out = read_stream_output(spark, f"{tmp_dir}/out", PAYLOAD)
-    per_cell = {r.cell: r["count"] for r in out.groupBy("cell").count().collect()}
-    assert max(per_cell.values()) <= 150
-    assert out.select("batch").distinct().count() == 3
-    # Same number of (point, cell) pairs as a batch run over all points.
-    allpts = files[0].unionByName(files[1]).unionByName(files[2])
-    want = assign_padded(allpts, box, 2, recentre=False).count()
-    assert sum(per_cell.values()) == want
-    # Every output cell but the last of each chain is full.
-    for base in {c.replace("bis", "") for c in per_cell}:
-        chain = sorted((c for c in per_cell if c.replace("bis", "") == base), key=len)
-        assert all(per_cell[c] == 150 for c in chain[:-1])
+    return read_stream_output(spark, f"{tmp_dir}/out", PAYLOAD)
 
 
-def test_replayed_batch_is_idempotent(spark, tmp_dir):
+def test_stream_keeps_cap_across_batches_and_restarts(spark, tmp_dir):
+    files = [_points(spark, 400, s) for s in range(3)]
     box = bounds_row(spark, 0.0, 4.0, 0.0, 4.0)
-    pairs = assign_padded(_points(spark, 300, 9), box, 2, recentre=False)
-    for _ in range(2):
-        process_batch(pairs, 0, f"{tmp_dir}/o", f"{tmp_dir}/s", 100, ["source_id"],
-                      ["source_id", "ra", "decl"])
-    out = read_stream_output(spark, f"{tmp_dir}/o", PAYLOAD)
-    assert out.count() == pairs.count()
-    counts = {r.cell: r.n for r in latest_counts(spark, f"{tmp_dir}/s", 1).collect()}
-    assert counts == {r.cell: r["count"] for r in pairs.groupBy("cell").count().collect()}
-    assert latest_counts(spark, f"{tmp_dir}/s", 0).count() == 0
-
-
-def test_state_falls_back_to_latest_older_version(spark, tmp_dir):
-    st = f"{tmp_dir}/state"
-    spark.createDataFrame([("0.0", 5)], "cell string, n long").write.parquet(f"{st}/batch=0")
-    spark.createDataFrame([("0.0", 9)], "cell string, n long").write.parquet(f"{st}/batch=2")
-    # Version 3 is missing: batch 4 takes the latest older one (2).
-    assert [tuple(r) for r in latest_counts(spark, st, 4).collect()] == [("0.0", 9)]
-    assert [tuple(r) for r in latest_counts(spark, st, 1).collect()] == [("0.0", 5)]
+    # Two files in the first run, one more after a restart.
+    for k, df in enumerate(files):
+        if k == 2:
+            _stream(spark, tmp_dir, box, cap=150)
+        df.select("source_id", "ra", "decl").coalesce(1).write.parquet(f"{tmp_dir}/in/f{k}")
+    out = _stream(spark, tmp_dir, box, cap=150)
+    got = {(r.cell, r.k): r["count"] for r in out.groupBy("cell", "k").count().collect()}
+    allpts = files[0].unionByName(files[1]).unionByName(files[2])
+    want = {r.cell: r["count"] for r in assign_padded(
+        allpts, box, 2, recentre=False).groupBy("cell").count().collect()}
+    assert got == {(c, k): min(150, n - 150 * k) for c, n in want.items()
+                   for k in range(-(-n // 150))}
+
+
+def test_stream_keeps_stars_outside_the_box(spark, tmp_dir):
+    points_df(spark, [(1, None, 1.0, 1.0), (2, None, 9.0, 1.0), (3, None, 8.0, 8.0)]) \
+        .select("source_id", "ra", "decl").write.parquet(f"{tmp_dir}/in/f0")
+    out = _stream(spark, tmp_dir, (0.0, 2.0, 0.0, 2.0), ra_pad=0.0, decl_pad=0.0)
+    cells = {r.source_id: r.cell for r in out.collect()}
+    assert cells[2] == cells[3] == "outside" and cells[1] != "outside"
+
+
+def test_stream_needs_a_stream(spark):
+    with pytest.raises(ValueError):
+        start_partition_stream(_points(spark, 5, 1), (0.0, 4.0, 0.0, 4.0), 2, "/o", "/c")

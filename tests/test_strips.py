@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from conftest import needs_sample, points_df
+from conftest import points_df
 from skytiles.operators import assign_strips
 from skytiles.operators.strips import strip_width
 
@@ -22,15 +22,11 @@ def test_strip_probes(spark):
     assert _strips(spark, ras) == [sorted(w) for w in want]
 
 
-def _loop_strip(ra, width=9):
-    edges = list(range(0, 361, width))
-    i = 0
-    while ra > edges[i]:
-        i += 1
-    return i
+def _counted_strip(ra, width=9):
+    return sum(edge < ra for edge in range(0, 361, width))
 
 
-def test_ceil_equals_edge_loop(spark):
+def test_strip_counts_edges(spark):
     ras = []
     for e in range(0, 361, 9):
         ras += [float(e), math.nextafter(e, -math.inf), math.nextafter(e, math.inf)]
@@ -40,17 +36,22 @@ def test_ceil_equals_edge_loop(spark):
     for r in assign_strips(df).collect():
         first.setdefault(r.source_id, set()).add(r.strip)
     for k, ra in enumerate(ras):
-        assert _loop_strip(ra) in first[k], ra
+        assert _counted_strip(ra) in first[k], ra
         assert 1 <= len(first[k]) <= 2
 
 
-@needs_sample
 def test_sample_all_in_last_strip(sample_points):
     got = {r.strip for r in assign_strips(sample_points).collect()}
     assert got == {40}
     assert assign_strips(sample_points).count() == 56
 
 
+@pytest.mark.parametrize("ra", [None, float("nan"), 365.0, float("inf")])
+def test_bad_ra_stops_the_strips(spark, ra):
+    with pytest.raises(Exception, match="bad RA"):
+        assign_strips(points_df(spark, [(1, None, ra, 0.0)])).collect()
+
+
 def test_strip_validation():
     with pytest.raises(ValueError):
         strip_width(50, 1)
