@@ -15,10 +15,18 @@ similarity s shares a key with probability ``(1 - (1 - s**WIDTH)**SIDE)**2``
 No bucket is expanded into all its pairs:
 
 1. documents with equal sets form a class, represented by its smallest id;
-2. every bucket links its members to its smallest member (a star), and
-   the candidate pairs are confirmed on full sets;
-3. buckets that still hold several components compare members of
-   different components, so a link that a star misses is found as well.
+2. every bucket links its members to one of them (a star), the member that
+   meets most others over all buckets, as an original does among its edited
+   copies; the candidate pairs are confirmed on full sets;
+3. documents of buckets that still hold several components are compared
+   across components, so a link that a star misses is found as well. They
+   meet on prefixes: with the shingles of every set in one order, rarest
+   first, two linked sets share one of their first ones (about a fifth), and
+   the place of the first that they share bounds the whole intersection.
+   Places that the bound rules out against the smallest set around are
+   dropped, and a shingle left in one component is done. So copies with
+   edits of their own, which share only what all share, are never compared
+   with each other.
 
 Before texts are shuffled, a pair must pass two filters: the exact size
 bound (the smaller set has ``percent`` % of the larger one's size) and at
@@ -46,6 +54,7 @@ SHINGLE = 5        # words
 PERCENT = 80       # least similarity
 SIDE = 9           # hashes in each of the two collections
 WIDTH = 2          # minhashes in a hash
+SLOTS = 1 << 18    # hash slots that count how common a shingle is
 AGREE = 16         # equal minhashes of 2 * SIDE * WIDTH that a candidate needs
 
 # --- Fixed value: words hold every byte but space and 0x09-0x0D.
@@ -124,16 +133,21 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
                                   "b array<bigint>, least array<int>")
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Stored rows ``id, text`` that hold every document of ``ids`` (and
+    hardly any other): later joins shuffle only these."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return write_scratch_table(maybe_member(rows, "id", ids, "id"), "neardup-texts")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str,
                shingle: int, percent: int) -> DataFrame:
     """Of the candidate pairs ``u, v`` those that are linked, by their full
     sets. Only texts in a pair are shuffled."""
     if pairs.isEmpty():
         return pairs
-    ends = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = write_scratch_table(maybe_member(rows, "id", ends, "id")
-                                .join(ends, "id", "left_semi"), "neardup-texts")
+    texts = _texts_of(pairs.select(F.col("u").alias("id")).union(pairs.select("v")),
+                      docs, id_col, text_col)
     both = (pairs.join(texts.select(F.col("id").alias("v"), F.col("text").alias("text_v")), "v")
             .join(texts.select(F.col("id").alias("u"), F.col("text").alias("text_u")), "u")
             .select("u", "v", "text_u", "text_v"))
@@ -157,8 +171,81 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str,
                 yield part.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
     kind = pairs.schema["u"].dataType.simpleString()
-    return write_scratch_table(both.mapInArrow(run, f"u {kind}, v {kind}").distinct(),
-                               "neardup-links")
+    return write_scratch_table(both.mapInArrow(run, f"u {kind}, v {kind}"), "neardup-links")
+
+
+def _slot_counts(texts: DataFrame, shingle: int) -> np.ndarray:
+    """About how often each shingle occurs, by hash slot: ``SLOTS`` numbers,
+    whatever the number of texts. They only order the shingles."""
+    def run(batches):
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                values, _ = shingle_sets(part.column("text"), shingle)
+                counts += np.bincount(_slot(values), minlength=SLOTS)
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["s", "c"])
+
+    found = (texts.mapInArrow(run, "s bigint, c bigint").groupBy("s").agg(F.sum("c").alias("c"))
+             .toArrow())
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("s").to_numpy()] = found.column("c").to_numpy()
+    return counts
+
+
+def _slot(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Rows ``v, t, i, n``: the shingles ``t`` of every set (of ``n``) that
+    are among its rarest, with their place ``i`` in the common order. Two
+    sets of similarity ``percent`` share one."""
+    shared = texts.sparkSession.sparkContext.broadcast(_slot_counts(texts, shingle))
+
+    def run(batches):
+        counts = shared.value
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                values, sizes = shingle_sets(part.column("text"), shingle)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((values, counts[_slot(values)], row))
+                starts = np.cumsum(sizes) - sizes
+                place = np.arange(len(values)) - starts[row]
+                first = place <= sizes[row] - (percent * sizes[row] + 99) // 100
+                at = order[first]                 # rows stay in their stretch
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(row[first])),
+                     pa.array(values[at].view(np.int64)), pa.array(place[first]),
+                     pa.array(sizes[row[first]])], ["v", "t", "i", "n"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"v {kind}, t bigint, i bigint, n bigint")
+
+
+def _across(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int,
+            percent: int) -> DataFrame:
+    """Candidate pairs ``u, v`` of documents in different components, among
+    the rows ``id, root``."""
+    texts = write_scratch_table(_texts_of(ids, docs, id_col, text_col)
+                                .join(ids.select("id"), "id", "left_semi"), "neardup-open-texts")
+    rest = F.col("n") - F.col("i")                # at most so much can be shared from here on
+    rows = (_prefixes(texts, shingle, percent)
+            .join(ids.select(F.col("id").alias("v"), "root"), "v"))
+    rows = write_scratch_table(rows, "neardup-prefixes")
+    around = (rows.groupBy("t").agg(F.min("n").alias("low"), F.min("root").alias("lo"),
+                                    F.max("root").alias("hi"))
+              .where("lo <> hi").select("t", "low"))
+    rows = (rows.join(around, "t").where(
+        100 * rest >= percent * (F.col("n") + F.greatest("low", rest) - rest)).drop("low"))
+    rows = write_scratch_table(_open(rows, "t"), "neardup-prefixes")
+    other = rows.select("t", F.col("v").alias("w"), F.col("root").alias("root_w"),
+                        F.col("n").alias("n_w"), F.col("i").alias("i_w"))
+    most = F.least(rest, F.col("n_w") - F.col("i_w"))
+    return (rows.join(other, "t").where(
+        (F.col("root") < F.col("root_w"))
+        & (100 * most >= percent * (F.col("n") + F.col("n_w") - most)))
+        .select(F.least("v", "w").alias("u"), F.greatest("v", "w").alias("v")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,7 +263,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")) \
             .select("u", F.least("u", "m").alias("m"))
         large = (both.where("v > u").join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = write_scratch_table(large, "star-large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v <> m")
@@ -192,6 +279,13 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _open(placed: DataFrame, key: str) -> DataFrame:
+    """The rows of groups that hold more than one ``root``."""
+    several = (placed.groupBy(key).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .where("lo <> hi").select(key))
+    return placed.join(several, key)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document row: ``id, n_shingles, component, kept`` (the
@@ -208,10 +302,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signed.select("id", "n", "key").join(classes.select("key", "rep"), "key", "left")
         .select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")),
         "neardup-rows")
-    repeated = (rows.where("rep is not null").groupBy("id")
-                .agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m <> x"))
-    same_id = (rows.where("rep is not null").join(repeated.select("id", "m"), "id")
-               .select(F.col("rep").alias("u"), F.col("m").alias("v")).distinct())
+    # Rows that repeat an id: its classes are linked.
+    repeated = write_scratch_table(
+        rows.where("rep is not null").groupBy("id")
+        .agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m <> x"), "neardup-repeated")
+    same_id = repeated.select(F.col("m").alias("u"), F.col("x").alias("v"))
+    if not repeated.isEmpty():
+        same_id = (rows.where("rep is not null").join(repeated.select("id", "m"), "id")
+                   .select(F.col("rep").alias("u"), F.col("m").alias("v")))
 
     # Buckets with two or more members.
     keyed = classes.select("rep", F.explode(F.flatten(F.transform(
@@ -220,46 +318,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         keyed.groupBy("k").agg(F.min("rep").alias("u"), F.max("rep").alias("v"),
                                F.count(F.lit(1)).alias("n")).where("n > 1 and u <> v"),
         "neardup-buckets")
-    large = buckets.where("n > 2").select("k", "u")
+    large = buckets.where("n > 2").select("k", "n")
     members = write_scratch_table(
         maybe_member(keyed, "k", large, "k").join(large, "k")
-        .select("k", F.col("rep").alias("v"), "u"), "neardup-members")
+        .select("k", F.col("rep").alias("v"), "n"), "neardup-members")
+    # The member of a bucket that meets most others, of equal ones any one.
+    met = members.groupBy("v").agg(F.sum("n").alias("met"))
+    centre = (members.join(met, "v").groupBy("k").agg(F.max_by(
+        "v", F.col("met") * (1 << 20) + F.pmod(F.xxhash64("v"), F.lit(1 << 20))).alias("u")))
+    members = write_scratch_table(members.drop("n").join(centre, "k"), "neardup-members")
     facts = classes.select("rep", "n", "least")
 
-    agree = F.aggregate(F.zip_with("least_u", "least_v", lambda x, y: (x == y).cast("int")),
-                        F.lit(0), lambda s, x: s + x)
-    plausible = ((100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-                 & (agree >= AGREE))
-
     def side(name: str) -> DataFrame:
         return facts.select(*[F.col(c).alias(name if c == "rep" else f"{c}_{name}")
                               for c in facts.columns])
 
+    def plausible(pairs: DataFrame) -> DataFrame:
+        agree = F.aggregate(F.zip_with("least_u", "least_v", lambda x, y: (x == y).cast("int")),
+                            F.lit(0), lambda s, x: s + x)
+        return (pairs.join(side("v"), "v").join(side("u"), "u").where(
+            (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
+            & (agree >= AGREE)).select("u", "v"))
+
     stars = (buckets.where("n = 2").select("u", "v")
-             .union(members.where("u <> v").select("u", "v")).distinct())
-    stars = write_scratch_table(stars.join(side("v"), "v").join(side("u"), "u")
-                                .where(plausible).select("u", "v").distinct(), "neardup-stars")
+             .union(members.where("u <> v").select(F.least("u", "v"), F.greatest("u", "v")))
+             .distinct())
+    stars = write_scratch_table(plausible(stars), "neardup-stars")
     links = _confirmed(stars, docs, id_col, text_col, shingle, percent).union(same_id)
     roots = write_scratch_table(components(links), "neardup-roots")
 
     # Buckets whose members are not all in one component by now.
     placed = (members.join(roots.withColumnRenamed("node", "v"), "v", "left")
               .withColumn("root", F.coalesce("root", "v")))
-    open_ = (placed.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo <> hi").select("k"))
-    still = write_scratch_table(placed.join(open_, "k").join(
-        side("v"), "v").select("k", "u", "v", "root", "n_v", "least_v"), "neardup-open")
-    other = still.select("k", F.col("v").alias("w"), F.col("root").alias("root_w"),
-                         F.col("n_v").alias("n_u"), F.col("least_v").alias("least_u"))
-    across = (still.join(other, "k").where((F.col("root") < F.col("root_w"))
-                                           & (F.col("u") != F.col("v"))
-                                           & (F.col("u") != F.col("w")) & plausible)
-              .select(F.least("v", "w").alias("u"), F.greatest("v", "w").alias("v")).distinct())
-    across = write_scratch_table(across, "neardup-across")
-    more = _confirmed(across, docs, id_col, text_col, shingle, percent)
-    roots = write_scratch_table(components(
-        roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)),
-        "neardup-roots")
+    still = write_scratch_table(_open(placed, "k"), "neardup-open")
+    if not still.isEmpty():
+        ids = write_scratch_table(still.select(F.col("v").alias("id"), "root").distinct(),
+                                  "neardup-open-ids")
+        pairs = _across(ids, docs, id_col, text_col, shingle, percent)
+        pairs = write_scratch_table(plausible(pairs), "neardup-across")
+        more = _confirmed(pairs, docs, id_col, text_col, shingle, percent)
+        if not more.isEmpty():
+            roots = write_scratch_table(components(
+                roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)),
+                "neardup-roots")
     final = rows.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("root", "rep", "id")
     return final.select("id", F.col("n").alias("n_shingles"), component.alias("component"),
