@@ -125,9 +125,9 @@ def _hash_bitmap(items: DataFrame, bits: int = MEMBER_BITS) -> np.ndarray:
     slot = F.pmod("h", F.lit(bits))
     words = (items.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("v"))
-             .toPandas())
+             .toArrow())
     bitmap = np.zeros(bits >> 6, np.uint64)
-    bitmap[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
+    bitmap[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
     return bitmap
 
 
