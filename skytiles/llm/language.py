@@ -5,8 +5,9 @@ lower-cased, other ASCII characters as one separator), hashed to
 ``BUCKETS`` embeddings. A text is the average of its grams' embeddings; a
 linear layer and softmax give the language. Both are trained by stochastic
 gradient descent in numpy on a sample of at most about ``PER_LANGUAGE``
-labelled texts per language (whole texts, drawn by hash from all labelled
-rows; the bound is a parameter). A part of the sample calibrates the
+labelled texts of each of the ``MAX_LANGUAGES`` most frequent languages
+(whole texts, drawn by hash from all labelled rows; both bounds are
+parameters). A part of the sample calibrates the
 model: a temperature for the probabilities, and the probability below
 which a prediction is rejected.
 
@@ -37,6 +38,7 @@ GRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
 WIDTH = 16                # numbers in an embedding
 PER_LANGUAGE = 400        # labelled texts learned from, per language
+MAX_LANGUAGES = 200       # the most frequent labels that are learned
 EPOCHS = 8
 RATE = 0.6
 MAX_REJECT = 0.002        # share of the calibration texts that may be rejected
@@ -132,7 +134,8 @@ def labelled_sample(docs: DataFrame, allowed: Column | None = None, id_col: str
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if allowed is not None:
         rows = rows.where(allowed)
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(
+        F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()}
     if not sizes:
         return []
     steps = 1 << 30
@@ -212,12 +215,13 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS
     truth = np.array([place[s[0]] for s in held])
     at = np.arange(len(held))
     model.temperature = float(min(
-        np.geomspace(0.05, 5, 60),
+        np.geomspace(1, 20, 60),
         key=lambda t: -np.log(softmax(logits / t)[at, truth] + 1e-12).mean()))
     p = softmax(logits / model.temperature)
     right, best = p.argmax(axis=1) == truth, p.max(axis=1)
-    # Reject below the surest wrong prediction, within the allowed share.
-    wrong = best[~right].max() if (~right).any() else 0.0
+    # Reject what is less likely than not, and below the surest wrong
+    # prediction, within the allowed share.
+    wrong = max(0.5, best[~right].max() if (~right).any() else 0.0)
     model.threshold = float(min(wrong, np.quantile(best, max_reject, method="lower")))
     return model
 
