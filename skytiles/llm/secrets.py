@@ -61,7 +61,7 @@ freedom whatever required missing unknown empty insert enter string redacted hid
 """.split())
 # Keyboard rows whose neighbours make a walk.
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
-LEET = str.maketrans("@4301!$57+", "aaeoiissttt"[:10])
+LEET = str.maketrans("@4301!$57+", "aaeoiisstt")
 
 _PLACE = {c: (r, k) for r, row in enumerate(ROWS) for k, c in enumerate(row)}
 _DATE = re.compile(r"(?:\d{1,4}[-/._]\d{1,2}[-/._]\d{1,4}|(?:19|20)\d\d(?:[01]\d[0-3]\d)?|"
@@ -70,20 +70,24 @@ _REPEAT = re.compile(r"(.{1,32}?)\1+")
 _SEGMENT = math.log10(2)          # each further segment at least doubles the guesses
 
 
-def _walk_end(value: str, at: int) -> tuple[int, int]:
-    """End of the keyboard walk that begins at ``at``, and its turns."""
-    end, turns, way = at + 1, 0, None
-    while end < len(value):
-        a, b = _PLACE.get(value[end - 1]), _PLACE.get(value[end])
-        if a is None or b is None:
-            break
-        step = (b[0] - a[0], b[1] - a[1])
-        if step == (0, 0) or abs(step[0]) > 1 or abs(step[1]) > 1:
-            break
-        turns += step != way
-        way = step
-        end += 1
-    return end, turns
+def _walks(value: str) -> list[tuple[int, int]]:
+    """Per place the end of the keyboard walk that begins there, and its
+    turns; found from the end backwards."""
+    n = len(value)
+    steps: list = [None] * (n + 1)
+    for i in range(n - 1):
+        a, b = _PLACE.get(value[i]), _PLACE.get(value[i + 1])
+        if a is not None and b is not None and a != b \
+                and abs(b[0] - a[0]) <= 1 and abs(b[1] - a[1]) <= 1:
+            steps[i] = (b[0] - a[0], b[1] - a[1])
+    out = [(n, 0)] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        if steps[i] is None:
+            out[i] = (i + 1, 0)
+        else:
+            end, turns = out[i + 1]
+            out[i] = (end, max(1, turns + (steps[i] != steps[i + 1])))
+    return out
 
 
 @lru_cache(maxsize=4096)
@@ -91,9 +95,10 @@ def guess_cost(value: str, words: tuple[str, ...] = WORDS) -> float:
     """log10 of the guesses that the cheapest segmentation needs."""
     rank = _ranks(words)
     longest = max(map(len, rank), default=0)
-    low = value.lower()
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(LEET)
     n = len(value)
+    walks = _walks(low)
     spans: list[list[tuple[int, float]]] = [[] for _ in range(n)]
     for at in range(n):
         for size in range(3, min(longest, n - at) + 1):
@@ -105,7 +110,7 @@ def guess_cost(value: str, words: tuple[str, ...] = WORDS) -> float:
                     spans[at].append((at + size, math.log10(found) + extra
                                       + (1.0 if mixed else 0.0)))
                     break
-        end, turns = _walk_end(low, at)
+        end, turns = walks[at]
         if end - at >= 3:
             spans[at].append((end, math.log10(47 * (end - at)) + turns * math.log10(4.6)))
         date = _DATE.match(value, at)

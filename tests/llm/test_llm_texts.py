@@ -109,6 +109,7 @@ def test_guess_cost():
     assert cost("qwertyuiop") < 5 and cost("19870412") < 6
     assert cost("Password2019") < cost("kQ7vX2mPz9Lw")
     assert cost("kQ7vX2mPz9Lw") == pytest.approx(12.0)
+    assert cost("12" * 20000) < 8 and cost("\u0130" * 9) < 4
     # The cheapest of all segmentations, against trying every cut.
     for value in ("welcome123", "tigerQz9", "2001-02-03x", "xxyyxxyy", "p@ssw0rd!!"):
         whole = cost(value)
