@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coords import OVERFLOW_SUFFIX, overflow_name
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import collect_small
 from ..session import write_scratch_table
 
 # --- Fixed value of the neighbour-aware job: points per output file. ---
@@ -113,8 +113,7 @@ def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],
     shifts = stretches.select(cell_col, "_range", (
         F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     # At most ranges + cells - 1 rows (ranges cover cells in order), made once.
-    shifts = broadcast_if_small(write_scratch_table(shifts, "capacity-shifts"),
-                                MAX_BROADCAST_BINS)
+    shifts = collect_small(shifts, MAX_BROADCAST_BINS)
     return (numbered.withColumn("_range", range_).join(shifts, [cell_col, "_range"])
             .withColumn("cell_rank", F.col("_at") + F.col("_shift"))
             .drop("_range", "_at", "_shift"))

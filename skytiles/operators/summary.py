@@ -40,40 +40,41 @@ def object_counts(points: DataFrame, object_col: str = "object_id") -> DataFrame
 _ALIGNED = 17
 
 
-def _last_as_text(source: Column) -> tuple[dict[str, Column], Column]:
-    """The text maximum of integer ids as numeric aggregates.
+def _text_key(size: Column) -> Column:
+    """A number that sorts ids of up to 17 digits as their texts do: the
+    digits moved to the front of 17 places, then the length. Null for
+    longer ids."""
+    out = F.lit(None).cast("long")
+    for d in range(_ALIGNED, 0, -1):
+        out = F.when(size < 10 ** d, size * (20 * 10 ** (_ALIGNED - d)) + d).otherwise(out)
+    return F.when(size >= 0, out)
+
+
+def _last_as_text() -> tuple[dict[str, Column], Column]:
+    """The text maximum of integer ids as numeric aggregates over the
+    columns ``_id, _size`` (absolute value, where it is a long) and
+    ``_key``.
 
     A maximum of strings cannot be kept in a hash aggregate; these can.
-    Among ids of one length text order is number order, so every length
-    could keep its maximum; ids of up to 17 digits share one number that
-    sorts as their texts do: the digits moved to the front of 17 places,
-    then the length. Negative ids sort before all others, and among one
-    length the smallest is last. Returns the aggregates and the expression
-    that makes the text of them.
+    Among ids of one length text order is number order. Negative ids sort
+    before all others, and of one length the smallest is last. Returns the
+    aggregates and the expression that makes the text of them.
     """
-    def key(x: Column) -> Column:
-        out = F.lit(None).cast("long")
-        for d in range(_ALIGNED, 0, -1):
-            out = F.when(x < 10 ** d, x * (20 * 10 ** (_ALIGNED - d)) + d).otherwise(out)
-        return out
-
-    source = source.cast("long")
-    size = F.abs(source)
+    size, key = F.col("_size"), F.col("_key")
     parts = {}
-    for sign, mine in (("p", source >= 0), ("m", (source < 0) & (size >= 0))):
-        short = mine & (size < 10 ** _ALIGNED)
-        parts[f"_{sign}17"] = F.max(F.when(short, key(size)))
-        parts[f"_{sign}18"] = F.max(F.when(mine & ~short & (size < 10 ** 18), size))
-        parts[f"_{sign}19"] = F.max(F.when(mine & (size >= 10 ** 18), size))
+    for sign, mine in (("p", F.col("_id") >= 0), ("m", F.col("_id") < 0)):
+        long = mine & key.isNull()
+        parts[f"_{sign}17"] = F.max(F.when(mine, key))
+        parts[f"_{sign}18"] = F.max(F.when(long & (size < 10 ** 18), size))
+        parts[f"_{sign}19"] = F.max(F.when(long & (size >= 10 ** 18), size))
     # The one id whose absolute value is no long.
-    parts["_least"] = F.count_if(source == -(1 << 63))
+    parts["_least"] = F.count_if(F.col("_id") == -(1 << 63))
 
     def text(sign: str) -> Column:
-        k = F.col(f"_{sign}17")
         digits = F.lpad(F.expr(f"_{sign}17 div 20").cast("string"), _ALIGNED, "0")
-        return F.greatest(F.substr(digits, F.lit(1), F.pmod(k, F.lit(20)).cast("int")),
-                          F.col(f"_{sign}18").cast("string"), F.col(f"_{sign}19").cast("string"),
-                          F.lit(None).cast("string"))
+        length = F.pmod(F.col(f"_{sign}17"), F.lit(20)).cast("int")
+        return F.greatest(F.substr(digits, F.lit(1), length),
+                          F.col(f"_{sign}18").cast("string"), F.col(f"_{sign}19").cast("string"))
 
     negative = F.greatest(F.concat(F.lit("-"), text("m")),
                           F.when(F.col("_least") > 0, F.lit(str(-(1 << 63)))))
@@ -91,15 +92,17 @@ def object_summary(points: DataFrame, object_col: str = "object_id",
     compares numbers instead.
     """
     src = F.col(source_col)
-    whole = isinstance(points.schema[source_col].dataType, T.IntegralType)
+    rows = points.where(F.col(object_col).isNotNull())
     if numeric_last:
         parts, last = {"last_source": F.max(src)}, F.col("last_source")
-    elif whole:
-        parts, last = _last_as_text(src)
+    elif isinstance(points.schema[source_col].dataType, T.IntegralType):
+        size = F.when(src != -(1 << 63), F.abs(src.cast("long")))
+        rows = rows.select(object_col, ra_col, decl_col, src.cast("long").alias("_id"),
+                           size.alias("_size"), _text_key(size).alias("_key"))
+        parts, last = _last_as_text()
     else:
         parts, last = {"last_source": F.max(src.cast("string"))}, F.col("last_source")
-    return (points.where(F.col(object_col).isNotNull())
-            .groupBy(object_col)
+    return (rows.groupBy(object_col)
             .agg(F.count(F.lit(1)).alias("n_sources"),
                  *[c.alias(name) for name, c in parts.items()],
                  F.min(ra_col).alias("min_ra"), F.max(ra_col).alias("max_ra"),
