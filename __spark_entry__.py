@@ -139,9 +139,10 @@ def q_capacity_split(spark, sf_dir):
 def q_capacity_split_two_phase(spark, sf_dir):
     # Same result through the skew-splitting path, with a task budget of
     # 1/16 of the points: cells then span several ranges at every scale.
-    budget = -(-_points(spark, sf_dir).count() // 16)
+    total = _points(spark, sf_dir).count()
     return with_out_cell(capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
-                                        method="two_phase", rows_per_task=budget)) \
+                                        method="two_phase", rows_per_task=-(-total // 16),
+                                        total_rows=total)) \
         .select("source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
 
 

@@ -44,7 +44,8 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
                    cell_col: str = "cell", method: str = "auto",
                    rows_per_task: int = ROWS_PER_TASK,
                    cell_rows_bound: int | None = None,
-                   counts: DataFrame | None = None) -> DataFrame:
+                   counts: DataFrame | None = None,
+                   total_rows: int | None = None) -> DataFrame:
     """Adds ``cell_rank`` (1-based, per cell) and ``overflow`` (0-based).
 
     ``order_by`` must be a total order over each cell's rows (up to rows
@@ -67,6 +68,8 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
         method = "window"
     if method == "window":
         ranked = _rank_window(assigned, order_by, cell_col)
+    elif method == "two_phase" and total_rows is not None:
+        ranked = _rank_two_phase(assigned, total_rows, order_by, cell_col, rows_per_task)
     else:
         if counts is None:
             counts = cell_counts(assigned, cell_col)

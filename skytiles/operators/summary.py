@@ -44,10 +44,9 @@ def _text_key(size: Column) -> Column:
     """A number that sorts ids of up to 17 digits as their texts do: the
     digits moved to the front of 17 places, then the length. Null for
     longer ids."""
-    out = F.lit(None).cast("long")
-    for d in range(_ALIGNED, 0, -1):
-        out = F.when(size < 10 ** d, size * (20 * 10 ** (_ALIGNED - d)) + d).otherwise(out)
-    return F.when(size >= 0, out)
+    digits = F.length(size.cast("string"))
+    shift = F.array(*[F.lit(20 * 10 ** (_ALIGNED - d)) for d in range(1, _ALIGNED + 1)])
+    return F.when(digits <= _ALIGNED, size * F.get(shift, digits - 1) + digits)
 
 
 def _last_as_text() -> tuple[dict[str, Column], Column]:
