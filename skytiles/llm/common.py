@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20     # text bytes handled at once
+SLICE_BYTES = 2 << 20     # text bytes handled at once
 PIECE_BYTES = 1 << 20     # bytes hashed at once
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
