@@ -14,9 +14,12 @@ up to ``ORDER`` characters of context; the sum of log p_accepted - log
 p_rejected over all characters, divided by their number, is compared with
 a threshold that separates held-out rule-decided addresses best.
 
-Counts sit in one array of ``SLOTS`` hashed entries, so what travels to
-the tasks has a fixed size (1 MB) whatever the input; the array is built
-by one aggregation and enters the plan as a scalar subquery. Everything is DataFrame expressions.
+A place's step reads nothing but the ``ORDER + 1`` characters that end
+there, its window. So windows are counted (a partial aggregate), the counts
+of all shorter strings are sums over distinct windows, and a step is worked
+out once per distinct window. Counts are exact and kept as a table, a row a
+string, which grows with the input; it is joined, never collected.
+Everything is DataFrame expressions.
 
 Defined cases: a null address, or one without ``://``, has an empty host
 and path and no rule; a null or empty address is judged by its end mark
@@ -38,12 +41,12 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
          ("block", "com", "/de/"))
 
 ORDER = 4                # characters of context
-SLOTS = 1 << 17
 STRENGTH = 2.0
 ALPHABET = 128
 HOLDOUT = 5              # one address in so many calibrates instead of training
 BINS = 400               # of the calibration histogram, over ratios from -4 to 4
 START, END = "\u0002", "\u0003"
+UNIT = 1 << 36           # steps are summed as whole multiples of 1 / UNIT
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -72,74 +75,72 @@ def _framed(url: Column) -> Column:
     return F.concat(F.lit(START * ORDER), F.coalesce(url, F.lit("")), F.lit(END))
 
 
-def _slot(kind: int, text: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(kind), text), F.lit(SLOTS)).cast("int")
+def _windows() -> Column:
+    """The ``ORDER + 1`` characters that end at each place of an address."""
+    return F.explode(F.transform(
+        F.sequence(F.lit(ORDER + 1), F.length("framed")),
+        lambda at: F.substr("framed", at - ORDER, F.lit(ORDER + 1)))).alias("window")
 
 
-def _strings(at: Column) -> list[tuple[Column, Column]]:
-    """Per order the slots of the context before a place and of the context
-    with the character there."""
-    text = F.col("framed")
-    return [(_slot(2 * n, F.substr(text, at - n, F.lit(n))),
-             _slot(2 * n + 1, F.substr(text, at - n, F.lit(n + 1))))
-            for n in range(ORDER + 1)]
+def _strings(first: int = 0) -> Column:
+    """The strings of a window, a row each from kind ``first`` on: of order
+    n the context (kind 2n) and the context with its character (2n + 1)."""
+    text = F.col("window")
+    kinds = [(2 * n + side, F.substr(text, F.lit(ORDER + 1 - n), F.lit(n + side)))
+             for n in range(ORDER + 1) for side in (0, 1)]
+    return F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), s.alias("s"))
+                              for k, s in kinds if k >= first]))
 
 
-def _places() -> Column:
-    return F.explode(F.sequence(F.lit(ORDER + 1), F.length("framed"))).alias("at")
-
+def string_counts(labelled: DataFrame) -> DataFrame:
+    """``kind, s, a, r``: how often each string was met in accepted and in
+    rejected addresses. ``labelled`` has ``framed`` texts and ``accepted``."""
+    windows = labelled.select("accepted", _windows()).groupBy("window").agg(
+        F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))
+    return (windows.select("a", "r", _strings()).groupBy("kind", "s")
+            .agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
 
-def count_array(labelled: DataFrame) -> DataFrame:
-    """One row, one array of ``SLOTS`` numbers: the hashed counts of both
-    models, the accepted one's in the upper and the rejected one's in the
-    lower 32 bits. ``labelled`` has ``framed`` texts and ``accepted``.
 
-    Equal addresses are counted first; string counts are partial
-    aggregates over slots, at most ``SLOTS`` rows. A count stops at 2**30,
-    far beyond where it matters next to ``STRENGTH``."""
-    texts = labelled.groupBy("framed").agg(
-        F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))
-    slots = (texts.select("framed", "a", "r", _places())
-             .select("a", "r", F.explode(F.array(*[
-                 s for pair in _strings(F.col("at")) for s in pair])).alias("slot"))
-             .groupBy("slot").agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
-    most = F.lit(1 << 30).cast("long")
-    both = F.shiftleft(F.least("a", most), 32) + F.least("r", most)
-    listed = slots.agg(F.sort_array(F.collect_list(F.struct("slot", both.alias("c")))).alias("e"))
-    n = F.size("e")
-    zeros = F.transform(F.sequence(F.lit(0), n), lambda i: F.array_repeat(
-        F.lit(0).cast("long"),
-        F.when(i < n, F.get("e", i)["slot"]).otherwise(F.lit(SLOTS))
-        - F.when(i > 0, F.get("e", i - 1)["slot"]).otherwise(F.lit(-1)) - 1))
-    return listed.select(F.flatten(F.zip_with(
-        zeros, F.transform("e", lambda x: F.array(x["c"])),
-        lambda z, v: F.concat(z, F.coalesce(v, F.expr("cast(array() as array<bigint>)")))))
-        .alias("counts"))
+count_array = string_counts      # its earlier name
 
 
-def with_ratio(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """``ratio`` added: the length-normalised log-likelihood difference.
+def window_steps(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``window, step`` for distinct windows: log p_accepted - log
+    p_rejected of the last character, in ``1 / UNIT``."""
+    # The empty context is in every window: it is no join key.
+    whole = counts.where("kind = 0")
+    found = (windows.select("window", _strings(1))
+             .join(counts.where("kind > 0"), ["kind", "s"], "left").groupBy("window")
+             .agg(*[F.sum(F.when(F.col("kind") == k, F.col(side))).alias(f"{side}{k}")
+                    for k in range(1, 2 * ORDER + 2) for side in "ar"])
+             .withColumns({f"{side}0": whole.agg(F.sum(side)).scalar() for side in "ar"}))
 
-    Characters are exploded and summed again inside one task (a partial
-    sum per row), so the shuffle carries one row per address."""
-    model = counts.scalar()
-    keys = rows.columns
-    found = rows.withColumn("row", F.monotonically_increasing_id()) \
-        .select("row", *keys, _places())
-    found = found.select("row", *keys, *[
-        F.get(model, slot).alias(f"n{k}{side}") for k, pair in enumerate(_strings(F.col("at")))
-        for side, slot in zip("ct", pair)])
-
-    def log_p(part) -> Column:
+    def log_p(side) -> Column:
         p = F.lit(1.0 / ALPHABET)
-        for k in range(ORDER + 1):
-            p = (part(F.col(f"n{k}t")) + STRENGTH * p) / (part(F.col(f"n{k}c")) + STRENGTH)
+        for n in range(ORDER + 1):
+            context, text = (F.coalesce(F.col(f"{side}{k}"), F.lit(0))
+                             for k in (2 * n, 2 * n + 1))
+            p = (text + STRENGTH * p) / (context + STRENGTH)
         return F.log(p)
 
-    step = (log_p(lambda c: F.shiftright(c, 32))
-            - log_p(lambda c: c.bitwiseAND(F.lit((1 << 32) - 1))))
-    return (found.select("row", *keys, step.alias("step"))
-            .groupBy("row", *keys).agg(F.avg("step").alias("ratio")).drop("row"))
+    return found.select("window", F.round((log_p("a") - log_p("r")) * UNIT)
+                        .cast("long").alias("step"))
+
+
+def with_ratio(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``ratio`` added: the length-normalised log-likelihood difference.
+
+    Rows are stored with a number; windows meet their steps with that
+    number alone. Steps are whole numbers, so their sum does not depend on
+    the order in which they arrive."""
+    numbered = write_scratch_table(
+        rows.withColumn("row", F.monotonically_increasing_id()), "url-rows")
+    places = numbered.select("row", _windows())
+    steps = window_steps(places.select("window").distinct(), counts)
+    sums = places.join(steps, "window").groupBy("row").agg(F.sum("step").alias("step"))
+    return (numbered.join(sums, "row")
+            .withColumn("ratio", F.col("step") / (F.length("framed") - ORDER) / UNIT)
+            .drop("row", "step"))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -178,13 +179,14 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                          host.alias("host"), path.alias("path"))
             .withColumn("rule", name).withColumn("by_rule", decided)
             .withColumn("framed", _framed(F.col("url"))))
-    known = rows.where("by_rule is not null").select(
-        "framed", (F.col("by_rule") == "allow").alias("accepted"),
-        (F.pmod(F.xxhash64("framed"), F.lit(HOLDOUT)) == 0).alias("held"))
+    held = F.pmod(F.xxhash64("framed"), F.lit(HOLDOUT)) == 0
+    accepted = (F.col("by_rule") == "allow").alias("accepted")
+    known = rows.where("by_rule is not null")
     counts = write_scratch_table(
-        count_array(known.where("not held").select("framed", "accepted")), "url-counts")
-    cut = threshold(with_ratio(known.where("held").select("framed", "accepted"), counts))
-    return (with_ratio(rows, counts)
-            .select(F.col("id").alias(id_col), "host", "path", "rule", "ratio",
-                    F.coalesce("by_rule", F.when(F.col("ratio") >= cut, "allow")
-                               .otherwise("block")).alias("verdict")))
+        string_counts(known.where(~held).select("framed", accepted)), "url-counts")
+    scored = write_scratch_table(with_ratio(rows, counts), "url-ratios")
+    cut = threshold(scored.where("by_rule is not null").where(held).select("ratio", accepted))
+    return scored.select(
+        F.col("id").alias(id_col), "host", "path", "rule", "ratio",
+        F.coalesce("by_rule", F.when(F.col("ratio") >= cut, "allow")
+                   .otherwise("block")).alias("verdict"))

@@ -7,7 +7,7 @@ import math
 import random
 import re
 import struct
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -242,6 +242,35 @@ def test_url_ratio_equals_brute_force(spark):
         assert ratio == pytest.approx(want, abs=1e-9)
 
 
+def test_url_counts_grow_with_the_input(spark):
+    rnd = random.Random(17)
+    known = [(f"http://a.org/{''.join(rnd.choices('abcdefghijklmnopqrstuvwxyz0123456789', k=24))}",
+              rnd.random() < 0.5) for _ in range(6000)]
+    counts = {True: Counter(), False: Counter()}
+    for u, accepted in known:
+        t = "\x02" * urlfilter.ORDER + u + "\x03"
+        counts[accepted].update((k, t[i - n:i + k]) for i in range(urlfilter.ORDER, len(t))
+                                for n in range(urlfilter.ORDER + 1) for k in (0, 1))
+    assert len(counts[True] | counts[False]) > 1 << 17
+    asked = [u for u, _ in known[:200]] + [f"http://b.net/{i}" for i in range(100)]
+    frame = urlfilter._framed(F.col("url"))
+    table = urlfilter.count_array(rows(spark, known, "url string, accepted boolean").select(
+        frame.alias("framed"), "accepted"))
+    got = {r["url"]: r["ratio"] for r in urlfilter.with_ratio(
+        rows(spark, [(u,) for u in asked], "url string").withColumn("framed", frame),
+        table).collect()}
+    for u in asked:
+        t, want = "\x02" * urlfilter.ORDER + u + "\x03", 0.0
+        for c, sign in ((counts[True], 1), (counts[False], -1)):
+            for i in range(urlfilter.ORDER, len(t)):
+                p = 1 / urlfilter.ALPHABET
+                for n in range(urlfilter.ORDER + 1):
+                    p = (c[1, t[i - n:i + 1]] + urlfilter.STRENGTH * p) \
+                        / (c[0, t[i - n:i]] + urlfilter.STRENGTH)
+                want += sign * math.log(p)
+        assert got[u] == pytest.approx(want / (len(t) - urlfilter.ORDER), abs=1e-9)
+
+
 # --------------------------------------------------------- near-duplicates
 
 def brute_groups(docs, shingle, percent=80):
