@@ -4,7 +4,8 @@ Three base kinds are plain patterns. The method adds the kind ``guess``:
 a value that a text presents as a credential (``pwd: ...``, ``passphrase
 = ...``, ``user:...@host``) is cut into words, dates, repeats, keyboard
 walks and brute-force stretches so that the number of guesses an attacker
-needs is smallest; where even that smallest number is at least
+needs is smallest over all segmentations (a repeat's unit has up to ``UNIT``
+characters); where even that smallest number is at least
 ``10 ** MIN_GUESSES``, the value is reported. Placeholders such as
 ``password=changeme123`` cost few guesses and are left alone.
 
@@ -64,72 +65,112 @@ ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("@4301!$57+", "aaeoiisstt")
 
 _PLACE = {c: (r, k) for r, row in enumerate(ROWS) for k, c in enumerate(row)}
-_DATE = re.compile(r"(?:\d{1,4}[-/._]\d{1,2}[-/._]\d{1,4}|(?:19|20)\d\d(?:[01]\d[0-3]\d)?|"
-                   r"[0-3]\d[01]\d(?:19|20)\d\d)")
-_REPEAT = re.compile(r"(.{1,32}?)\1+")
+# Each form of a date; the last one's final number may end after each digit.
+_DATES = tuple(map(re.compile, (
+    r"(?:19|20)\d\d", r"(?:19|20)\d\d[01]\d[0-3]\d", r"[0-3]\d[01]\d(?:19|20)\d\d",
+    r"\d{1,4}[-/._]\d{1,2}[-/._](\d{1,4})")))
+UNIT = 32                         # characters of a repeated unit
+_TURN = math.log10(4.6)
 _SEGMENT = math.log10(2)          # each further segment at least doubles the guesses
 
 
-def _walks(value: str) -> list[tuple[int, int]]:
-    """Per place the end of the keyboard walk that begins there, and its
-    turns; found from the end backwards."""
-    n = len(value)
-    steps: list = [None] * (n + 1)
-    for i in range(n - 1):
+class _Starts:
+    """Starts of segments that may end anywhere further on, where a segment
+    of ``k`` units costs its start's value and log10(k). A start stays only
+    while it can still be the cheapest for some end."""
+
+    def __init__(self, least: int):
+        self.least, self.open = least, []
+
+    def add(self, at: int, value: float) -> None:
+        """To be called where ``at`` reaches its ``least`` units."""
+        if all(v + math.log10((at + self.least - s) / self.least) > value
+               for s, v in self.open):
+            # What a longer segment pays for its length only shrinks.
+            self.open = [(s, v) for s, v in self.open if v < value] + [(at, value)]
+
+    def cheapest(self, end: int) -> float:
+        return min((v + math.log10(end - s) for s, v in self.open), default=math.inf)
+
+
+def _steps(value: str) -> list:
+    """Per place the keyboard step to the next character, or None."""
+    out: list = [None] * len(value)
+    for i in range(len(value) - 1):
         a, b = _PLACE.get(value[i]), _PLACE.get(value[i + 1])
         if a is not None and b is not None and a != b \
                 and abs(b[0] - a[0]) <= 1 and abs(b[1] - a[1]) <= 1:
-            steps[i] = (b[0] - a[0], b[1] - a[1])
-    out = [(n, 0)] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        if steps[i] is None:
-            out[i] = (i + 1, 0)
-        else:
-            end, turns = out[i + 1]
-            out[i] = (end, max(1, turns + (steps[i] != steps[i + 1])))
+            out[i] = (b[0] - a[0], b[1] - a[1])
     return out
 
 
+def _date_ends(value: str, at: int) -> set[int]:
+    ends = set()
+    for form in _DATES:
+        found = form.match(value, at)
+        if found:
+            ends.update(range(found.start(1) + 1, found.end() + 1) if form.groups
+                        else [found.end()])
+    return ends
+
+
 @lru_cache(maxsize=4096)
 def guess_cost(value: str, words: tuple[str, ...] = WORDS) -> float:
-    """log10 of the guesses that the cheapest segmentation needs."""
+    """log10 of the guesses that the cheapest of all segmentations needs."""
     rank = _ranks(words)
     longest = max(map(len, rank), default=0)
     low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(LEET)
     n = len(value)
-    walks = _walks(low)
-    spans: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-    for at in range(n):
+    steps = _steps(low)
+    changes = [0] * (n + 1)                # of the step's direction, up to a place
+    for i in range(1, n):
+        changes[i] = changes[i - 1] + (steps[i] != steps[i - 1])
+    walks = _Starts(3)
+    same = [0] * (UNIT + 1)                # characters that repeat those a unit before
+    repeats: list[dict[int, _Starts]] = [{} for _ in range(UNIT + 1)]
+    best = [0.0] + [math.inf] * n          # cheapest up to here, any last segment
+    open_ = [math.inf] * (n + 1)           # ... that ends in a brute-force stretch
+    start = [0.0] * (n + 1)                # ... and a further segment begun
+    for at in range(n + 1):
+        # Segments that end here: walks of three or more keys, and repeats.
+        if at >= 2 and steps[at - 2] is None:
+            walks = _Starts(3)
+        elif at >= 3 and steps[at - 3] is not None:
+            walks.add(at - 3, start[at - 3] + (1 - changes[at - 3]) * _TURN)
+            best[at] = min(best[at], walks.cheapest(at) + changes[at - 2] * _TURN
+                           + math.log10(47))
+        for size in range(1, min(UNIT, at - 1) + 1):
+            if value[at - 1] != value[at - 1 - size]:
+                if same[size]:
+                    same[size] = 0
+                    repeats[size].clear()
+                continue
+            same[size] += 1
+            least = 3 if size == 1 else 2
+            if same[size] >= (least - 1) * size:
+                unit = value[at - size:at]
+                starts = repeats[size].setdefault(at % size, _Starts(least))
+                starts.add(at // size - least, start[at - least * size]
+                           + (1.0 if size == 1 else guess_cost(unit, words)))
+                best[at] = min(best[at], starts.cheapest(at // size))
+        if at == n:
+            break
+        start[at] = best[at] + (_SEGMENT if at else 0.0)
+        # Segments that begin here.
+        brute = min(start[at], open_[at]) + 1.0     # ten guesses a character
+        open_[at + 1] = min(open_[at + 1], brute)
+        best[at + 1] = min(best[at + 1], brute)
         for size in range(3, min(longest, n - at) + 1):
             for text, extra in ((low, 0.0), (plain, 1.0)):
                 found = rank.get(text[at:at + size])
                 if found:
                     mixed = value[at:at + size] not in (low[at:at + size],
                                                         value[at:at + size].capitalize())
-                    spans[at].append((at + size, math.log10(found) + extra
-                                      + (1.0 if mixed else 0.0)))
-                    break
-        end, turns = walks[at]
-        if end - at >= 3:
-            spans[at].append((end, math.log10(47 * (end - at)) + turns * math.log10(4.6)))
-        date = _DATE.match(value, at)
-        if date:
-            spans[at].append((date.end(), math.log10(365 * 60) + 0.6))
-    for found in _REPEAT.finditer(value):
-        unit, times = found.group(1), len(found.group()) // len(found.group(1))
-        if len(found.group()) >= 3:
-            own = 1.0 if len(unit) == 1 else guess_cost(unit, words)
-            spans[found.start()].append((found.end(), own + math.log10(times)))
-    best = [0.0] + [math.inf] * n          # cheapest up to here, any last segment
-    open_ = [math.inf] * (n + 1)           # ... that ends in a brute-force stretch
-    for at in range(n):
-        start = best[at] + (_SEGMENT if at else 0.0)
-        brute = min(start, open_[at]) + 1.0         # ten guesses a character
-        open_[at + 1] = min(open_[at + 1], brute)
-        best[at + 1] = min(best[at + 1], brute)
-        for end, cost in spans[at]:
-            best[end] = min(best[end], start + cost)
+                    best[at + size] = min(best[at + size], start[at] + math.log10(found)
+                                          + extra + (1.0 if mixed else 0.0))
+        for end in _date_ends(value, at):
+            best[end] = min(best[end], start[at] + math.log10(365 * 60) + 0.6)
     return best[n]
 
 

@@ -2,6 +2,7 @@
 HTML extraction, quality."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -116,6 +117,53 @@ def test_guess_cost():
         assert all(whole <= cost(value[:k]) + cost(value[k:]) + 0.31 for k in range(1, len(value)))
 
 
+def brute_guess_cost(value):
+    """The least over every way to cut the value, a segment at a time."""
+    words = {w: k for k, w in reversed(list(enumerate(secrets.WORDS, 1)))}
+    place = {c: (r, k) for r, row in enumerate(secrets.ROWS) for k, c in enumerate(row)}
+
+    def segment(s):
+        low = s.lower()
+        yield float(len(s))
+        for text, extra in ((low, 0), (low.translate(secrets.LEET), 1)):
+            if text in words:
+                yield math.log10(words[text]) + extra + (s not in (low, s.capitalize()))
+        moves = [(place[b][0] - place[a][0], place[b][1] - place[a][1])
+                 for a, b in zip(low, low[1:]) if a in place and b in place]
+        if len(low) >= 3 and len(moves) == len(low) - 1 and all(
+                m != (0, 0) and abs(m[0]) < 2 and abs(m[1]) < 2 for m in moves):
+            turns = 1 + sum(a != b for a, b in zip(moves, moves[1:]))
+            yield math.log10(47 * len(low)) + turns * math.log10(4.6)
+        if re.fullmatch(r"\d{1,4}[-/._]\d{1,2}[-/._]\d{1,4}|(19|20)\d\d([01]\d[0-3]\d)?"
+                        r"|[0-3]\d[01]\d(19|20)\d\d", s):
+            yield math.log10(365 * 60) + 0.6
+        for size in range(1, len(s) // 2 + 1):
+            if len(s) >= 3 and s == s[:size] * (len(s) // size):
+                yield (1.0 if size == 1 else brute_guess_cost(s[:size])) \
+                    + math.log10(len(s) // size)
+
+    rest = {len(value): 0.0}
+    for at in range(len(value) - 1, -1, -1):
+        rest[at] = min(min(segment(value[at:end])) + (math.log10(2) if at else 0.0) + rest[end]
+                       for end in range(at + 1, len(value) + 1))
+    return rest[0]
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    cost = secrets.guess_cost
+    assert cost("qwertyuser") < 5 < 6 < cost("qwertyuser", ("password",))
+    values = ["qwertyuser", "asdfghello", "2019010112", "1-2-2019x", "01012019", "xabababc",
+              "aaabaaab", "zxcvbnmmmm", "qwqwqwerty", "12-3-456789", "P@sswordqaz", "aababab"]
+    rnd = random.Random(6)
+    parts = ["qwe", "user", "pass", "w", "12", "1", "9", "2019", "-", "ab", "a", "b", "Q", "@",
+             "zxc", "01"]
+    values += ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 7))) for _ in range(600)]
+    values += ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14)))
+               for letters in ("12", "aq", "qwa", "201-") for _ in range(100)]
+    for value in values:
+        assert cost(value) == pytest.approx(brute_guess_cost(value)), value
+
+
 def test_guess_spans_and_masks(spark):
     found = secrets.find_spans("set pwd: kQ7vX2mPz9Lw and pwd: password1")
     assert found == [("guess", 9, 21)]
