@@ -5,9 +5,9 @@ lower-cased, other ASCII characters as one separator), hashed to
 ``BUCKETS`` embeddings. A text is the average of its grams' embeddings; a
 linear layer and softmax give the language. Both are trained by stochastic
 gradient descent in numpy on a sample of at most about ``PER_LANGUAGE``
-labelled texts of each of the ``MAX_LANGUAGES`` most frequent languages
-(whole texts, drawn by hash from all labelled rows; both bounds are
-parameters). A part of the sample calibrates the
+labelled texts of each language (whole texts, drawn by hash from all
+labelled rows; the bound is a parameter). Every label is learned, so model
+and sample grow with the number of languages. A part of the sample calibrates the
 model: a temperature for the probabilities, and the probability below
 which a prediction is rejected.
 
@@ -23,7 +23,7 @@ Repeated rows are each predicted; other columns are ignored.
 
 from __future__ import annotations
 
-import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +38,6 @@ GRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
 WIDTH = 16                # numbers in an embedding
 PER_LANGUAGE = 400        # labelled texts learned from, per language
-MAX_LANGUAGES = 200       # the most frequent labels that are learned
 EPOCHS = 8
 RATE = 0.6
 MAX_REJECT = 0.002        # share of the calibration texts that may be rejected
@@ -129,23 +128,23 @@ def labelled_sample(docs: DataFrame, allowed: Column | None = None, id_col: str
                     per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Gram counts ``(lang, buckets, counts)`` of about ``per_language``
     labelled texts of every language, drawn by a hash of the id. What
-    reaches the driver is bounded by the sample, not by the table."""
+    reaches the driver grows with the languages, not with the table."""
     share_code(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if allowed is not None:
         rows = rows.where(allowed)
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(
-        F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()}
-    if not sizes:
-        return []
+    # Only languages of more texts are thinned out; the table of those is
+    # shipped, so that no text is shuffled.
+    large = rows.groupBy(F.col(lang_col).alias("large")).agg(F.count("*").alias("n")) \
+        .where(F.col("n") > per_language)
     steps = 1 << 30
     draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(id_col)), F.lit(steps))
-    chosen = F.lit(False)
-    for lang, n in sorted(sizes.items()):
-        chosen = chosen | ((F.col(lang_col) == lang)
-                           & (draw < math.ceil(min(1.0, per_language / n) * steps)))
-    narrow = rows.where(chosen).select(F.col(lang_col).alias("lang"),
-                                       F.col(text_col).alias("text"))
+    narrow = (rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+                          draw.alias("draw"))
+              .join(F.broadcast(large), F.col("lang") == F.col("large"), "left")
+              .where(F.col("n").isNull() | (F.col("draw") < F.ceil(
+                  F.lit(float(per_language)) / F.col("n") * steps)))
+              .select("lang", "text"))
 
     def run(batches):
         for batch in batches:
@@ -185,8 +184,8 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS
     bias = np.zeros(len(languages))
     place = {name: k for k, name in enumerate(languages)}
     # Languages count alike, however many texts each has.
-    share = {k: len(fit) / (len(languages) * max(1, sum(s[0] == k for s in fit)))
-             for k in languages}
+    sizes = Counter(s[0] for s in fit)
+    share = {k: len(fit) / (len(languages) * max(1, sizes[k])) for k in languages}
     total, step = epochs * len(fit), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)).tolist():

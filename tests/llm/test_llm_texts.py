@@ -205,6 +205,16 @@ def test_language_cases(spark):
     assert language.predict_languages(docs.limit(0), model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    docs = rows(spark, [(i, f"{'abcdefghijklmno'[i % 15]}{'pqrstuvwxyz'[i % 11]} " * 9, f"l{i % 205}")
+                        for i in range(615)], "doc_id int, text string, lang string")
+    sample = language.labelled_sample(docs)
+    assert len(sample) == 615 and len({s[0] for s in sample}) == 205
+    few = language.labelled_sample(docs.withColumn("lang", F.lit("x")), per_language=100)
+    assert 60 < len(few) < 150
+    assert len(language.train(sample, epochs=1).languages) == 205
+
+
 def test_language_scores_are_those_of_single_texts():
     rnd = random.Random(4)
     texts = ["".join(rnd.choice("abcé ü.") for _ in range(rnd.randint(0, 40))) for _ in range(50)]
