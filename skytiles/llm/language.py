@@ -11,12 +11,18 @@ and sample grow with the number of languages. A part of the sample calibrates th
 model: a temperature for the probabilities, and the probability below
 which a prediction is rejected.
 
+A softmax is sure of texts of no learned language too, so a prediction is
+also rejected where the text is not like that language: where the mean log
+frequency of its grams there, less the language's usual value, is below
+what nearly all sample texts reach (each against counts without itself),
+and further towards what texts reach in languages not their own.
+
 Predictions read the text alone. As the model is linear, a gram's
 embedding times the output layer is one row of a small table, so scoring
 is a table lookup per gram and a sum per text.
 
 Defined cases: a null text, or one without a letter (any Unicode letter),
-is ``und`` with score 0 and is rejected; so is every text when no labelled
+is ``und`` with score 0 and is rejected; one without a gram is rejected; so is every text when no labelled
 row exists. Rows without a label are predicted but not learned from.
 Repeated rows are each predicted; other columns are ignored.
 """
@@ -40,7 +46,8 @@ WIDTH = 16                # numbers in an embedding
 PER_LANGUAGE = 400        # labelled texts learned from, per language
 EPOCHS = 8
 RATE = 0.6
-MAX_REJECT = 0.002        # share of the calibration texts that may be rejected
+MAX_REJECT = 0.002        # share of the calibration texts that may be rejected, either way
+PRIOR = 0.5               # added to each gram's count in its frequency
 
 # ASCII letters lower-cased, other ASCII one separator, the rest unchanged.
 _FOLD = np.array([b | 32 if 65 <= b <= 90 or 97 <= b <= 122 else 32 if b < 128 else b
@@ -86,36 +93,50 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    usual: np.ndarray | None = None   # log frequencies, as ``table``, less the usual mean
+    least: float = -np.inf            # likeness below which a text is rejected
 
-    def logits(self, folded: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def _judge(self, folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities, and likeness to the likeliest language."""
         sums = np.zeros((len(offsets) - 1, len(self.languages)))
         size = np.diff(offsets)
         grams = sum(np.maximum(size - n + 1, 0) for n in GRAMS)
-        for n in GRAMS:
-            buckets = gram_buckets(folded, offsets, n)
+        buckets = [gram_buckets(folded, offsets, n) for n in GRAMS]
+        for own in buckets:
             for k in range(len(self.languages)):
-                sums[:, k] += _row_sums(self.table[k][buckets], offsets)
-        return sums / np.maximum(grams, 1)[:, None] + self.bias
+                sums[:, k] += _row_sums(self.table[k][own], offsets)
+        p = softmax((sums / np.maximum(grams, 1)[:, None] + self.bias) / self.temperature)
+        alike = np.zeros(len(size))
+        if self.usual is not None:
+            best = p.argmax(axis=1)
+            for k in np.unique(best).tolist():
+                of = np.repeat(best == k, size)
+                for own in buckets:
+                    alike += _row_sums(np.where(of, self.usual[k][own], np.float32(0)), offsets)
+            alike = np.where(grams > 0, alike / np.maximum(grams, 1), -np.inf)
+        return p, alike
 
     def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and calibrated probability of every row."""
+        return self.judge(arr)[:2]
+
+    def judge(self, arr: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, calibrated probability and acceptance of every row."""
         raw, offsets = string_bytes(arr)
         letters = _row_sums(_IS_LETTER[raw].astype(np.float64), offsets) > 0
         for i in np.flatnonzero(~letters & (offsets[1:] > offsets[:-1])).tolist():
             letters[i] = any(c.isalpha() for c in arr[i].as_py())
         score = np.zeros(len(arr))
         names = [UNKNOWN] * len(arr)
+        accepted = np.zeros(len(arr), bool)
         if self.languages:
-            p = softmax(self.logits(_FOLD[raw], offsets) / self.temperature)
+            p, alike = self._judge(_FOLD[raw], offsets)
             best = p.argmax(axis=1)
             score[letters] = p.max(axis=1)[letters]
             for i in np.flatnonzero(letters).tolist():
                 names[i] = self.languages[best[i]]
-        return names, score
-
-    def accepted(self, names: list[str], score: np.ndarray) -> np.ndarray:
-        return (np.array([n != UNKNOWN for n in names], bool)
-                & (score >= self.threshold))
+            accepted = letters & (score >= self.threshold) & (alike >= self.least)
+        return names, score, accepted
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -222,9 +243,38 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS
     # prediction, within the allowed share.
     wrong = max(0.5, best[~right].max() if (~right).any() else 0.0)
     model.threshold = float(min(wrong, np.quantile(best, max_reject, method="lower")))
+    model.usual, model.least = _likeness(sample, place, max_reject)
     return model
 
 
+def _likeness(sample, place: dict[str, int], max_reject: float) -> tuple[np.ndarray, float]:
+    """Log frequencies of grams in each language, less the median of its
+    sample texts' means, and the least likeness that is accepted."""
+    counts = np.zeros((len(place), BUCKETS))
+    for lang, u, c in sample:
+        counts[place[lang]][u] += c
+    total = counts.sum(axis=1)
+    floor = np.log(PRIOR / (total + PRIOR * BUCKETS))
+    table = np.log((counts + PRIOR) / (total + PRIOR * BUCKETS)[:, None])
+    truth = np.array([place[s[0]] for s in sample])
+    means = np.array([table[:, u] @ (c / c.sum()) for _, u, c in sample])
+    for i, (k, (_, u, c)) in enumerate(zip(truth.tolist(), sample)):    # without itself
+        means[i, k] = np.log((counts[k][u] - c + PRIOR)
+                             / (total[k] - c.sum() + PRIOR * BUCKETS)) @ (c / c.sum())
+    at = np.arange(len(sample))
+    middle = np.array([np.median(means[truth == k, k]) for k in range(len(place))])
+    means -= middle
+    known = np.quantile(means[at, truth], max_reject, method="lower")
+    # Texts of a language left out: the likest of the others. With a single
+    # language a text of grams never met stands for them.
+    means[at, truth] = -np.inf
+    unknown = (np.quantile(means.max(axis=1), 0.99) if len(place) > 1
+               else float((floor - middle)[0]))
+    least = (known + unknown) / 2 if unknown < known else known
+    usual = (table - middle[:, None]).astype(np.float32)
+    return np.concatenate([usual, np.zeros((len(place), 1), np.float32)], axis=1), float(least)
+
+
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col, lang_pred, score, rejected``."""
@@ -237,10 +287,10 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
         own = shared.value
         for batch in batches:
             for part in text_slices(batch, "text"):
-                names, score = own.predict(part.column("text"))
+                names, score, accepted = own.judge(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(names, pa.string()), pa.array(score),
-                     pa.array(~own.accepted(names, score))],
+                     pa.array(~accepted)],
                     ["id", "lang_pred", "score", "rejected"])
 
     kind = narrow.schema["id"].dataType.simpleString()
@@ -258,6 +308,6 @@ def keep_accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text")
         own = shared.value
         for batch in batches:
             for part in text_slices(batch, text_col):
-                yield part.filter(pa.array(own.accepted(*own.predict(part.column(text_col)))))
+                yield part.filter(pa.array(own.judge(part.column(text_col))[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -215,6 +215,31 @@ def test_every_language_is_learned(spark):
     assert len(language.train(sample, epochs=1).languages) == 205
 
 
+def test_unknown_languages_and_junk_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.col("doc_id") % 4 == 0
+    rnd = random.Random(9)
+    letters = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(size))
+               for size in (40, 100, 400, 2000) for _ in range(25)]
+    strange = letters + [
+        "il gatto nero dorme sul tavolo e mia sorella legge un libro molto interessante oggi",
+        "het is een mooie dag en de kinderen spelen buiten in de tuin met een grote hond",
+        "Это простой текст на русском языке о погоде и природе"]
+    model = language.train(language.labelled_sample(docs, ~held))
+    _, _, accepted = model.judge(pa.array(strange))
+    assert not accepted.any()
+    clean = [r["text"] for r in docs.where(held).where("lang is not null").collect()]
+    assert model.judge(pa.array(clean))[2].mean() > 0.98
+    # Each language left out of training.
+    for lang in ("de", "en", "es", "fr"):
+        model = language.train(language.labelled_sample(docs, ~held & (F.col("lang") != lang)))
+        own = [r["text"] for r in docs.where(held).where(F.col("lang") == lang).collect()]
+        others = [r["text"] for r in docs.where(held).where(F.col("lang") != lang).collect()]
+        assert model.judge(pa.array(own))[2].mean() < 0.1, lang
+        assert model.judge(pa.array(others))[2].mean() > 0.98, lang
+    assert not language.train([]).judge(pa.array(["text"]))[2].any()
+
+
 def test_language_scores_are_those_of_single_texts():
     rnd = random.Random(4)
     texts = ["".join(rnd.choice("abcé ü.") for _ in range(rnd.randint(0, 40))) for _ in range(50)]
