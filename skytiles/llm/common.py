@@ -9,8 +9,10 @@ working memory does not follow the batch size.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +68,21 @@ def string_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
+def factorized(lists: list[list[str]], texts: list[str | None]) \
+        -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Codes of all strings (parts of the texts) in order, the distinct
+    strings, and the length of every list."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = list(chain.from_iterable(lists))
+    if any("\0" in t for t in texts if t):    # pandas' tables end strings there
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist(), counts
+    values = np.empty(len(flat), object)
+    values[:] = flat
+    codes, unique = pd.factorize(values)
+    return codes, list(unique), counts
+
+
 # ------------------------------------------------------------------ hashing
 
 _P = np.uint64(0x9E3779B97F4A7C15)

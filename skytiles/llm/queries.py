@@ -7,11 +7,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (decontaminate, htmltext, language, neardup, quality, secrets, sentencepieces,
-               topk, urlfilter, warc)
+from . import (alignment, decontaminate, htmltext, language, neardup, packing, prefixtrie,
+               quality, secrets, sentencepieces, topk, urlfilter, warc)
 from .common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_sentencepiece(spark, sf_dir):
@@ -100,6 +102,30 @@ def op10_top_k(spark, sf_dir):
         "query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_alignment(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    aligned = alignment.align_documents(docs, public_tokenizers.path(BYTE_VOCABULARY),
+                                        public_tokenizers.path(PIECE_MODEL))
+    stored = alignment.store_alignment(aligned.withColumn("groups_sha256", F.when(
+        F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise(""))
+        .drop("groups"))
+    scored = alignment.score_documents(stored, alignment.pair_counts(stored))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                         "groups_sha256")
+
+
+def op12_packing(spark, sf_dir):
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path(WORD_VOCABULARY), with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", F.col("crc").alias("ids_crc32"),
+                         "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark, sf_dir):
+    turns = prefixtrie.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    return prefixtrie.prefix_trie(*prefixtrie.shared_heads(turns))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
@@ -111,6 +137,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_top_k": op10_top_k,
+    "op11_alignment": op11_alignment,
+    "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -178,4 +207,41 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
       FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    # A turn is one text, so that a path is a list of texts; the checksum of
+    # an id is worked out bit by bit.
+    "op13_prefix_trie": """
+WITH own AS (SELECT conv_id AS c, hex(coalesce(role, '')) || ':' || hex(coalesce(text, '')) AS t,
+                    length(coalesce(text, '')) AS chars,
+                    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                       coalesce(role, ''), coalesce(text, '')) AS k
+             FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, xor(list_reduce(
+            list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''),
+                                                     x -> CAST(ascii(x) AS BIGINT))),
+            (a, b) -> list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
+                                  (x, i) -> xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT c FROM own)),
+parts AS (SELECT ids.c, 0 AS part, k, t FROM ids JOIN own ON own.c = ids.c - ids.c % 100 AND k <= h
+          UNION ALL SELECT c, 1, k, t FROM ids JOIN own USING (c) WHERE k > h),
+seqs AS (SELECT ids.c, coalesce(list(t ORDER BY part, k) FILTER (t IS NOT NULL),
+                                CAST([] AS VARCHAR[])) AS s
+         FROM ids LEFT JOIN parts USING (c) GROUP BY ids.c),
+chars AS (SELECT DISTINCT t, chars FROM own),
+steps AS (SELECT c, s[1:d] AS path, d, len(s) AS n FROM (
+            SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)
+                                 FILTER (d = n), '')) AS ends_sha256
+          FROM steps GROUP BY path, d),
+kids AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+shares AS (SELECT path, d, n_children IS NULL AS leaf,
+                  (n_convs - 1) * coalesce(chars, 0) AS saved
+           FROM nodes LEFT JOIN kids USING (path) LEFT JOIN chars ON chars.t = path[d]),
+sums AS (SELECT path[1:e] AS path, count(*) FILTER (leaf) AS n_leaves,
+                CAST(sum(saved) AS BIGINT) AS saved_tokens
+         FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM shares) GROUP BY 1)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums ON sums.path = nodes.path LEFT JOIN kids ON kids.path = nodes.path
+LEFT JOIN nodes up ON nodes.d > 0 AND up.path = nodes.path[1:nodes.d - 1]""",
 }

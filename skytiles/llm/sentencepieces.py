@@ -25,12 +25,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import share_code, text_slices
+from .common import factorized, share_code, text_slices
 
 SPACE = "▁"
 PAIR_SLOTS = 1 << 20       # remembered pair tests
@@ -269,11 +268,8 @@ class PrefixTable:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text, with begin and end id."""
         cuts = [self.cuts.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        per_text = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        flat = np.empty(int(per_text.sum()), object)
-        flat[:] = [w for c in cuts for w in c]
-        codes, words = pd.factorize(flat)
-        ids, counts = self.encode_cuts(list(words))
+        codes, words, per_text = factorized(cuts, texts)
+        ids, counts = self.encode_cuts(words)
         first = np.cumsum(counts) - counts
         lengths = counts[codes]
         ends = np.cumsum(lengths)

@@ -334,3 +334,10 @@ def test_quality_cases(spark):
 def test_package_code_reaches_workers(spark):
     out = spark.range(1).select(F.lit("x").alias("text"), F.col("id").alias("doc_id"))
     assert secrets.secret_spans(out).count() == 1
+
+
+def test_zero_bytes_do_not_end_a_cut():
+    table = prefix_table(MODEL)
+    texts = ["a", "a\x00b", "a\x00c", "\x00", "", "\x00\x01"]
+    assert [x.tolist() for x in table.encode(texts)] == table.sp.encode(
+        texts, add_bos=True, add_eos=True)
