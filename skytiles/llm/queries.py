@@ -217,9 +217,9 @@ WITH own AS (SELECT conv_id AS c, hex(coalesce(role, '')) || ':' || hex(coalesce
              FROM conversations WHERE conv_id IS NOT NULL),
 ids AS (SELECT c, xor(list_reduce(
             list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''),
-                                                     x -> CAST(ascii(x) AS BIGINT))),
-            (a, b) -> list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
-                                  (x, i) -> xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6 AS h
+                                                     lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
+                                  lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6 AS h
         FROM (SELECT DISTINCT c FROM own)),
 parts AS (SELECT ids.c, 0 AS part, k, t FROM ids JOIN own ON own.c = ids.c - ids.c % 100 AND k <= h
           UNION ALL SELECT c, 1, k, t FROM ids JOIN own USING (c) WHERE k > h),
