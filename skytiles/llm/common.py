@@ -15,9 +15,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sizing import MAX_SMALL_ROWS, is_small
+
 SLICE_BYTES = 2 << 20     # text bytes handled at once
 PIECE_BYTES = 1 << 20     # bytes hashed at once
 
@@ -189,13 +191,50 @@ def member_bitmap(keys: DataFrame, key: str, bits: int = MEMBER_BITS) -> DataFra
     return set_words.select(filled.alias("bitmap"))
 
 
-def maybe_member(df: DataFrame, key: str, keys: DataFrame, keys_col: str,
-                 bits: int = MEMBER_BITS) -> DataFrame:
-    """Rows whose key may be among ``keys`` (no member is lost): a cheap
-    filter before a shuffle join. The bitmap has a fixed size, so it is
-    safe to ship; when very many keys fill it, it merely filters less."""
+def member_test(key: str, keys: DataFrame, keys_col: str, bits: int = MEMBER_BITS) -> Column:
+    """True where a key may be among ``keys`` (always where it is). The
+    bitmap has a fixed size, so it is safe to ship; when very many keys fill
+    it, it merely filters less."""
     bitmap = member_bitmap(keys, keys_col, bits).scalar()
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
     word = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
-    hit = F.getbit(word, F.pmod(slot, F.lit(64)).cast("int"))
-    return df.where(hit == 1)
+    return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
+
+
+def maybe_member(df: DataFrame, key: str, keys: DataFrame, keys_col: str,
+                 bits: int = MEMBER_BITS) -> DataFrame:
+    """Rows whose key may be among ``keys`` (no member is lost): a cheap
+    filter before a shuffle join."""
+    return df.where(member_test(key, keys, keys_col, bits))
+
+
+def without_keys(df: DataFrame, on: dict, gone: DataFrame,
+                 max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """The rows of ``df`` whose key (``on``: column of ``gone`` -> expression
+    over ``df``, not null) is not in ``gone``; columns unchanged.
+
+    A table of checked size is broadcast. Beyond it only rows that may
+    be in it are shuffled: all others pass a bitmap test and stay put."""
+    names = {c: unused_name(df, f"key_{c}") for c in on}
+    keyed = df.select("*", *[e.alias(names[c]) for c, e in on.items()])
+    gone = gone.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    keys = list(names.values())
+    if is_small(gone, max_rows):
+        left = keyed.join(F.broadcast(gone), keys, "left_anti")
+    else:
+        gone = gone.withColumn("slot", F.xxhash64(*keys))
+        slot = unused_name(df, "slot")
+        keyed = keyed.withColumn(slot, F.xxhash64(*keys))
+        hit = member_test(slot, gone, "slot")
+        left = keyed.where(~hit).drop(slot).union(
+            keyed.where(hit).drop(slot).join(gone.select(*keys), keys, "left_anti")
+            .select(*df.columns, *keys))
+    return left.select(*df.columns)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (in any case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_scratch_table
 from .common import (MEMBER_BITS, gram_hashes, share_code, string_bytes, text_slices,
-                     word_hashes, word_table)
+                     without_keys, word_hashes, word_table)
 
 SPAN = 10      # words of a window
 GRAM = 5       # words of a fingerprint
@@ -235,12 +235,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     F.coalesce("item_ids", none).alias("item_ids")))
 
 
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """Rows ``t1, t2``: hashes of the texts that hold a window of any item.
+    Equal windows of several items are joined once."""
+    items = write_scratch_table(item_fingerprints(benchmark), "winnow-items")
+    found = candidate_hits(docs, items, id_col, text_col)
+    any_item = items.withColumn("item_id", F.lit(0)).distinct()
+    rows = shared_spans(found.where(F.size("hits") > 0), any_item).select("row").distinct()
+    return write_scratch_table(found.select("row", "t1", "t2").join(rows, "row", "left_semi")
+                               .select("t1", "t2").distinct(), "winnow-texts")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """The documents without any hit word, columns unchanged. The decision
-    depends on the text alone, so it is joined back by text hash."""
-    hit = (contamination(docs, benchmark, id_col, text_col).where("n_hit > 0")
-           .select("t1", "t2").distinct())
-    text = F.coalesce(docs[text_col], F.lit(""))
-    return docs.join(hit, (F.xxhash64(text) == hit["t1"])
-                     & (F.xxhash64(F.lit(1), text) == hit["t2"]), "left_anti")
+    depends on the text alone, so it is taken back by text hash; clean
+    documents are not shuffled."""
+    hit = contaminated_texts(docs, benchmark, id_col, text_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return without_keys(docs, {"t1": F.xxhash64(text), "t2": F.xxhash64(F.lit(1), text)}, hit)

@@ -43,12 +43,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sizing import broadcast_if_small
 from ..session import write_scratch_table
 from .common import (gram_hashes, maybe_member, mix, share_code, string_bytes, text_slices,
-                     word_hashes, word_table)
+                     unused_name, without_keys, word_hashes, word_table)
 
 SHINGLE = 5        # words
 PERCENT = 80       # least similarity
@@ -370,12 +371,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of every group left (its smallest id, one row
-    of it), columns unchanged. Rows without an id all stay."""
-    kept = (near_duplicates(docs, id_col, text_col, shingle, percent)
-            .where("kept and id is not null").select("id").distinct())
-    one = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
-    ranked = docs.where(F.col(id_col).isNotNull()) \
-        .join(kept, docs[id_col] == kept["id"], "left_semi") \
-        .withColumn("__nth", F.row_number().over(one)).where("__nth = 1").drop("__nth")
-    return ranked.unionByName(docs.where(F.col(id_col).isNull()))
+    """The documents with one of every group left (that of the smallest id),
+    columns unchanged. Every row is a document by itself here: rows that
+    repeat an id are groups only where their texts are alike. Rows
+    without an id all stay. Documents that stay are not shuffled."""
+    row = unused_name(docs, "row")
+    numbered = write_scratch_table(
+        docs.withColumn(row, F.monotonically_increasing_id()), "neardup-documents")
+    known = numbered.where(F.col(id_col).isNotNull())
+    found = near_duplicates(known, row, text_col, shingle, percent)
+    # Only groups of several rows choose; the others keep what they have.
+    found = write_scratch_table(found.select("id", "component"), "neardup-groups")
+    several = found.where("id <> component").select("component").distinct()
+    ids = known.select(F.col(row).alias("id"), F.col(id_col).alias("doc"))
+    group = found.join(broadcast_if_small(several), "component", "left_semi").join(ids, "id")
+    first = group.groupBy("component").agg(F.min(F.struct("doc", "id")).alias("first"))
+    gone = write_scratch_table(
+        group.join(broadcast_if_small(first), "component").where(F.col("id") != F.col("first.id")).select("id"),
+        "neardup-gone")
+    return without_keys(numbered, {"id": F.col(row)}, gone).drop(row)

@@ -49,7 +49,7 @@ def _held_out():
 
 def op3_language(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    model = language.train(language.labelled_sample(docs, ~_held_out()))
+    model = language.fit(docs, ~_held_out())
     return language.predict_languages(docs, model).select(
         "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score",
         "rejected")

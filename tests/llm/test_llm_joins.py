@@ -349,10 +349,34 @@ def test_near_duplicates_cases(spark):
     d = rows(spark, docs, "doc_id bigint, text string")
     got = [tuple(r) for r in neardup.near_duplicates(d).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, brute_groups(docs, 5)))
+    # As a stage, rows that repeat an id are apart unless their texts are alike.
     left = [tuple(r) for r in neardup.drop_near_duplicates(d).collect()]
     assert sorted(map(repr, left)) == sorted(map(repr, [
-        (3, other), (None, same), (None, same), (9, None)]))
+        (3, other), (5, same), (None, same), (None, same), (9, None)]))
     assert neardup.near_duplicates(d.limit(0)).count() == 0
+    assert neardup.drop_near_duplicates(d.limit(0)).count() == 0
+
+
+def test_near_duplicate_stage_with_clashing_columns(spark):
+    same = " ".join(f"a{k}" for k in range(30))
+    names = ["row", "ROW_", "__nth", "id", "component", "doc", "key_id", "slot", "n", "kept"]
+    docs = rows(spark, [(2, same, *range(10)), (1, same, *range(10)), (3, "b", *range(10))],
+                "doc_id bigint, text string, " + ", ".join(
+                    f"`{n}` int" for n in names)).drop("ROW_")
+    left = neardup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 3]
+
+
+def test_rows_without_keys(spark):
+    df = rows(spark, [(k, f"t{k % 50}") for k in range(400)], "key_a bigint, slot string")
+    gone = rows(spark, [(f"t{k}", k) for k in range(0, 50, 3)] * 2, "a string, b int")
+    want = sorted(k for k in range(400) if k % 50 % 3)
+    for most in (100, 0):               # broadcast, and by bitmap and shuffle
+        left = common.without_keys(df, {"a": F.col("slot")}, gone, most)
+        assert left.columns == df.columns
+        assert sorted(r["key_a"] for r in left.collect()) == want
+    assert common.without_keys(df, {"a": F.col("slot")}, gone.limit(0)).count() == 400
 
 
 def test_components_of_a_chain(spark):

@@ -3,6 +3,7 @@ HTML extraction, quality."""
 
 import hashlib
 import math
+import pickle
 import random
 import re
 
@@ -215,6 +216,43 @@ def test_every_language_is_learned(spark):
     assert len(language.train(sample, epochs=1).languages) == 205
 
 
+def test_scores_of_many_languages_against_a_plain_sum(spark):
+    rnd = random.Random(2)
+    docs = rows(spark, [(i, " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz"[k:k + 6])
+                                             for _ in range(5)) for _ in range(9)), f"l{k:02}")
+                        for i in range(200) for k in [i % 20]],
+                "doc_id int, text string, lang string")
+    model = language.fit(docs)
+    assert pickle.dumps(model) == pickle.dumps(language.train(language.labelled_sample(docs)))
+    assert model.table is None and len(model.languages) == 20
+    texts = [r["text"] for r in docs.limit(40).collect()] + ["ab", "a", "xyz xyz"]
+    names, score, accepted = model.judge(pa.array(texts))
+    for text, name, value, ok in zip(texts, names, score, accepted):
+        data = language._FOLD[np.frombuffer(text.encode(), np.uint8)]
+        own = np.concatenate([language.gram_buckets(data, np.array([0, len(data)]), n)
+                              for n in language.GRAMS])
+        own = own[own < language.BUCKETS]
+        mean = model.embed[:, own].sum(axis=1) / max(1, len(own))
+        p = language.softmax((mean @ model.out + model.bias)[None] / model.temperature)[0]
+        best = int(p.argmax())
+        floor, met, usual = model.usual[best]
+        seen = dict(zip(met.tolist(), usual.tolist()))
+        alike = np.mean([seen.get(g, floor) for g in own.tolist()]) if len(own) else -np.inf
+        assert name == model.languages[best] and abs(value - p[best]) < 1e-5
+        assert ok == (value >= model.threshold and alike >= model.least)
+
+
+def test_a_long_text_and_a_tie(spark):
+    docs = rows(spark, [(1, "the and that " * 300_000, "en"), (2, "die und das " * 30, "de"),
+                        (3, "die und das " * 30, "at")], "doc_id int, text string, lang string")
+    model = language.fit(docs)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict_languages(docs, model).collect()}
+    assert got[1] == "en" and got[2] == got[3]
+    model.out[:, 0], model.bias[0] = model.out[:, 1], model.bias[1]     # equally likely
+    model.table = (model.out.T @ model.embed).astype(np.float32)
+    assert model.judge(pa.array(["die und das die und das"]))[0] == [model.languages[0]]
+
+
 def test_unknown_languages_and_junk_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.col("doc_id") % 4 == 0
@@ -245,7 +283,7 @@ def test_language_scores_are_those_of_single_texts():
     texts = ["".join(rnd.choice("abcé ü.") for _ in range(rnd.randint(0, 40))) for _ in range(50)]
     table = np.random.default_rng(1).normal(size=(2, language.BUCKETS + 1)).astype(np.float32)
     table[:, -1] = 0
-    model = language.LanguageModel(["x", "y"], table, np.zeros(2))
+    model = language.LanguageModel(["x", "y"], table, np.eye(2), np.zeros(2))
     names, score = model.predict(pa.array(texts))
     for t, name, s in zip(texts, names, score):
         one, value = model.predict(pa.array([t]))
