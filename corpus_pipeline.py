@@ -7,14 +7,16 @@ next one's documents. All but the last return the columns of ``documents``:
 1. language ID drops documents whose language it rejects (text that is
    null, has no letter, or is unlike every learned language);
 2. MinHash near-dedup (five-word shingles, similarity 0.8) leaves one
-   document of each group;
+   document of each group; rows that repeat a doc_id are documents each;
 3. benchmark decontamination drops documents that share a ten-word window
    with a benchmark item;
 4. the secret scan masks secrets in the texts;
 5. SentencePiece encoding returns ``doc_id, n_tokens, ids`` (little-endian
    unsigned 32-bit integers) and the digests of ids and decoded text.
 
-An empty table passes through as an empty table.
+An empty table passes through as an empty table. Columns besides those of
+``documents`` pass through, whatever their names; null ids stay; very long
+texts are whole throughout.
 """
 
 from __future__ import annotations
@@ -26,13 +28,13 @@ from pyspark.sql import functions as F
 from skytiles.llm import decontaminate, language, neardup, secrets, sentencepieces
 from skytiles.llm.common import read_table
 from skytiles.llm.queries import PIECE_MODEL
-from skytiles.session import write_scratch_table
+from skytiles.session import scratch_scope, scratch_scope_off, write_scratch_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled texts of its input; without any there is
     nothing to recognise by, and all documents stay."""
-    model = language.train(language.labelled_sample(docs))
+    model = language.fit(docs)
     return language.keep_accepted(docs, model) if model.languages else docs
 
 
@@ -71,8 +73,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = write_scratch_table(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        with scratch_scope(spark):          # a stage's own tables go with it
+            kept = stage(spark, docs, sf_dir)
+            with scratch_scope_off():
+                docs = write_scratch_table(kept, f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
