@@ -12,7 +12,6 @@ import os
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +21,8 @@ from ..functions.sizing import MAX_SMALL_ROWS, is_small
 
 SLICE_BYTES = 2 << 20     # text bytes handled at once
 PIECE_BYTES = 1 << 20     # bytes hashed at once
+BATCH_BYTES = "8m"        # rows sent to a Python worker at once
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -34,6 +35,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def share_code(spark: SparkSession) -> None:
+    """Makes the package importable in the Python workers, and bounds the
+    batches that they are sent by bytes, unless the session does so itself:
+    ten thousand rows of text can be very large."""
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if _ROOT not in paths:
@@ -79,6 +85,7 @@ def factorized(lists: list[list[str]], texts: list[str | None]) \
     if any("\0" in t for t in texts if t):    # pandas' tables end strings there
         coded = pa.array(flat, pa.string()).dictionary_encode()
         return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist(), counts
+    import pandas as pd         # only the workers that need it hold it in memory
     values = np.empty(len(flat), object)
     values[:] = flat
     codes, unique = pd.factorize(values)

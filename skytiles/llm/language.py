@@ -48,6 +48,7 @@ from .common import share_code, string_bytes, text_slices
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
+SLICE = 1 << 20           # text bytes handled at once
 WIDTH = 16                # numbers in an embedding
 PER_LANGUAGE = 400        # labelled texts learned from, per language
 SAMPLE = 100_000          # labelled texts learned from, of all languages
@@ -210,7 +211,7 @@ def sampled_grams(docs: DataFrame, allowed: Column | None = None, id_col: str =
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE):
                 _, folded, offsets = _slice_bytes(part, "text")
                 grams = [gram_buckets(folded, offsets, n) for n in GRAMS]
                 buckets, counts = [], []
@@ -227,9 +228,13 @@ def sampled_grams(docs: DataFrame, allowed: Column | None = None, id_col: str =
 
 
 def _sample_rows(batches) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    found = [(lang, np.asarray(u, np.int32), np.asarray(c, np.int32))
-             for batch in batches for lang, u, c in zip(
-                 *[batch.column(n).to_pylist() for n in ("lang", "buckets", "counts")]) if u]
+    found = []
+    for batch in batches:
+        buckets, counts = batch.column("buckets"), batch.column("counts")
+        u, c = buckets.flatten().to_numpy(), counts.flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(buckets.value_lengths().to_numpy())]).tolist()
+        found += [(lang, u[a:b], c[a:b]) for lang, a, b in zip(
+            batch.column("lang").to_pylist(), ends[:-1], ends[1:]) if b > a]
     # An order that does not depend on how rows arrived.
     return sorted(found, key=lambda s: (s[0], s[1].tobytes(), s[2].tobytes()))
 
@@ -371,7 +376,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     def run(batches):
         own = shared.value
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE):
                 names, score, accepted = own.judge(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(names, pa.string()), pa.array(score),
@@ -392,7 +397,7 @@ def keep_accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text")
     def run(batches):
         own = shared.value
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            for part in text_slices(batch, text_col, SLICE):
                 yield part.filter(pa.array(own.judge(part.column(text_col))[2]))
 
     return docs.mapInArrow(run, docs.schema)
