@@ -10,6 +10,7 @@ and arithmetic shortcuts rather than repeating them.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,12 @@ from skytiles.sources import document_lines, sky_points
 from skytiles.sources.testdata import (SKY_ORDER, bad_sky_points, bad_sky_sql_view,
                                        hot_sky_points, hot_sky_sql_view, sky_sql_view)
 
-try:  # the text-pipeline operators are optional
+if importlib.util.find_spec("skytiles.llm"):  # the text-pipeline operators are optional
     import corpus_pipeline
     from skytiles.llm.queries import ORACLES as LLM_ORACLES
     from skytiles.llm.queries import QUERIES as LLM_QUERIES
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
-except ImportError:
+else:
     LLM_ORACLES, LLM_QUERIES = {}, {}
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -137,12 +138,11 @@ def q_capacity_split(spark, sf_dir):
 
 
 def q_capacity_split_two_phase(spark, sf_dir):
-    # Same result through the skew-splitting path, with a task budget of
-    # 1/16 of the points: cells then span several ranges at every scale.
-    total = _points(spark, sf_dir).count()
+    # Same result through the skew-splitting path: with a task budget of
+    # 1/64 of the points the average cell is too large for a task.
+    pts = _points(spark, sf_dir)
     return with_out_cell(capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
-                                        method="two_phase", rows_per_task=-(-total // 16),
-                                        total_rows=total)) \
+                                        method="two_phase", rows_per_task=-(-pts.count() // 64))) \
         .select("source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
 
 
@@ -217,25 +217,37 @@ def q_partition_sink_roundtrip(spark, sf_dir):
 
 
 def q_partition_sink_column_band(spark, sf_dir):
-    """J3 as published, with the Decl band from the column index: its own
-    histogram."""
-    return run_partition_job(_points(spark, sf_dir), scratch_path(spark, "band-sink"),
-                             columns=["ra", "decl"], fmt="csv", min_cells=MIN_CELLS,
-                             ra_pad=PAD, decl_pad=PAD, cap=SPLIT_CAP,
-                             order_by=tuple(SKY_ORDER), decl_band="i")
+    """J3 as published: the Decl band from the column index, `ra,decl` text
+    files; the stars counted and their coordinates summed up in the files."""
+    path = scratch_path(spark, "band-sink")
+    run_partition_job(_points(spark, sf_dir), path, columns=["ra", "decl"], fmt="csv",
+                      min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=SPLIT_CAP,
+                      order_by=tuple(SKY_ORDER), decl_band="i")
+    back = read_cells(spark, path, T.StructType(_POINT.fields[1:]), fmt="csv", overflow=True)
+    return with_out_cell(back.withColumnRenamed("k", "overflow")).groupBy(
+        F.col("out_cell").alias("cell")).agg(
+        F.count(F.lit(1)).alias("n_stars"), F.min("ra").alias("min_ra"),
+        F.max("ra").alias("max_ra"), F.min("decl").alias("min_decl"),
+        F.max("decl").alias("max_decl"), F.countDistinct("ra", "decl").alias("n_places"))
 
 
 def q_hot_region_partition_sink(spark, sf_dir):
     """J3 end to end where one cell holds about a third of all stars (a
     hot region derived from every row of lineitem). With a task budget of
     1/16 of the points, the cap's auto method detects the hot cell and
-    splits it by range; the histogram is the job's own."""
+    divides it by counting; the outputs are read back from the files, with
+    the sum of their ids, so a wrong rank shows."""
     pts = hot_sky_points(spark, sf_dir)
     budget = -(-pts.count() // 16)
     path = scratch_path(spark, "hot-sink")
-    return run_partition_job(pts, path, columns=["source_id", "ra", "decl"],
-                             min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=CAP,
-                             order_by=tuple(SKY_ORDER), rows_per_task=budget)
+    run_partition_job(pts, path, columns=["source_id", "ra", "decl"],
+                      min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=CAP,
+                      order_by=tuple(SKY_ORDER), rows_per_task=budget)
+    back = read_cells(spark, path, _POINT, overflow=True)
+    return with_out_cell(back.withColumnRenamed("k", "overflow")).groupBy(
+        F.col("out_cell").alias("cell")).agg(
+        F.count(F.lit(1)).alias("n_stars"), F.sum("source_id").alias("sum_source_id"),
+        F.min("source_id").alias("min_source_id"), F.max("source_id").alias("max_source_id"))
 
 
 def q_deep_overflow_sink(spark, sf_dir):
@@ -524,8 +536,10 @@ FROM all_sky WHERE ra IS NULL OR decl IS NULL""",
             cap="(SELECT CAST(ceil(count(*) / 400.0) AS BIGINT) FROM sky)") + f"""
 SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
 FROM split GROUP BY out_cell""",
-        "partition_sink_column_band": _padded_sql("ci.k") + _RANKED.format(cap=SPLIT_CAP) + f"""
-SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
+        "partition_sink_column_band": _padded_sql("ci.k") + _RANKED.format(cap=SPLIT_CAP) + """
+SELECT out_cell AS cell, count(*) AS n_stars, min(ra) AS min_ra, max(ra) AS max_ra,
+       min(decl) AS min_decl, max(decl) AS max_decl,
+       count(DISTINCT (ra, decl)) AS n_places
 FROM split GROUP BY out_cell""",
         "grid_cells": f"""
 WITH {_SKY}, {_WRAPPED}, {_BOUNDS_WRAPPED}, {_IDX}, {_CELLS.format(row="cj.k")}
@@ -577,8 +591,9 @@ SELECT CAST(strip AS VARCHAR) AS cell, count(*) AS n_stars,
        min(source_id) AS min_source_id, max(ra) AS max_ra
 FROM strips GROUP BY 1""",
         "hot_region_partition_sink": _padded_sql("cj.k", hot=True)
-        + _RANKED.format(cap=CAP) + f"""
-SELECT out_cell AS cell, count(*) AS n_stars, {_BAR} AS bar
+        + _RANKED.format(cap=CAP) + """
+SELECT out_cell AS cell, count(*) AS n_stars, CAST(sum(source_id) AS BIGINT) AS sum_source_id,
+       min(source_id) AS min_source_id, max(source_id) AS max_source_id
 FROM split GROUP BY out_cell""",
         "partition_sink_roundtrip": _padded_sql("cj.k") + _RANKED.format(cap=CAP)
         + f"""

@@ -9,33 +9,37 @@ deterministic: it does not depend on task layout or arrival order.
 
 Ranking needs every row of a cell in order, which with a plain window
 puts a whole cell in one task. When a cell is larger than
-``rows_per_task`` the ``two_phase`` method splits it with Spark's range
-partitioning on ``(cell, order key)``: split points come from a sample
-of the full composite key, so a hot cell is cut into ranges of about
-``rows_per_task`` rows whatever the key distribution (clumped or
-repeated leading ids included). The rows are sorted inside their range
-and stored with a running number in the shared checkpoint folder, which
-fixes both across retries. A row's rank is then its number, less the first
-number of its (cell, range), plus the rows of the cell in earlier ranges:
-one small table joined back, no second shuffle and no window.
+``rows_per_task`` the ``two_phase`` method splits that cell, and no other,
+by counting: the rows of the cell are counted in ``BINS`` equal steps of the
+leading order column, a step that still holds too many rows is divided
+further, over the next order column where the first has one value left,
+until every step fits a task. A row's rank is the number of rows in the
+steps before its own, from the small table of counts, plus its place in
+its step. So the rows move once, in a window over ``(cell, step)`` that
+cold cells pass as one step; nothing is sampled or stored. Each round of
+counting is a narrow pass over the rows of oversized steps.
+
+Numbers, dates, times and booleans can be divided. From an order column of
+another type on, a step is not divided any further: its rows are ranked by
+one task, right but not bounded.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.coords import OVERFLOW_SUFFIX, overflow_name
-from ..functions.sizing import collect_small
+from ..functions.sizing import broadcast_if_small, collect_small
 from ..session import write_scratch_table
 
 # --- Fixed value of the neighbour-aware job: points per output file. ---
 MAX_PER_CELL = 10000
 
 ROWS_PER_TASK = 2_000_000
-MAX_BROADCAST_BINS = 200_000  # offset rows broadcast at most
+BINS = 256        # steps that a part of a cell is counted in at once
+MAX_ROUNDS = 16   # of counting; each divides oversized steps by up to BINS
 ORDER = ("source_id", "ra", "decl")
 
 
@@ -44,19 +48,18 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
                    cell_col: str = "cell", method: str = "auto",
                    rows_per_task: int = ROWS_PER_TASK,
                    cell_rows_bound: int | None = None,
-                   counts: DataFrame | None = None,
-                   total_rows: int | None = None) -> DataFrame:
+                   counts: DataFrame | None = None) -> DataFrame:
     """Adds ``cell_rank`` (1-based, per cell) and ``overflow`` (0-based).
 
-    ``order_by`` must be a total order over each cell's rows (up to rows
-    that are equal in every column written) for the result to be
-    deterministic. ``method`` is ``window``, ``two_phase`` or ``auto``:
-    two-phase only when some cell exceeds ``rows_per_task``, which the
-    rows per cell tell. They are taken from ``counts`` (columns
-    ``cell, n_stars``) where given, and counted otherwise, unless
-    ``cell_rows_bound`` - a proven upper bound on any cell's row count, such
-    as the number of input points, since a point is in a given cell at
-    most once - already shows that no cell can.
+    ``order_by`` gives the order of a cell's rows; rows that it leaves equal
+    are ordered by a hash of all their columns, so the result is the same
+    for every method and task layout. ``method`` is ``window``,
+    ``two_phase`` or ``auto``: two-phase only when some cell exceeds
+    ``rows_per_task``, which the rows per cell tell. They are taken from
+    ``counts`` (columns ``cell, n_stars``) where given, and counted
+    otherwise, unless ``cell_rows_bound`` - a proven upper bound on any
+    cell's row count, such as the number of input points, since a point is
+    in a given cell at most once - already shows that no cell can.
     """
     if cap < 1:
         raise ValueError("cap must be >= 1")
@@ -66,19 +69,19 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     if method == "auto" and cell_rows_bound is not None \
             and cell_rows_bound <= rows_per_task:
         method = "window"
-    if method == "window":
-        ranked = _rank_window(assigned, order_by, cell_col)
-    elif method == "two_phase" and total_rows is not None:
-        ranked = _rank_two_phase(assigned, total_rows, order_by, cell_col, rows_per_task)
-    else:
+    if method != "window":
         if counts is None:
             counts = cell_counts(assigned, cell_col)
-        row = counts.agg(F.max("n_stars"), F.sum("n_stars")).first()
-        largest, total = row[0] or 0, row[1] or 0
-        if method == "auto" and largest <= rows_per_task:
-            ranked = _rank_window(assigned, order_by, cell_col)
-        else:
-            ranked = _rank_two_phase(assigned, total, order_by, cell_col, rows_per_task)
+        # At most total / rows_per_task cells are that large.
+        hot = collect_small(counts.where(F.col("n_stars") > rows_per_task)
+                            .select(F.col("cell").alias(cell_col)))
+        if hot.isEmpty():
+            method = "window"
+    ties = _tie_break(assigned, [cell_col, *order_by])
+    if method == "window":
+        ranked = assigned.withColumn("cell_rank", _place([cell_col], order_by, ties))
+    else:
+        ranked = _rank_two_phase(assigned, hot, order_by, ties, cell_col, rows_per_task)
     return ranked.withColumn("overflow", F.floor((F.col("cell_rank") - 1) / F.lit(cap)))
 
 
@@ -95,28 +98,116 @@ def with_out_cell(split: DataFrame, cell_col: str = "cell", out_col: str = "out_
     return split.withColumn(out_col, overflow_name(cell_col, "overflow", suffix))
 
 
-def _rank_window(df: DataFrame, order_by: list[str], cell_col: str) -> DataFrame:
-    w = Window.partitionBy(cell_col).orderBy(*order_by)
-    return df.withColumn("cell_rank", F.row_number().over(w).cast("long"))
+def _tie_break(df: DataFrame, known: list[str]) -> list[Column]:
+    """A hash of the row, unless the order columns are all there is."""
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return [F.xxhash64(*hashed)] if set(hashed) - set(known) else []
+
+
+def _place(keys: list[str], order_by: list[str], ties: list[Column]) -> Column:
+    w = Window.partitionBy(*keys).orderBy(*order_by, *ties)
+    return F.row_number().over(w).cast("long")
+
+
+def _digits(df: DataFrame, order_by: list[str]) -> list[Column]:
+    """The order columns as finite doubles that sort as they do, up to the
+    first column of a type without such a form. Each is exact, so equal
+    doubles are equal values."""
+    digits: list[Column] = []
+    for name in order_by:
+        field = next(f for f in df.schema.fields if f.name == name)
+        kind, value = field.dataType, F.col(name)
+        if isinstance(kind, T.TimestampType):
+            kind, value = T.LongType(), F.unix_micros(value)
+        elif isinstance(kind, T.DateType):
+            kind, value = T.IntegerType(), F.unix_date(value)
+        elif isinstance(kind, T.BooleanType):
+            kind, value = T.IntegerType(), value.cast("int")
+        if isinstance(kind, T.LongType):      # more bits than a double holds
+            own = [F.shiftright(value, 32).cast("double"),
+                   value.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double")]
+        elif isinstance(kind, T.IntegralType):
+            own = [value.cast("double")]
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = value.cast("double")
+            infinite = F.lit(float("inf"))
+            # Null, -Infinity, numbers, Infinity, NaN, as Spark sorts them.
+            kinds = F.when(F.isnan(value), 3.0).when(value == infinite, 2.0).when(
+                value == -infinite, 0.0).otherwise(1.0)
+            digits.append(F.when(value.isNull(), -1.0).otherwise(kinds))
+            own = [F.when(F.isnan(value) | (F.abs(value) == infinite), 0.0).otherwise(value)]
+        else:
+            break
+        if not isinstance(kind, (T.DoubleType, T.FloatType)) and field.nullable:
+            digits.append(value.isNotNull().cast("double"))
+        digits += [F.coalesce(d, F.lit(0.0)) for d in own]
+    return digits
 
 
-def _rank_two_phase(df: DataFrame, total_rows: int, order_by: list[str],
+def _rank_two_phase(df: DataFrame, hot: DataFrame, order_by: list[str], ties: list[Column],
                     cell_col: str, rows_per_task: int) -> DataFrame:
-    parts = max(1, math.ceil(total_rows / rows_per_task))
-    keys = [cell_col, *order_by]
-    # Numbers count up by one inside a range; the range is their upper part.
-    numbered = write_scratch_table(
-        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-        .withColumn("_at", F.monotonically_increasing_id()), "capacity-ranges")
-    range_ = F.shiftright("_at", 33)
-    stretches = (numbered.groupBy(cell_col, range_.alias("_range"))
-                 .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(cell_col).orderBy("_range").rowsBetween(
+    digits = _digits(df, order_by)
+    steps = [f"_step{k}" for k in range(MAX_ROUNDS)]
+    # The parts of cells to divide: all rows of the hot cells at first. The
+    # parts of one round are disjoint and oversized, so they are few.
+    bounds_ = [f(F.get("_digits", F.lit(k))).alias(f"{n}{k}")
+               for k in range(len(digits)) for n, f in (("_lo", F.min), ("_hi", F.max))]
+    narrow = df.select(cell_col, F.array(*digits).alias("_digits"))
+    parts = _divisible(narrow.join(broadcast_if_small(hot), cell_col).groupBy(cell_col).agg(
+        F.count(F.lit(1)).alias("_n"), *bounds_), [cell_col], len(digits), rows_per_task)
+    out, keys, done = df.withColumn("_digits", F.array(*digits)), [cell_col], []
+    for step in steps:
+        if parts.isEmpty():
+            break
+        small = broadcast_if_small(parts)
+        narrow = narrow.join(small, keys).withColumn(step, _step()) \
+            .drop("_digit", "_lo", "_hi")
+        out = out.join(small, keys, "left").withColumn(step, F.coalesce(_step(), F.lit(0))) \
+            .drop("_digit", "_lo", "_hi")
+        keys = [*keys, step]
+        counted = write_scratch_table(
+            narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *bounds_), "capacity-steps")
+        parts = _divisible(counted, keys, len(digits), rows_per_task)
+        # Steps that are not divided further are final.
+        done.append(counted.join(broadcast_if_small(parts.select(*keys)), keys, "left_anti")
+                    .select(*keys, "_n"))
+    if not done:                    # nothing to divide by
+        return out.drop("_digits").withColumn("cell_rank", _place([cell_col], order_by, ties))
+    final = done[0]
+    for more in done[1:]:
+        final = final.unionByName(more, allowMissingColumns=True)
+    final = final.fillna(0, subset=keys[1:])
+    before = Window.partitionBy(cell_col).orderBy(*keys[1:]).rowsBetween(
         Window.unboundedPreceding, -1)
-    shifts = stretches.select(cell_col, "_range", (
-        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
-    # At most ranges + cells - 1 rows (ranges cover cells in order), made once.
-    shifts = collect_small(shifts, MAX_BROADCAST_BINS)
-    return (numbered.withColumn("_range", range_).join(shifts, [cell_col, "_range"])
-            .withColumn("cell_rank", F.col("_at") + F.col("_shift"))
-            .drop("_range", "_at", "_shift"))
+    shifts = write_scratch_table(final.select(
+        *keys, F.sum("_n").over(before).alias("_before")), "capacity-shifts")
+    return (out.drop("_digits").withColumn("_place", _place(keys, order_by, ties))
+            .join(broadcast_if_small(shifts), keys, "left")
+            .withColumn("cell_rank", F.col("_place") + F.coalesce("_before", F.lit(0)))
+            .drop("_place", "_before", *keys[1:]))
+
+
+def _step() -> Column:
+    """The step of a row's digit between the part's bounds; grows with it.
+    Null outside the parts. Halves, so that the span of two doubles is one."""
+    span = F.col("_hi") / 2 - F.col("_lo") / 2
+    at = F.get("_digits", F.col("_digit")) / 2 - F.col("_lo") / 2
+    return F.when(F.col("_digit").isNotNull(), F.least(
+        F.floor(at / span * BINS), F.lit(BINS - 1)).cast("int"))
+
+
+def _divisible(counted: DataFrame, keys: list[str], n_digits: int,
+               rows_per_task: int) -> DataFrame:
+    """Of counted parts the oversized ones that can be divided: the first
+    digit that is not one value throughout, and its bounds."""
+    digit = low = high = F.lit(None)
+    for k in reversed(range(n_digits)):
+        several = F.col(f"_hi{k}") > F.col(f"_lo{k}")
+        digit = F.when(several, F.lit(k)).otherwise(digit)
+        low = F.when(several, F.col(f"_lo{k}")).otherwise(low)
+        high = F.when(several, F.col(f"_hi{k}")).otherwise(high)
+    large = counted.where(F.col("_n") > rows_per_task).select(
+        *keys, digit.cast("int").alias("_digit"), low.cast("double").alias("_lo"),
+        high.cast("double").alias("_hi"))
+    # A span too small for a double is not divided.
+    return collect_small(large.where((F.col("_hi") / 2 - F.col("_lo") / 2) > 0))

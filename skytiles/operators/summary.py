@@ -36,48 +36,49 @@ def object_counts(points: DataFrame, object_col: str = "object_id") -> DataFrame
             .groupBy(object_col).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
-# Ids of up to this many digits share one number in the text maximum.
-_ALIGNED = 17
-
-
-def _text_key(size: Column) -> Column:
-    """A number that sorts ids of up to 17 digits as their texts do: the
-    digits moved to the front of 17 places, then the length. Null for
-    longer ids."""
-    digits = F.length(size.cast("string"))
-    shift = F.array(*[F.lit(20 * 10 ** (_ALIGNED - d)) for d in range(1, _ALIGNED + 1)])
-    return F.when(digits <= _ALIGNED, size * F.get(shift, digits - 1) + digits)
-
-
-def _last_as_text() -> tuple[dict[str, Column], Column]:
-    """The text maximum of integer ids as numeric aggregates over the
-    columns ``_id, _size`` (absolute value, where it is a long) and
-    ``_key``.
-
-    A maximum of strings cannot be kept in a hash aggregate; these can.
-    Among ids of one length text order is number order. Negative ids sort
-    before all others, and of one length the smallest is last. Returns the
-    aggregates and the expression that makes the text of them.
-    """
-    size, key = F.col("_size"), F.col("_key")
-    parts = {}
-    for sign, mine in (("p", F.col("_id") >= 0), ("m", F.col("_id") < 0)):
-        long = mine & key.isNull()
-        parts[f"_{sign}17"] = F.max(F.when(mine, key))
-        parts[f"_{sign}18"] = F.max(F.when(long & (size < 10 ** 18), size))
-        parts[f"_{sign}19"] = F.max(F.when(long & (size >= 10 ** 18), size))
-    # The one id whose absolute value is no long.
-    parts["_least"] = F.count_if(F.col("_id") == -(1 << 63))
-
-    def text(sign: str) -> Column:
-        digits = F.lpad(F.expr(f"_{sign}17 div 20").cast("string"), _ALIGNED, "0")
-        length = F.pmod(F.col(f"_{sign}17"), F.lit(20)).cast("int")
-        return F.greatest(F.substr(digits, F.lit(1), length),
-                          F.col(f"_{sign}18").cast("string"), F.col(f"_{sign}19").cast("string"))
-
-    negative = F.greatest(F.concat(F.lit("-"), text("m")),
-                          F.when(F.col("_least") > 0, F.lit(str(-(1 << 63)))))
-    return parts, F.coalesce(text("p"), negative)
+# Ids of up to ``_SHORT`` digits have a text key that is a long; the rare
+# longer ones, of up to ``_ALL``, have a decimal.
+_SHORT, _ALL = 16, 19
+# Negative ids come before all others and, by their digits, in the same
+# order: their keys are moved below zero by this.
+_BELOW = {"_short": 4 * 10 ** 18, "_wide": 10 ** 22}
+_WIDE = "decimal(24,0)"
+
+
+def _text_key(size: Column, low: int, high: int, places: int) -> Column:
+    """A number that sorts numbers of ``low`` to ``high`` digits as their
+    texts do: the digits moved to the front of ``places`` places, then two
+    for how many they are. The length is found by bisection."""
+    if low == high:
+        return size * F.lit(10 ** (places - low + 2)) + F.lit(low)
+    half = (low + high) // 2
+    return F.when(size < F.lit(10 ** half), _text_key(size, low, half, places)).otherwise(
+        _text_key(size, half + 1, high, places))
+
+
+def _last_as_text(src: Column) -> tuple[dict[str, Column], Column]:
+    """The text maximum of integer ids as the maximum of a number, which a
+    hash aggregate updates in place (it cannot keep a string). Returns the
+    key columns and the text made of their maxima."""
+    src = src.cast("long")
+    short = (src > F.lit(-10 ** _SHORT)) & (src < F.lit(10 ** _SHORT))
+    size, wide = F.abs(src), F.abs(src.cast("decimal(20,0)"))
+    key = _text_key(size, 1, _SHORT, _SHORT)
+    wide_key = _text_key(wide, _SHORT + 1, _ALL, _ALL).cast(_WIDE)
+    below = F.lit(str(_BELOW["_wide"])).cast(_WIDE)
+    keys = {
+        "_short": F.when(short, F.when(src < 0, key - F.lit(_BELOW["_short"])).otherwise(key)),
+        "_wide": F.when(~short, F.when(src < 0, wide_key - below).otherwise(wide_key)
+                        .cast(_WIDE))}
+
+    def text(name: str, places: int) -> Column:
+        value, negative = F.col(name).cast(_WIDE), F.col(name) < 0
+        value = F.when(negative, value + F.lit(str(_BELOW[name])).cast(_WIDE)).otherwise(value)
+        padded = F.lpad(value.cast("string"), places + 2, "0")
+        digits = F.substr(padded, F.lit(1), F.substr(padded, F.lit(places + 1)).cast("int"))
+        return F.concat(F.when(negative, "-").otherwise(""), digits)
+
+    return keys, F.greatest(text("_short", _SHORT), text("_wide", _ALL))
 
 
 def object_summary(points: DataFrame, object_col: str = "object_id",
@@ -95,10 +96,10 @@ def object_summary(points: DataFrame, object_col: str = "object_id",
     if numeric_last:
         parts, last = {"last_source": F.max(src)}, F.col("last_source")
     elif isinstance(points.schema[source_col].dataType, T.IntegralType):
-        size = F.when(src != -(1 << 63), F.abs(src.cast("long")))
-        rows = rows.select(object_col, ra_col, decl_col, src.cast("long").alias("_id"),
-                           size.alias("_size"), _text_key(size).alias("_key"))
-        parts, last = _last_as_text()
+        keys, last = _last_as_text(src)
+        rows = rows.select(object_col, ra_col, decl_col,
+                           *[c.alias(name) for name, c in keys.items()])
+        parts = {name: F.max(name) for name in keys}
     else:
         parts, last = {"last_source": F.max(src.cast("string"))}, F.col("last_source")
     return (rows.groupBy(object_col)

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -71,3 +72,43 @@ def test_two_phase_with_clumped_and_repeated_ids(spark):
     b = capacity_split(df, 40, order_by=order, method="two_phase", rows_per_task=100)
     key = lambda d: sorted((r.ra, r.cell_rank, r.overflow) for r in d.collect())
     assert key(a) == key(b)
+
+
+def test_two_phase_over_all_kinds_of_order_columns(spark):
+    rnd = random.Random(6)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e-320, 1e308, -1e308]
+    big = [None, 2 ** 62, 2 ** 62 + 1, -2 ** 63, 2 ** 63 - 1, 0]
+    rows = [("c" if k % 4 else "d", rnd.choice(odd + [rnd.uniform(-1, 1)]), rnd.choice(big),
+             rnd.choice([None, True, False]),
+             rnd.choice([None, dt.date(2020, 1, 1 + k % 28)]),
+             rnd.choice([None, dt.datetime(2020, 1, 1, 0, 0, k % 60)]), rnd.choice(["", None, "x"]),
+             k % 7) for k in range(1200)]
+    df = spark.createDataFrame(rows, "cell string, x double, n long, b boolean, d date, "
+                                     "t timestamp, s string, k int").repartition(5)
+    for order in (["x", "n", "b", "d", "t", "s"], ["b", "n", "x"], ["s", "n"], ["t", "d", "k"]):
+        ranked = [sorted(map(repr, capacity_split(df, 30, order, method=m, rows_per_task=40)
+                             .collect())) for m in ("window", "two_phase")]
+        assert ranked[0] == ranked[1], order
+
+
+def test_only_hot_cells_are_divided(spark, monkeypatch):
+    from skytiles.operators import capacity
+    rows = [(k, None, 0.0, 0.0) for k in range(900)] + [(k, None, 9.0, 0.0) for k in range(40)]
+    df = points_df(spark, rows).withColumn(
+        "cell", F.when(F.col("ra") == 0.0, "hot").otherwise("cold"))
+    stored = []
+    monkeypatch.setattr(capacity, "write_scratch_table",
+                        lambda t, name: stored.append(t.toPandas()) or t)
+    monkeypatch.setattr(capacity, "BINS", 4)
+    out = capacity_split(df, 50, rows_per_task=60)
+    assert all(set(t["cell"]) == {"hot"} for t in stored)
+    assert max(stored[-2]["_n"]) <= 60          # the last round's steps fit a task
+    ranks = {r.source_id: r.cell_rank for r in out.where("cell = 'hot'").collect()}
+    assert ranks == {k: k + 1 for k in range(900)}
+
+
+def test_equal_rows_of_the_order_are_ranked_alike_by_both_methods(spark):
+    df = points_df(spark, [(1, t, 0.0, 0.0) for t in range(300)]).withColumn("cell", F.lit("0.0"))
+    a, b = [sorted(map(tuple, capacity_split(d, 20, method=m, rows_per_task=25).collect()))
+            for m, d in (("window", df), ("two_phase", df.repartition(6)))]
+    assert a == b
