@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from skytiles.operators import (assign_cell, assign_padded, assign_strips,
                                 bounds, capacity_split, cell_histogram,
-                                grid_cells, grid_side, line_counts,
+                                footer_bounds, grid_cells, grid_side, line_counts,
                                 object_counts, object_summary, quarantine, with_out_cell)
 from skytiles.plans import (neighbour_assignment, run_grid_job, run_object_count_job,
                             run_object_summary_job, run_partition_job, run_strip_job)
@@ -300,6 +300,39 @@ def q_object_csv_scan(spark, sf_dir):
         F.col("subChunkId").alias("sub_chunk"))
 
 
+def q_source_csv_rejects(spark, sf_dir):
+    """S1 with malformed lines: the points in the Source layout, some with a
+    text in place of RA, some cut off after five fields. Every line is
+    counted under ``good`` or the reason it is rejected for."""
+    from skytiles.sources import scan_with_rejects, source_schema
+    from skytiles.sources.catalog import CSV_OPTIONS
+
+    first = F.col("source_id") % 8 == 1
+    filled = {"sourceId": F.col("source_id"), "objectId": F.col("object_id"),
+              "ra": F.when(first & F.col("object_id").isNull(), "n/a").otherwise(
+                  F.col("ra").cast("string")), "decl": F.col("decl")}
+    layout = [filled.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+              for f in source_schema().fields]
+    line = F.to_csv(F.struct(*layout), {"sep": ",", "nullValue": CSV_OPTIONS["nullValue"]})
+    cut = (F.col("source_id") % 8 == 2) & F.col("object_id").isNotNull()
+    path = scratch_path(spark, "source-rejects")
+    _points(spark, sf_dir).select(F.when(cut, F.substring_index(line, ",", 5)).otherwise(line)
+                                  .alias("value")).write.text(path)
+    rows, rejects = scan_with_rejects(spark, path, source_schema())
+    lines = rows.select(F.lit("good").alias("outcome"), F.col("sourceId").alias("id")).union(
+        rejects.select("reason", F.substring_index("line", ",", 1).cast("long")))
+    return lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_lines"),
+                                        F.sum("id").alias("sum_source_id"))
+
+
+def q_bounds_from_footers(spark, sf_dir):
+    """A4 of a Parquet catalogue (the points view, written) from the file
+    footers alone."""
+    path = scratch_path(spark, "footer-points")
+    _points(spark, sf_dir).select("source_id", "ra", "decl").write.parquet(path)
+    return footer_bounds(spark, path)
+
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("object_id", T.LongType()),
     T.StructField("n_sources", T.LongType()),
@@ -357,6 +390,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_scan": q_catalog_scan,
         "source_csv_scan": q_source_csv_scan,
         "object_csv_scan": q_object_csv_scan,
+        "source_csv_rejects": q_source_csv_rejects,
+        "bounds_from_footers": q_bounds_from_footers,
         "line_counts": q_line_counts,
         "object_counts": q_object_counts,
         "object_summary": q_object_summary,
@@ -493,6 +528,16 @@ FROM sky WHERE object_id IS NOT NULL GROUP BY object_id"""
 WITH {_SKY}
 SELECT min(ra) AS min_ra, max(ra) AS max_ra,
        min(decl) AS min_decl, max(decl) AS max_decl FROM sky""",
+        "bounds_from_footers": f"""
+WITH {_SKY}
+SELECT min(ra) AS min_ra, max(ra) AS max_ra,
+       min(decl) AS min_decl, max(decl) AS max_decl FROM sky""",
+        "source_csv_rejects": f"""
+WITH {_SKY}
+SELECT CASE WHEN source_id % 8 = 2 AND object_id IS NOT NULL THEN '5 fields'
+            WHEN source_id % 8 = 1 AND object_id IS NULL THEN 'bad ra' ELSE 'good' END AS outcome,
+       count(*) AS n_lines, CAST(sum(source_id) AS BIGINT) AS sum_source_id
+FROM sky GROUP BY 1""",
         "bounds_wrapped": f"""
 WITH {_SKY}, {_WRAPPED}
 SELECT min(ra_c) AS min_ra, max(ra_c) AS max_ra,

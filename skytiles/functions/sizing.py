@@ -27,7 +27,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFra
 def collect_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
     """Compute a small table once and keep it as a local relation; a table
     over the bound stays a lazy (distributed) DataFrame."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
+    return _local(df, max_rows) or df
+
+
+def ship_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """A table computed once and broadcast, where it is small (as it is
+    beyond that), and whether it is empty."""
+    local = _local(df, max_rows)
+    return (df, False) if local is None else (F.broadcast(local), local.isEmpty())
+
+
+def _local(df: DataFrame, max_rows: int) -> DataFrame | None:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return None
     return df.sparkSession.createDataFrame(rows, df.schema)

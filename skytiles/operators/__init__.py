@@ -4,9 +4,9 @@ from .grid import (assign_cell, assign_padded, bounds_row, grid_cells,
                    grid_side, cells_for_size)
 from .histogram import capped_histogram, cell_histogram, histogram_lines
 from .strips import assign_strips
-from .summary import bounds, line_counts, object_counts, object_summary
+from .summary import bounds, footer_bounds, line_counts, object_counts, object_summary
 
 __all__ = ["capacity_split", "cell_counts", "with_out_cell", "quarantine", "capped_histogram", "assign_cell", "assign_padded", "bounds_row",
            "grid_cells", "grid_side", "cells_for_size", "cell_histogram", "histogram_lines",
-           "assign_strips", "bounds", "line_counts", "object_counts",
+           "assign_strips", "bounds", "footer_bounds", "line_counts", "object_counts",
            "object_summary"]

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coords import OVERFLOW_SUFFIX, overflow_name
-from ..functions.sizing import broadcast_if_small, collect_small
+from ..functions.sizing import collect_small, ship_small
 from ..session import write_scratch_table
 
 # --- Fixed value of the neighbour-aware job: points per output file. ---
@@ -39,6 +39,7 @@ MAX_PER_CELL = 10000
 
 ROWS_PER_TASK = 2_000_000
 BINS = 256        # steps that a part of a cell is counted in at once
+LEADING = 3       # digits of the order whose bounds every round finds
 MAX_ROUNDS = 16   # of counting; each divides oversized steps by up to BINS
 ORDER = ("source_id", "ra", "decl")
 
@@ -69,14 +70,14 @@ def capacity_split(assigned: DataFrame, cap: int = MAX_PER_CELL,
     if method == "auto" and cell_rows_bound is not None \
             and cell_rows_bound <= rows_per_task:
         method = "window"
-    if method != "window":
+    hot = None
+    if method == "auto" or (method == "two_phase" and counts is not None):
         if counts is None:
             counts = cell_counts(assigned, cell_col)
         # At most total / rows_per_task cells are that large.
-        hot = collect_small(counts.where(F.col("n_stars") > rows_per_task)
-                            .select(F.col("cell").alias(cell_col)))
-        if hot.isEmpty():
-            method = "window"
+        hot, none = ship_small(counts.where(F.col("n_stars") > rows_per_task)
+                               .select(F.col("cell").alias(cell_col)))
+        method = "window" if none else "two_phase"
     ties = _tie_break(assigned, [cell_col, *order_by])
     if method == "window":
         ranked = assigned.withColumn("cell_rank", _place([cell_col], order_by, ties))
@@ -144,45 +145,42 @@ def _digits(df: DataFrame, order_by: list[str]) -> list[Column]:
     return digits
 
 
-def _rank_two_phase(df: DataFrame, hot: DataFrame, order_by: list[str], ties: list[Column],
-                    cell_col: str, rows_per_task: int) -> DataFrame:
+def _rank_two_phase(df: DataFrame, hot: DataFrame | None, order_by: list[str],
+                    ties: list[Column], cell_col: str, rows_per_task: int) -> DataFrame:
+    """``hot``: the cells that may be divided (any, where it is not given)."""
     digits = _digits(df, order_by)
-    steps = [f"_step{k}" for k in range(MAX_ROUNDS)]
-    # The parts of cells to divide: all rows of the hot cells at first. The
-    # parts of one round are disjoint and oversized, so they are few.
-    bounds_ = [f(F.get("_digits", F.lit(k))).alias(f"{n}{k}")
-               for k in range(len(digits)) for n, f in (("_lo", F.min), ("_hi", F.max))]
     narrow = df.select(cell_col, F.array(*digits).alias("_digits"))
-    parts = _divisible(narrow.join(broadcast_if_small(hot), cell_col).groupBy(cell_col).agg(
-        F.count(F.lit(1)).alias("_n"), *bounds_), [cell_col], len(digits), rows_per_task)
+    if hot is not None:
+        narrow = narrow.join(hot, cell_col)
+    counted = collect_small(_counted(narrow, [cell_col], LEADING, len(digits)))
+    # The parts of a round are disjoint and oversized, so they are few.
+    parts, none = _divisible(counted, narrow, [cell_col], len(digits), rows_per_task)
     out, keys, done = df.withColumn("_digits", F.array(*digits)), [cell_col], []
-    for step in steps:
-        if parts.isEmpty():
-            break
-        small = broadcast_if_small(parts)
-        narrow = narrow.join(small, keys).withColumn(step, _step()) \
+    while not none and len(keys) <= MAX_ROUNDS:
+        step = f"_step{len(keys)}"
+        narrow = narrow.join(parts, keys).withColumn(step, _step()) \
             .drop("_digit", "_lo", "_hi")
-        out = out.join(small, keys, "left").withColumn(step, F.coalesce(_step(), F.lit(0))) \
+        out = out.join(parts, keys, "left").withColumn(step, F.coalesce(_step(), F.lit(0))) \
             .drop("_digit", "_lo", "_hi")
         keys = [*keys, step]
-        counted = write_scratch_table(
-            narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *bounds_), "capacity-steps")
-        parts = _divisible(counted, keys, len(digits), rows_per_task)
+        counted = write_scratch_table(_counted(narrow, keys, LEADING, len(digits)),
+                                      "capacity-steps")
+        parts, none = _divisible(counted, narrow, keys, len(digits), rows_per_task)
         # Steps that are not divided further are final.
-        done.append(counted.join(broadcast_if_small(parts.select(*keys)), keys, "left_anti")
-                    .select(*keys, "_n"))
-    if not done:                    # nothing to divide by
-        return out.drop("_digits").withColumn("cell_rank", _place([cell_col], order_by, ties))
+        final = counted.select(*keys, "_n")
+        done.append(final if none else final.join(parts.select(*keys), keys, "left_anti"))
+    out = out.drop("_digits")
+    if not done:                    # nothing to divide, or nothing to divide by
+        return out.withColumn("cell_rank", _place([cell_col], order_by, ties))
     final = done[0]
     for more in done[1:]:
         final = final.unionByName(more, allowMissingColumns=True)
     final = final.fillna(0, subset=keys[1:])
     before = Window.partitionBy(cell_col).orderBy(*keys[1:]).rowsBetween(
         Window.unboundedPreceding, -1)
-    shifts = write_scratch_table(final.select(
-        *keys, F.sum("_n").over(before).alias("_before")), "capacity-shifts")
-    return (out.drop("_digits").withColumn("_place", _place(keys, order_by, ties))
-            .join(broadcast_if_small(shifts), keys, "left")
+    shifts, _ = ship_small(final.select(*keys, F.sum("_n").over(before).alias("_before")))
+    return (out.withColumn("_place", _place(keys, order_by, ties))
+            .join(shifts, keys, "left")
             .withColumn("cell_rank", F.col("_place") + F.coalesce("_before", F.lit(0)))
             .drop("_place", "_before", *keys[1:]))
 
@@ -196,18 +194,34 @@ def _step() -> Column:
         F.floor(at / span * BINS), F.lit(BINS - 1)).cast("int"))
 
 
-def _divisible(counted: DataFrame, keys: list[str], n_digits: int,
-               rows_per_task: int) -> DataFrame:
+def _counted(narrow: DataFrame, keys: list[str], most: int, n_digits: int) -> DataFrame:
+    """Rows of every part, and the bounds of its first ``most`` digits."""
+    return narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[
+        f(F.get("_digits", F.lit(k))).alias(f"{n}{k}")
+        for k in range(min(most, n_digits)) for n, f in (("_lo", F.min), ("_hi", F.max))])
+
+
+def _divisible(counted: DataFrame, narrow: DataFrame, keys: list[str], n_digits: int,
+               rows_per_task: int, known: int = LEADING) -> tuple[DataFrame, bool]:
     """Of counted parts the oversized ones that can be divided: the first
-    digit that is not one value throughout, and its bounds."""
+    digit that is not one value throughout, and its bounds; and whether there
+    are none. Where the known digits are all one value, the others' bounds
+    take a further pass."""
     digit = low = high = F.lit(None)
-    for k in reversed(range(n_digits)):
+    for k in reversed(range(min(known, n_digits))):
         several = F.col(f"_hi{k}") > F.col(f"_lo{k}")
         digit = F.when(several, F.lit(k)).otherwise(digit)
         low = F.when(several, F.col(f"_lo{k}")).otherwise(low)
         high = F.when(several, F.col(f"_hi{k}")).otherwise(high)
-    large = counted.where(F.col("_n") > rows_per_task).select(
+    large = collect_small(counted.where(F.col("_n") > rows_per_task).select(
         *keys, digit.cast("int").alias("_digit"), low.cast("double").alias("_lo"),
-        high.cast("double").alias("_hi"))
+        high.cast("double").alias("_hi")))
     # A span too small for a double is not divided.
-    return collect_small(large.where((F.col("_hi") / 2 - F.col("_lo") / 2) > 0))
+    found = large.where((F.col("_hi") / 2 - F.col("_lo") / 2) > 0)
+    if known < n_digits:
+        alike, none = ship_small(large.where(F.col("_digit").isNull()).select(*keys))
+        if not none:
+            rest = _counted(narrow.join(alike, keys), keys, n_digits, n_digits)
+            found = found.union(_divisible(collect_small(rest), narrow, keys, n_digits,
+                                           rows_per_task, n_digits)[0])
+    return ship_small(found)

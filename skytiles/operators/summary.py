@@ -9,7 +9,7 @@ distribution.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,49 +36,33 @@ def object_counts(points: DataFrame, object_col: str = "object_id") -> DataFrame
             .groupBy(object_col).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
-# Ids of up to ``_SHORT`` digits have a text key that is a long; the rare
-# longer ones, of up to ``_ALL``, have a decimal.
-_SHORT, _ALL = 16, 19
-# Negative ids come before all others and, by their digits, in the same
-# order: their keys are moved below zero by this.
-_BELOW = {"_short": 4 * 10 ** 18, "_wide": 10 ** 22}
-_WIDE = "decimal(24,0)"
+# Ids of up to 16 digits have a text key that is a long; the rare longer
+# ones, of up to 19, have a decimal. A key is the digits, filled up with
+# zeros behind, then two places for how many they are, so keys sort as the
+# texts do. Negative ids come before all others and, by their digits, in the
+# same order: their keys are moved below zero. SQL texts: a plan built of
+# many small column objects takes longer than the query.
+_KEYS = {
+    "_short": "CASE WHEN length(_t) <= 16 THEN CAST(concat(rpad(_t, 16, '0'), "
+              "lpad(length(_t), 2, '0')) AS BIGINT) - IF(_m, 4000000000000000000L, 0L) END",
+    "_wide": "CASE WHEN length(_t) > 16 THEN CAST(CAST(concat(rpad(_t, 19, '0'), "
+             "lpad(length(_t), 2, '0')) AS DECIMAL(23, 0)) "
+             "- IF(_m, 10000000000000000000000BD, 0BD) AS DECIMAL(24, 0)) END"}
+_KEY_TEXT = ("concat(IF({key} < 0, '-', ''), left({t}, CAST(right({t}, 2) AS INT)))")
 
 
-def _text_key(size: Column, low: int, high: int, places: int) -> Column:
-    """A number that sorts numbers of ``low`` to ``high`` digits as their
-    texts do: the digits moved to the front of ``places`` places, then two
-    for how many they are. The length is found by bisection."""
-    if low == high:
-        return size * F.lit(10 ** (places - low + 2)) + F.lit(low)
-    half = (low + high) // 2
-    return F.when(size < F.lit(10 ** half), _text_key(size, low, half, places)).otherwise(
-        _text_key(size, half + 1, high, places))
-
-
-def _last_as_text(src: Column) -> tuple[dict[str, Column], Column]:
+def _last_as_text() -> tuple[list[Column], Column]:
     """The text maximum of integer ids as the maximum of a number, which a
     hash aggregate updates in place (it cannot keep a string). Returns the
-    key columns and the text made of their maxima."""
-    src = src.cast("long")
-    short = (src > F.lit(-10 ** _SHORT)) & (src < F.lit(10 ** _SHORT))
-    size, wide = F.abs(src), F.abs(src.cast("decimal(20,0)"))
-    key = _text_key(size, 1, _SHORT, _SHORT)
-    wide_key = _text_key(wide, _SHORT + 1, _ALL, _ALL).cast(_WIDE)
-    below = F.lit(str(_BELOW["_wide"])).cast(_WIDE)
-    keys = {
-        "_short": F.when(short, F.when(src < 0, key - F.lit(_BELOW["_short"])).otherwise(key)),
-        "_wide": F.when(~short, F.when(src < 0, wide_key - below).otherwise(wide_key)
-                        .cast(_WIDE))}
-
-    def text(name: str, places: int) -> Column:
-        value, negative = F.col(name).cast(_WIDE), F.col(name) < 0
-        value = F.when(negative, value + F.lit(str(_BELOW[name])).cast(_WIDE)).otherwise(value)
-        padded = F.lpad(value.cast("string"), places + 2, "0")
-        digits = F.substr(padded, F.lit(1), F.substr(padded, F.lit(places + 1)).cast("int"))
-        return F.concat(F.when(negative, "-").otherwise(""), digits)
-
-    return keys, F.greatest(text("_short", _SHORT), text("_wide", _ALL))
+    key columns, made of the digits ``_t`` and the sign ``_m``, and the text
+    made of their maxima."""
+    def text(key: str, places: int, below: str) -> str:
+        padded = f"lpad(CAST(IF({key} < 0, {key} + {below}, {key}) AS STRING), {places}, '0')"
+        return _KEY_TEXT.format(key=key, t=padded)
+
+    return ([F.expr(sql).alias(name) for name, sql in _KEYS.items()],
+            F.expr(f"greatest({text('_short', 18, '4000000000000000000L')}, "
+                   f"{text('_wide', 21, '10000000000000000000000BD')})"))
 
 
 def object_summary(points: DataFrame, object_col: str = "object_id",
@@ -96,10 +80,11 @@ def object_summary(points: DataFrame, object_col: str = "object_id",
     if numeric_last:
         parts, last = {"last_source": F.max(src)}, F.col("last_source")
     elif isinstance(points.schema[source_col].dataType, T.IntegralType):
-        keys, last = _last_as_text(src)
-        rows = rows.select(object_col, ra_col, decl_col,
-                           *[c.alias(name) for name, c in keys.items()])
-        parts = {name: F.max(name) for name in keys}
+        keys, last = _last_as_text()
+        rows = rows.select(object_col, ra_col, decl_col, (src < 0).alias("_m"),
+                           F.ltrim(src.cast("string"), F.lit("-")).alias("_t"))
+        rows = rows.select(object_col, ra_col, decl_col, *keys)
+        parts = {name: F.max(name) for name in _KEYS}
     else:
         parts, last = {"last_source": F.max(src.cast("string"))}, F.col("last_source")
     return (rows.groupBy(object_col)
@@ -123,3 +108,33 @@ def bounds(points: DataFrame, ra_col: str = "ra", decl_col: str = "decl",
     return points.agg(F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),
                       F.min(decl_col).alias("min_decl"),
                       F.max(decl_col).alias("max_decl"))
+
+
+def footer_bounds(spark: SparkSession, path: str | list[str], ra_col: str = "ra",
+                  decl_col: str = "decl") -> DataFrame:
+    """A4 of a Parquet catalogue from its file footers: Spark's aggregate
+    push-down (the V2 reader) takes minimum and maximum of both columns
+    from the footers' statistics and reads no row.
+
+    The result is that of :func:`bounds`. Where a footer has no statistics
+    of a column (a file with NaN, or one of nulls only) Spark refuses, and the
+    files are scanned. Re-centred bounds are not known to footers.
+    """
+    files = [path] if isinstance(path, str) else list(path)
+    own = spark.newSession()           # the settings are those of this read alone
+    for key, value in FOOTER_SETTINGS.items():
+        own.conf.set(key, value)
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in (ra_col, decl_col)])
+    box = bounds(own.read.schema(schema).parquet(*files), ra_col, decl_col)
+    try:
+        row = box.toArrow()
+    except Exception as e:              # Spark's own class differs between its releases
+        if "footer" not in str(e):
+            raise
+        return bounds(spark.read.schema(schema).parquet(*files), ra_col, decl_col)
+    return spark.createDataFrame(row, box.schema)
+
+
+# The V1 reader, Spark's default for Parquet, does not push aggregates down.
+FOOTER_SETTINGS = {"spark.sql.sources.useV1SourceList": "",
+                   "spark.sql.parquet.aggregatePushdown": "true"}

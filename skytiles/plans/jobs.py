@@ -15,6 +15,7 @@ and nothing is stored.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.sizing import MAX_SMALL_ROWS, collect_small, is_small
 from ..operators.capacity import (MAX_PER_CELL, ORDER, ROWS_PER_TASK, capacity_split,
@@ -84,7 +85,8 @@ def run_partition_job(points: DataFrame, output_dir: str,
     (two columns, one small table), then assignment, ranking and the write,
     hash-spread on the output (every output holds at most ``cap`` rows).
     Outputs are ``cell=<name>/k=<overflow>``. The histogram follows from the
-    stars per cell and the cap; the outputs are not listed or read.
+    stars per cell and the cap; the outputs are not listed or read. The rows
+    written are counted on the way and held against the stars per cell.
     """
     spark = points.sparkSession
     with scratch_scope(spark):
@@ -94,8 +96,9 @@ def run_partition_job(points: DataFrame, output_dir: str,
         counts = write_scratch_table(cell_counts(pairs), "partition-counts")
         capped = capacity_split(pairs, cap, order_by=order_by, method=method,
                                 rows_per_task=rows_per_task, counts=counts)
-        write_cells(capped.drop("i", "j", "cell_rank"), output_dir, columns=columns, fmt=fmt,
-                    partitioning="hash", overflow_col="overflow", mode=mode)
+        written = write_cells(capped.drop("i", "j", "cell_rank"), output_dir, columns=columns,
+                              fmt=fmt, partitioning="hash", overflow_col="overflow", mode=mode)
+        check_written(counts, written)
         kept = _kept(counts)
     return capped_histogram(kept, cap)
 
@@ -108,7 +111,8 @@ def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
 
     The assignment is a column expression, so it is not stored: the
     histogram (one row per cell) is an aggregate that reads only RA and
-    Decl from the input, and it salts large cells over several writers.
+    Decl from the input. Spark's rebalance hint spreads large cells over
+    several writers, and the rows written are held against the histogram.
     """
     with scratch_scope(points.sparkSession):
         if store_points:
@@ -124,8 +128,7 @@ def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
     """J2 end to end: write one directory per strip, return the histogram.
 
     Strip membership is a pure column expression, so the strip counts are
-    one cheap aggregate over the input; they salt large strips over
-    several writers.
+    one cheap aggregate over the input. The write is that of the grid job.
     """
     with scratch_scope(points.sparkSession):
         if store_points:
@@ -137,11 +140,20 @@ def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
 def _written(cells: DataFrame, output_dir: str, columns: list[str] | None, fmt: str,
              rows_per_file: int, mode: str) -> DataFrame:
     counts = write_scratch_table(cell_histogram(cells), "cell-counts")
-    write_cells(cells, output_dir, columns=columns, fmt=fmt, cell_counts=counts,
-                rows_per_file=rows_per_file, mode=mode)
+    written = write_cells(cells, output_dir, columns=columns, fmt=fmt, partitioning="rebalance",
+                          max_records_per_file=rows_per_file, mode=mode)
+    check_written(counts, written)
     return _kept(counts)
 
 
+def check_written(counts: DataFrame, written: int) -> None:
+    """Conservation: what was written is what the cells were counted to
+    hold. Raises otherwise; the outputs are then not to be used."""
+    expected = counts.agg(F.sum("n_stars")).first()[0] or 0
+    if written != expected:
+        raise RuntimeError(f"{written} rows were written, {expected} were counted")
+
+
 def _kept(counts: DataFrame) -> DataFrame:
     """A per-cell table that outlives the scratch folder: held by the driver
     up to a checked size, stored outside the scope beyond it."""

@@ -16,7 +16,14 @@ spread over writer tasks before the write (G6) is a choice:
   split-point sampling runs the input plan once more, so store the input
   first when it is expensive to recompute.
 
-AQE sizes the write tasks; ``max_records_per_file`` bounds file size.
+* ``rebalance``: Spark's own hint on the output cell. AQE splits the
+  partitions of large cells in the write stage and merges small ones, to
+  the session's advisory partition size, from what the shuffle measured: no
+  counts, salt or sampling. Without AQE it is ``hash``.
+
+AQE sizes the write tasks; ``max_records_per_file`` bounds file size. The
+rows written are counted on the way (Spark's ``Observation``), so a job can
+hold them against what it should have written without another pass.
 
 Cell names such as ``2.10`` look numeric, so readers must not infer the
 partition column's type (``2.1`` and ``2.10`` would merge). ``read_cells``
@@ -25,7 +32,7 @@ always declares it as a string.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,14 +50,14 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
                 num_partitions: int | None = None,
                 max_records_per_file: int | None = None,
                 overflow_col: str | None = None,
-                mode: str = "errorifexists") -> None:
-    """K1 + G6: write one directory per cell.
+                mode: str = "errorifexists") -> int:
+    """K1 + G6: write one directory per cell; returns the rows written.
 
     ``columns`` selects the payload (default: every column); the original
     job wrote only ``ra,decl``. ``split_by`` are the columns that spread a
     large cell over several tasks (default: the whole payload, so only
-    equal rows stay together). ``partitioning`` is ``hash``, ``salted`` or
-    ``range`` (default: ``salted`` when ``cell_counts`` - columns ``cell,
+    equal rows stay together). ``partitioning`` is ``hash``, ``salted``,
+    ``range`` or ``rebalance`` (default: ``salted`` when ``cell_counts`` - columns ``cell,
     n_stars``, one row per cell - is given, else ``range``). With
     ``overflow_col`` an output is ``cell=<name>/k=<overflow>``: the name of
     a directory stays short however many outputs a cell has. An output
@@ -79,17 +86,22 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
         keys = outputs + [c for c in split if c not in outputs]
         out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
                else out.repartitionByRange(*keys))
+    elif mode_ == "rebalance":
+        out = out.hint("rebalance", *outputs)
     else:
-        raise ValueError("partitioning must be hash, salted or range")
+        raise ValueError("partitioning must be hash, salted, range or rebalance")
     out = out.select(*[F.col(c).alias("k") if c == overflow_col else c for c in outputs],
                      *payload)
     parts = [cell_col] + (["k"] if overflow_col else [])
+    written = Observation()
+    out = out.observe(written, F.count(F.lit(1)).alias("n"))
     writer = out.write.mode(mode).partitionBy(*parts).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "false")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.save(path)
+    return written.get["n"]
 
 
 def read_cells(spark: SparkSession, path: str, payload_schema: T.StructType,

@@ -50,6 +50,38 @@ def read_catalog(spark: SparkSession, path: str | list[str],
     return reader.csv(_paths(path))
 
 
+def scan_with_rejects(spark: SparkSession, path: str | list[str],
+                      schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S1 / S2 of a CSV catalogue, every line in exactly one of two results:
+    the rows that parse, and ``line, reason`` of the lines that do not (blank
+    lines included). The reason is the number of fields where that is wrong,
+    else the first column whose text is no value of its type. All columns
+    are parsed, whatever a query reads of them."""
+    corrupt = "corrupt_line"
+    while corrupt in schema.fieldNames():
+        corrupt += "_"
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    blank = F.trim("value") == ""
+    parsed = read_lines(spark, path).select(
+        "value", F.from_csv("value", F.lit(f"{ddl}, `{corrupt}` string"), options).alias("row"))
+    bad = blank | F.col("row").isNull() | F.col("row")[corrupt].isNotNull()
+    rows = parsed.where(~bad).select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields])
+    # One SQL text: a plan of as many column objects is slow to build.
+    fault = "coalesce(" + ", ".join(
+        f"CASE WHEN trim(get(f, {k})) NOT IN ('', 'NULL') "
+        f"AND try_cast(trim(get(f, {k})) AS {c.dataType.simpleString()}) IS NULL "
+        f"THEN 'bad {c.name}' END" for k, c in enumerate(schema.fields)) + ", 'bad value')"
+    fields = F.split("line", CSV_OPTIONS["sep"], -1)
+    rejects = (parsed.where(bad).select(F.col("value").alias("line"))
+               .select("line", fields.alias("f")).select("line", F.when(
+                   F.trim("line") == "", "empty line").when(
+                   F.size("f") != len(schema.fields),
+                   F.concat(F.size("f").cast("string"), F.lit(" fields")))
+                   .otherwise(F.expr(fault)).alias("reason")))
+    return rows, rejects
+
+
 def read_source(spark: SparkSession, path: str | list[str], fmt: str = "csv",
                 **kwargs) -> DataFrame:
     """S1: the Source (detection) table."""

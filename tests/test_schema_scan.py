@@ -103,3 +103,23 @@ def test_empty_and_trailing_fields_are_null(spark, tmp_dir):
         f.write(",".join(cells) + "\n")
     r = read_source(spark, path).select("sourceId", "objectId", "flagForWcs").first()
     assert tuple(r) == (4, None, None)
+
+
+def test_every_line_is_a_row_or_a_reject(spark, tmp_dir):
+    from conftest import catalogue_line
+    from skytiles.sources import scan_with_rejects
+    schema = source_schema()
+    good = {"sourceId": "7", "ra": " 1.5 ", "decl": "-2", "objectId": "NULL"}
+    lines = [catalogue_line(schema, good), catalogue_line(schema, {**good, "ra": "abc"}),
+             catalogue_line(schema, {**good, "ra": ""}), "1,2,3", "",
+             catalogue_line(schema, {**good, "sourceId": "1.5"}),
+             catalogue_line(schema, good) + ",9"]
+    with open(f"{tmp_dir}/bad.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    rows, rejects = scan_with_rejects(spark, f"{tmp_dir}/bad.csv", schema)
+    assert rows.columns == schema.fieldNames()
+    assert sorted(map(str, (r.ra for r in rows.collect()))) == ["1.5", "None"]
+    assert sorted((r.reason, r.line) for r in rejects.collect()) == sorted(
+        [("bad ra", lines[1]), ("3 fields", "1,2,3"), ("empty line", ""),
+         ("bad sourceId", lines[5]), (f"{len(schema) + 1} fields", lines[6])])
+    assert rejects.select("reason").count() == 5 and rows.select("decl").count() == 2

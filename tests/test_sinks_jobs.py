@@ -186,3 +186,51 @@ def test_partition_job_with_stored_points_matches(spark, tmp_dir):
                           method="two_phase", rows_per_task=100)
     key = lambda h: sorted(map(tuple, h.collect()))
     assert key(a) == key(b) == key(c)
+
+
+def _files(folder):
+    return [f for f in os.listdir(folder) if f.startswith("part-")]
+
+
+def test_rebalanced_write_splits_a_hot_cell(spark, tmp_dir):
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in keys}
+    pts = spark.range(60_000).select(
+        F.col("id").alias("source_id"), F.rand(1).alias("ra"), F.rand(2).alias("decl"),
+        F.when(F.col("id") % 20 > 0, "0.0").otherwise("1.1").alias("cell")).repartition(8)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        n = write_cells(pts, f"{tmp_dir}/r", partitioning="rebalance")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert n == 60_000
+    assert len(_files(f"{tmp_dir}/r/cell=0.0")) >= 4 > len(_files(f"{tmp_dir}/r/cell=1.1"))
+    back = read_cells(spark, f"{tmp_dir}/r", PAYLOAD)
+    assert {r.cell: r["count"] for r in back.groupBy("cell").count().collect()} == \
+        {"0.0": 57_000, "1.1": 3_000}
+
+
+def test_jobs_raise_when_stars_are_lost(spark, tmp_dir, monkeypatch):
+    from skytiles.plans import jobs
+    pts = _random_points(spark, 300)
+    real = jobs.write_cells
+    monkeypatch.setattr(jobs, "write_cells",
+                        lambda df, *a, **k: real(df.where("source_id <> 7"), *a, **k))
+    for job, name in ((run_partition_job, "p"), (run_grid_job, "g"), (run_strip_job, "s")):
+        with pytest.raises(RuntimeError, match="were counted"):
+            job(pts, f"{tmp_dir}/{name}")
+
+
+def test_a_damaged_output_shows_in_the_counted_files(spark, tmp_dir):
+    import shutil
+    pts = _random_points(spark, 400)
+    hist = run_partition_job(pts, f"{tmp_dir}/d", min_cells=4, cap=60)
+    some = next(c for c in sorted(os.listdir(f"{tmp_dir}/d")) if c.startswith("cell="))
+    shutil.rmtree(f"{tmp_dir}/d/{some}/k=0")
+    back = read_cells(spark, f"{tmp_dir}/d", PAYLOAD, overflow=True)
+    files = {r.cell + "bis" * r.k: r["count"]
+             for r in back.groupBy("cell", "k").count().collect()}
+    assert files != {r.cell: r.n_stars for r in hist.collect()}

@@ -54,3 +54,30 @@ def test_recentre_wraps_only_above_180(spark):
     df = points_df(spark, [(1, 1, 180.0, 0.0), (2, 1, 180.5, 1.0), (3, 1, 359.0, 2.0)])
     b = bounds(df, recentre=True).first()
     assert (b.min_ra, b.max_ra) == (-179.5, 180.0)
+
+
+def test_bounds_from_footers(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from skytiles.operators import footer_bounds
+    from skytiles.operators.summary import FOOTER_SETTINGS
+    points = spark.range(5000).selectExpr("id as source_id", "id * 0.07 as ra", "10 - id as decl")
+    points.withColumn("decl", points["decl"].cast("double")) \
+        .withColumn("ra", points["ra"].cast("double")).repartition(3).write.parquet(f"{tmp_dir}/a")
+    back = spark.read.parquet(f"{tmp_dir}/a")
+    assert footer_bounds(spark, f"{tmp_dir}/a").collect() == bounds(back).collect()
+    own = spark.newSession()
+    for key, value in FOOTER_SETTINGS.items():
+        own.conf.set(key, value)
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        bounds(own.read.parquet(f"{tmp_dir}/a")).explain("formatted")
+    assert "PushedAggregation: [MIN(ra), MAX(ra), MIN(decl), MAX(decl)]" in text.getvalue()
+    # Nulls are no bounds; NaN and columns of nulls have no statistics.
+    for name, rows in (("null", [(1, 2.0, None), (2, None, 1.0)]),
+                       ("nan", [(1, float("nan"), 1.0), (2, 0.5, 2.0)]),
+                       ("none", [(1, None, 1.0), (2, None, 2.0)])):
+        spark.createDataFrame(rows, "source_id long, ra double, decl double") \
+            .write.parquet(f"{tmp_dir}/{name}")
+        got = footer_bounds(spark, f"{tmp_dir}/{name}").collect()
+        assert repr(got) == repr(bounds(spark.read.parquet(f"{tmp_dir}/{name}")).collect())
