@@ -118,23 +118,26 @@ def footer_bounds(spark: SparkSession, path: str | list[str], ra_col: str = "ra"
 
     The result is that of :func:`bounds`. Where a footer has no statistics
     of a column (a file with NaN, or one of nulls only) Spark refuses, and the
-    files are scanned. Re-centred bounds are not known to footers.
+    files are scanned. Re-centred bounds are not known to footers. The files
+    must have their columns in one order (Spark finds statistics by place).
     """
     files = [path] if isinstance(path, str) else list(path)
     own = spark.newSession()           # the settings are those of this read alone
     for key, value in FOOTER_SETTINGS.items():
         own.conf.set(key, value)
-    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in (ra_col, decl_col)])
-    box = bounds(own.read.schema(schema).parquet(*files), ra_col, decl_col)
+    box = bounds(own.read.parquet(*files), ra_col, decl_col)
     try:
         row = box.toArrow()
     except Exception as e:              # Spark's own class differs between its releases
-        if "footer" not in str(e):
+        if NO_STATISTICS not in str(e):
             raise
-        return bounds(spark.read.schema(schema).parquet(*files), ra_col, decl_col)
-    return spark.createDataFrame(row, box.schema)
+        return bounds(spark.read.parquet(*files), ra_col, decl_col)
+    # Footers write a least zero as -0.0.
+    return spark.createDataFrame(row, box.schema).select(
+        *[(F.col(c) + F.lit(0.0)).alias(c) for c in box.columns])
 
 
+NO_STATISTICS = "No min/max found"
 # The V1 reader, Spark's default for Parquet, does not push aggregates down.
 FOOTER_SETTINGS = {"spark.sql.sources.useV1SourceList": "",
                    "spark.sql.parquet.aggregatePushdown": "true"}
