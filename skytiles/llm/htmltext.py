@@ -23,8 +23,10 @@ space; nothing is cut off.
 
 Defined cases: a null or empty page, or one without text, gives an empty
 text; broken markup is read as far as it goes (a tag that never closes
-ends with its parent, a bare ``<`` is text); rows are independent, so
-repeated rows and extra columns do not matter.
+ends with its parent, a bare ``<`` is text); very long and very deeply nested
+pages are read whole, in time linear in their tags; rows are independent, so
+repeated rows and extra columns do not matter; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -53,7 +55,9 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"select"
           "th": ({"td", "th"}, {"tr", "table"})}
 ENDS_PARAGRAPH = frozenset("""address article aside blockquote details div dl fieldset figure
 footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul""".split())
+_PARAGRAPH_BORDERS = {"td", "th", "li"} | (ENDS_PARAGRAPH - {"p"})
 
+_TAG_START = re.compile(r"<[a-zA-Z/!]")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
                   r"|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
 _NAMED = re.compile(r"""(?:\b(class|id|role))\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""",
@@ -85,13 +89,46 @@ def _flags(tag: str, attrs: str, known: dict) -> tuple[str, ...]:
     return have
 
 
-def leaf_blocks(page: str | None, known: dict | None = None) -> list[Block]:
-    """Leaf blocks of a page, in page order, with their features."""
+class _OpenTags:
+    """The open elements around a place of a page. What a block needs to know
+    of all of them is kept with the innermost one, and the places of every
+    name are listed, so no step walks the stack (but to pop it)."""
+
+    def __init__(self, keep):
+        self.keep = keep
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+        # Per element: distinct flags from the outermost on, the last two
+        # flags, and the nearest name that is not an inline one.
+        self.known: list[tuple[tuple, tuple, str]] = [((), (), "")]
+
+    def push(self, name: str, flags: tuple[str, ...]) -> None:
+        seen, last, above = self.known[-1]
+        new = [f for f in flags if f not in seen and (self.keep is None or f in self.keep)]
+        self.known.append((seen + tuple(new) if new else seen, (last + flags)[-2:],
+                           above if name in INLINE else name))
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def innermost(self, names) -> int:
+        return max((own[-1] for own in map(self.places.get, names) if own), default=-1)
+
+    def close(self, place: int) -> None:
+        """Closes the element at this place and all inside it."""
+        while len(self.names) > place:
+            self.places[self.names.pop()].pop()
+            self.known.pop()
+
+
+def leaf_blocks(page: str | None, known: dict | None = None, keep=None) -> list[Block]:
+    """Leaf blocks of a page, in page order, with their features. ``keep``:
+    the ancestors' features of interest (all, if not given), which bounds the
+    work on pages of very deep nesting."""
     if not page:
         return []
     known = {} if known is None else known
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    blocks: list[tuple[str, float, tuple, str]] = []      # text, link share, ancestors, tag
+    stack = _OpenTags(keep)
+    blocks: list[tuple] = []      # text, link share, ancestors' flags, last two, tag
     parts: list[str] = []
     linked = 0
     at, skip_to = 0, -1
@@ -101,9 +138,8 @@ def leaf_blocks(page: str | None, known: dict | None = None) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                above = next((t for t, _ in reversed(stack) if t not in INLINE), "")
                 blocks.append((text, min(1.0, linked / max(1, sum(map(len, parts)))),
-                               tuple(f for _, fs in stack for f in fs), above))
+                               *stack.known[-1]))
         parts.clear()
         linked = 0
 
@@ -111,7 +147,7 @@ def leaf_blocks(page: str | None, known: dict | None = None) -> list[Block]:
         nonlocal linked
         if piece:
             parts.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if stack.places.get("a"):
                 linked += len(piece)
 
     for m in _TAG.finditer(page):
@@ -125,9 +161,8 @@ def leaf_blocks(page: str | None, known: dict | None = None) -> list[Block]:
         if name not in INLINE:
             flush()
         if m.group(1):
-            open_ = [t for t, _ in stack]
-            if name in open_:
-                del stack[len(open_) - 1 - open_[::-1].index(name):]
+            if stack.places.get(name):
+                stack.close(stack.places[name][-1])
             continue
         if name in NOT_TEXT:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
@@ -136,34 +171,31 @@ def leaf_blocks(page: str | None, known: dict | None = None) -> list[Block]:
         if name in VOID:
             continue
         if name in ENDS_PARAGRAPH:
-            _close(stack, {"p"}, {"td", "th", "li"} | (ENDS_PARAGRAPH - {"p"}))
+            _close(stack, {"p"}, _PARAGRAPH_BORDERS)
         if name in CLOSES:
             _close(stack, *CLOSES[name])
         if not m.group(3).endswith("/") or name in INLINE or name in ENDS_PARAGRAPH:
-            stack.append((name, _flags(name, m.group(3), known)))
+            stack.push(name, _flags(name, m.group(3), known))
     rest = page[max(at, skip_to):]
     if rest:
         # A tag that the page's end cuts off is markup; other text is text.
-        cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)
+        cut = _TAG_START.search(rest, rest.rfind(">") + 1)
         text(rest[:cut.start()] if cut else rest)
     flush()
     return [_described(b, i, len(blocks)) for i, b in enumerate(blocks)]
 
 
-def _close(stack: list, which: set, borders: set) -> None:
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] in which:
-            del stack[k:]
-            return
-        if stack[k][0] in borders:
-            return
+def _close(stack: _OpenTags, which: set, borders: set) -> None:
+    place = stack.innermost(which)
+    if place >= 0 and place > stack.innermost(borders):
+        stack.close(place)
 
 
 def _described(block: tuple, i: int, n: int) -> Block:
-    text, links, above, tag = block
+    text, links, above, last, tag = block
     words = text.count(" ") + 1
-    features = list(dict.fromkeys(above))
-    features += ["|".join(above[-2:]), f"own{tag}", f"words{min(8, words.bit_length())}",
+    features = list(above)
+    features += ["|".join(last), f"own{tag}", f"words{min(8, words.bit_length())}",
                  f"links{int(links * 4)}", "bias"]
     if _SENTENCE_END.search(text):
         features.append("ends")
@@ -385,7 +417,7 @@ def default_model(n: int = 600, seed: int = 17) -> ChainModel:
 
 
 def main_text(page: str | None, model: ChainModel, known: dict | None = None) -> str:
-    blocks = leaf_blocks(page, known)
+    blocks = leaf_blocks(page, known, model.weights)
     return " ".join(b.text for b, y in zip(blocks, model.labels(blocks)) if y)
 
 

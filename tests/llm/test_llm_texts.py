@@ -6,6 +6,7 @@ import math
 import pickle
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -379,3 +380,41 @@ def test_zero_bytes_do_not_end_a_cut():
     texts = ["a", "a\x00b", "a\x00c", "\x00", "", "\x00\x01"]
     assert [x.tolist() for x in table.encode(texts)] == table.sp.encode(
         texts, add_bos=True, add_eos=True)
+
+
+# -------------------------------------------------- HTML: depth, other pages
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<div class=a>x" * n, lambda n: "<b>x" * n + "<p>y</p>" * n,
+    lambda n: "<ul><li>x" * n + "</b>" * n, lambda n: "<a " * n + "'>",
+    lambda n: "<td>x" * n + "</div>" * n, lambda n: "<a href=1>x" * n])
+def test_deep_and_unclosed_tags_take_linear_time(page):
+    model = htmltext.default_model()
+
+    def seconds(n):
+        begin = time.process_time()
+        htmltext.main_text(page(n), model, {})
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(200_000) < 12 * max(seconds(25_000), 0.05)
+
+
+def test_a_page_written_by_hand():
+    page = """<!DOCTYPE html><html><head><title>Harbour news</title><style>p {color: red}</style>
+    </head><body><header class="site-header"><a href="/">Home</a> <a href="/news">News</a></header>
+    <nav><ul><li><a href="/1">Sports</a></li><li><a href="/2">Weather</a></li></ul></nav>
+    <div class="cookie-banner">We use cookies. <a href="/c">Accept all</a></div>
+    <article><h1>New pier opens in the old harbour</h1>
+    <p>After three years of work the new pier was opened on Monday by the harbour master, who
+    thanked the builders &amp; their families for their patience.</p>
+    <p>The pier is two hundred metres long and can take four ferries at the same time, which will
+    shorten the wait for passengers to the islands in summer.</p></article>
+    <aside class="sidebar"><h3>Most read</h3><ul><li><a href="/a">Storm warning</a></li></ul></aside>
+    <footer>Copyright 2024 Harbour News. All rights reserved. <a href="/p">Privacy</a></footer>
+    <script>var x = "<p>not text</p>";</script></body></html>"""
+    got = htmltext.main_text(page, htmltext.default_model(), {})
+    assert "thanked the builders & their families" in got
+    assert "can take four ferries at the same time" in got
+    for other in ("Sports", "Accept all", "Most read", "Privacy", "not text", "color"):
+        assert other not in got
