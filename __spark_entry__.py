@@ -29,7 +29,9 @@ from skytiles.sources import document_lines, sky_points
 from skytiles.sources.testdata import (SKY_ORDER, bad_sky_points, bad_sky_sql_view,
                                        hot_sky_points, hot_sky_sql_view, sky_sql_view)
 
-if importlib.util.find_spec("skytiles.llm"):  # the text-pipeline operators are optional
+# The text-pipeline operators are optional. (A folder without code has no origin.)
+_llm = importlib.util.find_spec("skytiles.llm")
+if _llm is not None and _llm.origin:
     import corpus_pipeline
     from skytiles.llm.queries import ORACLES as LLM_ORACLES
     from skytiles.llm.queries import QUERIES as LLM_QUERIES

@@ -54,7 +54,7 @@ def test_two_phase_cap_moves_rows_once(spark):
     p = plan(E.queries()["capacity_split_two_phase"](spark, SF))
     exchanges = [ln for ln in p.splitlines() if "hashpartitioning" in ln]
     assert len(exchanges) == 1 and "hashpartitioning(cell" in exchanges[0] \
-        and "_step0" in exchanges[0]
+        and "_step1" in exchanges[0]
     assert p.count("\n(") and "SortMergeJoin" not in p and "rangepartitioning" not in p
     assert "Sample" not in p and "capacity-ranges" not in p
 
