@@ -44,6 +44,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameters of the registered queries.
 MIN_CELLS = 40          # grid side 7
 PAD = 0.1               # cell padding, degrees
+SKY_PAD = 2.5           # the same, measured on the sky
+OUTPUT_BYTES = 65_536   # target of the byte-sized outputs
 CAP = 10000             # points per output cell in the partition job
 SPLIT_CAP = 500         # a smaller cap, so the overflow cells appear
 N_STRIPS = 40
@@ -132,6 +134,14 @@ def q_padded_cells_column_band(spark, sf_dir):
         "source_id", "ra", "decl", "i", "j", "cell")
 
 
+def q_padded_cells_sphere(spark, sf_dir):
+    """G4 with the padding measured on the sky: the catalogue goes round the
+    whole circle, so stars near RA 180 are in cells at both ends."""
+    pts = _points(spark, sf_dir)
+    return assign_padded(pts, bounds(pts, recentre=True), N, SKY_PAD, SKY_PAD, sphere=True) \
+        .select("source_id", "ra", "decl", "i", "j", "cell")
+
+
 def q_capacity_split(spark, sf_dir):
     bound = _points(spark, sf_dir).count()  # no cell holds more rows than points
     return with_out_cell(capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
@@ -263,6 +273,30 @@ def q_deep_overflow_sink(spark, sf_dir):
     return _written_outputs(spark, path)
 
 
+def q_byte_sized_partition_sink(spark, sf_dir):
+    """J3 with its cap from a byte target, on the hot region. Stars and ids
+    are counted in the files, and the files are weighed: outputs over twice
+    the target, and outputs under half of it that are not their cell's last."""
+    path = scratch_path(spark, "sized-sink")
+    run_partition_job(hot_sky_points(spark, sf_dir), path, columns=["source_id", "ra", "decl"],
+                      min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD,
+                      order_by=tuple(SKY_ORDER), target_bytes=OUTPUT_BYTES)
+    stars = read_cells(spark, path, _POINT, overflow=True).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n_stars"), F.sum("source_id").alias("sum_source_id"))
+    place = r"cell=([^/]+)/k=(\d+)/"
+    outputs = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "part-*").load(path).select("path", "length")
+               .groupBy(F.regexp_extract("path", place, 1).alias("cell"),
+                        F.regexp_extract("path", place, 2).cast("long").alias("k"))
+               .agg(F.sum("length").alias("bytes")))
+    last = outputs.groupBy("cell").agg(F.max("k").alias("last"))
+    sizes = outputs.join(last, "cell").groupBy("cell").agg(
+        F.count_if(F.col("bytes") > 2 * OUTPUT_BYTES).alias("n_too_large"),
+        F.count_if((F.col("bytes") < OUTPUT_BYTES / 2) & (F.col("k") < F.col("last")))
+        .alias("n_too_small"))
+    return stars.join(sizes, "cell", "full")
+
+
 def q_source_csv_scan(spark, sf_dir):
     """S1 on whole tables: the points view laid out as the 107-column
     Source catalogue (header-less CSV, ``NULL`` for missing values; the
@@ -406,6 +440,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "strip_histogram": q_strip_histogram,
         "padded_cells": q_padded_cells,
         "padded_cells_column_band": q_padded_cells_column_band,
+        "padded_cells_sphere": q_padded_cells_sphere,
         "capacity_split": q_capacity_split,
         "capacity_split_two_phase": q_capacity_split_two_phase,
         "partition_job": q_partition_job,
@@ -415,6 +450,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_sink_column_band": q_partition_sink_column_band,
         "hot_region_partition_sink": q_hot_region_partition_sink,
         "deep_overflow_sink": q_deep_overflow_sink,
+        "byte_sized_partition_sink": q_byte_sized_partition_sink,
         "bad_coordinates_quarantine": q_bad_coordinates_quarantine,
         "summary_sink_roundtrip": q_summary_sink_roundtrip,
         "count_sink_roundtrip": q_count_sink_roundtrip,
@@ -619,6 +655,29 @@ FROM strips GROUP BY 1""",
 SELECT source_id, ra, decl, i, j, cell FROM pairs""",
         "padded_cells_column_band": _padded_sql("ci.k") + """
 SELECT source_id, ra, decl, i, j, cell FROM pairs""",
+        # Every star against every cell, a full turn to either side as well.
+        "padded_cells_sphere": f"""
+WITH {_SKY},
+{_WRAPPED},
+{_BOUNDS_WRAPPED},
+{_IDX},
+{_CELLS.format(row="cj.k")},
+reach AS (
+  SELECT *, CASE WHEN abs(decl) + {SKY_PAD} >= 90 THEN 180.0 ELSE
+    degrees(asin(least(1.0, sin(radians({SKY_PAD})) / cos(radians(decl))))) END AS reach
+  FROM wsky
+)
+SELECT s.source_id, s.ra, s.decl, c.i, c.j, {_NAME.format(i="c.i", j="c.j")} AS cell
+FROM reach s JOIN cells c
+  ON s.decl >= c.low_decl - CAST({SKY_PAD} AS DOUBLE)
+ AND s.decl <= c.high_decl + CAST({SKY_PAD} AS DOUBLE)
+ AND (s.ra_c BETWEEN c.left_ra - reach AND c.right_ra + reach
+      OR s.ra_c - 360 BETWEEN c.left_ra - reach AND c.right_ra + reach
+      OR s.ra_c + 360 BETWEEN c.left_ra - reach AND c.right_ra + reach)""",
+        "byte_sized_partition_sink": _padded_sql("cj.k", hot=True) + """
+SELECT cell, count(*) AS n_stars, CAST(sum(source_id) AS BIGINT) AS sum_source_id,
+       CAST(0 AS BIGINT) AS n_too_large, CAST(0 AS BIGINT) AS n_too_small
+FROM pairs GROUP BY cell""",
         "capacity_split": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP) + """
 SELECT source_id, ra, decl, cell, cell_rank, out_cell FROM split""",
         "capacity_split_two_phase": _padded_sql("cj.k") + _RANKED.format(cap=SPLIT_CAP)

@@ -11,7 +11,9 @@
 
 INPUT is a Source catalogue (header-less CSV by default, ``--format
 parquet`` for Parquet). CELLS is the least number of cells, or ``auto``:
-the input's size divided by ``--target-bytes``. Outputs are written under
+the input's size divided by ``--target-bytes``. With ``--measure`` the rows
+are weighed as they are encoded: outputs are of about ``--target-bytes``, and
+``auto`` goes by that weight. Outputs are written under
 OUTPUT, which must not exist unless ``--overwrite`` is given; the cell jobs
 print their histogram as ``cell-->bar`` lines. The session comes from
 ``SparkSession.builder.getOrCreate()``, so cluster settings (and
@@ -49,7 +51,9 @@ def _parser() -> argparse.ArgumentParser:
                       help="replace an output folder that exists")
     sized = argparse.ArgumentParser(add_help=False)
     sized.add_argument("--target-bytes", type=int, default=TARGET_FILE_BYTES,
-                       help="size of an output that CELLS 'auto' aims at")
+                       help="size of an output that CELLS 'auto' and --measure aim at")
+    sized.add_argument("--measure", action="store_true",
+                       help="outputs of about --target-bytes, by the size of encoded rows")
     out = argparse.ArgumentParser(add_help=False)
     out.add_argument("--out-format", default="parquet", choices=["csv", "parquet"],
                      help="format of the per-cell outputs")
@@ -71,7 +75,7 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("min_cells", type=_cells, metavar="CELLS")
     g.add_argument("input")
     g.add_argument("output")
-    t = sub.add_parser("strips", parents=[src, out, over])
+    t = sub.add_parser("strips", parents=[src, out, over, sized])
     t.add_argument("input")
     t.add_argument("output")
     t.add_argument("--strips", type=int, default=N_STRIPS)
@@ -84,6 +88,8 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--ra-pad", type=float, default=RA_PADDING)
     j.add_argument("--decl-pad", type=float, default=DECL_PADDING)
     j.add_argument("--decl-band", default="j", choices=["i", "j"])
+    j.add_argument("--sphere", action="store_true",
+                   help="padding measured on the sky: RA a circle, wider towards the poles")
     j.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK,
                    help="largest cell ranked in one task before splitting")
     return p
@@ -95,7 +101,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     points = source_points(read_source(spark, args.input, fmt=args.format))
     columns = args.columns.split(",") if getattr(args, "columns", None) else None
     mode = "overwrite" if getattr(args, "overwrite", False) else "errorifexists"
-    if getattr(args, "min_cells", 0) is None:
+    measure = getattr(args, "measure", False)
+    if getattr(args, "min_cells", 0) is None and not measure:
         args.min_cells = cells_for_size(input_bytes(spark, args.input), args.target_bytes)
     if args.job == "bounds":
         print(bounds(points, recentre=args.recentre).first().asDict())
@@ -112,7 +119,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     # CSV is parsed once; Parquet passes read the columns they need.
     common = {"columns": columns, "fmt": args.out_format, "mode": mode,
-              "store_points": args.format == "csv"}
+              "store_points": args.format == "csv",
+              "target_bytes": args.target_bytes if measure else None}
     if args.job == "grid":
         hist = run_grid_job(points, args.output, args.min_cells, **common)
     elif args.job == "strips":
@@ -120,7 +128,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     else:
         hist = run_partition_job(points, args.output, min_cells=args.min_cells,
                                  ra_pad=args.ra_pad, decl_pad=args.decl_pad,
-                                 cap=args.cap, decl_band=args.decl_band,
+                                 cap=args.cap, decl_band=args.decl_band, sphere=args.sphere,
                                  rows_per_task=args.rows_per_task, **common)
     for row in histogram_lines(hist).toLocalIterator():
         print(row.value)

@@ -20,12 +20,13 @@ same formula the DuckDB oracle uses, so border decisions agree exactly.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coords import cell_name, checked, recentre_ra
+from ..functions.coords import FULL_TURN, cell_name, checked, recentre_ra
 
 # --- Fixed values of the catalogue jobs. ---
 # Padding around each cell for the neighbour-aware assignment (degrees).
@@ -136,7 +137,7 @@ def assign_padded(points: DataFrame, bounds, n: int,
                   ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
                   ra_col: str = "ra", decl_col: str = "decl",
                   recentre: bool = True, decl_band: str = "j",
-                  outside: str | None = None) -> DataFrame:
+                  outside: str | None = None, sphere: bool = False) -> DataFrame:
     """G4: every cell whose rectangle, grown by the padding on all four
     sides, contains the point (inclusive borders). Adds ``i, j, cell``;
     one output row per (point, cell).
@@ -152,18 +153,40 @@ def assign_padded(points: DataFrame, bounds, n: int,
     outside the padded box (a box computed from the same points holds them
     all), unless ``outside`` names a cell for such stars; they then get
     that cell with ``i = j = -1``.
+
+    The padding is Cartesian. ``sphere=True`` measures it on the sky: RA is
+    a circle, and the padding in RA is that of :func:`ra_reach`, which grows
+    towards the poles. With equal paddings a star is then in every cell that
+    holds a point of the sky within that distance, also across RA 180 (or 0)
+    and across a pole. Each full turn to either side has an index range of
+    its own, so the work per star stays the number of nearby cells.
     """
     _check_band(decl_band)
+    turns = (-FULL_TURN, 0.0, FULL_TURN) if sphere else (0.0,)
     x = recentre_ra(ra_col) if recentre else F.col(ra_col)
     g = with_grid(points, bounds, n).withColumns(
         {"_x": checked(x, "RA"), "_y": checked(decl_col, "Decl")})
     y = F.col("_y")
-    in_box = ((F.col("_x") >= F.col("g_x0") - ra_pad) & (F.col("_x") <= F.col("g_x1") + ra_pad)
+    if sphere:
+        g = g.withColumn("_reach", ra_reach(y, ra_pad))
+        ra_pad = F.col("_reach")
+
+    turned = [F.col("_x") + t if t else F.col("_x") for t in turns]
+
+    def reaches(left: Column, right: Column) -> Column:
+        return reduce(Column.__or__, [(x >= left - ra_pad) & (x <= right + ra_pad)
+                                      for x in turned])
+
+    in_box = (reaches(F.col("g_x0"), F.col("g_x1"))
               & (y >= F.col("g_y0") - decl_pad) & (y <= F.col("g_y1") + decl_pad))
     nowhere = F.array(F.lit(-1)) if outside is not None else F.raise_error(F.concat(
         F.lit("star outside the box: "), F.col("_x").cast("string"), F.lit(" "),
         y.cast("string"))).cast("array<int>")
-    ci = F.when(in_box, _candidates(F.col("_x"), "g_x0", "g_w", ra_pad)).otherwise(nowhere)
+    ranges = [_candidates(x, "g_x0", "g_w", ra_pad) for x in turned]
+    if sphere:
+        none = F.array().cast("array<int>")
+        ranges = [F.array_distinct(F.concat(*[F.coalesce(r, none) for r in ranges]))]
+    ci = F.when(in_box, ranges[0]).otherwise(nowhere)
     if decl_band == "j":
         cj = _candidates(y, "g_y0", "g_h", decl_pad)
     else:
@@ -173,14 +196,24 @@ def assign_padded(points: DataFrame, bounds, n: int,
     name = cell_name("i", "j")
     if outside is not None:
         name = F.when(F.col("i") < 0, F.lit(outside)).otherwise(name)
-    inside = (F.col("i") < 0) | ((F.col("_x") >= _edge("g_x0", "g_w", F.col("i")) - ra_pad)
-              & (F.col("_x") <= _upper_edge("g_x0", "g_w", "g_x1", F.col("i")) + ra_pad)
+    inside = (F.col("i") < 0) | (reaches(_edge("g_x0", "g_w", F.col("i")),
+                                         _upper_edge("g_x0", "g_w", "g_x1", F.col("i")))
               & (y >= _edge("g_y0", "g_h", row) - decl_pad)
               & (y <= _upper_edge("g_y0", "g_h", "g_y1", row) + decl_pad))
     return (g.withColumn("i", F.explode(ci)).withColumn("j", F.explode(cj))
             .where(inside)
             .withColumn("cell", name)
-            .drop("_x", "_y", *GRID_COLUMNS))
+            .drop("_x", "_y", "_reach", *GRID_COLUMNS))
+
+
+def ra_reach(decl: str | Column, radius: float) -> Column:
+    """Largest difference in RA (degrees) between a star and any point of
+    the sky within ``radius`` degrees of it: ``asin(sin(radius) /
+    cos(decl))``, and half a turn where that circle holds a pole."""
+    decl = F.col(decl) if isinstance(decl, str) else decl
+    sine = F.lit(math.sin(math.radians(radius))) / F.cos(F.radians(decl))
+    return F.when(F.abs(decl) + radius >= 90.0, FULL_TURN / 2).otherwise(
+        F.degrees(F.asin(F.least(sine, F.lit(1.0)))))
 
 
 # ---------------------------------------------------------------- helpers
@@ -219,7 +252,7 @@ def _edges_below(v: Column, origin: str, width: str) -> Column:
     return F.when(w > 0, guess - down + up).otherwise(flat)
 
 
-def _candidates(v: Column, origin: str, width: str, pad: float) -> Column:
+def _candidates(v: Column, origin: str, width: str, pad: float | Column) -> Column:
     """Index range that can contain ``v`` once cells are padded by ``pad``;
     one index of slack on each side. Zero width: every index."""
     n = F.col("g_n")

@@ -10,6 +10,10 @@ the shared checkpoint folder and are deleted at the end.
 every byte: the points are parsed once, stored as narrow Parquet, and all
 passes read that. With Parquet input the passes read only what they need,
 and nothing is stored.
+
+``target_bytes`` sizes the outputs by bytes in place of rows: the payload's
+rows are weighed as the sink encodes them (:func:`output_size`), the cap or
+the rows of a file follow, and with ``min_cells=None`` the grid as well.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from ..operators.strips import N_STRIPS, STRIP_MARGIN, assign_strips
 from ..operators.summary import bounds, object_counts, object_summary
 from ..session import scratch_scope, scratch_scope_off, write_scratch_table
 from ..sinks.cells import ROWS_PER_FILE, write_cells, write_rows
+from ..sinks.sizing import output_size
 
 MIN_CELLS = 40  # default grid size: 5 GB inputs / 128 MB outputs
 
@@ -44,10 +49,10 @@ def strip_assignment(points: DataFrame, n_strips: int = N_STRIPS,
 
 def neighbour_pairs(points: DataFrame, min_cells: int = MIN_CELLS,
                     ra_pad: float = RA_PADDING, decl_pad: float = DECL_PADDING,
-                    decl_band: str = "j") -> DataFrame:
+                    decl_band: str = "j", sphere: bool = False) -> DataFrame:
     """J3 first half: re-centred bounds (A5), padded cells (G4)."""
     return assign_padded(points, bounds(points, recentre=True), grid_side(min_cells),
-                         ra_pad, decl_pad, decl_band=decl_band)
+                         ra_pad, decl_pad, decl_band=decl_band, sphere=sphere)
 
 
 def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
@@ -56,7 +61,8 @@ def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
                          cap: int = MAX_PER_CELL,
                          order_by: tuple[str, ...] = ORDER,
                          decl_band: str = "j", method: str = "auto",
-                         cell_rows_bound: int | None = None) -> DataFrame:
+                         cell_rows_bound: int | None = None,
+                         sphere: bool = False) -> DataFrame:
     """J3 body: padded cells (A5, G4) then the capacity split (G5), lazily.
 
     Output: the input columns plus ``i, j, cell, cell_rank, overflow``.
@@ -65,20 +71,21 @@ def neighbour_assignment(points: DataFrame, min_cells: int = MIN_CELLS,
     ``method="auto"`` skip the statistics pass. For parquet inputs
     ``points.count()`` reads only file footers.
     """
-    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
+    pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band, sphere)
     return capacity_split(pairs, cap, order_by=order_by, method=method,
                           cell_rows_bound=cell_rows_bound)
 
 
 def run_partition_job(points: DataFrame, output_dir: str,
                       columns: list[str] | None = None, fmt: str = "parquet",
-                      min_cells: int = MIN_CELLS, ra_pad: float = RA_PADDING,
+                      min_cells: int | None = MIN_CELLS, ra_pad: float = RA_PADDING,
                       decl_pad: float = DECL_PADDING, cap: int = MAX_PER_CELL,
                       order_by: tuple[str, ...] = ORDER,
                       decl_band: str = "j", method: str = "auto",
                       rows_per_task: int = ROWS_PER_TASK,
                       store_points: bool = False,
-                      mode: str = "errorifexists") -> DataFrame:
+                      mode: str = "errorifexists", sphere: bool = False,
+                      target_bytes: int | None = None) -> DataFrame:
     """J3 end to end; returns the histogram of the outputs (A6).
 
     Passes over the points: the bounds (two columns), the stars per cell
@@ -92,7 +99,8 @@ def run_partition_job(points: DataFrame, output_dir: str,
     with scratch_scope(spark):
         if store_points:
             points = write_scratch_table(points, "partition-points")
-        pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band)
+        min_cells, cap = _sized(points, columns, fmt, target_bytes, min_cells, cap)
+        pairs = neighbour_pairs(points, min_cells, ra_pad, decl_pad, decl_band, sphere)
         counts = write_scratch_table(cell_counts(pairs), "partition-counts")
         capped = capacity_split(pairs, cap, order_by=order_by, method=method,
                                 rows_per_task=rows_per_task, counts=counts)
@@ -103,28 +111,34 @@ def run_partition_job(points: DataFrame, output_dir: str,
     return capped_histogram(kept, cap)
 
 
-def run_grid_job(points: DataFrame, output_dir: str, min_cells: int = MIN_CELLS,
+def run_grid_job(points: DataFrame, output_dir: str, min_cells: int | None = MIN_CELLS,
                  columns: list[str] | None = None, fmt: str = "parquet",
                  rows_per_file: int = ROWS_PER_FILE, store_points: bool = False,
-                 mode: str = "errorifexists") -> DataFrame:
+                 mode: str = "errorifexists", target_bytes: int | None = None) -> DataFrame:
     """J1 end to end: write one directory per cell, return the histogram.
 
     The assignment is a column expression, so it is not stored: the
     histogram (one row per cell) is an aggregate that reads only RA and
     Decl from the input. Spark's rebalance hint spreads large cells over
-    several writers, and the rows written are held against the histogram.
+    several writers (with ``target_bytes`` a salt from the histogram does, so
+    that each writes about one file of that size), and the rows written are
+    held against the histogram.
     """
     with scratch_scope(points.sparkSession):
         if store_points:
             points = write_scratch_table(points, "grid-points")
+        min_cells, rows_per_file = _sized(points, columns, fmt, target_bytes, min_cells,
+                                          rows_per_file)
         cells = grid_assignment(points, min_cells).drop("i", "j")
-        return _written(cells, output_dir, columns, fmt, rows_per_file, mode)
+        return _written(cells, output_dir, columns, fmt, rows_per_file, mode,
+                        "salted" if target_bytes else "rebalance")
 
 
 def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
                   margin: float = STRIP_MARGIN, columns: list[str] | None = None,
                   fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE,
-                  store_points: bool = False, mode: str = "errorifexists") -> DataFrame:
+                  store_points: bool = False, mode: str = "errorifexists",
+                  target_bytes: int | None = None) -> DataFrame:
     """J2 end to end: write one directory per strip, return the histogram.
 
     Strip membership is a pure column expression, so the strip counts are
@@ -133,14 +147,31 @@ def run_strip_job(points: DataFrame, output_dir: str, n_strips: int = N_STRIPS,
     with scratch_scope(points.sparkSession):
         if store_points:
             points = write_scratch_table(points, "strip-points")
+        _, rows_per_file = _sized(points, columns, fmt, target_bytes, n_strips, rows_per_file)
         strips = strip_assignment(points, n_strips, margin).drop("strip")
-        return _written(strips, output_dir, columns, fmt, rows_per_file, mode)
+        return _written(strips, output_dir, columns, fmt, rows_per_file, mode,
+                        "salted" if target_bytes else "rebalance")
+
+
+def _sized(points: DataFrame, columns: list[str] | None, fmt: str, target_bytes: int | None,
+           min_cells: int | None, rows: int) -> tuple[int, int]:
+    """The least number of cells and the rows of an output, both as given or
+    from the byte target."""
+    if target_bytes is None:
+        if min_cells is None:
+            raise ValueError("the number of cells or a byte target is needed")
+        return min_cells, rows
+    total = points.count()
+    size = output_size(points, target_bytes, columns, fmt, total)
+    return (size.min_cells(total) if min_cells is None else min_cells), size.rows
 
 
 def _written(cells: DataFrame, output_dir: str, columns: list[str] | None, fmt: str,
-             rows_per_file: int, mode: str) -> DataFrame:
+             rows_per_file: int, mode: str, partitioning: str) -> DataFrame:
     counts = write_scratch_table(cell_histogram(cells), "cell-counts")
-    written = write_cells(cells, output_dir, columns=columns, fmt=fmt, partitioning="rebalance",
+    written = write_cells(cells, output_dir, columns=columns, fmt=fmt, partitioning=partitioning,
+                          cell_counts=counts if partitioning == "salted" else None,
+                          rows_per_file=rows_per_file,
                           max_records_per_file=rows_per_file, mode=mode)
     check_written(counts, written)
     return _kept(counts)

@@ -91,7 +91,7 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        _open_scopes.remove(paths)
+        _open_scopes[:] = [own for own in _open_scopes if own is not paths]
         for path in paths:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -248,3 +248,75 @@ def test_one_star_catalogue(spark):
     assert [r.cell for r in assign_cell(one, bounds(one), 7).collect()] == ["0.0"]
     cells = assign_padded(one, bounds(one, recentre=True), 2).collect()
     assert sorted(r.cell for r in cells) == ["0.0", "0.1", "1.0", "1.1"]
+
+
+def _sky_distance(a, b):
+    (ra1, d1), (ra2, d2) = [tuple(map(math.radians, p)) for p in (a, b)]
+    h = (math.sin((d2 - d1) / 2) ** 2
+         + math.cos(d1) * math.cos(d2) * math.sin((ra2 - ra1) / 2) ** 2)
+    return math.degrees(2 * math.asin(min(1.0, math.sqrt(h))))
+
+
+def _sphere_stars():
+    """Stars all round, many near RA 180 and 0 and near both poles."""
+    rnd = random.Random(11)
+    stars = [(rnd.uniform(0, 360), rnd.uniform(-90, 90)) for _ in range(150)]
+    stars += [((180 + rnd.uniform(-4, 4)) % 360, rnd.uniform(-80, 80)) for _ in range(150)]
+    stars += [(rnd.uniform(-3, 3) % 360, rnd.uniform(-80, 80)) for _ in range(100)]
+    stars += [(rnd.uniform(0, 360), s * rnd.uniform(84, 90)) for s in (-1, 1) for _ in range(80)]
+    return stars + [(10.0, 90.0), (200.0, -90.0), (180.0, 0.0), (0.0, 0.0), (179.999, 45.0)]
+
+
+@pytest.mark.parametrize("n,pad", [(1, 2.0), (6, 2.0), (9, 0.5)])
+def test_padding_on_the_sphere_keeps_neighbours_together(spark, n, pad):
+    """A star is in every cell that holds a star within the padding of it."""
+    stars = _sphere_stars()
+    pts = points_df(spark, [(k, None, *s) for k, s in enumerate(stars)])
+    box = bounds(pts, recentre=True)
+    pairs = [(r.source_id, r.cell) for r in
+             assign_padded(pts, box, n, pad, pad, sphere=True).collect()]
+    got = set(pairs)
+    assert len(got) == len(pairs)                       # a cell once, from whichever turn
+    own = [(r.source_id, r.cell) for r in
+           assign_padded(pts, box, n, 0.0, 0.0).collect()]
+    met = 0
+    for k, cell in own:
+        for other, star in enumerate(stars):
+            if _sky_distance(stars[k], star) <= pad - 1e-9:
+                assert (other, cell) in got, (stars[k], star, cell)
+                met += (other, cell) not in own
+    assert met > 20 or n == 1
+    # Cartesian padding misses some of these.
+    flat = {(r.source_id, r.cell) for r in assign_padded(pts, box, n, pad, pad).collect()}
+    assert flat <= got and (n == 1 or flat < got)
+
+
+def test_padding_on_the_sphere_is_exact(spark):
+    """Every star against every cell, by the circle's distance to its RA range."""
+    stars, n, pad = _sphere_stars(), 7, 1.5
+    pts = points_df(spark, [(k, None, *s) for k, s in enumerate(stars)])
+    box = bounds(pts, recentre=True)
+    cells = grid_cells(box, n).collect()
+    want = set()
+    for k, (ra, decl) in enumerate(stars):
+        reach = 180.0 if abs(decl) + pad >= 90 else math.degrees(
+            math.asin(math.sin(math.radians(pad)) / math.cos(math.radians(decl))))
+        for c in cells:
+            half = (c.right_ra - c.left_ra) / 2
+            away = abs((ra - (c.left_ra + half) + 180) % 360 - 180) - half
+            if away <= reach and c.low_decl - pad <= decl <= c.high_decl + pad:
+                want.add((k, c.cell))
+    got = {(r.source_id, r.cell) for r in
+           assign_padded(pts, box, n, pad, pad, sphere=True).collect()}
+    assert got == want
+
+
+def test_padding_on_the_sphere_outside_and_bad_coordinates(spark):
+    box = bounds_row(spark, 170.0, 180.0, -5.0, 5.0)
+    pts = points_df(spark, [(1, None, 180.4, 0.0), (2, None, 190.0, 0.0), (3, None, 175.0, 0.0)])
+    got = assign_padded(pts, box, 1, 0.5, 0.5, sphere=True, outside="far").collect()
+    assert sorted((r.source_id, r.cell) for r in got) == [(1, "0.0"), (2, "far"), (3, "0.0")]
+    for ra, decl in [(None, 0.0), (175.0, None), (175.0, float("nan"))]:
+        with pytest.raises(Exception, match="bad (RA|Decl)"):
+            assign_padded(points_df(spark, [(1, None, 175.0, 0.0), (2, None, ra, decl)]), box, 1,
+                          0.5, 0.5, sphere=True).select("cell").collect()

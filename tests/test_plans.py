@@ -21,7 +21,7 @@ def plan(df) -> str:
 
 
 @needs_testdata
-@pytest.mark.parametrize("name", ["cell_assign", "padded_cells", "ra_strips",
+@pytest.mark.parametrize("name", ["cell_assign", "padded_cells", "padded_cells_sphere", "ra_strips",
                                   "grid_cells"])
 def test_assignment_has_no_join(spark, name):
     p = plan(E.queries()[name](spark, SF))
