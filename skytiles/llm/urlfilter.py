@@ -44,7 +44,7 @@ ORDER = 4                # characters of context
 STRENGTH = 2.0
 ALPHABET = 128
 HOLDOUT = 5              # one address in so many calibrates instead of training
-BINS = 400               # of the calibration histogram, over ratios from -4 to 4
+BINS = 400               # of the calibration histogram, over the range of the ratios
 START, END = "\u0002", "\u0003"
 UNIT = 1 << 36           # steps are summed as whole multiples of 1 / UNIT
 
@@ -101,9 +101,6 @@ def string_counts(labelled: DataFrame) -> DataFrame:
             .agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
 
 
-count_array = string_counts      # its earlier name
-
-
 def window_steps(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """``window, step`` for distinct windows: log p_accepted - log
     p_rejected of the last character, in ``1 / UNIT``."""
@@ -146,10 +143,13 @@ def with_ratio(rows: DataFrame, counts: DataFrame) -> DataFrame:
 def threshold(scored: DataFrame) -> float:
     """The ratio that separates ``accepted`` from rejected rows best (the
     share of accepted rows kept plus that of rejected rows dropped is
-    largest), from a histogram of ``BINS`` bins; without both kinds minus
-    infinity, which allows all."""
-    bin_ = F.least(F.greatest(F.floor((F.col("ratio") + 4.0) * (BINS / 8.0)), F.lit(0)),
-                   F.lit(BINS - 1))
+    largest), from a histogram of ``BINS`` steps between the least and the
+    largest ratio; without both kinds minus infinity, which allows all."""
+    ends = scored.agg(F.min("ratio").alias("low"), F.max("ratio").alias("high")).first()
+    if ends["low"] is None:
+        return float("-inf")
+    low, step = ends["low"], (ends["high"] - ends["low"]) / BINS or 1.0
+    bin_ = F.least(F.floor((F.col("ratio") - low) / step), F.lit(BINS - 1))
     rows = (scored.groupBy(bin_.alias("bin"))
             .agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))
             .collect())                                # BINS rows at most
@@ -163,11 +163,11 @@ def threshold(scored: DataFrame) -> float:
         gain = (all_good - below_good) / all_good + below_bad / all_bad
         # Of equal cuts the one nearest to no difference.
         if gain > best + 1e-12 or (gain > best - 1e-12
-                                   and abs(cut - BINS / 2) < abs(at - BINS / 2)):
+                                   and abs(low + cut * step) < abs(low + at * step)):
             best, at = gain, cut
         below_good += good.get(cut, 0)
         below_bad += bad.get(cut, 0)
-    return at * 8.0 / BINS - 4.0
+    return low + at * step
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
