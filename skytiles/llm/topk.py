@@ -2,24 +2,29 @@
 
 Vectors are quantised to integers, sorted by length (longest first) and
 packed into blocks; queries are packed into blocks as well. The longest
-block gives every query a first k-th best score. After that a block is
-only met where its longest vector could still reach the k-th best score
-(Cauchy-Schwarz), and within a pair of blocks the vectors are compared
-step by step in a basis rotated by the SVD of a sample: the inner product
-of the leading coordinates plus the product of the residual lengths is an
-upper bound, and only pairs whose bound reaches the k-th best score get
-their exact integer product. The rotation decides how much is pruned,
-never the result: bounds carry a margin for rounding, and equal scores are
-never pruned.
-
-Each task holds one pair of blocks; what it hands on are at most k rows
-per query.
+block of each number of components gives every query a first k-th best
+score, in a narrow pass over the queries. Then the queries go out in waves of
+a fixed size, and each task takes the blocks of its part of the table in
+their order against the whole wave: blocks are read where they lie and never
+shuffled. A block is met only by queries to which its longest vector could
+still matter (Cauchy-Schwarz). Within a block the vectors are compared step by
+step in a basis rotated by the singular vectors of a sample: the inner
+product of the leading coordinates plus the product of the residual lengths is
+an upper bound; queries and vectors that no pair needs any more leave after
+each step, and pairs whose bound reaches the query's k-th best score get their
+exact integer product. The rotation decides how much is pruned, never the
+result: bounds carry a margin for rounding, and equal scores are never pruned.
+
+A task holds one wave of queries with their k best rows so far and one block,
+and compares a bounded number of pairs at once, whatever the number of
+components; what it hands on are at most k rows per query.
 
 Defined cases: a vector that is null, or holds a null, NaN or infinite
 component, takes no part; vectors meet only vectors of their own number of
 components; a query never meets its own row, but does meet other rows that
 repeat its id; equal scores go to the smaller id; a query with fewer than
-k candidates gets all of them; other columns are ignored.
+k candidates gets all of them; an empty table gives no row; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +34,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import write_scratch_table
+from ..session import scratch_path, write_scratch_table
 from .common import share_code
 
 SCALE = 256
 BLOCK_BYTES = 4 << 20       # of a packed block of candidates, at 8 bytes a component
 QUERY_BYTES = 1 << 20       # of a packed block of queries
-SAMPLE = 4096               # vectors whose SVD gives the rotation
-HEADS = (0.25, 0.5)         # shares of the coordinates after which pairs are pruned
+ROW_WORDS = 8               # a row's share of a block beside its components
+WAVE_BYTES = 32 << 20       # of the query blocks that are broadcast at once
+PAIRS = 1 << 20             # pairs of a query and a vector compared at once
+SAMPLE = 4096               # vectors whose singular vectors give the rotation
+HEADS = (0.125, 0.25, 0.5, 0.75)    # shares of the coordinates after which pairs are pruned
 
-_PACKED = ("block string, dim int, rows int, longest double, uids binary, ids binary, "
+_PACKED = ("part int, made int, dim int, rows int, longest double, uids binary, ids binary, "
            "vectors binary")
+_FOUND = "q_uid bigint, q_id bigint, score bigint, id bigint, uid bigint"
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -58,7 +67,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCA
 
 
 def packed(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of :func:`quantised` packed into blocks in their order."""
+    """Rows of :func:`quantised` packed into blocks in their order, numbered
+    from 1 within their partition."""
     def run(batches):
         from pyspark import TaskContext
         part, made = TaskContext.get().partitionId(), 0
@@ -68,14 +78,14 @@ def packed(rows: DataFrame, block_bytes: int) -> DataFrame:
             nonlocal made
             ids, uids, lengths, vs = zip(*held.pop(dim))
             made += 1
-            return (f"{part}-{made}", dim, len(ids), float(max(lengths)),
+            return (part, made, dim, len(ids), float(max(lengths)),
                     np.array(uids, "<i8").tobytes(), np.array(ids, "<i8").tobytes(),
                     np.array(vs, "<i8").reshape(len(ids), dim).tobytes())
 
         def out(blocks):
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary(),
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.binary(),
                      pa.binary(), pa.binary())
-            names = ("block", "dim", "rows", "longest", "uids", "ids", "vectors")
+            names = ("part", "made", "dim", "rows", "longest", "uids", "ids", "vectors")
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*blocks), kinds)], names)
 
@@ -85,7 +95,7 @@ def packed(rows: DataFrame, block_bytes: int) -> DataFrame:
             for i, (id_, uid, length, dim) in enumerate(zip(*columns)):
                 own = held.setdefault(dim, [])
                 own.append((id_, uid, length, np.asarray(vectors[i].values)))
-                if len(own) * max(dim, 1) * 8 >= block_bytes:
+                if len(own) * (dim + ROW_WORDS) * 8 >= block_bytes:
                     yield out([block(dim)])
         for dim in list(held):
             yield out([block(dim)])
@@ -94,10 +104,12 @@ def packed(rows: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def rotation(rows: DataFrame, dim: int) -> np.ndarray:
-    """Right singular vectors of a bounded sample."""
-    sample = rows.where(F.col("dim") == dim).select("v").limit(SAMPLE).toArrow().column("v")
+    """Right singular vectors of a bounded sample, drawn by hash: those of
+    the largest singular values first."""
+    sample = (rows.where(F.col("dim") == dim).select("v", F.xxhash64("uid").alias("by"))
+              .orderBy("by").limit(SAMPLE).toArrow().column("v"))
     x = np.array(sample.to_pylist(), np.float64).reshape(-1, dim)
-    return np.linalg.svd(x, full_matrices=True)[2].T if len(x) and dim else np.eye(dim)
+    return np.linalg.eigh(x.T @ x)[1][:, ::-1] if len(x) and dim else np.eye(dim)
 
 
 class Block:
@@ -119,106 +131,194 @@ def heads(dim: int) -> list[int]:
     return sorted({max(1, int(dim * share)) for share in HEADS})
 
 
-def block_top(queries: Block, candidates: Block, k: int, least: np.ndarray):
-    """``(query row, score, id, uid)`` of the k best candidates in a block
-    for every query that scores ``least`` or more; best first, equal scores
-    by id."""
-    dim = queries.exact.shape[1]
-    margin = 1e-9 * queries.length[:, None] * candidates.length[None, :] + 1e-6
-    alive = queries.length[:, None] * candidates.length[None, :] + margin >= least[:, None]
-    at, bound = 0, np.zeros(alive.shape)
-    for n, head in enumerate(heads(dim)):
-        if not alive.any():
-            break
-        bound += queries.rotated[:, at:head] @ candidates.rotated[:, at:head].T
-        at = head
-        alive &= (bound + queries.rest[n][:, None] * candidates.rest[n][None, :] + margin
-                  >= least[:, None])
-    alive &= queries.uids[:, None] != candidates.uids[None, :]
-    use = np.flatnonzero(alive.any(axis=0))
-    if not len(use):
-        return
-    largest = float(queries.length.max()) * float(candidates.length.max())
-    if largest < 2.0 ** 52:      # every partial sum is exact in a double
-        scores = (queries.exact.astype(np.float64)
-                  @ candidates.exact[use].astype(np.float64).T).astype(np.int64)
+def best_rows(rows, scores, ids, uids, k: int):
+    """The k best of every row, best first, equal scores by id; and the rows
+    that have k, with their k-th score."""
+    order = np.lexsort((uids, ids, -scores, rows))
+    rows, scores, ids, uids = (x[order] for x in (rows, scores, ids, uids))
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else order
+    place = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+    kth = place == k - 1
+    kept = place < k
+    return tuple(x[kept] for x in (rows, scores, ids, uids)), (rows[kth], scores[kth])
+
+
+def _exact(queries: Block, candidates: Block, q, c, alive):
+    """The pairs alive, and their integer products."""
+    qi, ci = np.nonzero(alive)
+    # Below this length every partial sum is exact in a double.
+    plain = float(queries.length[q].max()) * float(candidates.length[c].max()) < 2.0 ** 52
+    kind = np.float64 if plain else np.int64
+    if len(qi) * 8 >= alive.size:
+        scores = (queries.exact[q].astype(kind) @ candidates.exact[c].astype(kind).T)[qi, ci]
     else:
-        scores = queries.exact @ candidates.exact[use].T
-    ids, uids = candidates.ids[use], candidates.uids[use]
-    for q in np.flatnonzero(alive.any(axis=1)).tolist():
-        good = np.flatnonzero(alive[q, use] & (scores[q] >= least[q]))
-        if len(good) > k:        # keep ties of the k-th
-            kth = np.partition(scores[q, good], len(good) - k)[len(good) - k]
-            good = good[scores[q, good] >= kth]
-        order = good[np.lexsort((uids[good], ids[good], -scores[q, good]))][:k]
-        for c in order.tolist():
-            yield q, int(scores[q, c]), int(ids[c]), int(uids[c])
-
-
-def _meet(pairs: DataFrame, rotate: dict[int, np.ndarray], k: int) -> DataFrame:
-    """Top rows of every pair of blocks: ``q_block, q_uid, q_id, score, id,
-    uid``."""
-    share_code(pairs.sparkSession)
-    shared = pairs.sparkSession.sparkContext.broadcast(rotate)
+        step = max(1, PAIRS // max(1, queries.exact.shape[1]))
+        scores = np.concatenate([
+            np.einsum("ij,ij->i", queries.exact[q[qi[a:a + step]]].astype(kind),
+                      candidates.exact[c[ci[a:a + step]]].astype(kind))
+            for a in range(0, len(qi), step)])
+    return q[qi], c[ci], scores.astype(np.int64)
+
+
+def block_pairs(queries: Block, candidates: Block, least: np.ndarray, tally: list[int]):
+    """``(query rows, candidate rows, scores)`` of the pairs that score
+    ``least`` of their query or more, for a bounded number of pairs at a time;
+    the first two figures of ``tally`` grow by the pairs and by those that got
+    an exact product. ``least`` may rise between two results."""
+    dim, n = queries.exact.shape[1], len(candidates.ids)
+    size = max(1, PAIRS // max(1, n))
+    for at in range(0, len(queries.ids), size):
+        q, c = np.arange(at, min(at + size, len(queries.ids))), np.arange(n)
+        tally[0] += len(q) * n
+        goal = least[q]
+
+        def upper(inner, a, b):
+            scale = queries.length[q][:, None] * candidates.length[c][None, :]
+            return inner + a[q][:, None] * b[c][None, :] + (1e-9 * scale + 1e-6) >= goal[:, None]
+
+        alive = upper(0.0, queries.length, candidates.length)
+        inner, done = np.zeros(alive.shape), 0
+        for step, head in enumerate(heads(dim)):
+            rows, columns = alive.any(axis=1), alive.any(axis=0)
+            if not rows.all() or not columns.all():
+                q, c, goal = q[rows], c[columns], goal[rows]
+                alive, inner = alive[rows][:, columns], inner[rows][:, columns]
+            if not alive.size:
+                break
+            inner += queries.rotated[q, done:head] @ candidates.rotated[c, done:head].T
+            done = head
+            alive &= upper(inner, queries.rest[step], candidates.rest[step])
+        if alive.size:
+            alive &= queries.uids[q][:, None] != candidates.uids[c][None, :]
+        if not alive.any():
+            continue
+        qi, ci, scores = _exact(queries, candidates, q, c, alive)
+        tally[1] += len(qi)
+        good = scores >= least[qi]
+        yield qi[good], ci[good], scores[good]
+
+
+class Wanted:
+    """A block of queries with their k best rows so far, and the score that
+    another row must reach."""
+
+    def __init__(self, row: dict, turn: np.ndarray, k: int):
+        self.dim, self.k = row["dim"], k
+        self.queries = Block(row["uids"], row["ids"], row["vectors"], row["dim"], turn)
+        self.least = np.full(len(self.queries.ids), -np.inf)
+        if row.get("least"):
+            self.least[:] = np.frombuffer(row["least"], "<f8")
+        self.best = (np.zeros(0, np.int64),) * 4
+
+    def meet(self, candidates: Block, tally: list[int]) -> None:
+        for qi, ci, scores in block_pairs(self.queries, candidates, self.least, tally):
+            new = (qi, scores, candidates.ids[ci], candidates.uids[ci])
+            self.best, (full, kth) = best_rows(
+                *[np.concatenate(x) for x in zip(self.best, new)], self.k)
+            self.least[full] = np.maximum(self.least[full], kth)
+
+    def found(self) -> pa.RecordBatch:
+        rows, scores, ids, uids = self.best
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (self.queries.uids[rows], self.queries.ids[rows], scores, ids,
+                                   uids)], ["q_uid", "q_id", "score", "id", "uid"])
+
+    def need(self) -> float:
+        """The length below which no vector matters to any of the queries."""
+        if not len(self.least):
+            return float("inf")
+        return float(np.where(self.least <= 0, 0.0, self.least / np.maximum(
+            self.queries.length, 1e-300)).min()) * (1 - 1e-9)
+
+
+def _lead(asked: DataFrame, lead: list[dict], rotate: dict[int, np.ndarray], k: int) -> DataFrame:
+    """The query blocks after the longest block: their k best rows there
+    (``best``, packed), the score to reach (``least``, packed; minus infinity
+    where there are fewer than k) and the length that a vector needs."""
+    shared = asked.sparkSession.sparkContext.broadcast((lead, rotate))
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(),
+             pa.binary(), pa.binary(), pa.float64())
+    names = ("part", "made", "dim", "uids", "ids", "vectors", "best", "least", "need")
 
     def run(batches):
+        blocks, turns = shared.value
+        longest = {}
         for batch in batches:
             for row in batch.to_pylist():
-                turn = shared.value[row["dim"]]
-                q = Block(row["q_uids"], row["q_ids"], row["q_vectors"], row["dim"], turn)
-                c = Block(row["uids"], row["ids"], row["vectors"], row["dim"], turn)
-                least = np.frombuffer(row["least"], "<f8") if row["least"] else \
-                    np.full(len(q.ids), -np.inf)
-                found = list(block_top(q, c, k, least))
-                rows, score, id_, uid = (np.array(x, np.int64) for x in zip(*found)) \
-                    if found else (np.zeros(0, np.int64),) * 4
+                dim = row["dim"]
+                if dim not in longest:
+                    own = next(x for x in blocks if x["dim"] == dim)
+                    longest = {dim: Block(own["uids"], own["ids"], own["vectors"], dim,
+                                          turns[dim])}
+                wanted = Wanted(row, turns[dim], k)
+                wanted.meet(longest[dim], [0, 0])
+                sink = pa.BufferOutputStream()
+                best = wanted.found()
+                with pa.ipc.new_stream(sink, best.schema) as writer:
+                    writer.write_batch(best)
+                out = (row["part"], row["made"], dim, row["uids"], row["ids"], row["vectors"],
+                       sink.getvalue().to_pybytes(), wanted.least.astype("<f8").tobytes(),
+                       wanted.need())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["q_block"]] * len(rows), pa.string()), pa.array(q.uids[rows]),
-                     pa.array(q.ids[rows]), pa.array(score), pa.array(id_), pa.array(uid)],
-                    ["q_block", "q_uid", "q_id", "score", "id", "uid"])
+                    [pa.array([x], t) for x, t in zip(out, kinds)], names)
+
+    return write_scratch_table(asked.mapInArrow(
+        run, "part int, made int, dim int, uids binary, ids binary, vectors binary, "
+             "best binary, least binary, need double"), "topk-queries-led")
 
-    return pairs.mapInArrow(run, "q_block string, q_uid bigint, q_id bigint, score bigint, "
-                                 "id bigint, uid bigint")
 
+def _first_found(led: DataFrame) -> DataFrame:
+    """The rows that the longest blocks gave."""
+    def run(batches):
+        for batch in batches:
+            for best in batch.column(0).to_pylist():
+                yield from pa.ipc.open_stream(best)
+
+    return led.select("best").mapInArrow(run, _FOUND)
 
-def _thresholds(asked: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """Per query block: ``least`` (k-th best scores so far in row order,
-    packed; minus infinity where fewer were found) and ``need``, the length
-    below which no candidate can be among the k best of any of its queries."""
-    kth = (first.groupBy("q_block", "q_uid")       # k rows of a query at most
-           .agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
-           .select("q_block", F.struct("q_uid", F.get("s", F.lit(k - 1)).alias("kth")).alias("x"))
-           .groupBy("q_block").agg(F.collect_list("x").alias("kth")))
-    rows = asked.select("q_block", "dim", "q_uids", "q_vectors").join(kth, "q_block", "left")
+
+def _wave(blocks: DataFrame, wave: list[dict], rotate: dict[int, np.ndarray], k: int,
+          tallies) -> str:
+    """Every block against one wave of queries; the path of what was found."""
+    spark = blocks.sparkSession
+    shared = spark.sparkContext.broadcast((wave, rotate))
 
     def run(batches):
+        rows, turns = shared.value
+        asked: list[Wanted] = []
+        tally = [0, 0]
         for batch in batches:
-            out = []
             for row in batch.to_pylist():
-                uids = np.frombuffer(row["q_uids"], "<i8")
-                known = {x["q_uid"]: x["kth"] for x in row["kth"] or []}
-                least = np.array([-np.inf if known.get(u) is None else float(known[u])
-                                  for u in uids.tolist()])
-                v = np.frombuffer(row["q_vectors"], "<i8").reshape(len(uids), row["dim"])
-                length = np.sqrt((v.astype(np.float64) ** 2).sum(axis=1))
-                need = np.where(least <= 0, 0.0, least / np.maximum(length, 1e-300))
-                out.append((row["q_block"], row["dim"], least.astype("<f8").tobytes(),
-                            float(need.min())))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (
-                        pa.string(), pa.int32(), pa.binary(), pa.float64()))],
-                    ["q_block", "dim", "least", "need"])
-
-    return write_scratch_table(
-        rows.mapInArrow(run, "q_block string, dim int, least binary, need double"), "topk-least")
+                asked = asked or [Wanted(x, turns[x["dim"]], k) for x in rows]
+                block = None
+                for wanted in asked:
+                    if wanted.dim != row["dim"] or wanted.need() > row["longest"]:
+                        continue
+                    block = block or Block(row["uids"], row["ids"], row["vectors"], row["dim"],
+                                           turns[row["dim"]])
+                    wanted.meet(block, tally)
+        for own, total in zip(tallies or (), tally):
+            own.add(total)
+        for wanted in asked:
+            yield wanted.found()
+
+    least = min(row["need"] for row in wave)
+    path = scratch_path(spark, "topk-wave")
+    blocks.where(F.col("longest") >= least).mapInArrow(run, _FOUND).write.parquet(path)
+    shared.destroy()
+    return path
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
-          vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
+          vector_col: str = "embedding", scale: int = SCALE,
+          report: dict[str, int] | None = None) -> DataFrame:
     """Rows ``query_id, rank, id, score``. ``is_query`` is a condition on
-    the id, written for a column named ``id``."""
-    share_code(vectors.sparkSession)
+    the id, written for a column named ``id``. ``report`` is told the
+    ``pairs`` of queries and vectors in blocks that were met after the longest,
+    and how many of them got an ``exact`` product (by Spark accumulators: a
+    task that runs twice counts twice)."""
+    spark = vectors.sparkSession
+    share_code(spark)
     rows = write_scratch_table(quantised(vectors, id_col, vector_col, scale), "topk-vectors")
     rotate = {r["dim"]: rotation(rows, r["dim"])
               for r in rows.select("dim").distinct().collect()}
@@ -226,28 +326,46 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         .sortWithinPartitions("dim", F.desc("length"), "uid")
     blocks = write_scratch_table(packed(by_length, BLOCK_BYTES), "topk-blocks")
     queries = rows.where(is_query).repartitionByRange(F.col("dim"), "uid")
-    asked = write_scratch_table(packed(queries, QUERY_BYTES).select(
-        F.col("block").alias("q_block"), "dim",
-        *[F.col(c).alias(f"q_{c}") for c in ("uids", "ids", "vectors")]), "topk-queries")
+    asked = write_scratch_table(packed(queries, QUERY_BYTES), "topk-queries")
 
-    # The longest block of each dimension gives every query a k-th best score.
+    # The longest block of each dimension: one of a fixed size each.
     longest = blocks.groupBy("dim").agg(
-        F.max_by("block", F.struct("longest", "block")).alias("block"))
-    lead = blocks.join(longest, ["dim", "block"])
-    first = write_scratch_table(_meet(
-        asked.join(lead, "dim").withColumn("least", F.lit(None).cast("binary")), rotate, k),
-        "topk-first")
-    least = _thresholds(asked, first, k)
-
-    # Blocks that can still matter to some query of a block.
-    todo = (least.select("q_block", "dim", "need")
-            .join(blocks.select("dim", "block", "longest")
-                  .join(longest.select("block"), "block", "left_anti"), "dim")
-            .where(F.col("need") <= F.col("longest") * (1 + 1e-9)).select("q_block", "block"))
-    pairs = (todo.join(asked, "q_block").join(least.select("q_block", "least"), "q_block")
-             .join(blocks.drop("dim"), "block"))
-    found = first.unionByName(_meet(pairs, rotate, k))
+        F.max_by(F.struct("part", "made"), F.struct("longest", "part", "made")).alias("x")) \
+        .select("x.part", "x.made")
+    lead = blocks.join(F.broadcast(longest), ["part", "made"]).toArrow().to_pylist()
+    led = _lead(asked, lead, rotate, k)
+    others = blocks.join(F.broadcast(longest), ["part", "made"], "left_anti")
+
+    # Waves: blocks numbered over all partitions, a fixed number in each.
+    at, before = 0, {}
+    for r in asked.groupBy("part").agg(F.max("made").alias("n")).orderBy("part").collect():
+        before[r["part"]] = at
+        at += r["n"]
+    tallies = [spark.sparkContext.accumulator(0) for _ in range(2)] if report is not None else None
+    size = max(1, WAVE_BYTES // QUERY_BYTES)
+    paths = []
+    for first in range(0, at, size):
+        wave = led.where(_between(before, first, first + size)).drop("best").toArrow().to_pylist()
+        paths.append(_wave(others, wave, rotate, k, tallies))
+    if report is not None:
+        report.update(pairs=tallies[0].value, exact=tallies[1].value)
+    found = _first_found(led)
+    if paths:
+        found = found.unionByName(spark.read.parquet(*paths))
     order = Window.partitionBy("q_uid").orderBy(F.desc("score"), "id", "uid")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select(F.col("q_id").alias("query_id"), F.col("rank").cast("int").alias("rank"),
                     "id", "score"))
+
+
+def _between(before: dict[int, int], first: int, end: int) -> Column:
+    """Blocks numbered ``first`` to ``end``: those of a partition follow the
+    blocks of the partitions before it."""
+    parts = sorted(before)
+    inside = F.lit(False)
+    for part, following in zip(parts, [*parts[1:], None]):
+        last = float("inf") if following is None else before[following]
+        if before[part] < end and last > first:
+            inside |= ((F.col("part") == part) & (F.col("made") > first - before[part])
+                       & (F.col("made") <= end - before[part]))
+    return inside

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -212,7 +213,7 @@ def test_url_ratio_equals_brute_force(spark):
     asked = rows(spark, [(u,) for u in ["http://abc/x", "zz", "", None]], "url string") \
         .withColumn("framed", urlfilter._framed(F.col("url")))
     got = {r["url"]: r["ratio"] for r in urlfilter.with_ratio(
-        asked, urlfilter.count_array(texts.select("framed", "accepted"))).collect()}
+        asked, urlfilter.string_counts(texts.select("framed", "accepted"))).collect()}
 
     def frame(u):
         return "\x02" * urlfilter.ORDER + (u or "") + "\x03"
@@ -242,6 +243,21 @@ def test_url_ratio_equals_brute_force(spark):
         assert ratio == pytest.approx(want, abs=1e-9)
 
 
+def test_url_threshold_follows_the_range_of_the_ratios(spark):
+    """Ratios far beyond any fixed range are separated too; equal cuts go to
+    the one nearest to no difference."""
+    for good, bad, low, high in [([30.0, 31.5, 42.0], [-9.0, 12.0, 29.0], 29.0, 30.0),
+                                 ([-40.0, -41.0], [-90.0, -60.0], -60.0, -40.0),
+                                 ([2.0, 9.0], [-9.0, -2.0], -0.1, 0.1)]:
+        scored = rows(spark, [(x, True) for x in good] + [(x, False) for x in bad],
+                      "ratio double, accepted boolean")
+        assert low < urlfilter.threshold(scored) <= high
+    one = rows(spark, [(5.0, True), (5.0, False)], "ratio double, accepted boolean")
+    assert urlfilter.threshold(one) in (5.0, 405.0)
+    assert urlfilter.threshold(one.where("accepted")) == float("-inf")
+    assert urlfilter.threshold(one.limit(0)) == float("-inf")
+
+
 def test_url_counts_grow_with_the_input(spark):
     rnd = random.Random(17)
     known = [(f"http://a.org/{''.join(rnd.choices('abcdefghijklmnopqrstuvwxyz0123456789', k=24))}",
@@ -254,7 +270,7 @@ def test_url_counts_grow_with_the_input(spark):
     assert len(counts[True] | counts[False]) > 1 << 17
     asked = [u for u, _ in known[:200]] + [f"http://b.net/{i}" for i in range(100)]
     frame = urlfilter._framed(F.col("url"))
-    table = urlfilter.count_array(rows(spark, known, "url string, accepted boolean").select(
+    table = urlfilter.string_counts(rows(spark, known, "url string, accepted boolean").select(
         frame.alias("framed"), "accepted"))
     got = {r["url"]: r["ratio"] for r in urlfilter.with_ratio(
         rows(spark, [(u,) for u in asked], "url string").withColumn("framed", frame),
@@ -406,6 +422,7 @@ def brute_top(vectors, k, step):
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_BYTES", 8 * 6 * 40)
     monkeypatch.setattr(topk, "QUERY_BYTES", 8 * 6 * 10)
+    monkeypatch.setattr(topk, "WAVE_BYTES", 8 * 6 * 30)             # several waves
     rnd = np.random.default_rng(5)
     vectors = [(i, (rnd.normal(size=6) * rnd.choice([0.1, 1, 5])).tolist()) for i in range(300)]
     vectors += [(i, [0.5] * 6) for i in range(300, 320)]            # ties
@@ -417,6 +434,57 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     got = [tuple(r) for r in topk.top_k(d.repartition(3), F.col("id") % 10 == 0).collect()]
     assert sorted(got) == sorted(brute_top(vectors, 5, 10))
     assert topk.top_k(d.limit(0), F.col("id") % 10 == 0).count() == 0
+    assert topk.top_k(d, F.col("id") < 0).count() == 0
+
+
+def test_top_k_prunes_clustered_vectors(spark, monkeypatch):
+    """Few pairs get an exact product, and the rows are those of brute force;
+    vectors that are too short are not met at all."""
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 8 * 32 * 100)
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(12, 24))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    for spread, noise, step, least, most in ((0.05, 0.2, 25, 20_000, 90_000),
+                                            (0.6, 0.02, 30, 0, 5_000)):
+        vectors = [(i, (4 * centres[i % 12] * rnd.uniform(1 - spread, 1 + spread)
+                        + rnd.normal(size=24) * noise).tolist()) for i in range(1500)]
+        told = {}
+        got = topk.top_k(rows(spark, vectors, "vec_id bigint, embedding array<double>"),
+                         F.col("id") % step == 0, report=told).collect()
+        assert sorted(map(tuple, got)) == sorted(brute_top(vectors, 5, step))
+        assert least <= told["pairs"] <= most and told["exact"] <= 0.1 * told["pairs"]
+
+
+def test_top_k_memory_does_not_grow_as_dimensions_shrink():
+    rnd = np.random.default_rng(2)
+    peaks = {}
+    for dim in (2, 16, 64, 256):
+        def block(budget, dim=dim):
+            n = budget // (8 * (dim + topk.ROW_WORDS))
+            v = np.floor(rnd.normal(size=(n, dim)) * 256).astype("<i8")
+            ids = np.arange(n, dtype="<i8").tobytes()
+            return {"dim": dim, "uids": ids, "ids": ids, "vectors": v.tobytes()}
+        asked, other = block(topk.QUERY_BYTES // 8), block(topk.BLOCK_BYTES)
+        wanted = topk.Wanted(asked, np.eye(dim), 5)
+        candidates = topk.Block(other["uids"], other["ids"], other["vectors"], dim, np.eye(dim))
+        tracemalloc.start()
+        wanted.meet(candidates, [0, 0])
+        peaks[dim] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(wanted.best[0]) == 5 * len(wanted.least)
+    assert max(peaks.values()) < 160 << 20, peaks
+
+
+def test_top_k_of_a_block_is_exact_beyond_doubles():
+    """Products too long for a double are taken in whole numbers."""
+    v = np.array([[1 << 30, 1], [1 << 30, 0], [1 << 30, 2]], "<i8")
+    ids = np.arange(3, dtype="<i8").tobytes()
+    row = {"dim": 2, "uids": ids, "ids": ids, "vectors": v.tobytes()}
+    wanted = topk.Wanted(row, np.eye(2), 2)
+    wanted.meet(topk.Block(ids, ids, v.tobytes(), 2, np.eye(2)), [0, 0])
+    got = list(zip(*[x.tolist() for x in wanted.best]))
+    assert got == [(0, (1 << 60) + 2, 2, 2), (0, 1 << 60, 1, 1), (1, 1 << 60, 0, 0),
+                   (1, 1 << 60, 2, 2), (2, (1 << 60) + 2, 0, 0), (2, 1 << 60, 1, 1)]
 
 
 # ---------------------------------------------------------------- pipeline
