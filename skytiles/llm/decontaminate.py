@@ -16,7 +16,9 @@ worth shuffling; the join compares hashes and words exactly.
 Defined cases: null and empty texts have no words and no hits; an item
 without words occurs nowhere; an item id of null marks hits but is not
 listed; equal items are listed under each of their ids; rows that repeat a
-doc_id are judged each on its own text; other columns are ignored.
+doc_id are judged each on its own text; very long texts are read whole, a
+slice's worth of words at a time; without documents there is no row, and
+without items no hit; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -36,7 +36,8 @@ with a probability of about one in a million).
 Defined cases: null, empty and word-free texts have an empty set and are
 linked with nothing; rows that repeat an id are one document (but for
 those without words), linked to whatever one of its rows is linked to; a null id takes no part (its
-component is null, and the row is kept); other columns are ignored.
+component is null, and the row is kept); very long texts have all their
+shingles; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

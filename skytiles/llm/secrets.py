@@ -15,7 +15,9 @@ looked for in whole texts.
 
 Defined cases: a null or empty text has no spans; rows are independent, so
 ties, repeated rows and extra columns do not matter; the span list is
-ordered by start, then kind in the order of ``KINDS``.
+ordered by start, then kind in the order of ``KINDS``; very long texts are
+searched whole, and a value's cost takes time linear in its length; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

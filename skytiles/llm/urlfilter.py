@@ -25,7 +25,8 @@ Defined cases: a null address, or one without ``://``, has an empty host
 and path and no rule; a null or empty address is judged by its end mark
 alone; without held-out addresses of both kinds every verdict of the method
 is allow; repeated rows are each judged and each
-counted; other columns are ignored.
+counted; a very long address has a window at every place, like others; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Defined cases: a null html is an empty payload, a null url leaves out the
 target header; rows that repeat a page id are each archived, and where the
 smallest id of a payload is repeated, each of its rows is a response; a
 null page id is larger than any other (a payload whose ids are all null is
-a response in every row); other columns are ignored; an empty table makes
+a response in every row); very long payloads are records like others, whole
+in memory one at a time; other columns are ignored; an empty table makes
 no archive.
 """
 

@@ -487,6 +487,54 @@ def test_top_k_of_a_block_is_exact_beyond_doubles():
                    (1, 1 << 60, 2, 2), (2, (1 << 60) + 2, 0, 0), (2, 1 << 60, 1, 1)]
 
 
+# -------------------------------------------- very long texts, empty tables
+
+def test_very_long_texts(spark, tmp_path):
+    """Megabytes in one row are handled whole: what matters is at the end."""
+    rnd = random.Random(23)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(200_000)]
+    item = " ".join(f"bench{k}" for k in range(10))
+    long_text = " ".join(words) + " " + item
+    edited = " ".join(w if k % 1000 else "other" for k, w in enumerate(words)) + " " + item
+    docs = rows(spark, [(1, long_text), (2, edited), (3, "short")], "doc_id bigint, text string")
+    items = rows(spark, [("7", item)], "item_id string, text string")
+    hits = {r["id"]: r["n_hit"] for r in
+            decontaminate.contamination(docs, items).withColumnRenamed("doc_id", "id").collect()}
+    assert hits == {1: 10, 2: 10, 3: 0}
+    groups = {r["id"]: r["component"] for r in neardup.near_duplicates(docs).collect()}
+    assert groups == {1: 1, 2: 1, 3: 3}
+
+    secret = long_text + " password=Zq81kLm2vXw0 "
+    (spans,) = [r["spans"] for r in secrets.secret_spans(
+        rows(spark, [(1, secret)], "doc_id bigint, text string")).collect()]
+    assert {(s["kind"], secret[s["start"]:s["end"]]) for s in spans if s["kind"] != "hex"} == {
+        ("assign", "password=Zq81kLm2vXw0"), ("guess", "Zq81kLm2vXw0")}
+
+    pages = rows(spark, [(1, "u", long_text), (2, "v", long_text), (3, "w", edited)],
+                 "page_id bigint, url string, html string")
+    back = {r["page_id"]: r for r in warc.read_archives(
+        warc.archive_pages(pages, f"file://{tmp_path}/long")).collect()}
+    assert [back[k]["record_type"] for k in (1, 2, 3)] == ["response", "revisit", "response"]
+    assert back[2]["payload_digest"] == hashlib.sha256(long_text.encode()).hexdigest()
+
+    address = "http://a.org/" + "".join(rnd.choices("abcdef", k=100_000))
+    known = [(k, f"http://a.org/{k}") for k in range(40)] + [
+        (100 + k, f"http://b.com/de/{k}") for k in range(40)]
+    judged = {r["page_id"]: r for r in urlfilter.judge_urls(rows(
+        spark, [*known, (999, address), (1000, address.replace("a.org", "a.net"))],
+        "page_id bigint, url string")).collect()}
+    assert judged[999]["rule"] == "org/" and len(judged[999]["path"]) == 100_001
+    assert judged[1000]["rule"] is None and math.isfinite(judged[1000]["ratio"])
+
+
+def test_empty_tables(spark):
+    docs = rows(spark, [], "doc_id bigint, text string, spans string, id string")
+    assert secrets.secret_spans(docs).count() == 0
+    assert secrets.mask_secrets(docs).columns == docs.columns
+    assert urlfilter.judge_urls(rows(spark, [], "page_id bigint, url string, host int")).count() == 0
+    assert neardup.near_duplicates(docs.drop("id")).count() == 0
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_equals_brute_force(spark):
