@@ -319,8 +319,7 @@ def q_object_csv_scan(spark, sf_dir):
     """S2 on whole tables: the points laid out as the 229-column Object
     catalogue (id, coordinates, one value of the first and of the last
     band, the last column), scanned back positionally."""
-    from skytiles.sources import object_schema, read_object
-    from skytiles.sources.catalog import CSV_OPTIONS
+    from skytiles.sources import object_schema, read_object, write_catalog
 
     filled = {"objectId": F.col("source_id"), "iauId": F.concat(F.lit("J"), F.col("l_partkey")),
               "ra_PS": F.col("ra"), "decl_PS": F.col("decl"), "uNumObs": F.col("l_suppkey"),
@@ -328,7 +327,7 @@ def q_object_csv_scan(spark, sf_dir):
     layout = [filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
               for f in object_schema().fields]
     path = scratch_path(spark, "object-csv")
-    _points(spark, sf_dir).select(*layout).write.options(**CSV_OPTIONS).csv(path)
+    write_catalog(_points(spark, sf_dir).select(*layout), path)
     return read_object(spark, path).select(
         F.col("objectId").alias("object_id"), F.col("iauId").alias("iau_id"),
         F.col("ra_PS").alias("ra"), F.col("decl_PS").alias("decl"),

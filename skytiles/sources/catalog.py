@@ -25,6 +25,10 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "true",
 }
 
+# Written catalogues are compressed: a line is mostly ``,NULL``. Compressed
+# text cannot be split, so many files of bounded length keep its scan parallel.
+WRITE_OPTIONS = {"compression": "lz4", "maxRecordsPerFile": "500000"}
+
 
 def read_catalog(spark: SparkSession, path: str | list[str],
                  schema: T.StructType, fmt: str = "csv",
@@ -50,6 +54,12 @@ def read_catalog(spark: SparkSession, path: str | list[str],
     return reader.csv(_paths(path))
 
 
+def write_catalog(df: DataFrame, path: str) -> None:
+    """Rows as a catalogue directory (compressed CSV in the layout of
+    :func:`read_catalog`; ``df`` has the table's columns in their order)."""
+    df.write.options(**CSV_OPTIONS, **WRITE_OPTIONS).csv(path)
+
+
 def scan_with_rejects(spark: SparkSession, path: str | list[str],
                       schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """S1 / S2 of a CSV catalogue, every line in exactly one of two results:

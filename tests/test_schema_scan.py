@@ -1,5 +1,9 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from conftest import catalogue_line
 from skytiles.sources import (object_schema, read_lines, read_object,
                               read_source, source_points, source_schema)
@@ -123,3 +127,31 @@ def test_every_line_is_a_row_or_a_reject(spark, tmp_dir):
         [("bad ra", lines[1]), ("3 fields", "1,2,3"), ("empty line", ""),
          ("bad sourceId", lines[5]), (f"{len(schema) + 1} fields", lines[6])])
     assert rejects.select("reason").count() == 5 and rows.select("decl").count() == 2
+
+
+def _lineitem(spark, path, n=3000):
+    """A lineitem table of ``n`` rows of its own."""
+    spark.range(n).selectExpr(
+        "id div 4 AS l_orderkey", "id * 37 % 900 AS l_partkey", "id * 11 % 70 AS l_suppkey",
+        "cast(id % 4 + 1 AS int) AS l_linenumber", "cast(id * 7 % 50 AS double) AS l_quantity",
+        "id * 13.37D AS l_extendedprice", "0.01D * (id % 9) AS l_tax",
+        "if(id % 3 = 0, 'R', 'N') AS l_returnflag", "'F' AS l_linestatus",
+        "timestamp_seconds(id * 86400) AS l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
+def _written_by(spark, monkeypatch, tmp_dir, name):
+    """What the query returns, and the bytes a line of its catalogue takes."""
+    data, out = _lineitem(spark, f"{tmp_dir}/in"), f"{tmp_dir}/out"
+    monkeypatch.setattr(E, "scratch_path", lambda spark, name: out)
+    rows = E.queries()[name](spark, data).collect()
+    files = [f"{out}/{f}" for f in os.listdir(out) if f.startswith("part-")]
+    lines = spark.read.text(out).count()
+    return rows, lines, sum(map(os.path.getsize, files)) / lines
+
+
+def test_object_catalogue_takes_little_disk(spark, monkeypatch, tmp_dir):
+    rows, lines, size = _written_by(spark, monkeypatch, tmp_dir, "object_csv_scan")
+    assert lines == len(rows) == 3000 and size < 200      # as plain text over 1,100
+    assert sum(r.y_flags is None for r in rows) == 1000
+    assert sorted(r.object_id for r in rows) == [8 * (k // 4) + k % 4 + 1 for k in range(3000)]
