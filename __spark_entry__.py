@@ -302,8 +302,7 @@ def q_source_csv_scan(spark, sf_dir):
     Source catalogue (header-less CSV, ``NULL`` for missing values; the
     three point columns and the id filled, the rest null), scanned back
     positionally with the declared schema, then summarised per object."""
-    from skytiles.sources import read_source, source_points, source_schema
-    from skytiles.sources.catalog import CSV_OPTIONS
+    from skytiles.sources import read_source, source_points, source_schema, write_catalog
 
     pts = _points(spark, sf_dir)
     filled = {"sourceId": "source_id", "objectId": "object_id",
@@ -311,7 +310,7 @@ def q_source_csv_scan(spark, sf_dir):
     layout = [(F.col(filled[f.name]) if f.name in filled else F.lit(None))
               .cast(f.dataType).alias(f.name) for f in source_schema().fields]
     path = scratch_path(spark, "source-csv")
-    pts.select(*layout).write.options(**CSV_OPTIONS).csv(path)
+    write_catalog(pts.select(*layout), path)
     return object_summary(source_points(read_source(spark, path)))
 
 

@@ -1,6 +1,5 @@
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -155,3 +154,9 @@ def test_object_catalogue_takes_little_disk(spark, monkeypatch, tmp_dir):
     assert lines == len(rows) == 3000 and size < 200      # as plain text over 1,100
     assert sum(r.y_flags is None for r in rows) == 1000
     assert sorted(r.object_id for r in rows) == [8 * (k // 4) + k % 4 + 1 for k in range(3000)]
+
+
+def test_source_catalogue_takes_little_disk(spark, monkeypatch, tmp_dir):
+    rows, lines, size = _written_by(spark, monkeypatch, tmp_dir, "source_csv_scan")
+    assert lines == 3000 and size < 150                   # as plain text over 500
+    assert sum(r.n_sources for r in rows) == 2000
