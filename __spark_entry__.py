@@ -339,7 +339,7 @@ def q_source_csv_rejects(spark, sf_dir):
     text in place of RA, some cut off after five fields. Every line is
     counted under ``good`` or the reason it is rejected for."""
     from skytiles.sources import scan_with_rejects, source_schema
-    from skytiles.sources.catalog import CSV_OPTIONS
+    from skytiles.sources.catalog import CSV_OPTIONS, WRITE_OPTIONS
 
     first = F.col("source_id") % 8 == 1
     filled = {"sourceId": F.col("source_id"), "objectId": F.col("object_id"),
@@ -351,7 +351,7 @@ def q_source_csv_rejects(spark, sf_dir):
     cut = (F.col("source_id") % 8 == 2) & F.col("object_id").isNotNull()
     path = scratch_path(spark, "source-rejects")
     _points(spark, sf_dir).select(F.when(cut, F.substring_index(line, ",", 5)).otherwise(line)
-                                  .alias("value")).write.text(path)
+                                  .alias("value")).write.options(**WRITE_OPTIONS).text(path)
     rows, rejects = scan_with_rejects(spark, path, source_schema())
     lines = rows.select(F.lit("good").alias("outcome"), F.col("sourceId").alias("id")).union(
         rejects.select("reason", F.substring_index("line", ",", 1).cast("long")))

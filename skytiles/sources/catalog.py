@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import write_scratch_table
 from .schemas import SOURCE_POINT_COLUMNS, object_schema, source_schema
 
 CSV_OPTIONS = {
@@ -25,7 +26,7 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "true",
 }
 
-# Written catalogues are compressed: a line is mostly ``,NULL``. Compressed
+# Written catalogues (CSV or its text lines) are compressed: a line is mostly ``,NULL``. Compressed
 # text cannot be split, so many files of bounded length keep its scan parallel.
 WRITE_OPTIONS = {"compression": "lz4", "maxRecordsPerFile": "500000"}
 
@@ -66,24 +67,30 @@ def scan_with_rejects(spark: SparkSession, path: str | list[str],
     the rows that parse, and ``line, reason`` of the lines that do not (blank
     lines included). The reason is the number of fields where that is wrong,
     else the first column whose text is no value of its type. All columns
-    are parsed, whatever a query reads of them."""
+    are parsed, whatever a query reads of them: once, into a stored table that
+    both results read."""
     corrupt = "corrupt_line"
     while corrupt in schema.fieldNames():
         corrupt += "_"
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     blank = F.trim("value") == ""
-    parsed = read_lines(spark, path).select(
-        "value", F.from_csv("value", F.lit(f"{ddl}, `{corrupt}` string"), options).alias("row"))
+    # Exploded, so that a line is parsed once and not by the filter and again
+    # by every use of its row.
+    parsed = read_lines(spark, path).select("value", F.explode(F.array(
+        F.from_csv("value", F.lit(f"{ddl}, `{corrupt}` string"), options))).alias("row"))
     bad = blank | F.col("row").isNull() | F.col("row")[corrupt].isNotNull()
-    rows = parsed.where(~bad).select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields])
+    stored = write_scratch_table(parsed.select(
+        *[F.col("row")[f.name].alias(f.name) for f in schema.fields],
+        F.when(bad, F.col("value")).alias(corrupt)), "catalog-scan")
+    rows = stored.where(F.col(corrupt).isNull()).select(*schema.fieldNames())
     # One SQL text: a plan of as many column objects is slow to build.
     fault = "coalesce(" + ", ".join(
         f"CASE WHEN trim(get(f, {k})) NOT IN ('', 'NULL') "
         f"AND try_cast(trim(get(f, {k})) AS {c.dataType.simpleString()}) IS NULL "
         f"THEN 'bad {c.name}' END" for k, c in enumerate(schema.fields)) + ", 'bad value')"
     fields = F.split("line", CSV_OPTIONS["sep"], -1)
-    rejects = (parsed.where(bad).select(F.col("value").alias("line"))
+    rejects = (stored.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("line"))
                .select("line", fields.alias("f")).select("line", F.when(
                    F.trim("line") == "", "empty line").when(
                    F.size("f") != len(schema.fields),

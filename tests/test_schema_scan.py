@@ -160,3 +160,15 @@ def test_source_catalogue_takes_little_disk(spark, monkeypatch, tmp_dir):
     rows, lines, size = _written_by(spark, monkeypatch, tmp_dir, "source_csv_scan")
     assert lines == 3000 and size < 150                   # as plain text over 500
     assert sum(r.n_sources for r in rows) == 2000
+
+
+def test_rejects_parse_a_line_once(spark, monkeypatch, tmp_dir):
+    from skytiles.sources import scan_with_rejects
+    with open(f"{tmp_dir}/cat.csv", "w") as f:
+        f.write(_fixture_line({"sourceId": "5", "ra": "1", "decl": "2"}) + "\nx,y\n")
+    rows, rejects = scan_with_rejects(spark, f"{tmp_dir}/cat.csv", source_schema())
+    both = rows.select("sourceId").union(rejects.select(F.length("line").cast("long")))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_csv" not in plan and sorted(r[0] for r in both.collect()) == [3, 5]
+    rows, lines, size = _written_by(spark, monkeypatch, f"{tmp_dir}/q", "source_csv_rejects")
+    assert sum(r.n_lines for r in rows) == 3000 and lines == 3000 and size < 150
