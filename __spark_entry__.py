@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytiles.functions.sizing import collect_small
 from skytiles.operators import (assign_cell, assign_padded, assign_strips,
-                                bounds, capacity_split, cell_histogram,
-                                footer_bounds, grid_cells, grid_side, line_counts,
-                                object_counts, object_summary, quarantine, with_out_cell)
+                                bounds, by_output, capacity_split, cell_counts,
+                                cell_histogram, footer_bounds, grid_cells, grid_side, line_counts,
+                                object_counts, object_summary, output_histogram, quarantine,
+                                spread_outputs, with_out_cell)
 from skytiles.plans import (neighbour_assignment, run_grid_job, run_object_count_job,
                             run_object_summary_job, run_partition_job, run_strip_job)
 from skytiles.session import scratch_path
@@ -142,20 +144,24 @@ def q_padded_cells_sphere(spark, sf_dir):
         .select("source_id", "ra", "decl", "i", "j", "cell")
 
 
+def _named_split(padded, stars, **how):
+    split = capacity_split(padded, SPLIT_CAP, order_by=SKY_ORDER, **how)
+    return with_out_cell(spread_outputs(split, stars, SPLIT_CAP)).select(
+        "source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
+
+
 def q_capacity_split(spark, sf_dir):
-    bound = _points(spark, sf_dir).count()  # no cell holds more rows than points
-    return with_out_cell(capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
-                                        cell_rows_bound=bound)) \
-        .select("source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
+    padded = _padded(spark, sf_dir)
+    counts = collect_small(cell_counts(padded))
+    return _named_split(padded, counts, counts=counts)
 
 
 def q_capacity_split_two_phase(spark, sf_dir):
     # Same result through the skew-splitting path: with a task budget of
     # 1/64 of the points the average cell is too large for a task.
-    pts = _points(spark, sf_dir)
-    return with_out_cell(capacity_split(_padded(spark, sf_dir), SPLIT_CAP, order_by=SKY_ORDER,
-                                        method="two_phase", rows_per_task=-(-pts.count() // 64))) \
-        .select("source_id", "ra", "decl", "cell", "cell_rank", "out_cell")
+    padded = _padded(spark, sf_dir)
+    return _named_split(padded, collect_small(cell_counts(padded)), method="two_phase",
+                        rows_per_task=-(-_points(spark, sf_dir).count() // 64))
 
 
 def q_partition_job(spark, sf_dir):

@@ -26,6 +26,8 @@ one task, right but not bounded.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,8 @@ ROWS_PER_TASK = 2_000_000
 BINS = 256        # steps that a part of a cell is counted in at once
 LEADING = 3       # digits of the order whose bounds every round finds
 MAX_ROUNDS = 16   # of counting; each divides oversized steps by up to BINS
+NAMES_BYTES = 600_000      # of output names in a task; Parquet's dictionaries hold 1 MiB
+MAX_NAME_TASKS = 20_000
 ORDER = ("source_id", "ra", "decl")
 
 
@@ -99,6 +103,23 @@ def with_out_cell(split: DataFrame, cell_col: str = "cell", out_col: str = "out_
     return split.withColumn(out_col, overflow_name(cell_col, "overflow", suffix))
 
 
+def spread_outputs(split: DataFrame, counts: DataFrame, cap: int, cell_col: str = "cell",
+                   suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
+    """The rows of a split, laid out for showing their outputs' names: the
+    rows of an output together, and so few outputs to a task that their names
+    fit the dictionary of a columnar file, which then holds each name once and
+    not once a row. Names grow with the overflow number, so those of a cell
+    take space in the square of its rows. Nothing moves while the names of
+    every cell are short (``counts``: columns ``cell, n_stars``)."""
+    k = F.ceil(F.col("n_stars") / F.lit(cap)).cast("double")
+    names = k * (F.length("cell") + F.lit(4)) + F.lit(len(suffix)) * k * (k - 1) / 2
+    longest, total = counts.agg(F.max(names), F.sum(names)).first()
+    if not longest or longest <= NAMES_BYTES:
+        return split
+    return split.repartition(min(MAX_NAME_TASKS, math.ceil(total / NAMES_BYTES)),
+                             cell_col, "overflow")
+
+
 def _tie_break(df: DataFrame, known: list[str]) -> list[Column]:
     """A hash of the row, unless the order columns are all there is."""
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]

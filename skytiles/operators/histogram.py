@@ -7,7 +7,7 @@ counts stay a distributed aggregate (partial counts before the shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coords import OVERFLOW_SUFFIX, log_bar, overflow_name
@@ -23,6 +23,22 @@ def cell_histogram(df: DataFrame, cell_col: str = "cell") -> DataFrame:
             .withColumn("bar", log_bar("n_stars")))
 
 
+def by_output(split: DataFrame, *aggregates: Column, out_col: str = "cell",
+              suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
+    """Aggregates per output of a cap (columns ``cell, overflow``). The rows
+    are grouped by the overflow number and the name is made once per output:
+    it grows with the number, so it is no key to group or move rows by."""
+    return (split.groupBy("cell", "overflow").agg(*aggregates)
+            .withColumn("cell", overflow_name("cell", "overflow", suffix))
+            .withColumnRenamed("cell", out_col).drop("overflow"))
+
+
+def output_histogram(split: DataFrame, suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
+    """:func:`cell_histogram` of the outputs of a cap."""
+    return by_output(split, F.count(F.lit(1)).alias("n_stars"), suffix=suffix) \
+        .withColumn("bar", log_bar("n_stars"))
+
+
 def capped_histogram(counts: DataFrame, cap: int,
                      suffix: str = OVERFLOW_SUFFIX) -> DataFrame:
     """The histogram of the outputs that a cap makes of cells with

@@ -1,11 +1,13 @@
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import points_df
-from skytiles.operators import assign_padded, bounds, capacity_split, with_out_cell
+from skytiles.operators import (assign_padded, bounds, by_output, capacity_split, cell_counts,
+                                cell_histogram, output_histogram, spread_outputs, with_out_cell)
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +114,37 @@ def test_equal_rows_of_the_order_are_ranked_alike_by_both_methods(spark):
     a, b = [sorted(map(tuple, capacity_split(d, 20, method=m, rows_per_task=25).collect()))
             for m, d in (("window", df), ("two_phase", df.repartition(6)))]
     assert a == b
+
+
+def _one_cell(spark, n):
+    return points_df(spark, [(t, None, float(t % 7), float(t % 3)) for t in range(n)]) \
+        .withColumn("cell", F.lit("1.2"))
+
+
+def test_long_names_of_outputs_are_stored_once(spark, tmp_dir):
+    rows = _one_cell(spark, 30000)
+    split = capacity_split(rows, 15)
+    spread = spread_outputs(split, cell_counts(rows), 15)
+    size = []
+    for k, df in enumerate((split, spread)):
+        path = f"{tmp_dir}/{k}"
+        with_out_cell(df).write.parquet(path)
+        size.append(sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)
+                        if f.endswith(".parquet")))
+    assert size[1] < size[0] / 2, size
+    a, b = [sorted(map(tuple, d.collect())) for d in (split, spread)]
+    assert a == b
+    assert spread_outputs(split, cell_counts(rows), 300) is split      # short names
+
+
+def test_outputs_are_grouped_by_number_and_named_after(spark):
+    split = capacity_split(_one_cell(spark, 95), 10)
+    got = output_histogram(split)
+    named = cell_histogram(with_out_cell(split), "out_cell")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, named.collect()))
+    places = by_output(split, F.countDistinct("ra", "decl").alias("n"))
+    plan = places._jdf.queryExecution().optimizedPlan().toString()
+    groups = [ln for ln in plan.splitlines() if "Aggregate" in ln]
+    assert groups and all("overflow" in ln and "repeat" not in ln.split("], [")[0]
+                          for ln in groups)
+    assert {r.cell: r.n for r in places.collect()}["1.2bis"] == 10
