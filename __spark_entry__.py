@@ -169,7 +169,7 @@ def q_partition_job(spark, sf_dir):
     pairs = neighbour_assignment(pts, MIN_CELLS, PAD, PAD, CAP,
                                  order_by=tuple(SKY_ORDER),
                                  cell_rows_bound=pts.count())  # parquet footers
-    return cell_histogram(with_out_cell(pairs), "out_cell")
+    return output_histogram(pairs)
 
 
 def q_bad_coordinates_quarantine(spark, sf_dir):
@@ -220,7 +220,7 @@ _POINT = T.StructType([T.StructField("source_id", T.LongType()),
 def _written_outputs(spark, path):
     """The outputs of a partition job, counted in the files."""
     back = read_cells(spark, path, _POINT, overflow=True)
-    return cell_histogram(with_out_cell(back.withColumnRenamed("k", "overflow")), "out_cell")
+    return output_histogram(back.withColumnRenamed("k", "overflow"))
 
 
 def q_partition_sink_roundtrip(spark, sf_dir):
@@ -242,8 +242,8 @@ def q_partition_sink_column_band(spark, sf_dir):
                       min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=SPLIT_CAP,
                       order_by=tuple(SKY_ORDER), decl_band="i")
     back = read_cells(spark, path, T.StructType(_POINT.fields[1:]), fmt="csv", overflow=True)
-    return with_out_cell(back.withColumnRenamed("k", "overflow")).groupBy(
-        F.col("out_cell").alias("cell")).agg(
+    return by_output(
+        back.withColumnRenamed("k", "overflow"),
         F.count(F.lit(1)).alias("n_stars"), F.min("ra").alias("min_ra"),
         F.max("ra").alias("max_ra"), F.min("decl").alias("min_decl"),
         F.max("decl").alias("max_decl"), F.countDistinct("ra", "decl").alias("n_places"))
@@ -262,8 +262,8 @@ def q_hot_region_partition_sink(spark, sf_dir):
                       min_cells=MIN_CELLS, ra_pad=PAD, decl_pad=PAD, cap=CAP,
                       order_by=tuple(SKY_ORDER), rows_per_task=budget)
     back = read_cells(spark, path, _POINT, overflow=True)
-    return with_out_cell(back.withColumnRenamed("k", "overflow")).groupBy(
-        F.col("out_cell").alias("cell")).agg(
+    return by_output(
+        back.withColumnRenamed("k", "overflow"),
         F.count(F.lit(1)).alias("n_stars"), F.sum("source_id").alias("sum_source_id"),
         F.min("source_id").alias("min_source_id"), F.max("source_id").alias("max_source_id"))
 
@@ -414,7 +414,7 @@ def q_stream_partition_job(spark, sf_dir):
                                decl_pad=PAD, columns=["source_id", "ra", "decl"])
     q.awaitTermination()
     written = read_stream_output(spark, out, "source_id bigint, ra double, decl double")
-    return cell_histogram(with_out_cell(written.withColumnRenamed("k", "overflow")), "out_cell")
+    return output_histogram(written.withColumnRenamed("k", "overflow"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
