@@ -105,7 +105,8 @@ def run_partition_job(points: DataFrame, output_dir: str,
         capped = capacity_split(pairs, cap, order_by=order_by, method=method,
                                 rows_per_task=rows_per_task, counts=counts)
         written = write_cells(capped.drop("i", "j", "cell_rank"), output_dir, columns=columns,
-                              fmt=fmt, partitioning="hash", overflow_col="overflow", mode=mode)
+                              fmt=fmt, partitioning="hash", overflow_col="overflow",
+                              output_rows=None if target_bytes else cap, mode=mode)
         check_written(counts, written)
         kept = _kept(counts)
     return capped_histogram(kept, cap)

@@ -32,13 +32,17 @@ always declares it as a string.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sizing import broadcast_if_small
+from .small import NULL_NAME, small_outputs, write_small
 
 ROWS_PER_FILE = 1_000_000
+BYTES_PER_TASK = 64 * 1024 * 1024   # of outputs that are read back
 
 
 def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
@@ -50,6 +54,7 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
                 num_partitions: int | None = None,
                 max_records_per_file: int | None = None,
                 overflow_col: str | None = None,
+                output_rows: int | None = None,
                 mode: str = "errorifexists") -> int:
     """K1 + G6: write one directory per cell; returns the rows written.
 
@@ -60,8 +65,10 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
     ``range`` or ``rebalance`` (default: ``salted`` when ``cell_counts`` - columns ``cell,
     n_stars``, one row per cell - is given, else ``range``). With
     ``overflow_col`` an output is ``cell=<name>/k=<overflow>``: the name of
-    a directory stays short however many outputs a cell has. An output
-    folder that exists is an error, unless ``mode="overwrite"``.
+    a directory stays short however many outputs a cell has. ``output_rows``
+    is a known bound on their rows; in a ``file:`` folder small ones, spread
+    by ``hash``, are written as :mod:`.small` says. An output folder that
+    exists is an error, unless ``mode="overwrite"``.
     """
     outputs = [cell_col] + ([overflow_col] if overflow_col else [])
     payload = columns or [c for c in df.columns if c not in outputs]
@@ -93,6 +100,10 @@ def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
     out = out.select(*[F.col(c).alias("k") if c == overflow_col else c for c in outputs],
                      *payload)
     parts = [cell_col] + (["k"] if overflow_col else [])
+    if overflow_col and mode_ == "hash" and mode in ("errorifexists", "overwrite"):
+        folder = small_outputs(out, path, fmt, output_rows)
+        if folder:
+            return write_small(out, parts, folder, fmt, mode)
     written = Observation()
     out = out.observe(written, F.count(F.lit(1)).alias("n"))
     writer = out.write.mode(mode).partitionBy(*parts).format(fmt)
@@ -108,14 +119,44 @@ def read_cells(spark: SparkSession, path: str, payload_schema: T.StructType,
                cell_col: str = "cell", fmt: str = "parquet",
                overflow: bool = False) -> DataFrame:
     """Read a K1 output back; ``cell`` is a string column. ``overflow`` for
-    outputs with a ``k`` level (long)."""
-    schema = T.StructType(list(payload_schema.fields)
-                          + [T.StructField(cell_col, T.StringType())]
-                          + ([T.StructField("k", T.LongType())] if overflow else []))
-    reader = spark.read.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "false")
-    return reader.load(path)
+    outputs with a ``k`` level (long), which are many (:func:`read_outputs`)."""
+    options = {"header": "false"} if fmt == "csv" else {}
+    if overflow:
+        return read_outputs(spark, path, payload_schema, cell_col, fmt, options)
+    schema = T.StructType([*payload_schema.fields, T.StructField(cell_col, T.StringType())])
+    return spark.read.schema(schema).options(**options).format(fmt).load(path)
+
+
+def read_outputs(spark: SparkSession, path: str, payload_schema: T.StructType | str,
+                 cell_col: str = "cell", fmt: str = "parquet",
+                 options: dict[str, str] | None = None,
+                 without: list[str] | None = None) -> DataFrame:
+    """The rows of ``cell=<name>/k=<overflow>`` outputs, with both columns.
+
+    The columns are taken from the files' paths, since Spark's discovery of
+    partition columns takes time in the square of the directories; a filter
+    on them still leaves out files. Each task reads many of the files.
+    ``without``: files whose names hold one of these texts are left out."""
+    files = (spark.read.schema(payload_schema).options(**(options or {})).format(fmt)
+             .option("recursiveFileLookup", "true").load(path))
+    size = int(str(files._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    if without:
+        files = files.where(~F.col("_metadata.file_name").rlike("|".join(without)))
+    at = F.col("_metadata.file_path")
+    return files.select(
+        "*", _from_path(at, -3, cell_col).alias(cell_col),
+        _from_path(at, -2, "k").cast("long").alias("k")).coalesce(
+            max(3 * spark.sparkContext.defaultParallelism, math.ceil(size / BYTES_PER_TASK)))
+
+
+def _from_path(at: Column, nth: int, key: str) -> Column:
+    """The value in a directory's name, from the path of a file below it."""
+    name = F.substring_index(F.substring_index(at, "/", nth), "/", 1)
+    # The path is a URI, and Spark escapes characters in the name before.
+    for _ in range(2):
+        name = F.when(F.contains(name, F.lit("%")),
+                      F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+    return F.nullif(F.substr(name, F.lit(len(key) + 2)), F.lit(NULL_NAME))
 
 
 def write_rows(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
