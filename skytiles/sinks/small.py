@@ -20,6 +20,7 @@ writer (:func:`small_outputs` tells).
 from __future__ import annotations
 
 import errno
+import json
 import os
 import shutil
 import sys
@@ -32,9 +33,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import (DataSource, DataSourceStreamArrowWriter,
+                                    WriterCommitMessage)
 
 SMALL_ROWS = 1_000      # up to here making a file costs more than filling it; a task holds them
 _TEMPORARY = "_temporary"
+_BATCHES = "_batches"   # of a stream: what has been published
 _PLAIN = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
           T.TimestampNTZType)
 _CODECS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "none": "none",
@@ -175,3 +179,80 @@ def publish(folder: str, attempts: list[str]) -> None:
                         raise
                     for name in os.listdir(here):
                         os.rename(f"{here}/{name}", f"{there}/{name}")
+
+
+# ------------------------------------------------------------------ streams
+
+class SmallStream(DataSource):
+    """The sink ``skytiles_outputs`` of a stream. Options: ``folder``,
+    ``keys`` (the first columns, with commas) and ``codec``. The rows of an
+    output follow each other."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "skytiles_outputs"
+
+    def streamWriter(self, schema, overwrite):
+        return _SmallStreamWriter(self.options)
+
+
+class _SmallStreamWriter(DataSourceStreamArrowWriter):
+    """Publishes a micro-batch once. Its attempts are noted in
+    ``_batches/<number>.begun`` before the first rename; after the last the
+    note loses its ending. A batch that runs again after a crash is dropped
+    where its note has no ending; otherwise what was published of it is
+    deleted first."""
+
+    def __init__(self, options):
+        self.folder, self.codec = options["folder"], options["codec"]
+        self.keys = options["keys"].split(",")
+
+    def write(self, iterator):
+        message = WriterCommitMessage()
+        message.attempt, _ = write_outputs(iterator, self.folder, self.keys, "parquet", self.codec)
+        return message
+
+    def commit(self, messages, batchId):
+        whole = f"{self.folder}/{_BATCHES}/{batchId}"
+        begun = f"{whole}.begun"
+        if not os.path.exists(whole):
+            attempts = [m.attempt for m in messages if m is not None]
+            if os.path.exists(begun):
+                with open(begun) as f:
+                    _delete_files(self.folder, json.load(f))
+            os.makedirs(os.path.dirname(whole), exist_ok=True)
+            with open(f"{whole}.new", "w") as f:
+                json.dump(attempts, f)
+            os.replace(f"{whole}.new", begun)
+            publish(self.folder, attempts)
+            os.rename(begun, whole)
+        shutil.rmtree(f"{self.folder}/{_TEMPORARY}", ignore_errors=True)
+
+    def abort(self, messages, batchId):
+        for m in messages:
+            if m is not None:
+                shutil.rmtree(f"{self.folder}/{_TEMPORARY}/{m.attempt}", ignore_errors=True)
+
+
+def _delete_files(folder: str, attempts: list[str]) -> None:
+    names = tuple(f"part-{a}-" for a in attempts)
+    for at, _, files in os.walk(folder):
+        if f"/{_TEMPORARY}" not in at[len(folder):]:
+            for file in files:
+                if names and file.startswith(names):
+                    os.remove(f"{at}/{file}")
+
+
+def has_batches(folder: str) -> bool:
+    """True where a stream has published by :class:`SmallStream`."""
+    return os.path.isdir(f"{folder}/{_BATCHES}")
+
+
+def unpublished(folder: str) -> list[str]:
+    """Attempts of a micro-batch whose publishing has begun and not ended."""
+    found = []
+    for name in os.listdir(f"{folder}/{_BATCHES}") if has_batches(folder) else []:
+        if name.endswith(".begun"):
+            with open(f"{folder}/{_BATCHES}/{name}") as f:
+                found += json.load(f)
+    return found

@@ -7,7 +7,10 @@ keyed state, and its next star goes to output ``count // cap``. The order
 in a cell is the order of arrival, as in the original job.
 
 Outputs are ``cell=<name>/k=<overflow>`` Parquet files of the streaming
-file sink, so state, files and progress commit together (exactly once).
+file sink, so state, files and progress commit together (exactly once). With
+a small cap and a ``file:`` folder they are those of
+:class:`skytiles.sinks.small.SmallStream`, which publishes a micro-batch once
+as well, and spares the processes that Hadoop starts for every file.
 
 The grid must be known up front (a stream has no "all rows" to take
 bounds from): pass a box, e.g. from a batch bounds job over existing data,
@@ -21,6 +24,8 @@ to bound that.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +35,9 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.capacity import MAX_PER_CELL
 from ..operators.grid import DECL_PADDING, RA_PADDING, assign_padded
+from ..sinks.cells import read_outputs
+from ..sinks.small import (SmallStream, has_batches, local_folder, parquet_codec, small_outputs,
+                           unpublished)
 
 OUTSIDE = "outside"
 
@@ -66,12 +74,19 @@ def start_partition_stream(points: DataFrame, bounds, n: int, output_dir: str,
         state.update((seen,))
 
     out = T.StructType([*pairs.schema.fields, T.StructField("nth", T.LongType())])
-    writer = (pairs.groupBy("cell")
-              .applyInPandasWithState(append, out, "seen long", "append",
-                                      GroupStateTimeout.NoTimeout)
-              .withColumn("k", F.floor(F.col("nth") / F.lit(cap))).drop("nth")
-              .writeStream.format("parquet").partitionBy("cell", "k").outputMode("append")
-              .option("path", output_dir).option("checkpointLocation", checkpoint_dir))
+    rows = (pairs.groupBy("cell")
+            .applyInPandasWithState(append, out, "seen long", "append",
+                                    GroupStateTimeout.NoTimeout)
+            .select("cell", F.floor(F.col("nth") / F.lit(cap)).alias("k"), *payload))
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint_dir)
+    folder = _small_folder(rows, output_dir, cap)
+    if folder:
+        os.makedirs(folder, exist_ok=True)
+        points.sparkSession.dataSource.register(SmallStream)
+        writer = writer.format(SmallStream.name()).options(
+            folder=folder, keys="cell,k", codec=parquet_codec(points.sparkSession))
+    else:
+        writer = writer.format("parquet").partitionBy("cell", "k").option("path", output_dir)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -81,6 +96,18 @@ def start_partition_stream(points: DataFrame, bounds, n: int, output_dir: str,
 
 def read_stream_output(spark, output_dir: str, payload_schema: str) -> DataFrame:
     """Read the stream's output; ``cell`` stays a string, ``k`` is the
-    overflow number."""
-    return (spark.read.schema(f"{payload_schema}, cell string, k long")
-            .parquet(output_dir))
+    overflow number. Micro-batches that are not published whole are left out."""
+    folder = local_folder(spark, output_dir)
+    return read_outputs(spark, output_dir, payload_schema,
+                        without=unpublished(folder) if folder else [])
+
+
+def _small_folder(rows: DataFrame, output_dir: str, cap: int) -> str | None:
+    """The folder, where the tasks write the files themselves. A stream keeps
+    the sink it began with: readers look for that one's log."""
+    folder = local_folder(rows.sparkSession, output_dir)
+    if folder and has_batches(folder):
+        return folder
+    if folder and os.path.isdir(f"{folder}/_spark_metadata"):
+        return None
+    return small_outputs(rows, output_dir, "parquet", cap)

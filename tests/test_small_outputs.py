@@ -1,11 +1,13 @@
 """Outputs of few rows: written by the tasks themselves, read by their paths."""
 import datetime as dt
 import glob
+import json
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import WriterCommitMessage
 
 from conftest import points_df
 from skytiles.plans import run_partition_job
@@ -98,3 +100,68 @@ def test_outputs_are_read_without_discovery_of_their_directories(spark, tmp_dir)
     assert sorted(r.id for r in one.collect()) == [7, 47, 87]
     assert back.where("cell = '2.1'").count() == 0
     assert back.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
+
+
+def _writer(folder):
+    return small._SmallStreamWriter({"folder": folder, "keys": "cell,k", "codec": "snappy"})
+
+
+def _attempt(spark, writer, ids):
+    batch = spark.createDataFrame([("c", 0, i) for i in ids], "cell string, k bigint, id bigint")
+    return writer.write(iter(batch.toArrow().to_batches()))
+
+
+def test_a_micro_batch_is_published_once(spark, tmp_dir):
+    folder, schema = f"{tmp_dir}/s", "id bigint"
+    writer = _writer(folder)
+    ids = lambda **how: sorted(r.id for r in small_rows(**how).collect())
+    small_rows = lambda **how: read_outputs(spark, folder, schema, **how)
+    from skytiles.sinks.cells import read_outputs
+    lost = _attempt(spark, writer, [90])
+    writer.commit([_attempt(spark, writer, [1, 2]), None, _attempt(spark, writer, [3])], 0)
+    assert ids() == [1, 2, 3] and lost.attempt and not os.path.exists(f"{folder}/_temporary")
+    writer.commit([_attempt(spark, writer, [1, 2, 3])], 0)      # again, after a crash
+    assert ids() == [1, 2, 3]
+    # A crash amid the renames of the next one.
+    half = _attempt(spark, writer, [4, 5])
+    with open(f"{folder}/_batches/1.begun", "w") as f:
+        json.dump([half.attempt], f)
+    small.publish(folder, [half.attempt])
+    assert ids() == [1, 2, 3, 4, 5]
+    assert ids(without=small.unpublished(folder)) == [1, 2, 3]
+    writer.commit([_attempt(spark, writer, [4, 5, 6])], 1)
+    assert ids() == [1, 2, 3, 4, 5, 6] and small.unpublished(folder) == []
+    gone = _attempt(spark, writer, [7])
+    writer.abort([gone, None], 2)
+    assert ids() == [1, 2, 3, 4, 5, 6]
+
+
+def test_an_attempt_out_of_sight_raises(tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        message = WriterCommitMessage()
+        message.attempt = "elsewhere"
+        _writer(f"{tmp_dir}/s").commit([message], 0)
+
+
+def _stream(spark, tmp_dir, cap):
+    from skytiles.streaming import read_stream_output, start_partition_stream
+    schema = "source_id bigint, ra double, decl double"
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true") \
+        .parquet(f"{tmp_dir}/in")
+    start_partition_stream(stream, (0.0, 4.0, 0.0, 4.0), 2, f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                           cap=cap).awaitTermination()
+    return read_stream_output(spark, f"{tmp_dir}/out", schema)
+
+
+@pytest.mark.parametrize("caps", [(30, 5000), (5000, 30)])
+def test_stream_with_a_small_cap_and_the_sink_it_began_with(spark, tmp_dir, caps):
+    rnd = random.Random(4)
+    for turn, cap in enumerate(caps):
+        points_df(spark, [(turn * 200 + t, None, rnd.uniform(0, 4), rnd.uniform(0, 4))
+                          for t in range(200)]) \
+            .select("source_id", "ra", "decl").write.parquet(f"{tmp_dir}/in/{turn}")
+        rows = _stream(spark, tmp_dir, cap)
+        assert rows.select("source_id").distinct().count() == 200 * (turn + 1)
+        assert os.path.isdir(f"{tmp_dir}/out/_spark_metadata") == (caps[0] == 5000)
+        small_files = not glob.glob(f"{tmp_dir}/out/cell=*/k=*/.*.crc")
+        assert small_files == (caps[0] == 30)
