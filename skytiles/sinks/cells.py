@@ -42,7 +42,7 @@ from ..functions.sizing import broadcast_if_small
 from .small import NULL_NAME, small_outputs, write_small
 
 ROWS_PER_FILE = 1_000_000
-BYTES_PER_TASK = 64 * 1024 * 1024   # of outputs that are read back
+BYTES_PER_TASK = 16 * 1024 * 1024   # of outputs that are read back
 
 
 def write_cells(df: DataFrame, path: str, cell_col: str = "cell",
@@ -122,7 +122,9 @@ def read_cells(spark: SparkSession, path: str, payload_schema: T.StructType,
     outputs with a ``k`` level (long), which are many (:func:`read_outputs`)."""
     options = {"header": "false"} if fmt == "csv" else {}
     if overflow:
-        return read_outputs(spark, path, payload_schema, cell_col, fmt, options)
+        # A small file is parsed as a whole: a reader of lines takes longer to make.
+        whole = {"multiLine": "true", "lineSep": "\n"} if fmt == "csv" else {}
+        return read_outputs(spark, path, payload_schema, cell_col, fmt, options | whole)
     schema = T.StructType([*payload_schema.fields, T.StructField(cell_col, T.StringType())])
     return spark.read.schema(schema).options(**options).format(fmt).load(path)
 

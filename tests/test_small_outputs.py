@@ -49,6 +49,11 @@ def test_small_outputs_are_those_of_sparks_writer(spark, tmp_dir, fmt):
         lines = [{p: sorted("".join(open(f).read() for f in glob.glob(f"{tmp_dir}/{w}/{glob.escape(p)}/part-*"))
                             .split("\n")) for p in places[0]} for w in ("spark", "small")]
         assert lines[0] == lines[1]
+        back = [read_cells(spark, f"{tmp_dir}/{w}", spark.createDataFrame([], SCHEMA).schema,
+                           fmt="csv", overflow=True) for w in ("spark", "small")]
+        assert _key(back[0]) == _key(back[1])
+        assert sorted((r.id, r.text) for r in back[1].where("text like '%line'").collect()) == \
+            sorted((r.id, r.text) for r in rows.where("text like '%line'").collect())
         return
     plain = spark.read.schema(f"{SCHEMA}, cell string, k bigint")
     want = _key(plain.parquet(f"{tmp_dir}/spark"))
